@@ -26,7 +26,7 @@ def map_enum(
     branches = []
     if synonyms:
         table = F.create_map(*[F.lit(x) for pair in synonyms.items() for x in pair])
-        branches.append(F.get(F.array(F.try_element_at(table, F.lower(text))), F.lit(0)))
+        branches.append(F.try_element_at(table, F.lower(text)))
     if valid:
         branches.append(F.when(F.upper(text).isin(*valid), F.upper(text)))
     if isinstance(otherwise, Column):

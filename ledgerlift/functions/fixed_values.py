@@ -12,6 +12,9 @@ NULL_MARKERS = {
     "user": ("", "nan"),
 }
 
+# --- fixed values: white space removed at both ends of a cell -------------------------
+WHITE_SPACE = " \t\n\r\f\v\u00a0"
+
 # --- fixed values: cells that identify the header row ---------------------------------
 HEADER_ANCHORS = ("apprefno", "shname", "application_number", "applicationnumber")
 

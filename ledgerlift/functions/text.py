@@ -16,7 +16,7 @@ def col(c: ColumnOrName) -> Column:
 
 def strip(c: ColumnOrName) -> Column:
     """Trim every kind of white space at both ends, not only blanks."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(fixed.WHITE_SPACE))
 
 
 def clean(c: ColumnOrName, dialect: str = "general") -> Column:
