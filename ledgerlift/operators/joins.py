@@ -38,14 +38,19 @@ def lookup(
     normalise=key_text,
     order: Sequence[Column] = (),
     miss: str = "null",
+    unique: bool = False,
 ) -> DataFrame:
     """Left join `df` to `dim` on a normalised key and add the `take` columns.
 
-    `dim` is reduced to one row per key first, so the row count never changes.  With
-    ``miss="raw"`` the single taken column falls back to the value that was looked up.
+    `dim` is reduced to one row per key first, so the row count never changes; `unique`
+    skips that where the key is known to be one.  With ``miss="raw"`` the single taken
+    column falls back to the value that was looked up.
     """
-    same = (lambda c: col(c)) if normalise is None else normalise
-    one = _one_per_key(dim, same(key), take, order)
+    same = col if normalise is None else normalise
+    if unique:
+        one = dim.select(same(key).alias(_KEY), *[col(s).alias(n) for n, s in take.items()])
+    else:
+        one = _one_per_key(dim, same(key), take, order)
     joined = df.join(one.withColumnRenamed(_KEY, "__dim_key"), same(on) == F.col("__dim_key"), "left")
     joined = joined.drop("__dim_key")
     if miss == "raw":
