@@ -39,7 +39,7 @@ def unpivot_pairs(
     dialect: str = "application",
 ) -> DataFrame:
     """One row per surviving pair: carried columns, ``document_name``, ``file_name``,
-    ``documents_order`` and ``logic_doc_id``.
+    ``documents_order``, ``logic_doc_id`` and the id cell as text, ``id_text``.
 
     A pair survives with a file name and, if `need_id`, a whole-number id.  The order counts
     surviving pairs of the row in `pairs` order; with `fixed_order` it is the position in
@@ -52,7 +52,7 @@ def unpivot_pairs(
         if pair.file_col in present and (pair.id_col in present or not need_id)
     ]
     if not usable:
-        empty = "document_name string, file_name string, documents_order int, logic_doc_id bigint"
+        empty = "document_name string, file_name string, documents_order int, logic_doc_id bigint, id_text string"
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*carry).schema.fields]
         return df.sparkSession.createDataFrame([], ", ".join([*fields, empty]))
     # The cells of all pairs go into one array whose per-element work is a lambda, so the
@@ -74,6 +74,7 @@ def unpivot_pairs(
             x["position"].alias("position"),
             x["label"].alias("label"),
             clean(x["file"], dialect).alias("file"),
+            clean(x["id"], dialect).alias("text"),
             whole_number(clean(x["id"], dialect)).alias("id"),
         ),
     )
@@ -86,4 +87,5 @@ def unpivot_pairs(
         F.col("__x.file").alias("file_name"),
         order.cast("int").alias("documents_order"),
         F.col("__x.id").alias("logic_doc_id"),
+        F.col("__x.text").alias("id_text"),
     )

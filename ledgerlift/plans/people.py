@@ -99,7 +99,6 @@ def import_directors(ws: Workspace, feed: DataFrame, countries: DataFrame | None
         clean("name").alias("name"),
         clean("demail").alias("email"),
         int_text(clean("phoneno"), "null").alias("mobile_no"),
-        clean("conadd").alias("contact_address"),
         clean("countryname").alias("country"),
         clean("nationality1").alias("country_id"),
         int_text(clean("workpermit"), "null").alias("work_permit"),
@@ -127,7 +126,6 @@ def import_directors(ws: Workspace, feed: DataFrame, countries: DataFrame | None
         "work_permit_filename",
         cast_or("cpana", "bigint", pattern=fixed.DIGITS).alias("cpana"),
         "cpana_filename",
-        "contact_address",
     )
     policy = {"name": OVERWRITE, "first_name": OVERWRITE}
     upsert(ws, "managing_directors", t.DIRECTORS, stamped(source, as_of), policy=policy)

@@ -91,7 +91,7 @@ SHAREHOLDERS = (
 DIRECTORS = (
     "id string, application_id string, application_sector_detail_id string, name string, first_name string, "
     "middle_name string, last_name string, email string, mobile_no string, country string, nationality string, "
-    "work_permit bigint, work_permit_filename string, cpana bigint, cpana_filename string, contact_address string, " + AUDIT
+    "work_permit bigint, work_permit_filename string, cpana bigint, cpana_filename string, " + AUDIT
 )
 INSTALLATIONS = (
     "id string, application_id string, applicant_name string, experience_type string, approved_class_id string, "
