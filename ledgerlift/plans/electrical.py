@@ -180,7 +180,7 @@ def import_installations(
         },
     )
     filled = certificate_ids(hub, certificates)
-    ws.tables["applications"] = filled.apply()
+    ws.replace("applications", filled.apply())
 
     rows = resolved.withColumn("__aei", stable_key("application_id", F.lit("aei")))
     upsert(

@@ -164,7 +164,7 @@ def import_water(
     hub = backfill(
         hub, known, "application_number", "application_id", {"created_by": "user_id"}, where=F.col("is_migrated")
     ).apply()
-    ws.tables["applications"] = hub
+    hub = ws.replace("applications", hub)
     certificates = upsert(
         ws,
         "certificates",
@@ -173,7 +173,7 @@ def import_water(
         keys=["application_number"],
         policy={"sector": constant("WATER_SUPPLY"), "certificate_type": constant("License")},
     )
-    ws.tables["applications"] = certificate_ids(hub, certificates).apply()
+    ws.replace("applications", certificate_ids(hub, certificates).apply())
 
     ids = hub.select("application_number", F.col("id").alias("application_id"))
     rows = first.join(ids, "application_number").withColumn("application_sector_detail_id", _key("ASD"))

@@ -102,6 +102,11 @@ class Workspace:
         self.tables[name] = self.merged[name].drop(ACTION)
         return self.tables[name]
 
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        """Make `df` (a repaired table, without actions) the current one."""
+        self.tables[name] = self.store.replace(name, df) if self.store else df
+        return self.tables[name]
+
     def summary(self, names: Iterable[str] | None = None) -> DataFrame:
         """Rows inserted, updated and kept per merged table."""
         parts = None
