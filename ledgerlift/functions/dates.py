@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Sequence
 
@@ -22,16 +23,34 @@ _FIELD = {
 }
 
 
-def _layout(fmt: str) -> tuple[str, str]:
-    """Pattern of a layout, and the replacement that puts its fields in ISO order."""
+def _pattern(layout: str) -> tuple[str, list[str]]:
+    """Pattern of a layout and its year, month and day fields in order of appearance."""
     pattern, order = "", []
-    for literal, field in re.findall(r"([^%]*)(?:%([A-Za-z]))?", fmt):
+    for literal, field in re.findall(r"([^%]*)(?:%([A-Za-z]))?", layout):
         pattern += re.escape(literal).replace(r"\ ", r"\s+")
         if field:
             pattern += _FIELD[field]
             if field in "Ymd":
                 order.append(field)
-    return f"^{pattern}$", "-".join(f"${order.index(f) + 1}" for f in "Ymd")
+    return pattern, order
+
+
+@functools.cache
+def _layouts(formats: tuple[str, ...]) -> list[tuple[str, str]]:
+    """(pattern, replacement that yields ISO order) per date part, in order of first use.
+
+    Layouts that differ only in what follows the date share one pattern.
+    """
+    endings: dict[str, list[str]] = {}
+    for fmt in formats:
+        day, ending = re.fullmatch(r"(%[Ymd][^%]%[Ymd][^%]%[Ymd])(.*)", fmt).groups()
+        endings.setdefault(day, []).append(_pattern(ending)[0])
+    out = []
+    for day, tails in endings.items():
+        pattern, order = _pattern(day)
+        iso = "-".join(f"${order.index(field) + 1}" for field in "Ymd")
+        out.append((f"^{pattern}(?:{'|'.join(tails)})$", iso))
+    return out
 
 
 def serial_date(c: ColumnOrName, above: float = 1000) -> Column:
@@ -55,8 +74,7 @@ def parse_date(
     """
     text = clean(c, dialect)
     tries = []
-    for fmt in formats:
-        pattern, iso = _layout(fmt)
+    for pattern, iso in _layouts(tuple(formats)):
         tries.append(F.when(text.rlike(pattern), F.regexp_replace(text, pattern, iso).try_cast("date")))
     if serial:
         tries.append(serial_date(text, serial_above))

@@ -22,7 +22,7 @@ def strip(c: ColumnOrName) -> Column:
 def clean(c: ColumnOrName, dialect: str = "general") -> Column:
     """Trimmed text, or NULL when it is one of the dialect's null markers."""
     text = strip(c)
-    return F.when(~F.lower(text).isin(*fixed.NULL_MARKERS[dialect]), text)
+    return F.when(~text.rlike(f"(?i)^({'|'.join(fixed.NULL_MARKERS[dialect])})$"), text)
 
 
 def blank_to_null(c: ColumnOrName) -> Column:

@@ -114,7 +114,8 @@ def backfill_tables(
     for name, (fk, pk) in spec.items():
         if name not in tables or fk not in tables[name].columns:
             continue
-        wanted = {c: s for c, s in set_cols.items() if c in tables[name].columns}
+        have = set(tables[name].columns)
+        wanted = {c: s for c, s in set_cols.items() if c in have}
         if wanted:
             jobs[name] = backfill(tables[name], parent, fk, pk, wanted, **options)
     return jobs

@@ -61,8 +61,9 @@ def lookup(
 
 def replace_ids(df: DataFrame, columns: Sequence[str], dims: Mapping[str, DataFrame], normalise) -> DataFrame:
     """Replace ids by names in place, one (id, name) table per column; unknown ids stay."""
+    have = set(df.columns)
     for name in columns:
-        if name not in dims or name not in df.columns:
+        if name not in dims or name not in have:
             continue
         looked_up = lookup(df, dims[name], name, "id", {"__name": "name"}, normalise)
         df = looked_up.withColumn(name, F.coalesce("__name", name)).drop("__name")

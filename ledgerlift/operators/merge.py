@@ -25,14 +25,19 @@ Rule = Callable[[Column, Column], Column]
 
 @dataclass(frozen=True)
 class Policy:
-    """How a column of a matched row is formed from its (old, new) values."""
+    """How a column of a matched row is formed from its (old, new) values.
+
+    A `neutral` rule yields the one value there is when the other is NULL, so it also serves
+    rows that only one side has.
+    """
 
     name: str
     on_match: Rule
+    neutral: bool = False
 
 
-INCOMING = Policy("incoming first", lambda old, new: F.coalesce(new, old))
-EXISTING = Policy("existing first", lambda old, new: F.coalesce(old, new))
+INCOMING = Policy("incoming first", lambda old, new: F.coalesce(new, old), neutral=True)
+EXISTING = Policy("existing first", lambda old, new: F.coalesce(old, new), neutral=True)
 EXISTING_TEXT = Policy("existing first, blank counts as missing", lambda old, new: F.coalesce(blank_to_null(old), new))
 OVERWRITE = Policy("overwrite", lambda old, new: new)
 KEEP = Policy("keep", lambda old, new: old)
@@ -94,55 +99,59 @@ def merge_into(
         raise ValueError(f"unknown mode: {mode}")
     if not unique_source and match_on is None:
         check_unique(source, keys)
-    policy = dict(policy or {})
-    match_on = dict(match_on or {})
-    columns = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    types = {f.name: f.dataType for f in source.schema.fields} | {f.name: f.dataType for f in target.schema.fields}
-
-    def side(df: DataFrame, mark: str) -> DataFrame:
-        probe = [match_on[k](F.col(k)) if k in match_on else F.col(k) for k in keys]
-        values = [(F.col(c).cast(types[c]) if c in df.columns else F.lit(None).cast(types[c])) for c in columns]
-        return df.select(
-            *[p.alias(f"__{mark}k{i}") for i, p in enumerate(probe)],
-            F.struct(*[v.alias(c) for v, c in zip(values, columns)]).alias(f"__{mark}"),
-        )
-
-    old, new = side(target, "t"), side(source, "s")
+    policy, match_on = dict(policy or {}), dict(match_on or {})
+    old_types = {f.name: f.dataType for f in target.schema.fields}
+    new_types = {f.name: f.dataType for f in source.schema.fields}
+    types = new_types | old_types
+    columns = list(old_types) + [c for c in new_types if c not in old_types]
+    probes = {mark: [f"__{mark}k{i}" for i in range(len(keys))] for mark in "ts"}
+
+    def side(df: DataFrame, have: Mapping[str, Any], mark: str) -> DataFrame:
+        """Probe columns, a presence flag, and the side's own columns under a prefix."""
+        probe = [match_on[k](F.col(k)).alias(n) if k in match_on else F.col(k).alias(n) for k, n in zip(keys, probes[mark])]
+        values = [c if have[c] == types[c] else F.col(c).cast(types[c]).alias(c) for c in have]
+        names = [*probes[mark], f"__{mark}", *[f"__{mark}_{c}" for c in have]]
+        return df.select(*probe, F.lit(True).alias(f"__{mark}"), *values).toDF(*names)
+
+    old, new = side(target, old_types, "t"), side(source, new_types, "s")
     condition = F.lit(True)
-    for i, key in enumerate(keys):
-        left, right = F.col(f"__tk{i}"), F.col(f"__sk{i}")
-        condition = condition & (left.eqNullSafe(right) if key in match_on else left == right)
+    for key, a, b in zip(keys, probes["t"], probes["s"]):
+        equal = F.col(a).eqNullSafe(F.col(b)) if key in match_on else F.col(a) == F.col(b)
+        condition = equal if key == keys[0] else condition & equal
 
-    matched_action = "keep" if mode == "insert" else "update"
+    inserted, kept = F.col("__t").isNull(), F.col("__s").isNull()
 
     def combined(c: str) -> Column:
-        before, after = F.col(f"__t.{c}"), F.col(f"__s.{c}")
-        rule = policy.get(c, default)
-        if mode == "insert" or (c in keys and c not in policy) or c not in source.columns and rule is default:
-            on_match = before
+        if c not in new_types:
+            before = F.col(f"__t_{c}")
+            if c not in policy:
+                return before.alias(c)
+            return F.when(F.col("__t") & F.col("__s"), policy[c].on_match(before, F.lit(None))).otherwise(before).cast(types[c]).alias(c)
+        if c not in old_types:
+            before, after = F.lit(None).cast(types[c]), F.col(f"__s_{c}")
         else:
-            on_match = rule.on_match(before, after).cast(types[c])
-        return (
-            F.when(F.col("__t").isNull(), after).when(F.col("__s").isNull(), before).otherwise(on_match).alias(c)
-        )
-
-    action = (
-        F.when(F.col("__t").isNull(), F.lit("insert"))
-        .when(F.col("__s").isNull(), F.lit("keep"))
-        .otherwise(F.lit(matched_action))
-        .alias(ACTION)
-    )
-    in_place = plan == "in_place" or (plan == "auto" and fits_broadcast(source))
+            before, after = F.col(f"__t_{c}"), F.col(f"__s_{c}")
+        rule = KEEP if mode == "insert" or (c in keys and c not in policy) else policy.get(c, default)
+        if rule.neutral:
+            return rule.on_match(before, after).alias(c)
+        if rule is KEEP:
+            return F.when(inserted, after).otherwise(before).alias(c)
+        on_match = rule.on_match(before, after).cast(types[c])
+        return F.when(inserted, after).when(kept, before).otherwise(on_match).alias(c)
+
+    matched = "keep" if mode == "insert" else "update"
+    action = F.when(inserted, F.lit("insert")).when(kept, F.lit("keep")).otherwise(F.lit(matched)).alias(ACTION)
+    output = [*[combined(c) for c in columns], action]
     if mode == "update":
-        return old.join(new, condition, "left").select(*[combined(c) for c in columns], action)
-    if not in_place:
-        return old.join(new, condition, "full_outer").select(*[combined(c) for c in columns], action)
-
-    here = old.join(new, condition, "left").select(*[combined(c) for c in columns], action)
-    probes = old.select(*[f"__tk{i}" for i in range(len(keys))])
-    matched = probes.join(new.select(*[f"__sk{i}" for i in range(len(keys))]), condition, "left_semi").distinct()
-    inserts = new.join(matched, condition, "left_anti")
-    return here.unionByName(inserts.select(*[F.col(f"__s.{c}").alias(c) for c in columns], F.lit("insert").alias(ACTION)))
+        return old.join(new, condition, "left").select(*output)
+    if plan == "outer" or (plan == "auto" and not fits_broadcast(source)):
+        return old.join(new, condition, "full_outer").select(*output)
+
+    here = old.join(new, condition, "left").select(*output)
+    known = old.select(*probes["t"]).join(new.select(*probes["s"]), condition, "left_semi").distinct()
+    fresh = new.join(known, condition, "left_anti")
+    values = [F.col(f"__s_{c}").alias(c) if c in new_types else F.lit(None).cast(types[c]).alias(c) for c in columns]
+    return here.unionByName(fresh.select(*values, F.lit("insert").alias(ACTION)))
 
 
 def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], **options: Any) -> DataFrame:

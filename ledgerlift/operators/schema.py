@@ -44,9 +44,9 @@ def align_schema(
     """
     defaults = dict(defaults or {})
     changes = schema_changes(df.schema, want, drop)
-    columns = []
+    columns, have = [], df.columns
     for field in want.fields:
-        if field.name not in df.columns:
+        if field.name not in have:
             value = defaults.get(field.name, F.lit(None)).cast(field.dataType)
         elif df.schema[field.name].dataType == field.dataType:
             value = F.col(field.name)
@@ -54,5 +54,5 @@ def align_schema(
             value = F.col(field.name).try_cast(field.dataType)
         columns.append(value.alias(field.name))
     known = {f.name for f in want.fields} | set(drop)
-    columns += [F.col(c) for c in df.columns if c not in known]
+    columns += [F.col(c) for c in have if c not in known]
     return df.select(*columns), changes

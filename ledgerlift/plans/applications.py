@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,10 +26,10 @@ from ledgerlift.operators.profile import fill_rate, max_or
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.operators.reshape import Pair, detect_pairs, unpivot_pairs
 from ledgerlift.plans import tables as t
-from ledgerlift.plans.common import prepared, provision_users, stamped, upsert, moment
+from ledgerlift.plans.common import moment, prepared, provision_users, stamped, upsert
 from ledgerlift.sources.dimensions import id_key
 from ledgerlift.sources.grid import ROW, apply_aliases
-from ledgerlift.sources.store import Workspace
+from ledgerlift.sources.store import Deferred, Workspace
 
 # --- fixed values: source header -> staged column; the first one present wins ---------------
 ALIASES = {
@@ -175,17 +176,16 @@ def import_applications(
 
     `locations` maps region/district/ward to (id, name) tables; `zones` has region, zone_id.
     """
-    staged = ws.hold("applications", stage(feed, locations))
-    numbered = staged.filter(F.col("application_number").isNotNull())
-    first = ws.hold("applications_first", keep_first(numbered, ["application_number"], [F.col(ROW).asc_nulls_last()]))
-
-    provision_users(ws, staged.select("username"), "username", default_role, as_of)
+    staged = ws.hold("applications", lambda: stage(feed, locations))
+    first = ws.hold("applications_first", lambda: first_per_number(staged()))
+    provision_users(ws, staged, "username", default_role, as_of)
     categories = provision_categories(ws, staged, sector, as_of)
+    sectors = ws.table("sectors", t.SECTORS)
     hub = upsert(
         ws,
         "applications",
         t.APPLICATIONS,
-        hub_rows(first, categories, ws.table("sectors", t.SECTORS), zones, as_of),
+        lambda: hub_rows(first(), categories(), sectors(), zones, as_of),
         keys=["application_number"],
         policy={"created_by": KEEP, "is_migrated": constant(True), "category_license_type": KEEP},
     )
@@ -193,42 +193,55 @@ def import_applications(
         ws,
         "certificates",
         t.CERTIFICATES,
-        certificate_rows(first, hub, as_of),
+        lambda: certificate_rows(first(), hub(), as_of),
         keys=["application_number"],
         policy={"application_id": OVERWRITE, "license_type": OVERWRITE, "category_license_type": OVERWRITE},
     )
-    approved = hub.filter(F.col("approval_no").isNotNull()).select(F.col("id").alias("application_id"), "application_number")
-    rows = ws.hold("applications_resolved", first.join(approved, "application_number"))
-    details = upsert(ws, "application_sector_details", t.SECTOR_DETAILS, detail_rows(rows, ws, as_of))
-    upsert(ws, "documents", t.DOCUMENTS, document_rows(rows, as_of), policy={c: KEEP for c in _document_facts()})
-    for name, schema, fk, source in (
-        ("contact_persons", t.CONTACT_PERSONS, "app_sector_detail_id", contact_rows(rows, as_of)),
-        ("fire", t.FIRE, "application_sector_detail_id", fire_rows(rows, as_of)),
-        ("insurance_cover_details", t.INSURANCE, "application_sector_detail_id", cover_rows(rows, as_of)),
-    ):
-        upsert(ws, name, schema, source, keys=[fk], mode="insert")
-    assert details is not None
+    rows = ws.hold("applications_resolved", lambda: approved_rows(first(), hub()))
+    statuses = ws.table("application_legal_status", t.LEGAL_STATUS)
+    upsert(ws, "application_sector_details", t.SECTOR_DETAILS, lambda: detail_rows(rows(), statuses(), as_of))
+    facts = ("document_name", "file_name", "documents_order", "logic_doc_id", "application_sector_detail_id")
+    upsert(ws, "documents", t.DOCUMENTS, lambda: document_rows(rows(), as_of), policy={c: KEEP for c in facts})
+    # An application that already has such a child keeps it.
+    upsert(ws, "contact_persons", t.CONTACT_PERSONS, lambda: contact_rows(rows(), as_of), ["app_sector_detail_id"], mode="insert")
+    for name, schema, build in (("fire", t.FIRE, fire_rows), ("insurance_cover_details", t.INSURANCE, cover_rows)):
+        source = functools.partial(lambda make: make(rows(), as_of), build)
+        upsert(ws, name, schema, source, ["application_sector_detail_id"], mode="insert")
     return ws
 
 
-def _document_facts() -> tuple[str, ...]:
-    return ("document_name", "file_name", "documents_order", "logic_doc_id", "application_sector_detail_id")
+def first_per_number(staged: DataFrame) -> DataFrame:
+    numbered = staged.filter(F.col("application_number").isNotNull())
+    return keep_first(numbered, ["application_number"], [F.col(ROW).asc_nulls_last()])
+
+
+def approved_rows(first: DataFrame, hub: DataFrame) -> DataFrame:
+    """Staged rows with the id their application has in the hub, whether new or known before."""
+    approved = hub.filter(F.col("approval_no").isNotNull()).select(F.col("id").alias("application_id"), "application_number")
+    return first.join(approved, "application_number")
 
 
-def provision_categories(ws: Workspace, staged: DataFrame, sector: str, as_of: Column | None) -> DataFrame:
+def provision_categories(ws: Workspace, staged: Deferred, sector: str, as_of: Column | None) -> Deferred:
     """Fixed petroleum categories and all staged licence types exist as categories afterwards."""
     sectors, categories = ws.table("sectors", t.SECTORS), ws.table("categories", t.CATEGORIES)
+    defaults = {"category_type": F.lit("License"), "is_approved": F.lit(True), "created_at": moment(as_of), "updated_at": moment(as_of)}
+
+    def build() -> DataFrame:
+        wanted = wanted_categories(staged(), sectors(), sector)
+        return ensure_members(categories(), wanted, defaults, "category", extra=("sector_id",))
+
+    return ws.put("categories", build)
+
+
+def wanted_categories(staged: DataFrame, sectors: DataFrame, sector: str) -> DataFrame:
     named = staged.select(F.col("license_type").alias("name"), F.lit(sector).alias("sector_name"))
     wanted = named.filter(F.col("name").isNotNull()).distinct()
-    spark = staged.sparkSession
     # The fixed list belongs to the sector of this upload, petroleum when nothing was staged.
-    listed = spark.createDataFrame([(c,) for c in fixed.PETROLEUM_CATEGORIES], "name string").crossJoin(
+    listed = staged.sparkSession.createDataFrame([(c,) for c in fixed.PETROLEUM_CATEGORIES], "name string").crossJoin(
         F.broadcast(max_or(wanted, "sector_name", "PETROLEUM", "sector_name"))
     )
     both = lookup(listed.unionByName(wanted), sectors, "sector_name", "name", {"sector_id": "id"})
-    both = both.filter(F.col("sector_id").isNotNull())
-    defaults = {"category_type": F.lit("License"), "is_approved": F.lit(True), "created_at": moment(as_of), "updated_at": moment(as_of)}
-    return ws.put("categories", ensure_members(categories, both, defaults, "category", extra=("sector_id",)))
+    return both.filter(F.col("sector_id").isNotNull())
 
 
 def hub_rows(first: DataFrame, categories: DataFrame, sectors: DataFrame, zones: DataFrame | None, as_of: Column | None) -> DataFrame:
@@ -278,8 +291,7 @@ def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Column | None) ->
     )
 
 
-def detail_rows(rows: DataFrame, ws: Workspace, as_of: Column | None) -> DataFrame:
-    statuses = ws.table("application_legal_status", t.LEGAL_STATUS)
+def detail_rows(rows: DataFrame, statuses: DataFrame, as_of: Column | None) -> DataFrame:
     rows = lookup(rows, statuses, "application_legal_status_raw", "name", {"applicant_legal_status_id": "id"})
     return stamped(
         rows.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from ledgerlift.operators.merge import INCOMING, KEEP, OVERWRITE, Policy, merge_
 from ledgerlift.operators.provision import assign_role, ensure_users, role_named
 from ledgerlift.plans import tables as t
 from ledgerlift.sources.grid import ROW, normalise_headers, number_rows
-from ledgerlift.sources.store import Workspace
+from ledgerlift.sources.store import Deferred, Workspace
 
 AUDIT_POLICY: dict[str, Policy] = {"created_at": KEEP, "updated_at": OVERWRITE}
 
@@ -29,32 +29,26 @@ def moment(as_of: Column | None) -> Column:
 
 
 def stamped(df: DataFrame, as_of: Column | None) -> DataFrame:
-    return df.withColumn("created_at", moment(as_of)).withColumn("updated_at", moment(as_of))
+    return df.withColumns({"created_at": moment(as_of), "updated_at": moment(as_of)})
 
 
 def upsert(
     ws: Workspace,
     name: str,
     schema: str,
-    source: DataFrame,
+    source: Callable[[], DataFrame],
     keys: Sequence[str] = ("id",),
     policy: Mapping[str, Policy] | None = None,
     default: Policy = INCOMING,
     mode: str = "upsert",
     **options,
-) -> DataFrame:
+) -> Deferred:
     """Merge de-duplicated rows into a table of the workspace."""
-    merged = merge_into(
-        ws.table(name, schema),
-        source,
-        list(keys),
-        {**AUDIT_POLICY, **({} if "id" in keys else {"id": KEEP}), **(policy or {})},
-        default,
-        mode,
-        unique_source=True,
-        **options,
-    )
-    return ws.put(name, merged)
+    rules = {**AUDIT_POLICY, **({} if "id" in keys else {"id": KEEP}), **(policy or {})}
+    # Without a store the source is a lazy plan: read it once rather than once per branch.
+    options = {"unique_source": True, "plan": "auto" if ws.store else "outer"} | options
+    target = ws.table(name, schema)
+    return ws.put(name, lambda: merge_into(target(), source(), list(keys), rules, default, mode, **options))
 
 
 def with_application(stage: DataFrame, applications: DataFrame, number: str = "application_number") -> DataFrame:
@@ -75,7 +69,7 @@ def with_installation(stage: DataFrame, installations: DataFrame, extra: Mapping
     return lookup(stage, installations, "application_id", "application_id", take, normalise=None)
 
 
-def provision_users(ws: Workspace, stage: DataFrame, username: str, default_role: str | None, as_of: Column | None) -> None:
+def provision_users(ws: Workspace, stage: Callable[[], DataFrame], username: str, default_role: str | None, as_of: Column | None) -> None:
     """Create staged users that do not exist and give all staged users the default role."""
     defaults = {
         "status": F.lit("ACTIVE"),
@@ -88,10 +82,19 @@ def provision_users(ws: Workspace, stage: DataFrame, username: str, default_role
         "created_at": moment(as_of),
         "updated_at": moment(as_of),
     }
-    users = ws.put("users", ensure_users(ws.table("users", t.USERS), stage.withColumnRenamed(username, "username"), defaults=defaults))
+    known = ws.table("users", t.USERS)
+
+    def staged() -> DataFrame:
+        return stage().select(F.col(username).alias("username"))
+
+    users = ws.put("users", lambda: ensure_users(known(), staged(), defaults=defaults))
     if default_role is None:
         return
-    staged = stage.select(F.lower(F.trim(F.col(username))).alias("__staged")).filter("__staged <> ''").distinct()
-    members = users.join(staged, F.lower(F.trim("username")) == F.col("__staged"), "left_semi")
-    roles = ws.table("roles", t.ROLES)
-    ws.put("user_roles", assign_role(ws.table("user_roles", t.USER_ROLES), members, role_named(roles, default_role)))
+    roles, held = ws.table("roles", t.ROLES), ws.table("user_roles", t.USER_ROLES)
+
+    def assigned() -> DataFrame:
+        names = staged().select(F.lower(F.trim("username")).alias("__staged")).filter("__staged <> ''").distinct()
+        members = users().join(names, F.lower(F.trim("username")) == F.col("__staged"), "left_semi")
+        return assign_role(held(), members, role_named(roles(), default_role))
+
+    ws.put("user_roles", assigned)

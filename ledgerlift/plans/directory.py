@@ -33,12 +33,17 @@ USER_COLUMNS = (
 
 def import_categories(ws: Workspace, feed: DataFrame, as_of: Column | None = None) -> Workspace:
     feed = require(prepared(feed), ["category_name", "sector_name"])
-    rows = feed.select(ROW, clean("category_name").alias("name"), clean("sector_name").alias("sector_name"))
-    rows = lookup(rows.filter(F.col("name").isNotNull()), ws.table("sectors", t.SECTORS), "sector_name", "name", {"sector_id": "id"})
-    rows = ws.hold("categories", rows)
-    placed = keep_first(rows.filter(F.col("sector_id").isNotNull()), [key_text("name")], [F.col(ROW).asc_nulls_last()])
+    named = feed.select(ROW, clean("category_name").alias("name"), clean("sector_name").alias("sector_name"))
+    sectors, known = ws.table("sectors", t.SECTORS), ws.table("categories", t.CATEGORIES)
+    present = named.filter(F.col("name").isNotNull())
+    rows = ws.hold("categories", lambda: lookup(present, sectors(), "sector_name", "name", {"sector_id": "id"}))
     defaults = {"is_approved": F.lit(True), "category_type": F.lit("License"), "created_at": moment(as_of), "updated_at": moment(as_of)}
-    ws.put("categories", ensure_members(ws.table("categories", t.CATEGORIES), placed, defaults, "category", extra=("sector_id",)))
+
+    def build() -> DataFrame:
+        placed = keep_first(rows().filter(F.col("sector_id").isNotNull()), [key_text("name")], [F.col(ROW).asc_nulls_last()])
+        return ensure_members(known(), placed, defaults, "category", extra=("sector_id",))
+
+    ws.put("categories", build)
     return ws
 
 
@@ -58,16 +63,31 @@ def import_users(ws: Workspace, feed: DataFrame, skip_existing: bool = False, ke
     Passwords are dropped unless the caller opts in.
     """
     feed = require(prepared(feed), USER_COLUMNS)
-    rows = feed.select(ROW, *[clean(c, "user").alias(c) for c in USER_COLUMNS]).filter(F.col("username").isNotNull())
-    rows = ws.hold("users", rows if keep_password else rows.drop("password"))
-
-    roles = ws.table("roles", t.ROLES)
-    named = rows.select(F.upper("role").alias("name")).filter(F.col("name").isNotNull())
+    kept = [c for c in USER_COLUMNS if keep_password or c != "password"]
+    cleaned = feed.select(ROW, *[clean(c, "user").alias(c) for c in kept]).filter(F.col("username").isNotNull())
+    rows = ws.hold("users", lambda: cleaned)
+    known, held = ws.table("roles", t.ROLES), ws.table("user_roles", t.USER_ROLES)
     defaults = {"deleted": F.lit(False), "active": F.lit(True), "created_at": moment(as_of), "updated_at": moment(as_of)}
-    roles = ws.put("roles", ensure_members(roles, named, defaults, "role"))
+    roles = ws.put("roles", lambda: ensure_members(known(), rows().select(F.upper("role").alias("name")), defaults, "role"))
+    policy = {c: KEEP for c in ("failed_attempts", "is_first_login", "deleted")}
+    if not keep_password:
+        policy["password_hash"] = KEEP
+    users = upsert(
+        ws,
+        "users",
+        t.USERS,
+        lambda: stamped(user_rows(rows(), keep_password), as_of),
+        keys=["username"],
+        policy=policy,
+        default=OVERWRITE,
+        mode="insert" if skip_existing else "upsert",
+    )
+    ws.put("user_roles", lambda: role_assignments(held(), rows(), users(), roles()))
+    return ws
+
 
-    last = keep_last_upload(rows, ["username"], ROW)
-    source = last.select(
+def user_rows(rows: DataFrame, keep_password: bool) -> DataFrame:
+    return keep_last_upload(rows, ["username"], ROW).select(
         stable_key(F.lit("user"), key_text("username")).alias("id"),
         joined("firstname", "lastname").alias("full_name"),
         "username",
@@ -82,21 +102,6 @@ def import_users(ws: Workspace, feed: DataFrame, skip_existing: bool = False, ke
         F.lit(False).alias("is_first_login"),
         F.lit(False).alias("deleted"),
     )
-    policy = {c: KEEP for c in ("failed_attempts", "is_first_login", "deleted")}
-    if not keep_password:
-        policy["password_hash"] = KEEP
-    users = upsert(
-        ws,
-        "users",
-        t.USERS,
-        stamped(source, as_of),
-        keys=["username"],
-        policy=policy,
-        default=OVERWRITE,
-        mode="insert" if skip_existing else "upsert",
-    )
-    ws.put("user_roles", role_assignments(ws.table("user_roles", t.USER_ROLES), rows, users, roles))
-    return ws
 
 
 def role_assignments(user_roles: DataFrame, rows: DataFrame, users: DataFrame, roles: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import functools
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +22,11 @@ from ledgerlift.functions import (
 )
 from ledgerlift.functions import fixed_values as fixed
 from ledgerlift.operators.backfill import ChangeSet, backfill
-from ledgerlift.operators.dedupe import keep_first
 from ledgerlift.operators.joins import either_key, lookup, replace_ids
 from ledgerlift.operators.merge import EXISTING, KEEP, OVERWRITE, constant
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.plans import tables as t
+from ledgerlift.plans.applications import first_per_number
 from ledgerlift.plans.common import moment, prepared, provision_users, stamped, upsert
 from ledgerlift.sources.dimensions import id_key
 from ledgerlift.sources.grid import ROW, require
@@ -111,17 +112,24 @@ def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None, zon
     return lookup(rows, zones, "region", "region", {"zone_id": "zone_id"})
 
 
-def ensure_classes(ws: Workspace, as_of: Column | None) -> DataFrame:
+def ensure_classes(ws: Workspace, as_of: Column | None) -> Callable[[], DataFrame]:
     """The eight class categories exist afterwards; returns alias -> category_id."""
     categories = ws.table("categories", t.CATEGORIES)
-    spark = categories.sparkSession
-    wanted = spark.createDataFrame([(c,) for c in fixed.CLASS_CODES], "code string")
-    known = categories.filter(F.col("deleted_at").isNull()).select(F.col("code").alias("__code")).distinct()
-    absent = wanted.join(known, F.col("code") == F.col("__code"), "left_anti")
-    names = absent.select(F.concat(F.lit("CLASS "), "code").alias("name"), "code")
     defaults = {"category_type": F.lit("License"), "is_approved": F.lit(True), "created_at": moment(as_of), "updated_at": moment(as_of)}
-    live = ws.put("categories", ensure_members(categories, names, defaults, "class", extra=("code",)))
-    coded = live.filter(F.col("code").isin(*fixed.CLASS_CODES) & F.col("deleted_at").isNull())
+
+    def build() -> DataFrame:
+        wanted = categories().sparkSession.createDataFrame([(c,) for c in fixed.CLASS_CODES], "code string")
+        known = categories().filter(F.col("deleted_at").isNull()).select(F.col("code").alias("__code")).distinct()
+        absent = wanted.join(known, F.col("code") == F.col("__code"), "left_anti")
+        names = absent.select(F.concat(F.lit("CLASS "), "code").alias("name"), "code")
+        return ensure_members(categories(), names, defaults, "class", extra=("code",))
+
+    live = ws.put("categories", build)
+    return lambda: class_aliases(live())
+
+
+def class_aliases(categories: DataFrame) -> DataFrame:
+    coded = categories.filter(F.col("code").isin(*fixed.CLASS_CODES) & F.col("deleted_at").isNull())
     return either_key(coded, ["code", class_code("name")], {"category_id": "id"})
 
 
@@ -133,17 +141,16 @@ def import_installations(
     default_role: str | None = "DEFAULT ROLE",
     as_of: Column | None = None,
 ) -> Workspace:
-    staged = ws.hold("installations", stage(feed, locations, zones))
+    staged = ws.hold("installations", lambda: stage(feed, locations, zones))
     classes = ensure_classes(ws, as_of)
-    provision_users(ws, staged.select("username"), "username", default_role, as_of)
-    numbered = staged.filter(F.col("application_number").isNotNull())
-    first = ws.hold("installations_first", keep_first(numbered, ["application_number"], [F.col(ROW).asc_nulls_last()]))
+    provision_users(ws, staged, "username", default_role, as_of)
+    first = ws.hold("installations_first", lambda: first_per_number(staged()))
 
     hub = upsert(
         ws,
         "applications",
         t.APPLICATIONS,
-        hub_rows(first, classes, as_of),
+        lambda: hub_rows(first(), classes(), as_of),
         keys=["application_number"],
         policy={
             "status": constant("APPROVED"),
@@ -153,24 +160,13 @@ def import_installations(
         },
         default=EXISTING,
     )
-    resolved = ws.hold(
-        "installations_resolved",
-        first.join(
-            hub.select(
-                "application_number",
-                F.col("id").alias("application_id"),
-                F.col("license_type").alias("__license_type"),
-                F.col("category_license_type").alias("__category_license_type"),
-                F.col("created_by").alias("__created_by"),
-            ),
-            "application_number",
-        ),
-    )
+    rows = ws.hold("installations_resolved", lambda: resolved_rows(first(), hub()))
+    users = ws.table("users", t.USERS)
     certificates = upsert(
         ws,
         "certificates",
         t.CERTIFICATES,
-        certificate_rows(resolved, ws.table("users", t.USERS), as_of),
+        lambda: certificate_rows(rows(), users(), as_of),
         keys=["application_number"],
         policy={
             "license_type": OVERWRITE,
@@ -179,15 +175,12 @@ def import_installations(
             "owner_id": EXISTING,
         },
     )
-    filled = certificate_ids(hub, certificates)
-    ws.replace("applications", filled.apply())
-
-    rows = resolved.withColumn("__aei", stable_key("application_id", F.lit("aei")))
+    ws.replace("applications", lambda: certificate_ids(hub(), certificates()).apply())
     upsert(
         ws,
         "application_electrical_installation",
         t.INSTALLATIONS,
-        installation_rows(rows, classes, as_of),
+        lambda: installation_rows(rows(), classes(), as_of),
         policy={"is_migrated": constant(True)},
     )
     for name, schema, suffix, columns in (
@@ -196,14 +189,29 @@ def import_installations(
         ("attachments", t.ATTACHMENTS, "att", ("identification", "identification_name", "passport", "passport_name")),
     ):
         # One child per installation: an installation that already has one keeps it.
-        source = stamped(_child(rows, suffix, *columns), as_of)
+        source = functools.partial(lambda s, c: stamped(_child(rows(), s, *c), as_of), suffix, columns)
         upsert(ws, name, schema, source, keys=["application_electrical_installation_id"], mode="insert")
-    own = rows.filter(F.col("experience_type") == "SELF_EMPLOYED")
-    self_employed = stamped(_child(own, "se", F.lit("NONE").alias("voltage_level")), as_of)
-    upsert(ws, "self_employed", t.SELF_EMPLOYED, self_employed)
+    upsert(ws, "self_employed", t.SELF_EMPLOYED, lambda: stamped(self_employed_rows(rows()), as_of))
     return ws
 
 
+def resolved_rows(first: DataFrame, hub: DataFrame) -> DataFrame:
+    """Staged rows with what the hub knows about their application, and the installation key."""
+    known = hub.select(
+        "application_number",
+        F.col("id").alias("application_id"),
+        F.col("license_type").alias("__license_type"),
+        F.col("category_license_type").alias("__category_license_type"),
+        F.col("created_by").alias("__created_by"),
+    )
+    return first.join(known, "application_number").withColumn("__aei", stable_key("application_id", F.lit("aei")))
+
+
+def self_employed_rows(rows: DataFrame) -> DataFrame:
+    own = rows.filter(F.col("experience_type") == "SELF_EMPLOYED")
+    return _child(own, "se", F.lit("NONE").alias("voltage_level"))
+
+
 def hub_rows(first: DataFrame, classes: DataFrame, as_of: Column | None) -> DataFrame:
     rows = lookup(first, classes, class_code("licensecategoryclass"), "alias", {"__class": "category_id"}, normalise=None)
     raw_uuid = F.lower(cast_or("licensecategoryclass", "string", pattern=fixed.UUID_SHAPE))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,12 +111,17 @@ def _experience_stage(feed: DataFrame, required: list[str], optional: list[str])
     )
 
 
-def _with_parents(ws: Workspace, stage: DataFrame, need_installation: bool = False, extra: dict | None = None) -> DataFrame:
-    """Application required, installation best effort (or required)."""
-    rows = with_application(stage, ws.table("applications", t.APPLICATIONS)).filter(F.col("application_id").isNotNull())
+def _located(ws: Workspace, stage: DataFrame, extra: dict[str, str] | None = None) -> Callable[[], DataFrame]:
+    """Staged rows with application and installation, NULL where there is none."""
+    applications = ws.table("applications", t.APPLICATIONS)
     installations = ws.table("application_electrical_installation", t.INSTALLATIONS)
-    rows = with_installation(rows, installations, extra)
-    return rows.filter(F.col(_PARENT).isNotNull()) if need_installation else rows
+    return lambda: with_installation(with_application(stage, applications()), installations(), extra)
+
+
+def _with_parents(ws: Workspace, stage: DataFrame, extra: dict[str, str] | None = None) -> Callable[[], DataFrame]:
+    """Application required, installation best effort."""
+    located = _located(ws, stage, extra)
+    return lambda: located().filter(F.col("application_id").isNotNull())
 
 
 def _work_key() -> Column:
@@ -131,8 +138,17 @@ def import_supervisors(ws: Workspace, feed: DataFrame, as_of: Column | None = No
     """Employed experience and the supervisors named in it."""
     required = ["apprefno", "supervisordetail", "voltagelevel", "workperformed", "wfromdate", "wtodate"]
     stage = _experience_stage(feed, required, ["roleandresponsibility", "position"])
-    rows = ws.hold("supervisors", _with_parents(ws, stage).withColumn("__we", _work_key()))
-    experience = _by_row(rows, "__we").select(
+    parents = _with_parents(ws, stage)
+    rows = ws.hold("supervisors", lambda: parents().withColumn("__we", _work_key()))
+    kept = {"application_id": KEEP, _PARENT: KEEP}
+    upsert(ws, "work_experience", t.WORK_EXPERIENCE, lambda: stamped(experience_rows(rows()), as_of), policy=kept)
+    policy = kept | {"name": CLEAN_NAME, "mobile_no": EXISTING_TEXT, "email": EXISTING_TEXT}
+    upsert(ws, "supervisor_details", t.SUPERVISOR_DETAILS, lambda: stamped(named_supervisors(rows()), as_of), policy=policy)
+    return ws
+
+
+def experience_rows(rows: DataFrame) -> DataFrame:
+    return _by_row(rows, "__we").select(
         F.col("__we").alias("id"),
         "application_id",
         _PARENT,
@@ -145,10 +161,10 @@ def import_supervisors(ws: Workspace, feed: DataFrame, as_of: Column | None = No
         "position",
         "role",
     )
-    kept = {"application_id": KEEP, _PARENT: KEEP}
-    upsert(ws, "work_experience", t.WORK_EXPERIENCE, stamped(experience, as_of), policy=kept)
 
-    supervisors = _supervisor_rows(rows).select(
+
+def named_supervisors(rows: DataFrame) -> DataFrame:
+    return _supervisor_rows(rows).select(
         "id",
         "application_id",
         _PARENT,
@@ -158,9 +174,6 @@ def import_supervisors(ws: Workspace, feed: DataFrame, as_of: Column | None = No
         email_in("supervisor_detail").alias("email"),
         phone_in("supervisor_detail").alias("mobile_no"),
     )
-    policy = kept | {"name": CLEAN_NAME, "mobile_no": EXISTING_TEXT, "email": EXISTING_TEXT}
-    upsert(ws, "supervisor_details", t.SUPERVISOR_DETAILS, stamped(supervisors, as_of), policy=policy)
-    return ws
 
 
 def _supervisor_rows(rows: DataFrame) -> DataFrame:
@@ -173,16 +186,23 @@ def import_supervisor_details(ws: Workspace, feed: DataFrame, as_of: Column | No
     """Supervisors as given, and a project row for self-employed applicants."""
     optional = ["roleandresponsibility", "position", "voltagelevel", "workperformed", "wfromdate", "wtodate"]
     stage = _experience_stage(feed, ["apprefno", "supervisordetail"], optional)
-    rows = ws.hold("supervisor_details", _with_parents(ws, stage, extra={"__experience": "experience_type"}))
-    supervisors = _supervisor_rows(rows).select(
+    rows = ws.hold("supervisor_details", _with_parents(ws, stage, {"__experience": "experience_type"}))
+    kept = {"application_id": KEEP, _PARENT: KEEP}
+    upsert(ws, "supervisor_details", t.SUPERVISOR_DETAILS, lambda: stamped(given_supervisors(rows()), as_of), policy=kept)
+    upsert(ws, "self_employed", t.SELF_EMPLOYED, lambda: stamped(supervised_projects(rows()), as_of), policy=kept)
+    return ws
+
+
+def given_supervisors(rows: DataFrame) -> DataFrame:
+    return _supervisor_rows(rows).select(
         "id", "application_id", _PARENT, F.col("supervisor_detail").alias("name"), "position"
     )
-    kept = {"application_id": KEEP, _PARENT: KEEP}
-    upsert(ws, "supervisor_details", t.SUPERVISOR_DETAILS, stamped(supervisors, as_of), policy=kept)
 
+
+def supervised_projects(rows: DataFrame) -> DataFrame:
     key = stable_key(_owner(), F.lit("se"), _stamp_text("from_day"), _stamp_text("to_day"), "voltage", "work_performed")
     own = rows.filter(F.upper(F.trim("__experience")) == "SELF_EMPLOYED").withColumn("id", key)
-    projects = _by_row(own, "id").select(
+    return _by_row(own, "id").select(
         "id",
         "application_id",
         _PARENT,
@@ -192,8 +212,6 @@ def import_supervisor_details(ws: Workspace, feed: DataFrame, as_of: Column | No
         F.lit("NONE").alias("voltage_level"),
         "voltage",
     )
-    upsert(ws, "self_employed", t.SELF_EMPLOYED, stamped(projects, as_of), policy=kept)
-    return ws
 
 
 def import_self_employed(ws: Workspace, feed: DataFrame, as_of: Column | None = None) -> Workspace:
@@ -211,17 +229,24 @@ def import_self_employed(ws: Workspace, feed: DataFrame, as_of: Column | None =
         day("sfefromdate").alias("from_day"),
         day("sfetodate").alias("to_day"),
     )
-    located = with_application(stage, ws.table("applications", t.APPLICATIONS))
-    installations = ws.table("application_electrical_installation", t.INSTALLATIONS)
-    located = with_installation(located, installations, {"__experience": "experience_type"})
-    rows = ws.hold("self_employed", located)
+    rows = ws.hold("self_employed", _located(ws, stage, {"__experience": "experience_type"}))
+    first = ws.hold("self_employed_first", lambda: first_projects(rows()))
+    upsert(ws, "self_employed", t.SELF_EMPLOYED, lambda: stamped(project_rows(first()), as_of), policy={_PARENT: KEEP})
+    details = lambda: stamped(custom_detail_rows(first()), as_of)
+    upsert(ws, "custom_details", t.CUSTOM_DETAILS, details, keys=["self_employed_details_id"])
+    return ws
 
+
+def first_projects(rows: DataFrame) -> DataFrame:
     key = stable_key(
         _PARENT, F.lit("se_upload"), "sno", _stamp_text("from_day"), _stamp_text("to_day"), "voltage", "project_performed"
     )
     own = rows.filter(F.col(_PARENT).isNotNull() & (experience_key("__experience") == "SELF_EMPLOYED"))
-    first = ws.hold("self_employed_first", _by_row(own.withColumn("id", key), "id"))
-    projects = first.select(
+    return _by_row(own.withColumn("id", key), "id")
+
+
+def project_rows(first: DataFrame) -> DataFrame:
+    return first.select(
         "id",
         "application_id",
         _PARENT,
@@ -231,15 +256,15 @@ def import_self_employed(ws: Workspace, feed: DataFrame, as_of: Column | None =
         F.lit("NONE").alias("voltage_level"),
         "voltage",
     )
-    upsert(ws, "self_employed", t.SELF_EMPLOYED, stamped(projects, as_of), policy={_PARENT: KEEP})
-    custom = first.select(
+
+
+def custom_detail_rows(first: DataFrame) -> DataFrame:
+    return first.select(
         stable_key("id", F.lit("custom_details")).alias("id"),
         "application_id",
         F.col("id").alias("self_employed_details_id"),
         capped("custom_details").alias("name"),
     )
-    upsert(ws, "custom_details", t.CUSTOM_DETAILS, stamped(custom, as_of), keys=["self_employed_details_id"])
-    return ws
 
 
 def self_employed_funnel(ws: Workspace) -> DataFrame:
@@ -272,11 +297,23 @@ def import_verifications(ws: Workspace, feed: DataFrame, as_of: Column | None =
         clean("filename").alias("file_name"),
     )
     rows = ws.hold("verifications", _with_parents(ws, stage))
+    none = constant("NONE")
+    policy = {
+        "application_id": KEEP,
+        _PARENT: KEEP,
+        "education_regulatory_body": none,
+        "education_regulatory_body_category": none,
+    }
+    upsert(ws, "certificate_verifications", t.VERIFICATIONS, lambda: stamped(verification_rows(rows()), as_of), policy=policy)
+    return ws
+
+
+def verification_rows(rows: DataFrame) -> DataFrame:
     key = stable_key("application_id", F.lit("cv"), "institute", "award", "logic_doc_id", "file_name")
     # Rows that differ in their dates only share the id: the one with a parent and the
     # earliest row wins, so the id is unique.
     order = [F.col(_PARENT).isNull().asc(), F.col(ROW).asc_nulls_last()]
-    source = keep_first(rows.withColumn("id", key), ["id"], order).select(
+    return keep_first(rows.withColumn("id", key), ["id"], order).select(
         "id",
         "application_id",
         _PARENT,
@@ -287,12 +324,3 @@ def import_verifications(ws: Workspace, feed: DataFrame, as_of: Column | None =
         "logic_doc_id",
         "file_name",
     )
-    none = constant("NONE")
-    policy = {
-        "application_id": KEEP,
-        _PARENT: KEEP,
-        "education_regulatory_body": none,
-        "education_regulatory_body_category": none,
-    }
-    upsert(ws, "certificate_verifications", t.VERIFICATIONS, stamped(source, as_of), policy=policy)
-    return ws

@@ -55,7 +55,8 @@ def stage(feed: DataFrame, sector: str) -> DataFrame:
     feed = prepared(feed)
     required = list(REQUIRED) + (["licencetype"] if sector in ("ELECTRICITY", "PETROLEUM") else [])
     feed = require(feed, required, OPTIONAL)
-    chosen = {name: next((c for c in options if c in feed.columns), None) for name, options in ALTERNATIVES.items()}
+    have = set(feed.columns)
+    chosen = {name: next((c for c in options if c in have), None) for name, options in ALTERNATIVES.items()}
     if chosen["months"] is None:
         raise MissingColumns("missing required columns: ['licenseperiod_x' or 'licenseperiod']")
     named = [clean(source).alias(name) if source else F.lit(None).cast("string").alias(name) for name, source in chosen.items()]
@@ -94,7 +95,7 @@ def merge_categories(categories: DataFrame, source: DataFrame) -> DataFrame:
     rest = lacking(categories, heads, [("id", "id")])
     policy = {c: KEEP for c in ("id", "code", "sector_id", "sub_sector_type", "category_type", "is_approved", "created_at")}
     policy |= {"has_fee_range": EITHER, "apply_thereof": EITHER, "name": OVERWRITE, "updated_at": OVERWRITE}
-    merged = merge_into(heads, source, ["name"], policy, INCOMING, match_on={"name": key_text}, unique_source=True)
+    merged = merge_into(heads, source, ["name"], policy, INCOMING, match_on={"name": key_text}, unique_source=True, plan="outer")
     return merged.unionByName(rest.withColumn(ACTION, F.lit("keep")))
 
 
@@ -144,7 +145,7 @@ def merge_fees(fees: DataFrame, source: DataFrame) -> DataFrame:
     """Upsert on the slot; a matched slot takes all values of the feed but keeps id and status."""
     live, gone = fees.filter(F.col("deleted_at").isNull()), fees.filter(F.col("deleted_at").isNotNull())
     policy = {c: OVERWRITE for c in source.columns} | {c: KEEP for c in ("id", "status", "created_at")}
-    merged = merge_into(live, source, list(SLOT), policy, match_on={c: slot_form(c) for c in SLOT}, unique_source=True)
+    merged = merge_into(live, source, list(SLOT), policy, match_on={c: slot_form(c) for c in SLOT}, unique_source=True, plan="outer")
     return merged.unionByName(gone.withColumn(ACTION, F.lit("keep")))
 
 
@@ -161,13 +162,14 @@ def link_variants(categories: DataFrame, fees: DataFrame) -> ChangeSet:
 
 def import_categories_and_fees(ws: Workspace, feed: DataFrame, sector: str, sector_id: str | None = None, as_of: Column | None = None) -> Workspace:
     """`sector` is the registry's sector name, for example ``ELECTRICITY``."""
-    staged = ws.hold("license_categories", stage(feed, sector))
+    sectors = ws.table("sectors", t.SECTORS)
     if sector_id is None:
-        row = ws.table("sectors", t.SECTORS).filter(key_text("name") == sector.lower()).agg(F.min("id").alias("id")).first()
-        sector_id = row["id"]
-    source = category_rows(staged, sector, F.lit(sector_id).cast("string"), as_of)
-    categories = ws.put("categories", merge_categories(ws.table("categories", t.CATEGORIES), source))
-    fees = fee_rows(staged, categories, sector, as_of)
-    merged = ws.put("application_category_fees", merge_fees(ws.table("application_category_fees", t.FEES), fees))
-    ws.replace("categories", link_variants(categories, merged).apply())
+        # One value: the id of the sector this upload belongs to.
+        sector_id = sectors().filter(key_text("name") == sector.lower()).agg(F.min("id").alias("id")).first()["id"]
+    staged = ws.hold("license_categories", lambda: stage(feed, sector))
+    known, charged = ws.table("categories", t.CATEGORIES), ws.table("application_category_fees", t.FEES)
+    owner = F.lit(sector_id).cast("string")
+    categories = ws.put("categories", lambda: merge_categories(known(), category_rows(staged(), sector, owner, as_of)))
+    merged = ws.put("application_category_fees", lambda: merge_fees(charged(), fee_rows(staged(), categories(), sector, as_of)))
+    ws.replace("categories", lambda: link_variants(categories(), merged()).apply())
     return ws

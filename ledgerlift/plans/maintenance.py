@@ -82,12 +82,12 @@ def certificate_sector(certificates: DataFrame, applications: DataFrame, categor
 
 
 def fix_certificates(ws: Workspace) -> Workspace:
-    categories = ws.table("categories", t.CATEGORIES)
-    applications = ws.replace("applications", reminder_dates(ws.table("applications", t.APPLICATIONS), categories).apply())
-    certificates = ws.replace("certificates", drop_duplicate_approvals(ws.table("certificates", t.CERTIFICATES)))
-    applications = ws.replace("applications", certificate_by_approval(applications, certificates).apply())
-    sectors = ws.table("sectors", t.SECTORS)
-    ws.replace("certificates", certificate_sector(certificates, applications, categories, sectors).apply())
+    categories, sectors = ws.table("categories", t.CATEGORIES), ws.table("sectors", t.SECTORS)
+    applications, certificates = ws.table("applications", t.APPLICATIONS), ws.table("certificates", t.CERTIFICATES)
+    reminded = ws.replace("applications", lambda: reminder_dates(applications(), categories()).apply())
+    single = ws.replace("certificates", lambda: drop_duplicate_approvals(certificates()))
+    linked = ws.replace("applications", lambda: certificate_by_approval(reminded(), single()).apply())
+    ws.replace("certificates", lambda: certificate_sector(single(), linked(), categories(), sectors()).apply())
     return ws
 
 
@@ -220,7 +220,7 @@ def post_import(ws: Workspace, align: Callable[[], object] = lambda: None) -> li
 
     def apply(jobs: Mapping[str, ChangeSet]) -> None:
         for name, job in jobs.items():
-            ws.replace(name, job.apply())
+            ws.replace(name, job.apply)
 
     return run_chain(
         {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ledgerlift.operators.profile import REASON, with_reason
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.common import prepared, stamped, upsert, with_application, with_sector_detail
 from ledgerlift.sources.grid import ROW, require
-from ledgerlift.sources.store import Workspace
+from ledgerlift.sources.store import Deferred, Workspace
 
 SHAREHOLDER_OPTIONAL = ("countryname", "amountofshare", "objectid", "nationality", "indcomp", "sconadd", "filename")
 DIRECTOR_OPTIONAL = (
@@ -40,12 +42,18 @@ def _country(rows: DataFrame, column: str, countries: DataFrame | None) -> DataF
     return found.withColumn("nationality", nationality("__country")).drop("__country")
 
 
-def _resolved(ws: Workspace, name: str, rows: DataFrame, person: str) -> DataFrame:
+def _resolved(ws: Workspace, name: str, staged: Callable[[], DataFrame], person: str) -> Deferred:
     """Rows with parents and skip reason."""
-    rows = with_application(rows, ws.table("applications", t.APPLICATIONS))
-    rows = with_sector_detail(rows, ws.table("application_sector_details", t.SECTOR_DETAILS))
-    reasons = {"missing_application": F.col("application_id").isNull(), "missing_name": F.col(person).isNull()}
-    return ws.hold(name, with_reason(rows, reasons))
+    applications = ws.table("applications", t.APPLICATIONS)
+    details = ws.table("application_sector_details", t.SECTOR_DETAILS)
+
+    def build() -> DataFrame:
+        rows = with_sector_detail(with_application(staged(), applications()), details())
+        return with_reason(
+            rows, {"missing_application": F.col("application_id").isNull(), "missing_name": F.col(person).isNull()}
+        )
+
+    return ws.hold(name, build)
 
 
 def _first_per_person(rows: DataFrame, person: str) -> DataFrame:
@@ -67,9 +75,15 @@ def import_shareholders(ws: Workspace, feed: DataFrame, countries: DataFrame | N
         clean("sconadd").alias("street_address"),
         clean("countryname").alias("country"),
     ).withColumn("invalid_objectid", F.col("objectid").isNotNull() & ~looks_like("objectid", "decimal"))
-    rows = _resolved(ws, "shareholders", _country(staged, "country_id", countries), "shareholder_name")
+    rows = _resolved(ws, "shareholders", lambda: _country(staged, "country_id", countries), "shareholder_name")
+    policy = {"shareholder_name": OVERWRITE, "application_sector_detail_id": OVERWRITE}
+    upsert(ws, "shareholders", t.SHAREHOLDERS, lambda: stamped(shareholder_rows(rows()), as_of), policy=policy)
+    return ws
+
+
+def shareholder_rows(rows: DataFrame) -> DataFrame:
     first, middle, last = split_name("shareholder_name")
-    source = _first_per_person(rows, "shareholder_name").select(
+    return _first_per_person(rows, "shareholder_name").select(
         stable_key("application_number", F.lower("shareholder_name")).alias("id"),
         "application_id",
         "application_sector_detail_id",
@@ -86,9 +100,6 @@ def import_shareholders(ws: Workspace, feed: DataFrame, countries: DataFrame | N
         "file_name",
         cast_or("objectid", "bigint", pattern=fixed.UNSIGNED_DECIMAL).alias("logic_doc_id"),
     )
-    policy = {"shareholder_name": OVERWRITE, "application_sector_detail_id": OVERWRITE}
-    upsert(ws, "shareholders", t.SHAREHOLDERS, stamped(source, as_of), policy=policy)
-    return ws
 
 
 def import_directors(ws: Workspace, feed: DataFrame, countries: DataFrame | None = None, as_of: Column | None = None) -> Workspace:
@@ -108,9 +119,15 @@ def import_directors(ws: Workspace, feed: DataFrame, countries: DataFrame | None
     )
     for c in ("work_permit", "cpana"):
         staged = staged.withColumn(f"invalid_{c}", F.col(c).isNotNull() & ~looks_like(c, "digits"))
-    rows = _resolved(ws, "managing_directors", _country(staged, "country_id", countries), "name")
+    rows = _resolved(ws, "managing_directors", lambda: _country(staged, "country_id", countries), "name")
+    policy = {"name": OVERWRITE, "first_name": OVERWRITE}
+    upsert(ws, "managing_directors", t.DIRECTORS, lambda: stamped(director_rows(rows()), as_of), policy=policy)
+    return ws
+
+
+def director_rows(rows: DataFrame) -> DataFrame:
     first, middle, last = split_name("name")
-    source = _first_per_person(rows, "name").select(
+    return _first_per_person(rows, "name").select(
         stable_key("application_number", F.lower("name")).alias("id"),
         "application_id",
         "application_sector_detail_id",
@@ -127,6 +144,3 @@ def import_directors(ws: Workspace, feed: DataFrame, countries: DataFrame | None
         cast_or("cpana", "bigint", pattern=fixed.DIGITS).alias("cpana"),
         "cpana_filename",
     )
-    policy = {"name": OVERWRITE, "first_name": OVERWRITE}
-    upsert(ws, "managing_directors", t.DIRECTORS, stamped(source, as_of), policy=policy)
-    return ws

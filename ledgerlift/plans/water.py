@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -15,12 +16,12 @@ from ledgerlift.functions import (
     stable_key,
     water_application_type,
 )
-from ledgerlift.operators.backfill import backfill, user_of_application
-from ledgerlift.operators.dedupe import keep_first
+from ledgerlift.operators.backfill import ChangeSet, backfill, user_of_application
 from ledgerlift.operators.joins import lookup, replace_ids
 from ledgerlift.operators.merge import EXISTING, KEEP, OVERWRITE, constant
 from ledgerlift.operators.reshape import Pair, unpivot_pairs
 from ledgerlift.plans import tables as t
+from ledgerlift.plans.applications import first_per_number
 from ledgerlift.plans.common import prepared, provision_users, stamped, upsert
 from ledgerlift.plans.electrical import certificate_ids
 from ledgerlift.sources.dimensions import id_key
@@ -125,7 +126,8 @@ BANK = ("bname", "bposition", "bconpername", "ateleno")
 
 def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None) -> DataFrame:
     feed = prepared(feed)
-    cells = [c for a in ATTACHMENTS for c in (a, f"{a}filename") if c in feed.columns]
+    have = set(feed.columns)
+    cells = [c for a in ATTACHMENTS for c in (a, f"{a}filename") if c in have]
     kept = feed.select("*", *[F.col(c).alias(f"__doc_{c}") for c in cells])
     staged = apply_aliases(kept, ALIASES, keep=(ROW, *[f"__doc_{c}" for c in cells]))
     cleaned = staged.select(
@@ -145,41 +147,61 @@ def import_water(
     default_role: str | None = "DEFAULT ROLE",
     as_of: Column | None = None,
 ) -> Workspace:
-    staged = ws.hold("water", stage(feed, locations))
-    provision_users(ws, staged.select("username"), "username", default_role, as_of)
-    numbered = staged.filter(F.col("application_number").isNotNull())
-    first = ws.hold("water_first", keep_first(numbered, ["application_number"], [F.col(ROW).asc_nulls_last()]))
+    staged = ws.hold("water", lambda: stage(feed, locations))
+    provision_users(ws, staged, "username", default_role, as_of)
+    first = ws.hold("water_first", lambda: first_per_number(staged()))
     users = ws.table("users", t.USERS)
-
-    hub = upsert(
+    merged = upsert(
         ws,
         "applications",
         t.APPLICATIONS,
-        hub_rows(first, users, as_of),
+        lambda: hub_rows(first(), users(), as_of),
         keys=["application_number"],
         policy={"created_by": EXISTING, "category_license_type": KEEP, "username": KEEP, "is_migrated": KEEP},
     )
-    # An application whose user was created in an earlier run gets its creator now.
-    known = user_of_application(first.select(F.col("application_number").alias("id"), "username"), users)
-    hub = backfill(
-        hub, known, "application_number", "application_id", {"created_by": "user_id"}, where=F.col("is_migrated")
-    ).apply()
-    hub = ws.replace("applications", hub)
+    hub = ws.replace("applications", lambda: creators(merged(), first(), users()).apply())
     certificates = upsert(
         ws,
         "certificates",
         t.CERTIFICATES,
-        certificate_rows(first, hub, as_of),
+        lambda: certificate_rows(first(), hub(), as_of),
         keys=["application_number"],
         policy={"sector": constant("WATER_SUPPLY"), "certificate_type": constant("License")},
     )
-    ws.replace("applications", certificate_ids(hub, certificates).apply())
+    ws.replace("applications", lambda: certificate_ids(hub(), certificates()).apply())
+    rows = ws.hold("water_resolved", lambda: resolved_rows(first(), hub()))
 
-    ids = hub.select("application_number", F.col("id").alias("application_id"))
-    rows = first.join(ids, "application_number").withColumn("application_sector_detail_id", _key("ASD"))
-    rows = ws.hold("water_resolved", rows)
     refreshed = ("company_name", "vrn", "gn_gazette_on", "government_notice_no", "certificate_of_incorporation_no")
-    details = rows.select(
+    frozen = {c: KEEP for c in (*t.ADDRESS, *t.BUSINESS, "application_id") if c not in refreshed}
+    parents = {"application_id": OVERWRITE, "application_sector_detail_id": OVERWRITE}
+    for name, schema, build, policy in (
+        ("application_sector_details", t.SECTOR_DETAILS, detail_rows, frozen),
+        ("referees", t.REFEREES, referee_rows, parents),
+        ("bank_details_tanzania", t.BANK_DETAILS, bank_rows, parents | {"email": KEEP, "po_box": KEEP}),
+        ("financial_information", t.FINANCIAL, financial_rows, parents),
+        ("applicant_proposed_investment", t.INVESTMENT, investment_rows, parents),
+        ("project_description", t.PROJECT, project_rows, parents),
+        ("documents", t.DOCUMENTS, document_rows, {c: KEEP for c in ("document_name", "documents_order", *parents)}),
+    ):
+        upsert(ws, name, schema, functools.partial(lambda make: stamped(make(rows()), as_of), build), policy=policy)
+    return ws
+
+
+def creators(hub: DataFrame, first: DataFrame, users: DataFrame) -> ChangeSet:
+    """An application whose user was created in an earlier run gets its creator now."""
+    known = user_of_application(first.select(F.col("application_number").alias("id"), "username"), users)
+    return backfill(
+        hub, known, "application_number", "application_id", {"created_by": "user_id"}, where=F.col("is_migrated"), unique=True
+    )
+
+
+def resolved_rows(first: DataFrame, hub: DataFrame) -> DataFrame:
+    ids = hub.select("application_number", F.col("id").alias("application_id"))
+    return first.join(ids, "application_number").withColumn("application_sector_detail_id", _key("ASD"))
+
+
+def detail_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.col("application_sector_detail_id").alias("id"),
         "application_id",
         *t.ADDRESS,
@@ -188,20 +210,6 @@ def import_water(
         "gn_gazette_on",
         "government_notice_no",
     )
-    frozen = {c: KEEP for c in (*t.ADDRESS, *t.BUSINESS, "application_id") if c not in refreshed}
-    upsert(ws, "application_sector_details", t.SECTOR_DETAILS, stamped(details, as_of), policy=frozen)
-
-    parents = {"application_id": OVERWRITE, "application_sector_detail_id": OVERWRITE}
-    for name, schema, source, policy in (
-        ("referees", t.REFEREES, referee_rows(rows), parents),
-        ("bank_details_tanzania", t.BANK_DETAILS, bank_rows(rows), parents | {"email": KEEP, "po_box": KEEP}),
-        ("financial_information", t.FINANCIAL, financial_rows(rows), parents),
-        ("applicant_proposed_investment", t.INVESTMENT, investment_rows(rows), parents),
-        ("project_description", t.PROJECT, project_rows(rows), parents),
-        ("documents", t.DOCUMENTS, document_rows(rows), {c: KEEP for c in ("document_name", "documents_order", *parents)}),
-    ):
-        upsert(ws, name, schema, stamped(source, as_of), policy=policy)
-    return ws
 
 
 def hub_rows(first: DataFrame, users: DataFrame, as_of: Column | None) -> DataFrame:

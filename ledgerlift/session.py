@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Settings that keep wide joins safe under skew and let AQE pick partition counts.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
+    # Recording a call site per column expression dominates the planning of wide imports.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -26,6 +28,14 @@ def build_session(app_name: str = "ledgerlift", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the recommended settings to a session somebody else built."""
+    for key, value in RECOMMENDED.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint `df` to the reliable directory configured for the cluster.
 

@@ -110,18 +110,20 @@ def require(df: DataFrame, required: Sequence[str], optional: Sequence[str] = ()
     missing = sorted(set(required) - set(df.columns))
     if missing:
         raise MissingColumns(f"missing required columns: {missing}")
-    absent = [c for c in optional if c not in df.columns]
+    have = set(df.columns)
+    absent = [c for c in optional if c not in have]
     return df.select("*", *[F.lit(None).cast("string").alias(c) for c in absent])
 
 
 def apply_aliases(df: DataFrame, aliases: Mapping[str, str], keep: Sequence[str] = (ROW,)) -> DataFrame:
     """Project source columns to canonical ones; the first alias present wins, absent ones give NULL."""
-    have = {header_name(c): c for c in df.columns}
+    names = df.columns
+    have = {header_name(c): c for c in names}
     chosen: dict[str, str | None] = {}
     for source, target in aliases.items():
         if chosen.get(target) is None:
             chosen[target] = have.get(source)
-    columns = [F.col(c) for c in keep if c in df.columns]
+    columns = [F.col(c) for c in keep if c in names]
     for target, source in chosen.items():
         value = F.lit(None) if source is None else F.col(f"`{source}`")
         columns.append(value.cast("string").alias(target))

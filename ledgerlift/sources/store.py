@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
-from collections.abc import Iterable
+from collections import UserDict
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from ledgerlift.operators.merge import ACTION
 
@@ -67,45 +70,80 @@ class TableStore:
         context.rename(fresh, pointer, overwrite)
 
 
+class Deferred:
+    """A DataFrame built on first use."""
+
+    def __init__(self, build: Callable[[], DataFrame]):
+        self._build, self._df = build, None
+
+    def __call__(self) -> DataFrame:
+        if self._df is None:
+            self._df = self._build()
+        return self._df
+
+
+class _Named(UserDict):
+    """Name -> DataFrame; deferred entries are built when read."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        value = self.data[name]
+        return value() if isinstance(value, Deferred) else value
+
+
 class Workspace:
     """The tables an import reads and replaces.
 
-    Without a store everything stays one lazy plan.  With a store, staged rows and merged
-    tables are written once and read back, because later steps use them several times.
+    Without a store every step is deferred and lazy: asking for one table plans only what
+    that table needs.  With a store, staged rows and merged tables are written once, in the
+    order of the plan, and read back, because later steps use them several times.
     """
 
-    def __init__(self, tables: dict[str, DataFrame] | None = None, store: TableStore | None = None):
-        self.tables = dict(tables or {})
-        self.merged: dict[str, DataFrame] = {}
-        self.staged: dict[str, DataFrame] = {}
+    def __init__(self, tables: Mapping[str, DataFrame] | None = None, store: TableStore | None = None):
+        self.tables = _Named(tables or {})
+        self.merged = _Named()
+        self.staged = _Named()
         self.store = store
 
-    def table(self, name: str, schema: str) -> DataFrame:
-        """The table with at least the columns of `schema` (an empty one if it does not exist)."""
-        if name not in self.tables and self.store is not None and self.store.exists(name):
-            self.tables[name] = self.store.read(name).drop(ACTION)
-        if name not in self.tables:
-            spark = self.store.spark if self.store else SparkSession.getActiveSession()
-            self.tables[name] = spark.createDataFrame([], schema)
-        df = self.tables[name]
-        absent = [f for f in _schema(schema) if f.name not in df.columns]
-        return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
-
-    def hold(self, name: str, df: DataFrame) -> DataFrame:
+    def _define(self, build: Callable[[], DataFrame]) -> Deferred:
+        step = Deferred(build)
+        if self.store:
+            step()
+        return step
+
+    def table(self, name: str, schema: str) -> Deferred:
+        """The table as of now, with at least the columns of `schema`; an absent one is empty."""
+        known = self.tables.data.get(name)
+
+        def build() -> DataFrame:
+            if known is not None:
+                df = known() if isinstance(known, Deferred) else known
+            elif self.store is not None and self.store.exists(name):
+                df = self.store.read(name).drop(ACTION)
+            else:
+                spark = self.store.spark if self.store else SparkSession.getActiveSession()
+                return spark.createDataFrame([], schema)
+            have = set(df.columns)
+            absent = [f for f in _schema(schema) if f.name not in have]
+            return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent]) if absent else df
+
+        return self._define(build)
+
+    def hold(self, name: str, build: Callable[[], DataFrame]) -> Deferred:
         """Keep staged rows for the steps that follow."""
-        self.staged[name] = self.store.replace(f"stage_{name}", df) if self.store else df
-        return self.staged[name]
+        self.staged[name] = self._define(lambda: self.store.replace(f"stage_{name}", build()) if self.store else build())
+        return self.staged.data[name]
 
-    def put(self, name: str, merged: DataFrame) -> DataFrame:
-        """Make a merged table (with ``_action``) the current one and return it without the action."""
-        self.merged[name] = self.store.replace(name, merged) if self.store else merged
-        self.tables[name] = self.merged[name].drop(ACTION)
-        return self.tables[name]
+    def put(self, name: str, build: Callable[[], DataFrame]) -> Deferred:
+        """Make a merged table (with ``_action``) the current one; returns it without the action."""
+        merged = self._define(lambda: self.store.replace(name, build()) if self.store else build())
+        self.merged[name] = merged
+        self.tables[name] = Deferred(lambda: merged().drop(ACTION))
+        return self.tables.data[name]
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        """Make `df` (a repaired table, without actions) the current one."""
-        self.tables[name] = self.store.replace(name, df) if self.store else df
-        return self.tables[name]
+    def replace(self, name: str, build: Callable[[], DataFrame]) -> Deferred:
+        """Make a repaired table, without actions, the current one."""
+        self.tables[name] = self._define(lambda: self.store.replace(name, build()) if self.store else build())
+        return self.tables.data[name]
 
     def summary(self, names: Iterable[str] | None = None) -> DataFrame:
         """Rows inserted, updated and kept per merged table."""
@@ -119,7 +157,6 @@ class Workspace:
         return parts
 
 
+@functools.cache
 def _schema(text: str):
-    from pyspark.sql.types import _parse_datatype_string
-
     return _parse_datatype_string(text).fields

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlift.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +29,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: fn(Tables(configure(spark), folder))
         if sql is not None:
             ORACLES[name] = sql
         return fn
