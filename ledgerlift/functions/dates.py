@@ -65,14 +65,14 @@ def parse_date(
     formats: Sequence[str] = fixed.DATES_APPLICATION,
     serial: bool = True,
     serial_above: float = 1000,
-    dialect: str = "general",
+    dialect: str | None = "general",
 ) -> Column:
     """First layout that yields a real calendar date, then the serial; else NULL.
 
-    A layout is tried only where its shape matches, and the cast is a `try_cast`, so no
+    Pass ``dialect=None`` for a column that has been cleaned before.  A layout is tried only where its shape matches, and the cast is a `try_cast`, so no
     parser exception is raised per row.
     """
-    text = clean(c, dialect)
+    text = col(c) if dialect is None else clean(c, dialect)
     tries = []
     for pattern, iso in _layouts(tuple(formats)):
         tries.append(F.when(text.rlike(pattern), F.regexp_replace(text, pattern, iso).try_cast("date")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions.numbers import whole_number
 from ledgerlift.functions.text import clean
+from ledgerlift.session import empty_table
 
 
 class Pair(NamedTuple):
@@ -54,7 +55,7 @@ def unpivot_pairs(
     if not usable:
         empty = "document_name string, file_name string, documents_order int, logic_doc_id bigint, id_text string"
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*carry).schema.fields]
-        return df.sparkSession.createDataFrame([], ", ".join([*fields, empty]))
+        return empty_table(df.sparkSession, ", ".join([*fields, empty]))
     # The cells of all pairs go into one array whose per-element work is a lambda, so the
     # generated code does not grow with the number of pairs.
     cells = F.array(

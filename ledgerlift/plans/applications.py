@@ -27,6 +27,7 @@ from ledgerlift.operators.provision import ensure_members
 from ledgerlift.operators.reshape import Pair, detect_pairs, unpivot_pairs
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.common import moment, prepared, provision_users, stamped, upsert
+from ledgerlift.session import fixed_rows
 from ledgerlift.sources.dimensions import id_key
 from ledgerlift.sources.grid import ROW, apply_aliases
 from ledgerlift.sources.store import Deferred, Workspace
@@ -144,18 +145,14 @@ def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None) ->
     cells = sorted({c for p in pairs for c in (p.id_col, p.file_col)})
     kept = feed.select("*", *[F.col(c).alias(f"__doc_{c}") for c in cells])
     staged = apply_aliases(kept, ALIASES, keep=(ROW, *[f"__doc_{c}" for c in cells]))
-    columns = []
-    for name in staged.columns:
-        if name == ROW or name.startswith("__doc_"):
-            columns.append(F.col(name))
-        elif name in DATE_COLUMNS:
-            columns.append(parse_date(name, fixed.DATES_APPLICATION).alias(name))
-        elif name == "username":
-            columns.append(F.lower(clean(name, "application")).alias(name))
-        else:
-            columns.append(clean(name, "application").alias(name))
-    cleaned = staged.select(*columns)
-    return replace_ids(cleaned, ("region", "district", "ward"), locations or {}, id_key)
+    raw = [c for c in staged.columns if c == ROW or c.startswith("__doc_")]
+    names = [c for c in staged.columns if c not in raw]
+    # Two projections: each cell is cleaned once, however often its parsing refers to it.
+    cleaned = staged.select(*raw, *[clean(c, "application").alias(c) for c in names])
+    typed = cleaned.withColumns(
+        {c: parse_date(c, fixed.DATES_APPLICATION, dialect=None) for c in DATE_COLUMNS} | {"username": F.lower("username")}
+    )
+    return replace_ids(typed, ("region", "district", "ward"), locations or {}, id_key)
 
 
 def staged_pairs(staged: DataFrame) -> list[Pair]:
@@ -237,7 +234,7 @@ def wanted_categories(staged: DataFrame, sectors: DataFrame, sector: str) -> Dat
     named = staged.select(F.col("license_type").alias("name"), F.lit(sector).alias("sector_name"))
     wanted = named.filter(F.col("name").isNotNull()).distinct()
     # The fixed list belongs to the sector of this upload, petroleum when nothing was staged.
-    listed = staged.sparkSession.createDataFrame([(c,) for c in fixed.PETROLEUM_CATEGORIES], "name string").crossJoin(
+    listed = fixed_rows(staged.sparkSession, "name", fixed.PETROLEUM_CATEGORIES).crossJoin(
         F.broadcast(max_or(wanted, "sector_name", "PETROLEUM", "sector_name"))
     )
     both = lookup(listed.unionByName(wanted), sectors, "sector_name", "name", {"sector_id": "id"})

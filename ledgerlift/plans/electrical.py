@@ -28,6 +28,7 @@ from ledgerlift.operators.provision import ensure_members
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.applications import first_per_number
 from ledgerlift.plans.common import moment, prepared, provision_users, stamped, upsert
+from ledgerlift.session import fixed_rows
 from ledgerlift.sources.dimensions import id_key
 from ledgerlift.sources.grid import ROW, require
 from ledgerlift.sources.store import Workspace
@@ -68,42 +69,44 @@ OPTIONAL = (
 
 
 def _day(c: str) -> Column:
-    return parse_date(c, fixed.DATES_PLAIN)
+    return parse_date(c, fixed.DATES_PLAIN, dialect=None)
 
 
 def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None, zones: DataFrame | None = None) -> DataFrame:
     feed = require(prepared(feed), ["application_number"], OPTIONAL)
-    rows = feed.select(
+    # Two projections: each cell is cleaned once, however often its typing refers to it.
+    cleaned = feed.select(ROW, *[clean(c).alias(c) for c in ("application_number", *OPTIONAL)])
+    rows = cleaned.select(
         ROW,
-        clean("application_number").alias("application_number"),
+        "application_number",
         installation_type("application_type").alias("application_type"),
-        clean("approval_no").alias("approval_no"),
-        clean("licensecategoryclass").alias("licensecategoryclass"),
-        clean("approvedclass").alias("approvedclass"),
+        "approval_no",
+        "licensecategoryclass",
+        "approvedclass",
         _day("effective_date").alias("effective_date"),
         _day("expire_date").alias("expire_date"),
         _day("completed_at").alias("completed_at"),
         _day("created_at").alias("staged_created_at"),
-        clean("parent_application_id").alias("old_parent_application_id"),
-        clean("company_name").alias("company_name"),
-        clean("userid").alias("username"),
-        clean("created_by").alias("old_created_by"),
+        F.col("parent_application_id").alias("old_parent_application_id"),
+        "company_name",
+        F.col("userid").alias("username"),
+        F.col("created_by").alias("old_created_by"),
         first_present("facility_name", "company_name").alias("certificate_owner"),
         _day("dateofbirth").alias("date_of_birth"),
-        nationality(clean("nationality")).alias("nationality"),
-        clean("gender").alias("gender"),
-        int_text(clean("workpermitno"), "truncate").alias("work_permit_no"),
-        clean("region").alias("region"),
-        clean("district").alias("district"),
-        clean("ward").alias("ward"),
-        clean("email").alias("email"),
-        int_text(clean("mobile_no"), "truncate").alias("mobile_no"),
-        clean("plot_no").alias("plot_no"),
-        clean("po_box").alias("po_box"),
-        int_text(clean("iftanzanian"), "truncate").alias("identification"),
-        clean("iftanzanianfilename").alias("identification_name"),
-        int_text(clean("cpphoto"), "truncate").alias("passport"),
-        clean("cpphotofilename").alias("passport_name"),
+        nationality("nationality").alias("nationality"),
+        "gender",
+        int_text("workpermitno", "truncate").alias("work_permit_no"),
+        "region",
+        "district",
+        "ward",
+        "email",
+        int_text("mobile_no", "truncate").alias("mobile_no"),
+        "plot_no",
+        "po_box",
+        int_text("iftanzanian", "truncate").alias("identification"),
+        F.col("iftanzanianfilename").alias("identification_name"),
+        int_text("cpphoto", "truncate").alias("passport"),
+        F.col("cpphotofilename").alias("passport_name"),
         experience_type("employmentstatus").alias("experience_type"),
     )
     rows = replace_ids(rows, ("region", "district", "ward"), locations or {}, id_key)
@@ -118,7 +121,7 @@ def ensure_classes(ws: Workspace, as_of: Column | None) -> Callable[[], DataFram
     defaults = {"category_type": F.lit("License"), "is_approved": F.lit(True), "created_at": moment(as_of), "updated_at": moment(as_of)}
 
     def build() -> DataFrame:
-        wanted = categories().sparkSession.createDataFrame([(c,) for c in fixed.CLASS_CODES], "code string")
+        wanted = fixed_rows(categories().sparkSession, "code", fixed.CLASS_CODES)
         known = categories().filter(F.col("deleted_at").isNull()).select(F.col("code").alias("__code")).distinct()
         absent = wanted.join(known, F.col("code") == F.col("__code"), "left_anti")
         names = absent.select(F.concat(F.lit("CLASS "), "code").alias("name"), "code")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,20 +97,28 @@ def _stamp_text(c: str) -> Column:
 
 def _experience_stage(feed: DataFrame, required: list[str], optional: list[str]) -> DataFrame:
     feed = require(rename_aliases(prepared(feed), EXPERIENCE_ALIASES), required, optional)
-    day = lambda c: parse_date(c, fixed.DATES_EXPERIENCE, serial=False)
-    return feed.select(
-        ROW,
-        clean("apprefno").alias("application_number"),
-        clean("supervisordetail").alias("supervisor_detail"),
-        clean("roleandresponsibility").alias("role"),
-        clean("voltagelevel").alias("voltage"),
-        clean("workperformed").alias("work_performed"),
-        clean("position").alias("position"),
-        day("wfromdate").alias("from_day"),
-        day("wtodate").alias("to_day"),
+    return _cleaned(
+        feed,
+        {
+            "apprefno": "application_number",
+            "supervisordetail": "supervisor_detail",
+            "roleandresponsibility": "role",
+            "voltagelevel": "voltage",
+            "workperformed": "work_performed",
+            "position": "position",
+            "wfromdate": "from_day",
+            "wtodate": "to_day",
+        },
+        fixed.DATES_EXPERIENCE,
     )
 
 
+def _cleaned(feed: DataFrame, names: Mapping[str, str], layouts: Sequence[str]) -> DataFrame:
+    """Cleaned cells under their staged names, then the two days parsed."""
+    cells = feed.select(ROW, *[clean(source).alias(name) for source, name in names.items()])
+    return cells.withColumns({c: parse_date(c, layouts, serial=False, dialect=None) for c in ("from_day", "to_day")})
+
+
 def _located(ws: Workspace, stage: DataFrame, extra: dict[str, str] | None = None) -> Callable[[], DataFrame]:
     """Staged rows with application and installation, NULL where there is none."""
     applications = ws.table("applications", t.APPLICATIONS)
@@ -218,16 +226,18 @@ def import_self_employed(ws: Workspace, feed: DataFrame, as_of: Column | None =
     """Projects of self-employed applicants, each with one custom-details row."""
     columns = ["apprefno", "sno", "sfevoltagelevel", "sfecustomdetails", "projectperformed", "sfefromdate", "sfetodate"]
     feed = require(rename_aliases(prepared(feed), SELF_EMPLOYED_ALIASES), [], columns)
-    day = lambda c: parse_date(c, fixed.DATES_EXPERIENCE, serial=False)
-    stage = feed.select(
-        ROW,
-        clean("apprefno").alias("application_number"),
-        clean("sno").alias("sno"),
-        clean("sfevoltagelevel").alias("voltage"),
-        clean("sfecustomdetails").alias("custom_details"),
-        clean("projectperformed").alias("project_performed"),
-        day("sfefromdate").alias("from_day"),
-        day("sfetodate").alias("to_day"),
+    stage = _cleaned(
+        feed,
+        {
+            "apprefno": "application_number",
+            "sno": "sno",
+            "sfevoltagelevel": "voltage",
+            "sfecustomdetails": "custom_details",
+            "projectperformed": "project_performed",
+            "sfefromdate": "from_day",
+            "sfetodate": "to_day",
+        },
+        fixed.DATES_EXPERIENCE,
     )
     rows = ws.hold("self_employed", _located(ws, stage, {"__experience": "experience_type"}))
     first = ws.hold("self_employed_first", lambda: first_projects(rows()))
@@ -285,17 +295,20 @@ def import_verifications(ws: Workspace, feed: DataFrame, as_of: Column | None =
     feed = require(
         prepared(feed), ["apprefno", "institutenameaddress", "award"], ["sno", "fromdate", "todate", "objectid", "filename"]
     )
-    day = lambda c: parse_date(c, fixed.DATES_PLAIN, serial=False)
-    stage = feed.select(
-        ROW,
-        clean("apprefno").alias("application_number"),
-        clean("institutenameaddress").alias("institute"),
-        clean("award").alias("award"),
-        day("fromdate").alias("from_day"),
-        day("todate").alias("to_day"),
-        whole_number(clean("objectid")).alias("logic_doc_id"),
-        clean("filename").alias("file_name"),
+    cells = _cleaned(
+        feed,
+        {
+            "apprefno": "application_number",
+            "institutenameaddress": "institute",
+            "award": "award",
+            "fromdate": "from_day",
+            "todate": "to_day",
+            "objectid": "logic_doc_id",
+            "filename": "file_name",
+        },
+        fixed.DATES_PLAIN,
     )
+    stage = cells.withColumn("logic_doc_id", whole_number("logic_doc_id"))
     rows = ws.hold("verifications", _with_parents(ws, stage))
     none = constant("NONE")
     policy = {

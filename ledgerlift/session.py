@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import _parse_datatype_string
 
 #: Settings that keep wide joins safe under skew and let AQE pick partition counts.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     # Recording a call site per column expression dominates the planning of wide imports.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # The JVM never compiles methods beyond 8000 bytes of bytecode.  Below this limit Spark
+    # falls back to projections split into small methods, which wide cleaning steps need.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -36,6 +41,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fixed_rows(spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
+    """A short list of texts as one column; the planner knows it is small."""
+    return spark.sql(f"SELECT explode(:values) AS `{name}`", {"values": list(values)})
+
+
+def empty_table(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows; the optimizer removes joins with it."""
+    fields = _parse_datatype_string(schema).fields
+    nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+    return spark.sql(f"SELECT {nulls} LIMIT 0")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint `df` to the reliable directory configured for the cluster.
 

@@ -35,18 +35,21 @@ def number_rows(df: DataFrame, start: int = 1, name: str = ROW) -> DataFrame:
     the file (Parquet) it is used.  Otherwise rows are counted per file block: the running id
     a task hands out is dense within a block, and block offsets come from one small
     aggregation.  Both survive a retried task, unlike a bare running id.
+
+    The offsets are broadcast: one short row per file or block, so about a millionth of the
+    data, where a shuffle would send every row of a file to the same task.
     """
     try:
         positioned = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
         per_file = positioned.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
         offsets = per_file.select("__file", _before("__n", ["__file"]).alias("__offset"))
-        joined = positioned.join(offsets, "__file", "left")
+        joined = positioned.join(F.broadcast(offsets), "__file", "left")
     except AnalysisException:
         block = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
         positioned = df.select("*", *block, F.monotonically_increasing_id().alias("__id"))
         per_block = positioned.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
         offsets = per_block.select("__file", "__block", "__first", _before("__n", ["__file", "__block"]).alias("__offset"))
-        joined = positioned.join(offsets, ["__file", "__block"], "left").withColumn("__at", F.col("__id") - F.col("__first"))
+        joined = positioned.join(F.broadcast(offsets), ["__file", "__block"], "left").withColumn("__at", F.col("__id") - F.col("__first"))
     return joined.select((F.col("__offset") + F.col("__at") + start).cast("bigint").alias(name), *df.columns)
 
 

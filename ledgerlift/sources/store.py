@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from ledgerlift.operators.merge import ACTION
+from ledgerlift.session import empty_table
 
 
 class TableStore:
@@ -121,7 +122,7 @@ class Workspace:
                 df = self.store.read(name).drop(ACTION)
             else:
                 spark = self.store.spark if self.store else SparkSession.getActiveSession()
-                return spark.createDataFrame([], schema)
+                return empty_table(spark, schema)
             have = set(df.columns)
             absent = [f for f in _schema(schema) if f.name not in have]
             return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent]) if absent else df

@@ -616,7 +616,7 @@ def _water(t: Tables) -> Workspace:
         F.lit(True).alias("is_migrated"),
         F.when(F.col("c_nationkey") > 12, F.lit("boss")).alias("created_by"),
     )
-    users = t.spark.createDataFrame([("u1", "CLERK.p "), ("u2", "clerk.f")], "id string, username string")
+    users = t.spark.sql("SELECT * FROM VALUES ('u1', 'CLERK.p '), ('u2', 'clerk.f') AS u(id, username)")
     return water.import_water(Workspace({"applications": hub, "users": users}), feed, default_role=None, as_of=NOW)
 
 
@@ -802,7 +802,7 @@ def _user_tables(t: Tables):
     users = t.customer.select(
         text("c_custkey").alias("id"), F.concat(F.lit("user"), F.col("c_custkey") * 2).alias("username"), F.lit("Old Name").alias("full_name")
     )
-    roles = t.spark.createDataFrame([("r1", "View ")], "id string, name string")
+    roles = t.spark.sql("SELECT 'r1' AS id, 'View ' AS name")
     return {"users": users, "roles": roles}
 
 

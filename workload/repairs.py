@@ -349,7 +349,7 @@ def category_from_mapping(t: Tables):
     applications = t.customer.select(
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("license_type"), F.lit("old").alias("category_id")
     )
-    mapping = t.spark.createDataFrame([(" building", "1"), ("Machinery", "2")], "license_type string, category_id string")
+    mapping = t.spark.sql("SELECT * FROM VALUES (' building', '1'), ('Machinery', '2') AS m(license_type, category_id)")
     return m.categories_from_mapping(applications, mapping).apply()
 
 
@@ -547,8 +547,8 @@ def assign_role_to_holders(t: Tables):
     """Everyone who holds one role gets another."""
     name = F.concat("event_type", F.when(F.col("value") > 5, F.lit("")).otherwise(F.lit("!")))
     held = t.events.select("user_id", name.alias("role_id")).distinct()
-    first = t.spark.createDataFrame([("purchase",)], "role_id string")
-    second = t.spark.createDataFrame([("DEFAULT",)], "role_id string")
+    first = t.spark.sql("SELECT 'purchase' AS role_id")
+    second = t.spark.sql("SELECT 'DEFAULT' AS role_id")
     return p.assign_role(held, p.holders(held, first), second)
 
 
