@@ -26,7 +26,7 @@ from ledgerlift.operators.profile import fill_rate, max_or
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.operators.reshape import Pair, detect_pairs, unpivot_pairs
 from ledgerlift.plans import tables as t
-from ledgerlift.plans.common import moment, prepared, provision_users, stamped, upsert
+from ledgerlift.plans.common import Moment, moment, prepared, provision_users, stamped, upsert
 from ledgerlift.session import fixed_rows
 from ledgerlift.sources.dimensions import id_key
 from ledgerlift.sources.grid import ROW, apply_aliases
@@ -167,7 +167,7 @@ def import_applications(
     locations: Mapping[str, DataFrame] | None = None,
     zones: DataFrame | None = None,
     default_role: str | None = "DEFAULT ROLE",
-    as_of: Column | None = None,
+    as_of: Moment = None,
 ) -> Workspace:
     """Merge an applications feed.
 
@@ -218,7 +218,7 @@ def approved_rows(first: DataFrame, hub: DataFrame) -> DataFrame:
     return first.join(approved, "application_number")
 
 
-def provision_categories(ws: Workspace, staged: Deferred, sector: str, as_of: Column | None) -> Deferred:
+def provision_categories(ws: Workspace, staged: Deferred, sector: str, as_of: Moment) -> Deferred:
     """Fixed petroleum categories and all staged licence types exist as categories afterwards."""
     sectors, categories = ws.table("sectors", t.SECTORS), ws.table("categories", t.CATEGORIES)
     defaults = {"category_type": F.lit("License"), "is_approved": F.lit(True), "created_at": moment(as_of), "updated_at": moment(as_of)}
@@ -241,7 +241,7 @@ def wanted_categories(staged: DataFrame, sectors: DataFrame, sector: str) -> Dat
     return both.filter(F.col("sector_id").isNotNull())
 
 
-def hub_rows(first: DataFrame, categories: DataFrame, sectors: DataFrame, zones: DataFrame | None, as_of: Column | None) -> DataFrame:
+def hub_rows(first: DataFrame, categories: DataFrame, sectors: DataFrame, zones: DataFrame | None, as_of: Moment) -> DataFrame:
     live = lookup(categories, sectors, "sector_id", "id", {"sector_name": "name"}, normalise=None)
     take = {"category_id": "id", "__kind": "category_type", "__sector": "sector_name"}
     rows = lookup(first, live, "license_type", "name", take)
@@ -272,7 +272,7 @@ def hub_rows(first: DataFrame, categories: DataFrame, sectors: DataFrame, zones:
     )
 
 
-def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Column | None) -> DataFrame:
+def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Moment) -> DataFrame:
     staged = first.select("application_number", F.col("application_type").alias("__type"))
     rows = hub.drop("created_at", "updated_at", "application_type").join(staged, "application_number")
     copied = ("approval_no", "approval_date", "effective_date", "expire_date", "license_type", "category_license_type", "zone_id", "zone_name")
@@ -288,7 +288,7 @@ def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Column | None) ->
     )
 
 
-def detail_rows(rows: DataFrame, statuses: DataFrame, as_of: Column | None) -> DataFrame:
+def detail_rows(rows: DataFrame, statuses: DataFrame, as_of: Moment) -> DataFrame:
     rows = lookup(rows, statuses, "application_legal_status_raw", "name", {"applicant_legal_status_id": "id"})
     return stamped(
         rows.select(
@@ -298,7 +298,7 @@ def detail_rows(rows: DataFrame, statuses: DataFrame, as_of: Column | None) -> D
     )
 
 
-def document_rows(rows: DataFrame, as_of: Column | None) -> DataFrame:
+def document_rows(rows: DataFrame, as_of: Moment) -> DataFrame:
     long = unpivot_pairs(rows, staged_pairs(rows), ["application_id"])
     return stamped(
         long.select(
@@ -314,21 +314,21 @@ def document_rows(rows: DataFrame, as_of: Column | None) -> DataFrame:
     )
 
 
-def contact_rows(rows: DataFrame, as_of: Column | None) -> DataFrame:
+def contact_rows(rows: DataFrame, as_of: Moment) -> DataFrame:
     fields = {"contact_name": "contact_name", "email": "contact_email", "mobile_no": "contact_mobile_no", "title": "contact_title"}
     return _child_rows(rows, fields, "app_sector_detail_id", "contact", as_of)
 
 
-def fire_rows(rows: DataFrame, as_of: Column | None) -> DataFrame:
+def fire_rows(rows: DataFrame, as_of: Moment) -> DataFrame:
     fields = {c: c if c.startswith("fire_") else f"fire_{c}" for c in t.FIRE_FIELDS}
     return _child_rows(rows, fields, "application_sector_detail_id", "fire", as_of)
 
 
-def cover_rows(rows: DataFrame, as_of: Column | None) -> DataFrame:
+def cover_rows(rows: DataFrame, as_of: Moment) -> DataFrame:
     return _child_rows(rows, {c: c for c in t.COVER_FIELDS}, "application_sector_detail_id", "insurance", as_of)
 
 
-def _child_rows(rows: DataFrame, fields: Mapping[str, str], fk: str, seed: str, as_of: Column | None) -> DataFrame:
+def _child_rows(rows: DataFrame, fields: Mapping[str, str], fk: str, seed: str, as_of: Moment) -> DataFrame:
     """Child rows where at least one of the fields is present."""
     present = rows.filter(any_present(*[F.col(c).cast("string") for c in fields.values()]))
     return stamped(

@@ -15,6 +15,9 @@ from ledgerlift.plans import tables as t
 from ledgerlift.sources.grid import ROW, normalise_headers, number_rows
 from ledgerlift.sources.store import Deferred, Workspace
 
+#: time written to the audit columns
+Moment = Column | str | None
+
 AUDIT_POLICY: dict[str, Policy] = {"created_at": KEEP, "updated_at": OVERWRITE}
 
 
@@ -24,11 +27,14 @@ def prepared(feed: DataFrame) -> DataFrame:
     return normalise_headers(numbered)
 
 
-def moment(as_of: Column | None) -> Column:
-    return F.current_timestamp() if as_of is None else as_of.cast("timestamp")
+def moment(as_of: Moment) -> Column:
+    """Time of the import: now, unless the caller fixes it."""
+    if as_of is None:
+        return F.current_timestamp()
+    return (F.lit(as_of) if isinstance(as_of, str) else as_of).cast("timestamp")
 
 
-def stamped(df: DataFrame, as_of: Column | None) -> DataFrame:
+def stamped(df: DataFrame, as_of: Moment) -> DataFrame:
     return df.withColumns({"created_at": moment(as_of), "updated_at": moment(as_of)})
 
 
@@ -69,7 +75,7 @@ def with_installation(stage: DataFrame, installations: DataFrame, extra: Mapping
     return lookup(stage, installations, "application_id", "application_id", take, normalise=None)
 
 
-def provision_users(ws: Workspace, stage: Callable[[], DataFrame], username: str, default_role: str | None, as_of: Column | None) -> None:
+def provision_users(ws: Workspace, stage: Callable[[], DataFrame], username: str, default_role: str | None, as_of: Moment) -> None:
     """Create staged users that do not exist and give all staged users the default role."""
     defaults = {
         "status": F.lit("ACTIVE"),

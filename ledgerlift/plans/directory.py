@@ -12,7 +12,7 @@ from ledgerlift.operators.joins import lacking, lookup
 from ledgerlift.operators.merge import ACTION, KEEP, OVERWRITE
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.plans import tables as t
-from ledgerlift.plans.common import moment, prepared, stamped, upsert
+from ledgerlift.plans.common import Moment, moment, prepared, stamped, upsert
 from ledgerlift.sources.grid import ROW, require
 from ledgerlift.sources.store import Workspace
 
@@ -31,7 +31,7 @@ USER_COLUMNS = (
 )
 
 
-def import_categories(ws: Workspace, feed: DataFrame, as_of: Column | None = None) -> Workspace:
+def import_categories(ws: Workspace, feed: DataFrame, as_of: Moment = None) -> Workspace:
     feed = require(prepared(feed), ["category_name", "sector_name"])
     named = feed.select(ROW, clean("category_name").alias("name"), clean("sector_name").alias("sector_name"))
     sectors, known = ws.table("sectors", t.SECTORS), ws.table("categories", t.CATEGORIES)
@@ -57,7 +57,7 @@ def category_upload_report(ws: Workspace) -> DataFrame:
     return both.withColumn("skipped_existing", F.col("processed") - F.col("skipped_no_sector") - F.col("inserted"))
 
 
-def import_users(ws: Workspace, feed: DataFrame, skip_existing: bool = False, keep_password: bool = False, as_of: Column | None = None) -> Workspace:
+def import_users(ws: Workspace, feed: DataFrame, skip_existing: bool = False, keep_password: bool = False, as_of: Moment = None) -> Workspace:
     """Users, their roles and the assignment; the last upload of a user name counts.
 
     Passwords are dropped unless the caller opts in.

@@ -27,7 +27,7 @@ from ledgerlift.operators.merge import EXISTING, KEEP, OVERWRITE, constant
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.applications import first_per_number
-from ledgerlift.plans.common import moment, prepared, provision_users, stamped, upsert
+from ledgerlift.plans.common import Moment, moment, prepared, provision_users, stamped, upsert
 from ledgerlift.session import fixed_rows
 from ledgerlift.sources.dimensions import id_key
 from ledgerlift.sources.grid import ROW, require
@@ -73,7 +73,7 @@ def _day(c: str) -> Column:
 
 
 def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None, zones: DataFrame | None = None) -> DataFrame:
-    feed = require(prepared(feed), ["application_number"], OPTIONAL)
+    feed = require(feed, ["application_number"], OPTIONAL)
     # Two projections: each cell is cleaned once, however often its typing refers to it.
     cleaned = feed.select(ROW, *[clean(c).alias(c) for c in ("application_number", *OPTIONAL)])
     rows = cleaned.select(
@@ -115,7 +115,7 @@ def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None, zon
     return lookup(rows, zones, "region", "region", {"zone_id": "zone_id"})
 
 
-def ensure_classes(ws: Workspace, as_of: Column | None) -> Callable[[], DataFrame]:
+def ensure_classes(ws: Workspace, as_of: Moment) -> Callable[[], DataFrame]:
     """The eight class categories exist afterwards; returns alias -> category_id."""
     categories = ws.table("categories", t.CATEGORIES)
     defaults = {"category_type": F.lit("License"), "is_approved": F.lit(True), "created_at": moment(as_of), "updated_at": moment(as_of)}
@@ -142,9 +142,10 @@ def import_installations(
     locations: Mapping[str, DataFrame] | None = None,
     zones: DataFrame | None = None,
     default_role: str | None = "DEFAULT ROLE",
-    as_of: Column | None = None,
+    as_of: Moment = None,
 ) -> Workspace:
-    staged = ws.hold("installations", lambda: stage(feed, locations, zones))
+    checked = require(prepared(feed), ["application_number"])
+    staged = ws.hold("installations", lambda: stage(checked, locations, zones))
     classes = ensure_classes(ws, as_of)
     provision_users(ws, staged, "username", default_role, as_of)
     first = ws.hold("installations_first", lambda: first_per_number(staged()))
@@ -215,7 +216,7 @@ def self_employed_rows(rows: DataFrame) -> DataFrame:
     return _child(own, "se", F.lit("NONE").alias("voltage_level"))
 
 
-def hub_rows(first: DataFrame, classes: DataFrame, as_of: Column | None) -> DataFrame:
+def hub_rows(first: DataFrame, classes: DataFrame, as_of: Moment) -> DataFrame:
     rows = lookup(first, classes, class_code("licensecategoryclass"), "alias", {"__class": "category_id"}, normalise=None)
     raw_uuid = F.lower(cast_or("licensecategoryclass", "string", pattern=fixed.UUID_SHAPE))
     out = rows.select(
@@ -242,7 +243,7 @@ def hub_rows(first: DataFrame, classes: DataFrame, as_of: Column | None) -> Data
     return out.withColumn("created_at", created).drop("staged_created_at")
 
 
-def certificate_rows(resolved: DataFrame, users: DataFrame, as_of: Column | None) -> DataFrame:
+def certificate_rows(resolved: DataFrame, users: DataFrame, as_of: Moment) -> DataFrame:
     rows = lookup(resolved, users, "__created_by", "id", {"owner_id": "id"}, normalise=None)
     return stamped(
         rows.select(
@@ -270,7 +271,7 @@ def certificate_ids(applications: DataFrame, certificates: DataFrame) -> ChangeS
     )
 
 
-def installation_rows(rows: DataFrame, classes: DataFrame, as_of: Column | None) -> DataFrame:
+def installation_rows(rows: DataFrame, classes: DataFrame, as_of: Moment) -> DataFrame:
     found = lookup(rows, classes, class_code("approvedclass"), "alias", {"approved_class_id": "category_id"}, normalise=None)
     return stamped(
         found.select(

@@ -23,7 +23,7 @@ from ledgerlift.operators.dedupe import keep_first
 from ledgerlift.operators.merge import CLEAN_NAME, EXISTING_TEXT, KEEP, constant
 from ledgerlift.operators.profile import funnel
 from ledgerlift.plans import tables as t
-from ledgerlift.plans.common import prepared, stamped, upsert, with_application, with_installation
+from ledgerlift.plans.common import Moment, prepared, stamped, upsert, with_application, with_installation
 from ledgerlift.sources.grid import ROW, rename_aliases, require
 from ledgerlift.sources.store import Workspace
 
@@ -142,7 +142,7 @@ def _by_row(rows: DataFrame, *keys: str) -> DataFrame:
     return keep_first(rows, keys, [F.col(ROW).asc_nulls_last()])
 
 
-def import_supervisors(ws: Workspace, feed: DataFrame, as_of: Column | None = None) -> Workspace:
+def import_supervisors(ws: Workspace, feed: DataFrame, as_of: Moment = None) -> Workspace:
     """Employed experience and the supervisors named in it."""
     required = ["apprefno", "supervisordetail", "voltagelevel", "workperformed", "wfromdate", "wtodate"]
     stage = _experience_stage(feed, required, ["roleandresponsibility", "position"])
@@ -190,7 +190,7 @@ def _supervisor_rows(rows: DataFrame) -> DataFrame:
     return _by_row(rows.filter(F.col("supervisor_detail").isNotNull()).withColumn("id", key), "id")
 
 
-def import_supervisor_details(ws: Workspace, feed: DataFrame, as_of: Column | None = None) -> Workspace:
+def import_supervisor_details(ws: Workspace, feed: DataFrame, as_of: Moment = None) -> Workspace:
     """Supervisors as given, and a project row for self-employed applicants."""
     optional = ["roleandresponsibility", "position", "voltagelevel", "workperformed", "wfromdate", "wtodate"]
     stage = _experience_stage(feed, ["apprefno", "supervisordetail"], optional)
@@ -222,7 +222,7 @@ def supervised_projects(rows: DataFrame) -> DataFrame:
     )
 
 
-def import_self_employed(ws: Workspace, feed: DataFrame, as_of: Column | None = None) -> Workspace:
+def import_self_employed(ws: Workspace, feed: DataFrame, as_of: Moment = None) -> Workspace:
     """Projects of self-employed applicants, each with one custom-details row."""
     columns = ["apprefno", "sno", "sfevoltagelevel", "sfecustomdetails", "projectperformed", "sfefromdate", "sfetodate"]
     feed = require(rename_aliases(prepared(feed), SELF_EMPLOYED_ALIASES), [], columns)
@@ -290,7 +290,7 @@ def self_employed_funnel(ws: Workspace) -> DataFrame:
     )
 
 
-def import_verifications(ws: Workspace, feed: DataFrame, as_of: Column | None = None) -> Workspace:
+def import_verifications(ws: Workspace, feed: DataFrame, as_of: Moment = None) -> Workspace:
     """Education certificates to verify."""
     feed = require(
         prepared(feed), ["apprefno", "institutenameaddress", "award"], ["sno", "fromdate", "todate", "objectid", "filename"]

@@ -12,7 +12,7 @@ from ledgerlift.operators.dedupe import keep_first
 from ledgerlift.operators.joins import fan_out, having, lacking
 from ledgerlift.operators.merge import ACTION, EITHER, INCOMING, KEEP, OVERWRITE, merge_into
 from ledgerlift.plans import tables as t
-from ledgerlift.plans.common import prepared, stamped
+from ledgerlift.plans.common import Moment, prepared, stamped
 from ledgerlift.sources.grid import ROW, MissingColumns, require
 from ledgerlift.sources.store import Workspace
 
@@ -63,7 +63,7 @@ def stage(feed: DataFrame, sector: str) -> DataFrame:
     return feed.select(ROW, *[clean(c).alias(c) for c in (*REQUIRED, *OPTIONAL)], *named)
 
 
-def category_rows(staged: DataFrame, sector: str, sector_id: Column, as_of: Column | None) -> DataFrame:
+def category_rows(staged: DataFrame, sector: str, sector_id: Column, as_of: Moment) -> DataFrame:
     """One category per name of the feed, from its first row."""
     named = staged.filter(F.col("categoryorclass").isNotNull())
     first = keep_first(named, [key_text("categoryorclass")], [F.col(ROW).asc_nulls_last()])
@@ -99,7 +99,7 @@ def merge_categories(categories: DataFrame, source: DataFrame) -> DataFrame:
     return merged.unionByName(rest.withColumn(ACTION, F.lit("keep")))
 
 
-def fee_rows(staged: DataFrame, categories: DataFrame, sector: str, as_of: Column | None) -> DataFrame:
+def fee_rows(staged: DataFrame, categories: DataFrame, sector: str, as_of: Moment) -> DataFrame:
     """Typed fees, one per slot, for every spelling of the category name."""
     live = categories.filter(F.col("deleted_at").isNull())
     rows = fan_out(staged, live, "categoryorclass", "name", {"category_id": "id"})
@@ -160,13 +160,14 @@ def link_variants(categories: DataFrame, fees: DataFrame) -> ChangeSet:
     return ChangeSet(job.candidates, job.untouched, tuple(categories.columns))
 
 
-def import_categories_and_fees(ws: Workspace, feed: DataFrame, sector: str, sector_id: str | None = None, as_of: Column | None = None) -> Workspace:
+def import_categories_and_fees(ws: Workspace, feed: DataFrame, sector: str, sector_id: str | None = None, as_of: Moment = None) -> Workspace:
     """`sector` is the registry's sector name, for example ``ELECTRICITY``."""
+    rows = stage(feed, sector)
     sectors = ws.table("sectors", t.SECTORS)
     if sector_id is None:
         # One value: the id of the sector this upload belongs to.
         sector_id = sectors().filter(key_text("name") == sector.lower()).agg(F.min("id").alias("id")).first()["id"]
-    staged = ws.hold("license_categories", lambda: stage(feed, sector))
+    staged = ws.hold("license_categories", lambda: rows)
     known, charged = ws.table("categories", t.CATEGORIES), ws.table("application_category_fees", t.FEES)
     owner = F.lit(sector_id).cast("string")
     categories = ws.put("categories", lambda: merge_categories(known(), category_rows(staged(), sector, owner, as_of)))

@@ -14,7 +14,7 @@ from ledgerlift.operators.joins import lookup
 from ledgerlift.operators.merge import OVERWRITE
 from ledgerlift.operators.profile import REASON, with_reason
 from ledgerlift.plans import tables as t
-from ledgerlift.plans.common import prepared, stamped, upsert, with_application, with_sector_detail
+from ledgerlift.plans.common import Moment, prepared, stamped, upsert, with_application, with_sector_detail
 from ledgerlift.sources.grid import ROW, require
 from ledgerlift.sources.store import Deferred, Workspace
 
@@ -61,7 +61,7 @@ def _first_per_person(rows: DataFrame, person: str) -> DataFrame:
     return keep_first(rows.filter(F.col(REASON).isNull()), keys, [F.col(ROW).asc_nulls_last()])
 
 
-def import_shareholders(ws: Workspace, feed: DataFrame, countries: DataFrame | None = None, as_of: Column | None = None) -> Workspace:
+def import_shareholders(ws: Workspace, feed: DataFrame, countries: DataFrame | None = None, as_of: Moment = None) -> Workspace:
     feed = require(prepared(feed), ["apprefno", "shname"], SHAREHOLDER_OPTIONAL)
     staged = feed.select(
         ROW,
@@ -102,7 +102,7 @@ def shareholder_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def import_directors(ws: Workspace, feed: DataFrame, countries: DataFrame | None = None, as_of: Column | None = None) -> Workspace:
+def import_directors(ws: Workspace, feed: DataFrame, countries: DataFrame | None = None, as_of: Moment = None) -> Workspace:
     feed = require(prepared(feed), ["apprefno", "name"], DIRECTOR_OPTIONAL)
     staged = feed.select(
         ROW,

@@ -22,7 +22,7 @@ from ledgerlift.operators.merge import EXISTING, KEEP, OVERWRITE, constant
 from ledgerlift.operators.reshape import Pair, unpivot_pairs
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.applications import first_per_number
-from ledgerlift.plans.common import prepared, provision_users, stamped, upsert
+from ledgerlift.plans.common import Moment, prepared, provision_users, stamped, upsert
 from ledgerlift.plans.electrical import certificate_ids
 from ledgerlift.sources.dimensions import id_key
 from ledgerlift.sources.grid import ROW, apply_aliases
@@ -145,7 +145,7 @@ def import_water(
     feed: DataFrame,
     locations: Mapping[str, DataFrame] | None = None,
     default_role: str | None = "DEFAULT ROLE",
-    as_of: Column | None = None,
+    as_of: Moment = None,
 ) -> Workspace:
     staged = ws.hold("water", lambda: stage(feed, locations))
     provision_users(ws, staged, "username", default_role, as_of)
@@ -212,7 +212,7 @@ def detail_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def hub_rows(first: DataFrame, users: DataFrame, as_of: Column | None) -> DataFrame:
+def hub_rows(first: DataFrame, users: DataFrame, as_of: Moment) -> DataFrame:
     rows = lookup(first, users, "username", "username", {"created_by": "id"})
     return stamped(
         rows.select(
@@ -233,7 +233,7 @@ def hub_rows(first: DataFrame, users: DataFrame, as_of: Column | None) -> DataFr
     )
 
 
-def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Column | None) -> DataFrame:
+def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Moment) -> DataFrame:
     rows = first.join(hub.select("application_number", F.col("id").alias("application_id")), "application_number")
     return stamped(
         rows.select(

@@ -22,7 +22,7 @@ class TableStore:
     reader sees the old or the new snapshot and a plan may read a table it is replacing.
     """
 
-    POINTER = "_current"
+    POINTER = "CURRENT"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")

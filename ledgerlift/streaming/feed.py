@@ -23,17 +23,21 @@ def incremental_import(
     store: TableStore,
     plan: Callable[[Workspace, DataFrame], object],
     checkpoint: str,
+    fmt: str = "csv",
+    glob: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Run `plan` for the CSV files of `landing` not seen before, then stop.
+    """Run `plan` for the files of `landing` not seen before, then stop.
 
-    Rows of a batch are ordered by arrival time of their file, then by position in it.
+    Every column is read as text; `glob` restricts the file names.  Rows of a batch are ordered by arrival time of their file, then by position in it.
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
-    reader = spark.readStream.schema(schema).option("header", "true").option("escape", '"')
+    reader = spark.readStream.format(fmt).schema(schema).option("header", "true").option("escape", '"')
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.csv(landing).select(
+    rows = reader.load(landing).select(
         "*",
         F.col("_metadata.file_modification_time").alias("__time"),
         F.col("_metadata.file_path").alias("__file"),

@@ -15,7 +15,7 @@ from workload.registry import Tables, query
 from workload.repairs import _CATEGORIES_SQL, _categories, _zones, uuid_sql
 from workload.scalars import _TYPE_WORD, RENDERED_DATE_SQL, parsed_date_sql, rendered_date
 
-NOW = F.lit("2024-05-01 00:00:00")
+NOW = "2024-05-01 00:00:00"
 
 
 def text(c):
