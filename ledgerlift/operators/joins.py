@@ -18,6 +18,15 @@ from ledgerlift.operators.dedupe import keep_first
 _KEY = "__lookup_key"
 
 
+def spread_nulls(key: Column, columns: Sequence[str]) -> Column:
+    """Second join key that spreads rows without a key over all partitions.
+
+    Such rows match nothing, but an outer join would still send them all to one task.  The
+    spread comes from the row's content, so a retried task puts a row where it was before.
+    """
+    return F.when(key.isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in columns])).otherwise(F.lit(0).cast("bigint"))
+
+
 def _one_per_key(dim: DataFrame, key: Column, take: Mapping[str, ColumnOrName], order: Sequence[Column]) -> DataFrame:
     """(key, taken columns) with one row per key: the least under `order`, by default of the values."""
     values = [col(source).alias(name) for name, source in take.items()]
@@ -51,8 +60,10 @@ def lookup(
         one = dim.select(same(key).alias(_KEY), *[col(s).alias(n) for n, s in take.items()])
     else:
         one = _one_per_key(dim, same(key), take, order)
-    joined = df.join(one.withColumnRenamed(_KEY, "__dim_key"), same(on) == F.col("__dim_key"), "left")
-    joined = joined.drop("__dim_key")
+    dim_side = one.withColumnRenamed(_KEY, "__dim_key").withColumn("__dim_spread", F.lit(0).cast("bigint"))
+    probe = same(on)
+    matches = (probe == F.col("__dim_key")) & (spread_nulls(probe, df.columns) == F.col("__dim_spread"))
+    joined = df.join(dim_side, matches, "left").drop("__dim_key", "__dim_spread")
     if miss == "raw":
         (name,) = take
         return joined.withColumn(name, F.coalesce(F.col(name), col(on)))

@@ -8,6 +8,7 @@ an anti-join of the small source against the keys it matched.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions.people import has_separator
 from ledgerlift.functions.text import blank_to_null, col
+from ledgerlift.operators.joins import spread_nulls
 from ledgerlift.session import fits_broadcast
 
 ACTION = "_action"
@@ -110,14 +112,20 @@ def merge_into(
         """Probe columns, a presence flag, and the side's own columns under a prefix."""
         probe = [match_on[k](F.col(k)).alias(n) if k in match_on else F.col(k).alias(n) for k, n in zip(keys, probes[mark])]
         values = [c if have[c] == types[c] else F.col(c).cast(types[c]).alias(c) for c in have]
-        names = [*probes[mark], f"__{mark}", *[f"__{mark}_{c}" for c in have]]
-        return df.select(*probe, F.lit(True).alias(f"__{mark}"), *values).toDF(*names)
+        names = [*probes[mark], f"__{mark}x", f"__{mark}", *[f"__{mark}_{c}" for c in have]]
+        plain = [F.col(k) for k in keys if k not in match_on]
+        spread = F.lit(0).cast("bigint")
+        if plain and mark == "t":
+            # Target rows without a key match nothing; keep them out of one common task.
+            spread = spread_nulls(functools.reduce(lambda a, b: F.when(b.isNotNull(), a), plain), list(have))
+        return df.select(*probe, spread.alias(f"__{mark}x"), F.lit(True).alias(f"__{mark}"), *values).toDF(*names)
 
     old, new = side(target, old_types, "t"), side(source, new_types, "s")
     condition = F.lit(True)
     for key, a, b in zip(keys, probes["t"], probes["s"]):
         equal = F.col(a).eqNullSafe(F.col(b)) if key in match_on else F.col(a) == F.col(b)
         condition = equal if key == keys[0] else condition & equal
+    spread = F.col("__tx") == F.col("__sx")
 
     inserted, kept = F.col("__t").isNull(), F.col("__s").isNull()
 
@@ -143,9 +151,9 @@ def merge_into(
     action = F.when(inserted, F.lit("insert")).when(kept, F.lit("keep")).otherwise(F.lit(matched)).alias(ACTION)
     output = [*[combined(c) for c in columns], action]
     if mode == "update":
-        return old.join(new, condition, "left").select(*output)
+        return old.join(new, condition & spread, "left").select(*output)
     if plan == "outer" or (plan == "auto" and not fits_broadcast(source)):
-        return old.join(new, condition, "full_outer").select(*output)
+        return old.join(new, condition & spread, "full_outer").select(*output)
 
     here = old.join(new, condition, "left").select(*output)
     known = old.select(*probes["t"]).join(new.select(*probes["s"]), condition, "left_semi").distinct()

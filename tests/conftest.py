@@ -18,6 +18,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "2",
             # Frames of a few rows: compiling a plan would take longer than running it.
+            "spark.sql.adaptive.enabled": "false",
             "spark.sql.codegen.wholeStage": "false",
             "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.driver.memory": "4g",

@@ -206,3 +206,27 @@ def test_missing_within_tolerance_matches_brute_force(spark):
     s, t = spark.createDataFrame(source, "k int, x double"), spark.createDataFrame(target, "tk int, y double")
     found = reconcile.missing_within(s, t, {"k": (F.col("k"), F.col("tk"))}, (F.col("x"), F.col("y")), 0.01)
     assert sorted(tuple(r) for r in found.collect()) == want
+
+
+@pytest.mark.parametrize("plan", ["outer", "in_place"])
+def test_target_rows_without_key_are_kept(frame, values, plan):
+    target = frame("k int, j int, v string", (None, 1, "a"), (None, 1, "a"), (1, None, "b"), (1, 1, "c"))
+    source = frame("k int, j int, v string", (1, 1, "new"))
+    merged = merge.merge_into(target, source, ["k", "j"], plan=plan)
+    assert Counter(values(merged, "v", "_action")) == Counter([("a", "keep"), ("a", "keep"), ("b", "keep"), ("new", "update")])
+
+
+def test_rows_without_key_do_not_share_a_task(spark):
+    """Half of the rows have no key; after a shuffled lookup no partition holds them all."""
+    df = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    dim = spark.range(4000).select(F.col("id").alias("d"), F.lit("x").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        joined = joins.lookup(df, dim, "k", "d", {"v": "v"}, normalise=None)
+        placed = joined.select("k", F.spark_partition_id().alias("p"))
+        sizes = placed.filter("k is null").groupBy("p").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(sizes) == 8 and sum(r["count"] for r in sizes) == 2000
