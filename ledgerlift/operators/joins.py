@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlift.functions.text import ColumnOrName, col, key_text
 from ledgerlift.operators.dedupe import keep_first
 
-_KEY = "__lookup_key"
+_KEY, _KEY_OF_DIM = "__lookup_key", "__dim_key"
 
 
 def spread_nulls(key: Column, columns: Sequence[str]) -> Column:
@@ -27,6 +27,14 @@ def spread_nulls(key: Column, columns: Sequence[str]) -> Column:
     return F.when(key.isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in columns])).otherwise(F.lit(0).cast("bigint"))
 
 
+def no_spread(*keys: ColumnOrName) -> Column:
+    """The other side's second join key: always zero, but not a constant.
+
+    The optimizer would fold a literal into the join condition, and the key would be lost.
+    """
+    return F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
+
+
 def _one_per_key(dim: DataFrame, key: Column, take: Mapping[str, ColumnOrName], order: Sequence[Column]) -> DataFrame:
     """(key, taken columns) with one row per key: the least under `order`, by default of the values."""
     values = [col(source).alias(name) for name, source in take.items()]
@@ -60,7 +68,7 @@ def lookup(
         one = dim.select(same(key).alias(_KEY), *[col(s).alias(n) for n, s in take.items()])
     else:
         one = _one_per_key(dim, same(key), take, order)
-    dim_side = one.withColumnRenamed(_KEY, "__dim_key").withColumn("__dim_spread", F.lit(0).cast("bigint"))
+    dim_side = one.withColumnRenamed(_KEY, "__dim_key").withColumn("__dim_spread", no_spread(_KEY_OF_DIM))
     probe = same(on)
     matches = (probe == F.col("__dim_key")) & (spread_nulls(probe, df.columns) == F.col("__dim_spread"))
     joined = df.join(dim_side, matches, "left").drop("__dim_key", "__dim_spread")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions.people import has_separator
 from ledgerlift.functions.text import blank_to_null, col
-from ledgerlift.operators.joins import spread_nulls
+from ledgerlift.operators.joins import no_spread, spread_nulls
 from ledgerlift.session import fits_broadcast
 
 ACTION = "_action"
@@ -110,15 +110,15 @@ def merge_into(
 
     def side(df: DataFrame, have: Mapping[str, Any], mark: str) -> DataFrame:
         """Probe columns, a presence flag, and the side's own columns under a prefix."""
-        probe = [match_on[k](F.col(k)).alias(n) if k in match_on else F.col(k).alias(n) for k, n in zip(keys, probes[mark])]
+        probe = [match_on[k](F.col(k)) if k in match_on else F.col(k) for k in keys]
         values = [c if have[c] == types[c] else F.col(c).cast(types[c]).alias(c) for c in have]
         names = [*probes[mark], f"__{mark}x", f"__{mark}", *[f"__{mark}_{c}" for c in have]]
         plain = [F.col(k) for k in keys if k not in match_on]
-        spread = F.lit(0).cast("bigint")
+        spread = no_spread(*probe)
         if plain and mark == "t":
             # Target rows without a key match nothing; keep them out of one common task.
             spread = spread_nulls(functools.reduce(lambda a, b: F.when(b.isNotNull(), a), plain), list(have))
-        return df.select(*probe, spread.alias(f"__{mark}x"), F.lit(True).alias(f"__{mark}"), *values).toDF(*names)
+        return df.select(*[p.alias(n) for p, n in zip(probe, probes[mark])], spread.alias(f"__{mark}x"), F.lit(True).alias(f"__{mark}"), *values).toDF(*names)
 
     old, new = side(target, old_types, "t"), side(source, new_types, "s")
     condition = F.lit(True)
