@@ -23,8 +23,11 @@ def spread_nulls(key: Column, columns: Sequence[str]) -> Column:
 
     Such rows match nothing, but an outer join would still send them all to one task.  The
     spread comes from the row's content, so a retried task puts a row where it was before.
+    It looks at the first two columns, row number or id as a rule: taking more would make
+    the scan read columns that nothing else needs.
     """
-    return F.when(key.isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in columns])).otherwise(F.lit(0).cast("bigint"))
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in columns[:2]])
+    return F.when(key.isNull(), content).otherwise(F.lit(0).cast("bigint"))
 
 
 def no_spread(*keys: ColumnOrName) -> Column:
