@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import language_id, simhash
+from ledgerlift.llm import language_id, mixing, secrets, simhash
 from ledgerlift.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir), shingle=3, max_bits=3)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(documents(spark, sf_dir)).drop("key")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     found = language_id.identified(docs.select("doc_id", "text"), language_id.learned(docs))
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op6_mixing, op7_secrets, op9_language_id)}
 ORACLES: dict[str, str] = {}
