@@ -25,6 +25,8 @@ SLOTS = 1 << _SLOT_BITS
 TEXTS_PER_LANGUAGE = 20_000
 MAX_LANGUAGES = 256
 UNDETERMINED = "und"
+#: A document is accepted from this share of all languages' counts on.
+MIN_SCORE = 0.3
 _SLICE = 1 << 19
 
 
@@ -194,3 +196,8 @@ def held_out(doc_id: Column) -> Column:
 def learned(docs: DataFrame) -> LanguageModel:
     """The model of the query and of the pipeline: from the documents that aren't held out."""
     return fit(docs.where(~held_out(F.col("doc_id"))))
+
+
+def accepted(lang_pred: Column, score: Column) -> Column:
+    """True where a language was told with at least MIN_SCORE."""
+    return (lang_pred != UNDETERMINED) & (score >= MIN_SCORE)

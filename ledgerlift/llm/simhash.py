@@ -132,3 +132,18 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(F.col("id").alias(id_col), hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """`df` with one row of each component: that of the smallest id (null first), then of the smallest row hash.
+
+    A row's identity is its id with a hash of all its columns, so repeated ids with other texts are
+    documents of their own and repeated rows are one.
+    """
+    hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
+    row = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).alias("h"))
+    keyed = df.withColumn("__row", row)
+    groups = near_groups(keyed.select("__row", F.col(f"`{text_col}`").alias("t")), "__row", "t", shingle, max_bits)
+    kept = groups.where("__row = component_id").select("__row")
+    # Partial aggregation first: a repeated row is sent once by each task.
+    return keyed.dropDuplicates(["__row"]).join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
