@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import language_id, mixing, packing, secrets, simhash
+from ledgerlift.llm import language_id, mixing, packing, secrets, simhash, sketches
 from ledgerlift.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir), shingle=3, max_bits=3)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.edited_pairs(documents(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack_words(documents(spark, sf_dir))
     return placed.drop("h")
@@ -36,5 +40,5 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op4_best_fit_packing, op6_mixing, op7_secrets, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op3_fingerprints, op4_best_fit_packing, op6_mixing, op7_secrets, op9_language_id)}
 ORACLES: dict[str, str] = {}
