@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import language_id, mixing, packing, secrets, simhash, sketches
+from ledgerlift.llm import language_id, lm_scoring, mixing, packing, secrets, simhash, sketches
 from ledgerlift.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("h")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir))
 
@@ -40,5 +44,5 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op3_fingerprints, op4_best_fit_packing, op6_mixing, op7_secrets, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op3_fingerprints, op4_best_fit_packing, op5_lm_scoring, op6_mixing, op7_secrets, op9_language_id)}
 ORACLES: dict[str, str] = {}
