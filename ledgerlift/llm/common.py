@@ -5,13 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Separators of words: space and the five ASCII controls from tab to carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Texts that go to a Python worker at once, by rows and by bytes.
 ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
+#: Rows that one window of running totals holds.
+CELLS = 1 << 13
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -52,3 +54,14 @@ def word_count(text: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def running_bases(cells: DataFrame, keys: list[str], cell: str, value: str) -> DataFrame:
+    """Adds ``base``, the sum of `value` over the smaller cells of the same keys; no window holds over CELLS cells."""
+    outer = F.floor(F.col(cell) / CELLS).alias("outer")
+    cells = cells.withColumn("outer", outer)
+    sums = cells.groupBy(*keys, "outer").agg(F.sum(value).alias("outer_sum"))
+    before = F.sum("outer_sum").over(Window.partitionBy(*keys).orderBy("outer")) - F.col("outer_sum")
+    within = F.sum(value).over(Window.partitionBy(*keys, "outer").orderBy(cell)) - F.col(value)
+    based = cells.withColumn("within", within).join(sums.withColumn("before", before), [*keys, "outer"])
+    return based.withColumn("base", F.col("before") + F.col("within")).drop("outer", "outer_sum", "before", "within")

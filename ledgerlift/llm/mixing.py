@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import WORD_PATTERN, word_count, written
+from ledgerlift.llm.common import WORD_PATTERN, running_bases, word_count, written
 
 SHARE, MOST, WEIGHTS, SEED = 1.5, 2.0, (3.0, 1.0, 2.0), 17
 #: Words of a block, slots of an output shard, rows that one window numbers.
@@ -44,17 +44,6 @@ def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     return spark.sql(f"SELECT inline(from_json(:rows, 'array<struct<{schema}>>'))", {"rows": json.dumps(rows)})
 
 
-def _bases(cells: DataFrame, keys: list[str], cell: str, value: str) -> DataFrame:
-    """Adds ``base``, the sum of `value` over the smaller cells of the same keys; no window holds over GROUP cells."""
-    outer = F.floor(F.col(cell) / GROUP).alias("outer")
-    cells = cells.withColumn("outer", outer)
-    sums = cells.groupBy(*keys, "outer").agg(F.sum(value).alias("outer_sum"))
-    before = F.sum("outer_sum").over(Window.partitionBy(*keys).orderBy("outer")) - F.col("outer_sum")
-    within = F.sum(value).over(Window.partitionBy(*keys, "outer").orderBy(cell)) - F.col(value)
-    based = cells.withColumn("within", within).join(sums.withColumn("before", before), [*keys, "outer"])
-    return based.withColumn("base", F.col("before") + F.col("within")).drop("outer", "outer_sum", "before", "within")
-
-
 def _cells(spark: SparkSession, bounds: list[tuple[int, float, float]], width: float) -> DataFrame:
     """(cell, s, lo, hi): each interval [lo, hi) under all cells of `width` that it touches."""
     rows = [{"s": s, "lo": lo, "hi": hi} for s, lo, hi in bounds if hi > lo]
@@ -122,7 +111,7 @@ def slots(spark: SparkSession, plan: Plan) -> DataFrame:
     picked = drawn.join(F.broadcast(shares).withColumnRenamed("cell", "cell2"), (F.col("cell") == F.col("cell2")) & (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
     picked = picked.select("slot", "shard", "s")
     counts = picked.groupBy("shard", "s").agg(F.count("*").alias("n"))
-    bases = written(_bases(counts, ["s"], "shard", "n"), "mix-shards")
+    bases = written(running_bases(counts, ["s"], "shard", "n"), "mix-shards")
     got = dict(bases.groupBy("s").agg(F.sum("n")).collect())
     place = F.row_number().over(Window.partitionBy("shard", "s").orderBy("slot")) - 1
     numbered = picked.withColumn("place", place).join(bases.select("shard", "s", "base"), ["shard", "s"])
@@ -168,7 +157,7 @@ def lines(sized: DataFrame, plan: Plan, keys: list[str]) -> DataFrame:
     rows = rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     rows = written(rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(groups))), "mix-lines")
     words = F.col("size") * F.col("copies")
-    totals = _bases(rows.groupBy("s", "bucket").agg(F.sum(words).alias("n")), ["s"], "bucket", "n")
+    totals = running_bases(rows.groupBy("s", "bucket").agg(F.sum(words).alias("n")), ["s"], "bucket", "n")
     within = F.sum(words).over(Window.partitionBy("s", "bucket").orderBy(*keys, "size")) - words
     placed = rows.withColumn("within", within).join(totals.select("s", "bucket", "base"), ["s", "bucket"])
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import language_id, lm_scoring, mixing, packing, secrets, simhash, sketches
+from ledgerlift.llm import language_id, lm_scoring, mixing, packing, secrets, simhash, sketches, token_output
 from ledgerlift.llm.common import documents
 
+#: The file of the tokenizer that op2 encodes with, by its public name.
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -17,6 +19,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir), shingle=3, max_bits=3)
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_output.encoded(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_pairs(documents(spark, sf_dir))
 
@@ -44,5 +52,5 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op3_fingerprints, op4_best_fit_packing, op5_lm_scoring, op6_mixing, op7_secrets, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_token_output, op3_fingerprints, op4_best_fit_packing, op5_lm_scoring, op6_mixing, op7_secrets, op9_language_id)}
 ORACLES: dict[str, str] = {}
