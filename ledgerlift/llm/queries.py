@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import language_id, lm_scoring, mixing, packing, secrets, simhash, sketches, token_output
-from ledgerlift.llm.common import documents
+from ledgerlift.llm import code_search, language_id, lm_scoring, mixing, packing, quality, secrets, simhash, sketches, token_output
+from ledgerlift.llm.common import documents, prepared, written
 
 #: The file of the tokenizer that op2 encodes with, by its public name.
 TOKENIZER = "word_bpe_49k.json"
@@ -46,11 +46,22 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(documents(spark, sf_dir)).drop("key")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classified(documents(spark, sf_dir), labels, F.col("source"), F.col("lang"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     found = language_id.identified(docs.select("doc_id", "text"), language_id.learned(docs))
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_token_output, op3_fingerprints, op4_best_fit_packing, op5_lm_scoring, op6_mixing, op7_secrets, op9_language_id)}
+def op10_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = prepared(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    codes = written(code_search.binary_codes(vectors), "binary-codes")
+    return code_search.nearest(codes, codes.where("id % 50 = 0"), k=10)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_token_output, op3_fingerprints, op4_best_fit_packing, op5_lm_scoring, op6_mixing, op7_secrets, op8_quality_classifier, op9_language_id, op10_code_search)}
 ORACLES: dict[str, str] = {}
