@@ -65,29 +65,27 @@ def _masks(max_bits: int) -> list[int]:
     return [int(np.uint64(sum(c)).view(np.int64)) for c in combinations(blocks, AGREEING)]
 
 
-def _stars(max_bits: int):
-    """Lists of fingerprints -> a spanning star for each component that links within the list make."""
+def _trees(max_bits: int):
+    """Lists of fingerprints -> links that span each component which close pairs make within the list."""
 
-    def stars(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def trees(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         left = np.unique(codes)
         while left.size > 1:
-            root, left, found = left[0], left[1:], []
-            border = [root]
+            border, left = [left[0]], left[1:]
             while border and left.size:
-                close = np.bitwise_count(left ^ border.pop()) <= max_bits
+                here = border.pop()
+                close = np.bitwise_count(left ^ here) <= max_bits
                 if close.any():
-                    found.append(left[close])
+                    yield here, left[close]
                     border.extend(left[close])
                     left = left[~close]
-            if found:
-                yield root, np.concatenate(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
             for codes in batch.column(0):
-                for root, found in stars(codes.values.to_numpy(zero_copy_only=False).view(np.uint64)):
-                    a.append(np.full(found.size, root, np.uint64))
+                for here, found in trees(codes.values.to_numpy(zero_copy_only=False).view(np.uint64)):
+                    a.append(np.full(found.size, here, np.uint64))
                     b.append(found)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], ["a", "b"])
 
@@ -98,8 +96,8 @@ def links(codes: DataFrame, max_bits: int = 3) -> DataFrame:
     """(a, b) links among the distinct fingerprints `fp` of `codes`; their components are those of all close pairs.
 
     Pairs that share a key alone are compared in SQL.  A key of more fingerprints is cut into tiles of
-    bounded size; every two tiles meet in some task, which returns a star for each component it finds
-    instead of all pairs.
+    bounded size; every two tiles meet in some task, which returns a spanning tree of close pairs for
+    each component it finds instead of all pairs.
     """
     keyed = codes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks(max_bits)])).alias("c", "key"))
     sizes = keyed.groupBy("c", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
@@ -110,7 +108,7 @@ def links(codes: DataFrame, max_bits: int = 3) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     tiled = keyed.join(larger, ["c", "key"]).withColumn("i", part).withColumn("j", other)
     tiles = tiled.groupBy("c", "key", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y")).agg(F.collect_list("fp").alias("fps"))
-    return pairs.unionByName(tiles.select("fps").mapInArrow(_stars(max_bits), "a long, b long"))
+    return pairs.unionByName(tiles.select("fps").mapInArrow(_trees(max_bits), "a long, b long"))
 
 
 def hexadecimal(fp: Column) -> Column:
