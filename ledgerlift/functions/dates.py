@@ -82,9 +82,9 @@ def parse_date(
 
 
 def iso_date(c: ColumnOrName) -> Column:
-    """Date from text that starts in ISO form; anything else is NULL."""
+    """Date from ISO text, alone or before a time of day; anything else is NULL."""
     text = F.trim(col(c))
-    return F.when(text.rlike(fixed.ISO_DATE_PREFIX), F.substring(text, 1, 10).try_cast("date"))
+    return F.when(text.rlike(f"{fixed.ISO_DATE_PREFIX}(?:[T ][0-9]{{2}}:.*)?$"), F.substring(text, 1, 10).try_cast("date"))
 
 
 def reminder_date(expiry: ColumnOrName, months: int = 6) -> Column:

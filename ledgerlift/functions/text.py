@@ -53,8 +53,8 @@ def first_present(*columns: ColumnOrName, dialect: str = "general") -> Column:
     return F.coalesce(*[clean(c, dialect) for c in columns])
 
 
-def capped(c: ColumnOrName, length: int = 10_000) -> Column:
-    """Width limit of a target text column (a type rule of the target, not a sample)."""
+def capped(c: ColumnOrName, length: int) -> Column:
+    """Text cut to the width of a target column, for a caller whose target has such a limit."""
     return F.nullif(F.substring(F.trim(col(c)), 1, length), F.lit(""))
 
 

@@ -1,8 +1,8 @@
 """Backfill and repair jobs with one contract: preview counts exactly what apply changes.
 
-A job splits its table by the cheap part of its predicate.  Only rows that may change
-(for example: foreign key present, target column NULL) take part in the join; the rest
-passes through untouched, so a column full of NULL keys never lands in one task.
+A job is one left join of its table with what it looks up.  Rows that may not change (for
+example: no foreign key, target column set) have no key in it and are spread over all tasks,
+so a chain of jobs reads its table once and a column full of NULL keys lands in no one task.
 """
 
 from __future__ import annotations
@@ -24,10 +24,9 @@ CHANGED = "_changed"
 
 @dataclass(frozen=True)
 class ChangeSet:
-    """`candidates` carry ``_changed``; `untouched` is the rest of the table."""
+    """The whole table in its new form; ``_changed`` marks the rows that differ."""
 
     candidates: DataFrame
-    untouched: DataFrame | None
     columns: tuple[str, ...]
 
     def changed(self) -> DataFrame:
@@ -39,8 +38,7 @@ class ChangeSet:
 
     def apply(self) -> DataFrame:
         """The whole table after the job."""
-        done = self.candidates.select(*self.columns)
-        return done if self.untouched is None else done.unionByName(self.untouched.select(*self.columns))
+        return self.candidates.select(*self.columns)
 
 
 def update_where(df: DataFrame, sets: Mapping[str, Column], where: Column) -> ChangeSet:
@@ -51,7 +49,7 @@ def update_where(df: DataFrame, sets: Mapping[str, Column], where: Column) -> Ch
         (F.when(F.col(CHANGED), sets[c]).otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c) if c in sets else F.col(c))
         for c in df.columns
     ]
-    return ChangeSet(marked.select(*out, CHANGED), None, tuple(df.columns))
+    return ChangeSet(marked.select(*out, CHANGED), tuple(df.columns))
 
 
 def backfill(
@@ -78,7 +76,9 @@ def backfill(
     if where is not None:
         eligible = eligible & F.coalesce(where, F.lit(False))
     take = {f"__new_{c}": source for c, source in set_cols.items()}
-    candidates = lookup(child.filter(eligible), parent, fk, pk, take, normalise, order, unique=unique)
+    # A row that may not change looks up nothing: one join over the whole table, which is read once.
+    probe = F.when(eligible, col(fk))
+    candidates = lookup(child, parent, probe, pk, take, normalise, order, unique=unique)
 
     differs, out = F.lit(False), []
     for c in child.columns:
@@ -89,7 +89,7 @@ def backfill(
         value = F.coalesce(F.col(c), new) if only_null else F.coalesce(new, F.col(c))
         differs = differs | ~value.eqNullSafe(F.col(c))
         out.append(value.alias(c))
-    return ChangeSet(candidates.select(*out, differs.alias(CHANGED)), child.filter(~eligible), tuple(child.columns))
+    return ChangeSet(candidates.select(*out, differs.alias(CHANGED)), tuple(child.columns))
 
 
 def chained(child: DataFrame, *steps: Callable[[DataFrame], ChangeSet]) -> DataFrame:
@@ -136,12 +136,10 @@ def user_of_application(applications: DataFrame, users: DataFrame) -> DataFrame:
 
 def repoint_orphans(child: DataFrame, parent: DataFrame, owner: str, fk: str, pk: str, order: Sequence[Column]) -> ChangeSet:
     """Re-point a missing or dangling `fk` to the first parent row of the same owner."""
-    alive = parent.select(F.col(pk).alias("__alive")).distinct()
-    ids = child.join(alive, F.col(fk) == F.col("__alive"), "left")
-    dangling = ids.filter(F.col("__alive").isNull()).drop("__alive")
-    sound = ids.filter(F.col("__alive").isNotNull()).drop("__alive")
-    job = backfill(dangling, parent, owner, owner, {fk: pk}, only_null=False, order=order)
-    return ChangeSet(job.candidates, job.untouched.unionByName(sound), job.columns)
+    alive = parent.select(pk).distinct()
+    flagged = lookup(child, alive, fk, pk, {"__alive": pk}, normalise=None, unique=True)
+    job = backfill(flagged, parent, owner, owner, {fk: pk}, only_null=False, order=order, where=F.col("__alive").isNull())
+    return ChangeSet(job.candidates, tuple(child.columns))
 
 
 def recover_from_siblings(child: DataFrame, siblings: Sequence[DataFrame], shared: str, column: str) -> DataFrame:

@@ -7,6 +7,7 @@ partition across the network.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,10 +59,8 @@ def keep_first_upload(
     df: DataFrame, key: ColumnOrName, row_no: str, row_id: ColumnOrName | None = None
 ) -> DataFrame:
     """First uploaded row per key; rows without a key are all kept (each is its own group)."""
-    order = [F.col(row_no).asc_nulls_last()]
-    if row_id is None:
-        return keep_first(df, [key], order)
-    with_key = keep_first(df.filter(col(key).isNotNull()), [key], order + [col(row_id).asc_nulls_last()])
+    order = [F.col(row_no).asc_nulls_last()] + ([] if row_id is None else [col(row_id).asc_nulls_last()])
+    with_key = keep_first(df.filter(col(key).isNotNull()), [key], order)
     return with_key.unionByName(df.filter(col(key).isNull()))
 
 
@@ -82,6 +81,7 @@ def duplicate_surplus(df: DataFrame, keys: Sequence[str], surplus_as: str = "sur
 
 
 def duplicate_listing(df: DataFrame, keys: Sequence[str], count_as: str = "copies") -> DataFrame:
-    """Every row whose key occurs more than once, with the number of copies."""
-    repeated = key_counts(df, keys, count_as).filter(F.col(count_as) > 1)
-    return df.join(repeated, list(keys), "inner")
+    """Every row whose key occurs more than once, with the number of copies; NULL equals NULL."""
+    repeated = key_counts(df, keys, count_as).filter(F.col(count_as) > 1).withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return df.join(repeated, same, "inner").drop(*[f"__k_{k}" for k in keys])

@@ -18,15 +18,19 @@ from ledgerlift.operators.dedupe import keep_first
 _KEY, _KEY_OF_DIM = "__lookup_key", "__dim_key"
 
 
+#: Columns that tell rows apart, as a rule: the spread needs no other where one is there.
+_IDENTITY = ("_row", "id")
+
+
 def spread_nulls(key: Column, columns: Sequence[str]) -> Column:
     """Second join key that spreads rows without a key over all partitions.
 
     Such rows match nothing, but an outer join would still send them all to one task.  The
     spread comes from the row's content, so a retried task puts a row where it was before.
-    It looks at the first two columns, row number or id as a rule: taking more would make
-    the scan read columns that nothing else needs.
+    A row number or id is enough and keeps the scan narrow; without one, all columns count.
     """
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in columns[:2]])
+    known = [c for c in columns if c in _IDENTITY]
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in known or columns])
     return F.when(key.isNull(), content).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -39,10 +43,12 @@ def no_spread(*keys: ColumnOrName) -> Column:
 
 
 def _one_per_key(dim: DataFrame, key: Column, take: Mapping[str, ColumnOrName], order: Sequence[Column]) -> DataFrame:
-    """(key, taken columns) with one row per key: the least under `order`, by default of the values."""
+    """(key, taken columns) with one row per key: the least under `order`, by default of the values, missing ones last."""
     values = [col(source).alias(name) for name, source in take.items()]
     if not order:
-        keyed = dim.select(key.alias(_KEY), F.struct(*values).alias("__v")).filter(F.col(_KEY).isNotNull())
+        # A missing value ranks behind any other, so an empty row never hides a filled one.
+        ranked = [x for name, source in take.items() for x in (col(source).isNull().alias(f"__no_{name}"), col(source).alias(name))]
+        keyed = dim.select(key.alias(_KEY), F.struct(*ranked).alias("__v")).filter(F.col(_KEY).isNotNull())
         least = keyed.groupBy(_KEY).agg(F.min("__v").alias("__v"))
         return least.select(_KEY, *[F.col(f"__v.{name}").alias(name) for name in take])
     ranked = dim.withColumn(_KEY, key).filter(F.col(_KEY).isNotNull())
@@ -158,24 +164,18 @@ def lookup_hot(
     on: str,
     key: str,
     take: Mapping[str, ColumnOrName],
-    hot_share: float = 0.001,
+    parts: int = 16,
 ) -> DataFrame:
     """`lookup` for a large dimension when a few keys of `df` dominate.
 
-    Keys holding more than `hot_share` of all rows number at most ``1 / hot_share``, so
-    their dimension rows are a bounded set and are broadcast; those rows of `df` are not
-    shuffled at all.  All other keys take the ordinary shuffled join, and rows without a
-    key, which can match nothing, join neither.
+    Every row of `df` draws one of `parts` numbers from its content, and a dimension row is
+    there once for each of them: a key's rows meet in up to `parts` tasks.  Both sides are
+    read once, whichever keys are hot; it costs `parts` times the dimension's shuffle.
     """
     one = _one_per_key(dim, col(key), take, ())
-    keyed = df.filter(F.col(on).isNotNull())
-    counts = keyed.groupBy(F.col(on).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("__total"))
-    hot = counts.crossJoin(F.broadcast(total)).filter(F.col("__n") > F.col("__total") * hot_share).select("__hot")
-    hot_rows = F.broadcast(one.join(F.broadcast(hot), F.col(_KEY) == F.col("__hot"), "left_semi"))
-    is_hot = keyed.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left_semi")
-    is_cold = keyed.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left_anti")
-    parts = [part.join(side, F.col(on) == F.col(_KEY), "left").drop(_KEY) for part, side in ((is_hot, hot_rows), (is_cold, one))]
-    fields = {f.name: f.dataType for f in parts[0].schema}
-    unmatched = df.filter(F.col(on).isNull()).select("*", *[F.lit(None).cast(fields[n]).alias(n) for n in take])
-    return parts[0].unionByName(parts[1]).unionByName(unmatched)
+    spread = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__part")
+    side = one.select(F.col(_KEY).alias(_KEY_OF_DIM), *take, spread)
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    mine = F.when(F.col(on).isNull(), content).otherwise(F.pmod(content, F.lit(parts)))
+    matches = (F.col(on) == F.col(_KEY_OF_DIM)) & (mine == F.col("__part"))
+    return df.join(side, matches, "left").drop(_KEY_OF_DIM, "__part")

@@ -1,9 +1,9 @@
 """Merge (upsert) of a source into a target under a policy per column.
 
-Two plans give the same rows.  In general both sides meet in one full outer join on the
-key.  When the planner would broadcast the source anyway (a small upload into a large
-table), the target is left-joined in place and is not shuffled; rows to insert come from
-an anti-join of the small source against the keys it matched.
+Two plans give the same rows, and the caller says which.  ``outer``: both sides meet in one
+full outer join on the key.  ``in_place``, for a small stored source and a large target: the
+target is left-joined, so that it need not be shuffled, and rows to insert come from an
+anti-join of the source against the keys it matched; the source is read three times.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ledgerlift.functions.people import has_separator
 from ledgerlift.functions.text import blank_to_null, col
 from ledgerlift.operators.joins import no_spread, spread_nulls
-from ledgerlift.session import fits_broadcast
 
 ACTION = "_action"
 Rule = Callable[[Column, Column], Column]
@@ -58,15 +57,25 @@ class DuplicateKeys(ValueError):
     pass
 
 
-def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise unless every key of `source` occurs once and none of its columns is NULL.
+def check_unique(
+    source: DataFrame,
+    keys: Sequence[str],
+    match_on: Mapping[str, Callable[[Column], Column]] | None = None,
+    fold: Mapping[str, Callable[[Column], Column]] | None = None,
+) -> None:
+    """Raise unless every key of `source` occurs once, in the form that is matched, and none is NULL.
 
-    One map-side combined aggregation; only two numbers reach the driver.
+    NULL is allowed where `match_on` makes it a value like any other.  One map-side combined
+    aggregation; only two numbers reach the driver.
     """
-    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    match_on = match_on or {}
+    compared = {**match_on, **(fold or {})}
+    forms = [(compared[k](F.col(k)) if k in compared else F.col(k)).alias(f"__u{i}") for i, k in enumerate(keys)]
+    counts = source.groupBy(*forms).agg(F.count(F.lit(1)).alias("__n"))
     missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
+    for i, key in enumerate(keys):
+        if key not in match_on:
+            missing = missing | F.col(f"__u{i}").isNull()
     row = counts.agg(
         F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n") - 1)), F.lit(0)).alias("surplus"),
         F.coalesce(F.sum(F.when(missing, F.col("__n"))), F.lit(0)).alias("missing"),
@@ -84,24 +93,30 @@ def merge_into(
     mode: str = "upsert",
     match_on: Mapping[str, Callable[[Column], Column]] | None = None,
     unique_source: bool = False,
-    plan: str = "auto",
+    plan: str = "outer",
+    fold: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """Target rows after the merge, plus ``_action``: insert, update or keep.
 
     * ``mode``: ``upsert``, ``insert`` (matched rows stay as they are) or ``update``.
     * ``match_on``: key column -> expression compared instead of the raw value; such keys
       match NULL to NULL.
+    * ``fold``: the same for keys whose NULL matches nothing, for example a number that
+      counts without regard to case.
     * ``unique_source``: the caller guarantees one source row per key (it has just been
       de-duplicated); otherwise that is checked with one aggregation job.
-    * ``plan``: ``auto``, ``outer`` or ``in_place``.
+    * ``plan``: ``outer`` or ``in_place``.
 
     Columns only one side has are kept; the other side contributes NULL.
     """
     if mode not in ("upsert", "insert", "update"):
         raise ValueError(f"unknown mode: {mode}")
-    if not unique_source and match_on is None:
-        check_unique(source, keys)
+    if plan not in ("outer", "in_place"):
+        raise ValueError(f"unknown plan: {plan}")
+    if not unique_source:
+        check_unique(source, keys, match_on, fold)
     policy, match_on = dict(policy or {}), dict(match_on or {})
+    forms = match_on | dict(fold or {})
     old_types = {f.name: f.dataType for f in target.schema.fields}
     new_types = {f.name: f.dataType for f in source.schema.fields}
     types = new_types | old_types
@@ -110,10 +125,10 @@ def merge_into(
 
     def side(df: DataFrame, have: Mapping[str, Any], mark: str) -> DataFrame:
         """Probe columns, a presence flag, and the side's own columns under a prefix."""
-        probe = [match_on[k](F.col(k)) if k in match_on else F.col(k) for k in keys]
+        probe = [forms[k](F.col(k)) if k in forms else F.col(k) for k in keys]
         values = [c if have[c] == types[c] else F.col(c).cast(types[c]).alias(c) for c in have]
         names = [*probes[mark], f"__{mark}x", f"__{mark}", *[f"__{mark}_{c}" for c in have]]
-        plain = [F.col(k) for k in keys if k not in match_on]
+        plain = [p for k, p in zip(keys, probe) if k not in match_on]
         spread = no_spread(*probe)
         if plain and mark == "t":
             # Target rows without a key match nothing; keep them out of one common task.
@@ -152,7 +167,7 @@ def merge_into(
     output = [*[combined(c) for c in columns], action]
     if mode == "update":
         return old.join(new, condition & spread, "left").select(*output)
-    if plan == "outer" or (plan == "auto" and not fits_broadcast(source)):
+    if plan == "outer":
         return old.join(new, condition & spread, "full_outer").select(*output)
 
     here = old.join(new, condition, "left").select(*output)

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.operators.joins import lookup
+
 SNAPSHOT = ("table_name", "row_id", "application_id", "old_created_by", "old_username", "old_owner_id")
 
 
@@ -47,7 +49,12 @@ def resolve_mapping(requests: DataFrame, applications: DataFrame, users: DataFra
 
 def _affected(df: DataFrame, kind: OwnedTable, mapping: DataFrame, how: str) -> DataFrame:
     renamed = mapping.withColumnRenamed("application_id", "__aid")
-    joined = df.join(renamed, F.col(kind.application) == F.col("__aid"), how)
+    if how == "inner":
+        joined = df.join(renamed, F.col(kind.application) == F.col("__aid"), how)
+    else:
+        # Rows without an application are spread: they match nothing.
+        take = {c: c for c in renamed.columns}
+        joined = lookup(df, renamed, kind.application, "__aid", take, normalise=None, unique=True)
     if kind.only_owned and kind.created_by:
         return joined.withColumn("__hit", F.col("__aid").isNotNull() & F.col(kind.created_by).isNotNull())
     return joined.withColumn("__hit", F.col("__aid").isNotNull())
@@ -94,7 +101,8 @@ def restore(tables: Mapping[str, tuple[DataFrame, OwnedTable]], snapshot: DataFr
     restored = {}
     for name, (df, kind) in tables.items():
         old = snapshot.filter(F.col("table_name") == name).select("row_id", *SNAPSHOT[3:])
-        joined = df.join(old, F.col(kind.row_id).cast("string") == F.col("row_id"), "left")
+        take = {c: c for c in old.columns}
+        joined = lookup(df, old, F.col(kind.row_id).cast("string"), "row_id", take, normalise=None, unique=True)
         back = {kind.created_by: "old_created_by", kind.username: "old_username", kind.owner_id: "old_owner_id"}
         restored[name] = joined.select(
             *[

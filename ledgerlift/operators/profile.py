@@ -68,7 +68,7 @@ def skip_report(df: DataFrame, reasons: Sequence[str], prefix: str = "skipped_")
     )
 
 
-def reason_samples(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataFrame:
+def reason_samples(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """First `n` rows of each skip reason (a report feature)."""
     return top_rows(df.filter(F.col(REASON).isNotNull()), [REASON], order, n, rank_as="sample_no")
 
@@ -83,10 +83,10 @@ def mapping_stats(df: DataFrame, pairs: Mapping[str, tuple[ColumnOrName, ColumnO
     return df.agg(*counts)
 
 
-def unmapped_values(df: DataFrame, raw: ColumnOrName, resolved: ColumnOrName, n: int = 20) -> DataFrame:
-    """Least `n` distinct raw values that did not resolve (a report feature)."""
-    values = df.filter(col(raw).isNotNull() & col(resolved).isNull()).select(col(raw).alias("value")).distinct()
-    return values.orderBy("value").limit(n)
+def unmapped_values(df: DataFrame, raw: ColumnOrName, resolved: ColumnOrName, n: int | None = None) -> DataFrame:
+    """Distinct raw values that did not resolve; the least `n` of them on request."""
+    values = df.filter(col(raw).isNotNull() & col(resolved).isNull()).select(col(raw).alias("value")).distinct().orderBy("value")
+    return values if n is None else values.limit(n)
 
 
 def funnel(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:

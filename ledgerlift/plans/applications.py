@@ -19,6 +19,7 @@ from ledgerlift.functions import (
     stable_key,
 )
 from ledgerlift.functions import fixed_values as fixed
+from ledgerlift.functions.text import ColumnOrName
 from ledgerlift.operators.dedupe import duplicate_surplus, keep_first
 from ledgerlift.operators.joins import having, lookup, replace_ids
 from ledgerlift.operators.merge import KEEP, OVERWRITE, constant
@@ -178,6 +179,8 @@ def import_applications(
     provision_users(ws, staged, "username", default_role, as_of)
     categories = provision_categories(ws, staged, sector, as_of)
     sectors = ws.table("sectors", t.SECTORS)
+    known = ws.table("applications", t.APPLICATIONS)
+    rows = ws.hold("applications_resolved", lambda: approved_rows(first(), known()))
     hub = upsert(
         ws,
         "applications",
@@ -194,7 +197,6 @@ def import_applications(
         keys=["application_number"],
         policy={"application_id": OVERWRITE, "license_type": OVERWRITE, "category_license_type": OVERWRITE},
     )
-    rows = ws.hold("applications_resolved", lambda: approved_rows(first(), hub()))
     statuses = ws.table("application_legal_status", t.LEGAL_STATUS)
     upsert(ws, "application_sector_details", t.SECTOR_DETAILS, lambda: detail_rows(rows(), statuses(), as_of))
     facts = ("document_name", "file_name", "documents_order", "logic_doc_id", "application_sector_detail_id")
@@ -207,15 +209,30 @@ def import_applications(
     return ws
 
 
-def first_per_number(staged: DataFrame) -> DataFrame:
+def first_per_number(staged: DataFrame, key: ColumnOrName = "application_number") -> DataFrame:
+    """The first row of each application; `key` is what makes two numbers the same."""
     numbered = staged.filter(F.col("application_number").isNotNull())
-    return keep_first(numbered, ["application_number"], [F.col(ROW).asc_nulls_last()])
+    return keep_first(numbered, [key], [F.col(ROW).asc_nulls_last()])
 
 
-def approved_rows(first: DataFrame, hub: DataFrame) -> DataFrame:
-    """Staged rows with the id their application has in the hub, whether new or known before."""
-    approved = hub.filter(F.col("approval_no").isNotNull()).select(F.col("id").alias("application_id"), "application_number")
-    return first.join(approved, "application_number")
+def resolved_id(rows: DataFrame, known: DataFrame, take: Mapping[str, str]) -> DataFrame:
+    """Staged rows with ``application_id`` and columns of the hub as it was before this import.
+
+    A known application keeps its id and a new one derives it from its number, so the children
+    of an upload depend on the old hub only and never repeat its merge.
+    """
+    found = lookup(rows, known, "application_number", "application_number", {"__id": "id", **take}, normalise=None, unique=True)
+    return found.withColumn("application_id", F.coalesce("__id", _application_key()))
+
+
+def _application_key() -> Column:
+    return stable_key(F.lit("application"), "application_number")
+
+
+def approved_rows(first: DataFrame, known: DataFrame) -> DataFrame:
+    """Staged rows of applications that have an approval number, staged or known, with their id."""
+    rows = resolved_id(first, known, {"__approval": "approval_no"})
+    return rows.filter(F.coalesce("approval_no", "__approval").isNotNull()).drop("__id", "__approval")
 
 
 def provision_categories(ws: Workspace, staged: Deferred, sector: str, as_of: Moment) -> Deferred:
@@ -251,7 +268,7 @@ def hub_rows(first: DataFrame, categories: DataFrame, sectors: DataFrame, zones:
         rows = lookup(rows, zones, "region", "region", {"zone_id": "zone_id"})
     return stamped(
         rows.select(
-            stable_key(F.lit("application"), "application_number").alias("id"),
+            _application_key().alias("id"),
             "application_number",
             application_type("application_type").alias("application_type"),
             "approval_no",
@@ -361,6 +378,6 @@ def application_report(ws: Workspace, before: DataFrame) -> DataFrame:
     return report
 
 
-def staged_fill_rate(ws: Workspace, worst: int = 30) -> DataFrame:
+def staged_fill_rate(ws: Workspace, worst: int | None = None) -> DataFrame:
     staged = ws.staged["applications"]
     return fill_rate(staged, [c for c in staged.columns if c != ROW and not c.startswith("__doc_")], worst)

@@ -51,8 +51,7 @@ def upsert(
 ) -> Deferred:
     """Merge de-duplicated rows into a table of the workspace."""
     rules = {**AUDIT_POLICY, **({} if "id" in keys else {"id": KEEP}), **(policy or {})}
-    # Without a store the source is a lazy plan: read it once rather than once per branch.
-    options = {"unique_source": True, "plan": "auto" if ws.store else "outer"} | options
+    options = {"unique_source": True} | options
     target = ws.table(name, schema)
     return ws.put(name, lambda: merge_into(target(), source(), list(keys), rules, default, mode, **options))
 

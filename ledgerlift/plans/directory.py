@@ -60,7 +60,8 @@ def category_upload_report(ws: Workspace) -> DataFrame:
 def import_users(ws: Workspace, feed: DataFrame, skip_existing: bool = False, keep_password: bool = False, as_of: Moment = None) -> Workspace:
     """Users, their roles and the assignment; the last upload of a user name counts.
 
-    Passwords are dropped unless the caller opts in.
+    A user name is the same whatever its case and blanks: for the last upload, for matching a
+    known user, for the id and for the roles.  Passwords are dropped unless the caller opts in.
     """
     feed = require(prepared(feed), USER_COLUMNS)
     kept = [c for c in USER_COLUMNS if keep_password or c != "password"]
@@ -81,13 +82,14 @@ def import_users(ws: Workspace, feed: DataFrame, skip_existing: bool = False, ke
         policy=policy,
         default=OVERWRITE,
         mode="insert" if skip_existing else "upsert",
+        fold={"username": key_text},
     )
     ws.put("user_roles", lambda: role_assignments(held(), rows(), users(), roles()))
     return ws
 
 
 def user_rows(rows: DataFrame, keep_password: bool) -> DataFrame:
-    return keep_last_upload(rows, ["username"], ROW).select(
+    return keep_last_upload(rows, [key_text("username")], ROW).select(
         stable_key(F.lit("user"), key_text("username")).alias("id"),
         joined("firstname", "lastname").alias("full_name"),
         "username",
@@ -106,8 +108,9 @@ def user_rows(rows: DataFrame, keep_password: bool) -> DataFrame:
 
 def role_assignments(user_roles: DataFrame, rows: DataFrame, users: DataFrame, roles: DataFrame) -> DataFrame:
     """Distinct (user, role) pairs of the feed that are not assigned yet, added."""
-    asked = rows.select("username", key_text("role").alias("__role")).distinct()
-    pairs = asked.join(users.select("username", F.col("id").alias("user_id")), "username")
+    asked = rows.select(key_text("username").alias("__user"), key_text("role").alias("__role")).distinct()
+    known = users.select(key_text("username").alias("__known"), F.col("id").alias("user_id"))
+    pairs = asked.join(known, F.col("__user") == F.col("__known"))
     pairs = lookup(pairs, roles, "__role", "name", {"role_id": "id"}).filter(F.col("role_id").isNotNull())
     fresh = lacking(pairs.select("user_id", "role_id").distinct(), user_roles, [("user_id", "user_id"), ("role_id", "role_id")])
     return user_roles.select("user_id", "role_id", F.lit("keep").alias(ACTION)).unionByName(

@@ -26,7 +26,7 @@ from ledgerlift.operators.joins import either_key, lookup, replace_ids
 from ledgerlift.operators.merge import EXISTING, KEEP, OVERWRITE, constant
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.plans import tables as t
-from ledgerlift.plans.applications import first_per_number
+from ledgerlift.plans.applications import first_per_number, resolved_id
 from ledgerlift.plans.common import Moment, moment, prepared, provision_users, stamped, upsert
 from ledgerlift.session import fixed_rows
 from ledgerlift.sources.dimensions import id_key
@@ -149,6 +149,8 @@ def import_installations(
     classes = ensure_classes(ws, as_of)
     provision_users(ws, staged, "username", default_role, as_of)
     first = ws.hold("installations_first", lambda: first_per_number(staged()))
+    before = ws.table("applications", t.APPLICATIONS)
+    rows = ws.hold("installations_resolved", lambda: resolved_rows(first(), before()))
 
     hub = upsert(
         ws,
@@ -164,7 +166,6 @@ def import_installations(
         },
         default=EXISTING,
     )
-    rows = ws.hold("installations_resolved", lambda: resolved_rows(first(), hub()))
     users = ws.table("users", t.USERS)
     certificates = upsert(
         ws,
@@ -199,16 +200,19 @@ def import_installations(
     return ws
 
 
-def resolved_rows(first: DataFrame, hub: DataFrame) -> DataFrame:
-    """Staged rows with what the hub knows about their application, and the installation key."""
-    known = hub.select(
-        "application_number",
-        F.col("id").alias("application_id"),
-        F.col("license_type").alias("__license_type"),
-        F.col("category_license_type").alias("__category_license_type"),
-        F.col("created_by").alias("__created_by"),
+def resolved_rows(first: DataFrame, before: DataFrame) -> DataFrame:
+    """Staged rows with what the hub has, or gets, for their application, and the installation key."""
+    take = {"__old_type": "license_type", "__old_category_type": "category_license_type", "__created_by": "created_by"}
+    rows = resolved_id(first, before, take)
+    new = F.col("__id").isNull()
+    return rows.select(
+        *first.columns,
+        "application_id",
+        F.when(new, F.lit(fixed.INSTALLATION_LICENSE)).otherwise(F.col("__old_type")).alias("__license_type"),
+        F.when(new, F.lit("OPERATIONAL")).otherwise(F.col("__old_category_type")).alias("__category_license_type"),
+        "__created_by",
+        stable_key("application_id", F.lit("aei")).alias("__aei"),
     )
-    return first.join(known, "application_number").withColumn("__aei", stable_key("application_id", F.lit("aei")))
 
 
 def self_employed_rows(rows: DataFrame) -> DataFrame:

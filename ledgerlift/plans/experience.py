@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions import (
     bare_name,
-    capped,
     clean,
     email_in,
     experience_key,
@@ -273,7 +272,7 @@ def custom_detail_rows(first: DataFrame) -> DataFrame:
         stable_key("id", F.lit("custom_details")).alias("id"),
         "application_id",
         F.col("id").alias("self_employed_details_id"),
-        capped("custom_details").alias("name"),
+        F.nullif(F.trim("custom_details"), F.lit("")).alias("name"),
     )
 
 

@@ -9,7 +9,7 @@ from ledgerlift.functions import blank_to_null, capacity_unit, cast_or, clean, k
 from ledgerlift.functions import fixed_values as fixed
 from ledgerlift.operators.backfill import ChangeSet, backfill
 from ledgerlift.operators.dedupe import keep_first
-from ledgerlift.operators.joins import fan_out, having, lacking
+from ledgerlift.operators.joins import fan_out, having, lacking, lookup
 from ledgerlift.operators.merge import ACTION, EITHER, INCOMING, KEEP, OVERWRITE, merge_into
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.common import Moment, prepared, stamped
@@ -153,11 +153,11 @@ def link_variants(categories: DataFrame, fees: DataFrame) -> ChangeSet:
     """Point a category without fees to a spelling of the same name that has them."""
     live = fees.filter(F.col("deleted_at").isNull())
     charged = live.select(F.col("category_id").alias("__charged")).distinct()
-    flagged = categories.join(charged, F.col("id") == F.col("__charged"), "left")
+    flagged = lookup(categories, charged, "id", "__charged", {"__charged": "__charged"}, normalise=None, unique=True)
     priced = having(categories.filter(F.col("deleted_at").isNull()), live, [("id", "category_id")])
     empty = F.col("__charged").isNull() & F.col("deleted_at").isNull()
     job = backfill(flagged, priced, "name", "name", {"fees_category_id": "id"}, normalise=key_text, where=empty)
-    return ChangeSet(job.candidates, job.untouched, tuple(categories.columns))
+    return ChangeSet(job.candidates, tuple(categories.columns))
 
 
 def import_categories_and_fees(ws: Workspace, feed: DataFrame, sector: str, sector_id: str | None = None, as_of: Moment = None) -> Workspace:

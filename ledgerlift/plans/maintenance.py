@@ -64,10 +64,10 @@ def certificate_by_approval(applications: DataFrame, certificates: DataFrame) ->
 def reminder_dates(applications: DataFrame, categories: DataFrame) -> ChangeSet:
     """Licence categories: reminder six months before expiry where none is set."""
     licences = categories.filter(F.col("category_type") == "License").select("id").distinct()
-    flagged = applications.join(licences.withColumnRenamed("id", "__licence"), F.col("category_id") == F.col("__licence"), "left")
+    flagged = lookup(applications, licences, "category_id", "id", {"__licence": "id"}, normalise=None, unique=True)
     where = F.col("__licence").isNotNull() & F.col("intimate_date").isNull() & F.col("expire_date").isNotNull()
     job = update_where(flagged, {"intimate_date": reminder_date("expire_date")}, where)
-    return ChangeSet(job.candidates, job.untouched, tuple(applications.columns))
+    return ChangeSet(job.candidates, tuple(applications.columns))
 
 
 def certificate_sector(certificates: DataFrame, applications: DataFrame, categories: DataFrame, sectors: DataFrame) -> ChangeSet:
@@ -104,7 +104,7 @@ def sync_license_types(applications: DataFrame, categories: DataFrame, sectors:
     sets = {"license_type": F.col("__new"), "category_license_type": F.lit("OPERATIONAL")}
     differs = ~F.col("__new").eqNullSafe(F.col("license_type")) | ~F.col("category_license_type").eqNullSafe("OPERATIONAL")
     job = update_where(rows, sets, F.col("__s").isNotNull() & differs)
-    return ChangeSet(job.candidates, job.untouched, tuple(applications.columns))
+    return ChangeSet(job.candidates, tuple(applications.columns))
 
 
 def license_type_breakdown(applications: DataFrame, categories: DataFrame, sectors: DataFrame) -> DataFrame:
@@ -115,14 +115,12 @@ def license_type_breakdown(applications: DataFrame, categories: DataFrame, secto
 
 def sync_certificate_types(certificates: DataFrame, applications: DataFrame) -> ChangeSet:
     """Certificates copy the licence type of their application, NULL included, where it differs."""
-    source = applications.select(
-        F.col("id").alias("__a"), F.col("license_type").alias("__lt"), F.col("category_license_type").alias("__clt")
-    )
-    rows = certificates.join(source, F.col("application_id") == F.col("__a"), "left")
+    take = {"__a": "id", "__lt": "license_type", "__clt": "category_license_type"}
+    rows = lookup(certificates, applications, "application_id", "id", take, normalise=None, unique=True)
     differs = ~F.col("license_type").eqNullSafe(F.col("__lt")) | ~F.col("category_license_type").eqNullSafe(F.col("__clt"))
     sets = {"license_type": F.col("__lt"), "category_license_type": F.col("__clt")}
     job = update_where(rows, sets, F.col("__a").isNotNull() & differs)
-    return ChangeSet(job.candidates, job.untouched, tuple(certificates.columns))
+    return ChangeSet(job.candidates, tuple(certificates.columns))
 
 
 def region_names(contacts: DataFrame, regions: DataFrame) -> ChangeSet:
@@ -156,17 +154,24 @@ def owners_from_creators(certificates: DataFrame, applications: DataFrame, users
     return backfill(certificates, valid, "application_id", "id", {"owner_id": "created_by"})
 
 
+_LOCATION = ("region", "district", "street", "ward")
+
+
+def _located(details: DataFrame) -> DataFrame:
+    """Per application, the least value of each location column that any of its details has."""
+    return details.groupBy("application_id").agg(*[F.min(c).alias(c) for c in _LOCATION])
+
+
 def location_jobs(applications: DataFrame, details: DataFrame) -> ChangeSet:
-    fields = {c: c for c in ("region", "district", "street", "ward")}
-    return backfill(applications, details, "id", "application_id", fields)
+    """Missing location columns, each from whichever detail of the application knows it."""
+    return backfill(applications, _located(details), "id", "application_id", {c: c for c in _LOCATION}, unique=True)
 
 
 def location_preview(applications: DataFrame, details: DataFrame) -> DataFrame:
     """Rows to fill per location column, and rows affected at all."""
-    fields = ("region", "district", "street", "ward")
-    take = {f"__{c}": c for c in fields}
-    rows = lookup(applications, details, "id", "application_id", take, normalise=None)
-    gaps = {c: F.col(c).isNull() & F.col(f"__{c}").isNotNull() for c in fields}
+    take = {f"__{c}": c for c in _LOCATION}
+    rows = lookup(applications, _located(details), "id", "application_id", take, normalise=None, unique=True)
+    gaps = {c: F.col(c).isNull() & F.col(f"__{c}").isNotNull() for c in _LOCATION}
     any_gap = F.lit(False)
     for gap in gaps.values():
         any_gap = any_gap | gap
@@ -192,7 +197,7 @@ def enforce_migrated(applications: DataFrame, staged: DataFrame, classes: DataFr
     )
     sets: dict[str, Column] = {"status": F.lit("APPROVED"), "is_migrated": F.lit(True), "category_id": category}
     job = update_where(rows, sets, F.col("__hit") & differs)
-    return ChangeSet(job.candidates, job.untouched, tuple(applications.columns))
+    return ChangeSet(job.candidates, tuple(applications.columns))
 
 
 @dataclass(frozen=True)

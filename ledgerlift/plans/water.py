@@ -16,6 +16,7 @@ from ledgerlift.functions import (
     stable_key,
     water_application_type,
 )
+from ledgerlift.functions.text import ColumnOrName, col
 from ledgerlift.operators.backfill import ChangeSet, backfill, user_of_application
 from ledgerlift.operators.joins import lookup, replace_ids
 from ledgerlift.operators.merge import EXISTING, KEEP, OVERWRITE, constant
@@ -136,8 +137,13 @@ def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None) ->
     return replace_ids(cleaned, ("region", "district", "ward"), locations or {}, id_key)
 
 
+def number_key(number: ColumnOrName) -> Column:
+    """How application numbers of this feed compare, and what the ids are made of: without regard to case."""
+    return F.lower(col(number))
+
+
 def _key(kind: str) -> Column:
-    return stable_key(F.lit(f"WATER_{kind}"), F.lower("application_number"), sep=":")
+    return stable_key(F.lit(f"WATER_{kind}"), number_key("application_number"), sep=":")
 
 
 def import_water(
@@ -149,8 +155,10 @@ def import_water(
 ) -> Workspace:
     staged = ws.hold("water", lambda: stage(feed, locations))
     provision_users(ws, staged, "username", default_role, as_of)
-    first = ws.hold("water_first", lambda: first_per_number(staged()))
-    users = ws.table("users", t.USERS)
+    first = ws.hold("water_first", lambda: first_per_number(staged(), number_key("application_number")))
+    users, known = ws.table("users", t.USERS), ws.table("applications", t.APPLICATIONS)
+    rows = ws.hold("water_resolved", lambda: resolved_rows(first(), known()))
+    same = {"application_number": number_key}
     merged = upsert(
         ws,
         "applications",
@@ -158,18 +166,19 @@ def import_water(
         lambda: hub_rows(first(), users(), as_of),
         keys=["application_number"],
         policy={"created_by": EXISTING, "category_license_type": KEEP, "username": KEEP, "is_migrated": KEEP},
+        fold=same,
     )
     hub = ws.replace("applications", lambda: creators(merged(), first(), users()).apply())
     certificates = upsert(
         ws,
         "certificates",
         t.CERTIFICATES,
-        lambda: certificate_rows(first(), hub(), as_of),
+        lambda: certificate_rows(rows(), as_of),
         keys=["application_number"],
         policy={"sector": constant("WATER_SUPPLY"), "certificate_type": constant("License")},
+        fold=same,
     )
     ws.replace("applications", lambda: certificate_ids(hub(), certificates()).apply())
-    rows = ws.hold("water_resolved", lambda: resolved_rows(first(), hub()))
 
     refreshed = ("company_name", "vrn", "gn_gazette_on", "government_notice_no", "certificate_of_incorporation_no")
     frozen = {c: KEEP for c in (*t.ADDRESS, *t.BUSINESS, "application_id") if c not in refreshed}
@@ -191,13 +200,26 @@ def creators(hub: DataFrame, first: DataFrame, users: DataFrame) -> ChangeSet:
     """An application whose user was created in an earlier run gets its creator now."""
     known = user_of_application(first.select(F.col("application_number").alias("id"), "username"), users)
     return backfill(
-        hub, known, "application_number", "application_id", {"created_by": "user_id"}, where=F.col("is_migrated"), unique=True
+        hub,
+        known,
+        "application_number",
+        "application_id",
+        {"created_by": "user_id"},
+        normalise=number_key,
+        where=F.col("is_migrated"),
+        unique=True,
     )
 
 
-def resolved_rows(first: DataFrame, hub: DataFrame) -> DataFrame:
-    ids = hub.select("application_number", F.col("id").alias("application_id"))
-    return first.join(ids, "application_number").withColumn("application_sector_detail_id", _key("ASD"))
+def resolved_rows(first: DataFrame, known: DataFrame) -> DataFrame:
+    """Staged rows with the id their application has, or gets, in the hub.
+
+    The hub as it was is enough for that: a known application keeps its id, a new one derives it.
+    So the children need not wait for the merge of the hub, nor repeat it.
+    """
+    rows = lookup(first, known, "application_number", "application_number", {"__known": "id"}, normalise=number_key)
+    rows = rows.withColumn("application_id", F.coalesce("__known", _key("APP"))).drop("__known")
+    return rows.withColumn("application_sector_detail_id", _key("ASD"))
 
 
 def detail_rows(rows: DataFrame) -> DataFrame:
@@ -233,8 +255,7 @@ def hub_rows(first: DataFrame, users: DataFrame, as_of: Moment) -> DataFrame:
     )
 
 
-def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Moment) -> DataFrame:
-    rows = first.join(hub.select("application_number", F.col("id").alias("application_id")), "application_number")
+def certificate_rows(rows: DataFrame, as_of: Moment) -> DataFrame:
     return stamped(
         rows.select(
             stable_key(F.lit("certificate"), "application_number").alias("id"),
@@ -308,7 +329,7 @@ def document_rows(rows: DataFrame) -> DataFrame:
     carry = ["application_number", *_PARENTS]
     long = unpivot_pairs(rows, pairs, carry, need_id=False, fixed_order=True, dialect="general")
     return long.select(
-        stable_key(F.concat(F.lit("WATER_DOC:"), "document_name"), F.lower("application_number"), sep=":").alias("id"),
+        stable_key(F.concat(F.lit("WATER_DOC:"), "document_name"), number_key("application_number"), sep=":").alias("id"),
         *_PARENTS,
         "document_name",
         "file_name",

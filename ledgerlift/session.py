@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 #: Settings that keep wide joins safe under skew and let AQE pick partition counts.
 RECOMMENDED = {
@@ -48,49 +47,20 @@ def fixed_rows(spark: SparkSession, name: str, values: Sequence[str]) -> DataFra
 
 def empty_table(spark: SparkSession, schema: str) -> DataFrame:
     """A table without rows; the optimizer removes joins with it."""
-    fields = _parse_datatype_string(schema).fields
-    nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+    nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in StructType.fromDDL(schema).fields)
     return spark.sql(f"SELECT {nulls} LIMIT 0")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint `df` to the reliable directory configured for the cluster.
+    """Checkpoint `df` to the reliable folder that ``spark.checkpoint.dir`` names.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is.  Only when the session
-    names none (unit tests, a laptop) is a temporary one created, so a lost executor on
-    a cluster never loses the cut.
+    There is no default: a folder that only one machine sees would lose the cut with it.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before cutting lineage on a cluster")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerlift-checkpoint-"))
+        if configured is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before cutting lineage")
+        context.setCheckpointDir(configured)
     return df.checkpoint(eager=True)
-
-
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of `df`; None where the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # Spark Connect has no plan statistics on the client
-        return None
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Catalyst itself would broadcast `df` under the session's threshold."""
-    size = planned_bytes(df)
-    if size is None:
-        return False
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = _bytes(str(raw))
-    return 0 <= size <= limit
-
-
-def _bytes(text: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    cleaned = text.strip().lower().removesuffix("b") or "0"
-    if cleaned[-1] in units:
-        return int(cleaned[:-1]) * units[cleaned[-1]]
-    return int(cleaned)

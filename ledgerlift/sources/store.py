@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from ledgerlift.operators.merge import ACTION
 from ledgerlift.session import empty_table
@@ -160,4 +160,4 @@ class Workspace:
 
 @functools.cache
 def _schema(text: str):
-    return _parse_datatype_string(text).fields
+    return StructType.fromDDL(text).fields

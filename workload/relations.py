@@ -370,7 +370,7 @@ def skip_report(t: Tables):
 )
 def reason_samples(t: Tables):
     """Ten rows per skip reason: the limit is the report."""
-    return profile.reason_samples(_annotated(t), [F.col("o_orderkey").asc_nulls_last()])
+    return profile.reason_samples(_annotated(t), [F.col("o_orderkey").asc_nulls_last()], 10)
 
 
 @query(
@@ -385,10 +385,10 @@ def mapping_stats(t: Tables):
 
 @query(
     "unmapped_values",
-    "SELECT DISTINCT 'unknown ' || c_nationkey AS value FROM customer WHERE c_mktsegment = 'BUILDING' ORDER BY 1 LIMIT 20",
+    "SELECT DISTINCT 'unknown ' || c_nationkey AS value FROM customer WHERE c_mktsegment = 'BUILDING' ORDER BY 1",
 )
 def unmapped_values(t: Tables):
-    """The twenty least unmapped values: the limit is the report."""
+    """All values that no region has."""
     found = joins.lookup(_raw_nation(t), _nation_dim(t), "region", "id", {"name": "name"}, dimensions.id_key)
     return profile.unmapped_values(found, "region", "name")
 

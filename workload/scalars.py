@@ -302,7 +302,7 @@ def text_rules(t: Tables):
     owner = F.when(big, F.col("s_name")).otherwise(F.lit("nan"))
     return t.supplier.select(
         "s_suppkey",
-        L.capped(F.repeat("s_name", F.lit(700))).alias("capped"),
+        L.capped(F.repeat("s_name", F.lit(700)), 10_000).alias("capped"),
         L.first_present(owner, F.concat(F.lit("nation "), F.col("s_nationkey"))).alias("owner"),
         L.joined("s_name", F.when(big, F.col("s_nationkey").cast("string"))).alias("full_name"),
         L.upper_or(F.when(big, F.lit(" locked ")), "ACTIVE").alias("status"),
