@@ -12,7 +12,7 @@ from ledgerlift.operators.joins import lookup
 from ledgerlift.operators.merge import INCOMING, KEEP, OVERWRITE, Policy, merge_into
 from ledgerlift.operators.provision import assign_role, ensure_users, role_named
 from ledgerlift.plans import tables as t
-from ledgerlift.sources.grid import ROW, normalise_headers, number_rows
+from ledgerlift.sources.grid import ROW, normalise_headers, with_position
 from ledgerlift.sources.store import Deferred, Workspace
 
 #: time written to the audit columns
@@ -22,9 +22,9 @@ AUDIT_POLICY: dict[str, Policy] = {"created_at": KEEP, "updated_at": OVERWRITE}
 
 
 def prepared(feed: DataFrame) -> DataFrame:
-    """Feed with normalised headers and a row number; rows are numbered only if nobody did yet."""
-    numbered = feed if ROW in feed.columns else number_rows(feed)
-    return normalise_headers(numbered)
+    """Feed with normalised headers and the place of each row, unless it comes with one."""
+    placed = feed if ROW in feed.columns else with_position(feed)
+    return normalise_headers(placed)
 
 
 def moment(as_of: Moment) -> Column:

@@ -40,6 +40,8 @@ def application_id_jobs(tables: Mapping[str, DataFrame], include_installations:
 
 def created_by_jobs(tables: Mapping[str, DataFrame]) -> dict[str, ChangeSet]:
     """Rows without a creator get the user named on their application; one user map for all tables."""
+    if "applications" not in tables or "users" not in tables:
+        return {}
     known = user_of_application(tables["applications"], tables["users"])
     spec = {name: ("application_id", "application_id") for name in t.OWNED_BY_USER} | {"applications": ("id", "application_id")}
     return backfill_tables(tables, known, spec, {"created_by": "user_id"}, unique=True)
@@ -205,32 +207,52 @@ class StepResult:
     name: str
     ok: bool
     detail: str = ""
+    tables: int = 0
+    rows: int = 0
 
 
 def run_chain(steps: Mapping[str, Callable[[], object]]) -> list[StepResult]:
-    """Run the steps in order; a failing one is recorded and the next still runs."""
+    """Run the steps in order; a failing one is recorded and the next still runs.
+
+    A step may return the (table, number of changed rows) pairs it is responsible for.
+    """
     results = []
     for name, step in steps.items():
         try:
-            step()
-            results.append(StepResult(name, True))
+            found = step()
+            changed = found if isinstance(found, Mapping) else {}
+            results.append(StepResult(name, True, tables=len(changed), rows=sum(changed.values())))
         except Exception as error:  # each step is optional by contract
             log.warning("post-import step %s failed: %s", name, error)
             results.append(StepResult(name, False, str(error)))
     return results
 
 
+def post_import_jobs(tables: Mapping[str, DataFrame]) -> dict[str, dict[str, ChangeSet]]:
+    """The repairs of `post_import`, by step and table; creators are set on the repaired tables."""
+    ids = application_id_jobs(tables)
+    repaired = {**tables, **{name: job.apply() for name, job in ids.items()}}
+    return {"application_id": ids, "created_by": created_by_jobs(repaired)}
+
+
 def post_import(ws: Workspace, align: Callable[[], object] = lambda: None) -> list[StepResult]:
-    """Schema alignment, application ids, creators."""
+    """Schema alignment, application ids, creators, over all tables of the workspace and its store."""
+
+    def apply(jobs: Callable[[], Mapping[str, ChangeSet]]) -> dict[str, int]:
+        changed = {}
+        for name, job in jobs().items():
+            changed[name] = job.preview().first()["rows_to_change"]
+            if changed[name]:
+                ws.replace(name, job.apply)
+        return changed
 
-    def apply(jobs: Mapping[str, ChangeSet]) -> None:
-        for name, job in jobs.items():
-            ws.replace(name, job.apply)
+    def aligned() -> None:
+        align()
 
     return run_chain(
         {
-            "align_schema": align,
-            "application_id": lambda: apply(application_id_jobs(ws.tables)),
-            "created_by": lambda: apply(created_by_jobs(ws.tables)),
+            "align_schema": aligned,
+            "application_id": lambda: apply(lambda: application_id_jobs(ws.all_tables())),
+            "created_by": lambda: apply(lambda: created_by_jobs(ws.all_tables())),
         }
     )

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.functions import fixed_values as fixed
@@ -15,17 +15,86 @@ from ledgerlift.functions.text import strip
 ROW = "_row"
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], **options: str) -> DataFrame:
-    """CSV whose first line is the header: every column a string, headers normalised."""
+class OpenQuote(ValueError):
+    pass
+
+
+class GridTooNarrow(ValueError):
+    pass
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], multiline: bool = False, **options: str) -> DataFrame:
+    """CSV whose first line is the header: every column a string, headers normalised.
+
+    With `multiline` a quoted cell may hold line breaks, and a file is read by one task; without
+    it a line with an open quote is refused.
+    """
     settings = {"header": "true", "inferSchema": "false", "enforceSchema": "false", "escape": '"'} | options
-    return normalise_headers(spark.read.options(**settings).csv(path))
+    if not multiline:
+        refuse_open_quotes(spark, path)
+    return normalise_headers(spark.read.options(**settings, multiLine=str(multiline).lower()).csv(path))
+
+
+def read_grid(spark: SparkSession, path: str | Sequence[str], width: int | None = None, multiline: bool = False, **options: str) -> DataFrame:
+    """CSV without a known header as ``_row`` plus string cells ``c0..cN``.
+
+    The width is that of the longest row with a value at its end; if the caller gives one, a row
+    with values beyond it is an error.  `multiline` is as for `read_csv`.
+    """
+    settings = {"header": "false", "escape": '"', "ignoreLeadingWhiteSpace": "false", "multiLine": str(multiline).lower()} | options
+    if not multiline:
+        refuse_open_quotes(spark, path)
+    bound = _cell_bound(_cells(spark, path, 1, settings), settings.get("sep", ",")).first()["bound"] or 1
+    if width is None or bound > width:
+        wide = _cells(spark, path, bound, settings)
+        used = wide.agg(*[F.count(c).alias(c) for c in wide.columns if c != _BAD]).first()
+        needed = max([1, *(i + 1 for i, n in enumerate(used) if n)])
+        if width is not None and needed > width:
+            raise GridTooNarrow(f"a row has values in {needed} cells, beyond the width of {width}")
+        width = needed if width is None else width
+    cells = _cells(spark, path, max(width, bound), settings)
+    return with_position(cells.select(*[f"c{i}" for i in range(width)], F.col("_metadata")))
 
 
-def read_grid(spark: SparkSession, path: str | Sequence[str], width: int, **options: str) -> DataFrame:
-    """CSV without a known header as ``_row`` plus string cells ``c0..cN``."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    settings = {"header": "false", "escape": '"', "ignoreLeadingWhiteSpace": "false"} | options
-    return number_rows(spark.read.schema(schema).options(**settings).csv(path))
+_BAD = "_unparsed"
+
+
+def _cells(spark: SparkSession, path: str | Sequence[str], width: int, settings: Mapping[str, str]) -> DataFrame:
+    """Cells of a file; a record with more or fewer cells than `width` also stands in ``_unparsed`` as it is."""
+    schema = ", ".join([*(f"c{i} string" for i in range(width)), f"{_BAD} string"])
+    return spark.read.schema(schema).options(**settings, columnNameOfCorruptRecord=_BAD, columnPruning="false").csv(path)
+
+
+def _cell_bound(cells: DataFrame, sep: str) -> DataFrame:
+    """One row: the most cells that a record can have, counting separators inside quotes too."""
+    count = F.length(_BAD) - F.length(F.replace(F.col(_BAD), F.lit(sep), F.lit(""))) + 1
+    # The first cell is read along: the unparsed record alone is no query of a file.
+    return cells.agg(F.max(count).cast("int").alias("bound"), F.count("c0").alias("cells"))
+
+
+def refuse_open_quotes(spark: SparkSession, path: str | Sequence[str]) -> None:
+    """Raise if a line has an odd number of quotes: its record goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    paths = [path] if isinstance(path, str) else list(path)
+    if spark.read.text(paths).filter(quotes % 2 == 1).limit(1).count():
+        raise OpenQuote(f"a quoted cell goes on in the next line; read {path} with multiline=True")
+
+
+def with_position(df: DataFrame, name: str = ROW) -> DataFrame:
+    """Add the place of each row in its source: file, position in it; it orders rows as they stand.
+
+    Unlike a running number it needs neither a count of the earlier files nor a shuffle, and a
+    retried task finds the same places again.
+    """
+    columns = [c for c in df.columns if c != "_metadata"]
+    at = {"file": F.col("_metadata.file_path"), "block": F.col("_metadata.row_index"), "at": F.lit(0).cast("bigint")}
+    running = F.monotonically_increasing_id()
+    for place in (at, at | {"block": F.col("_metadata.file_block_start"), "at": running}, {"file": F.lit(""), "block": F.lit(0).cast("bigint"), "at": running}):
+        try:
+            return df.select(F.struct(*[v.alias(k) for k, v in place.items()]).alias(name), *columns)
+        except AnalysisException:
+            continue
+    raise AssertionError
 
 
 def number_rows(df: DataFrame, start: int = 1, name: str = ROW) -> DataFrame:
@@ -36,20 +105,20 @@ def number_rows(df: DataFrame, start: int = 1, name: str = ROW) -> DataFrame:
     a task hands out is dense within a block, and block offsets come from one small
     aggregation.  Both survive a retried task, unlike a bare running id.
 
-    The offsets are broadcast: one short row per file or block, so about a millionth of the
-    data, where a shuffle would send every row of a file to the same task.
+    Imports order rows by `with_position` and don't need a dense number; this is for a caller who
+    does.  The offsets, one short row per file or block, are joined as Spark sees fit.
     """
     try:
         positioned = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
         per_file = positioned.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
         offsets = per_file.select("__file", _before("__n", ["__file"]).alias("__offset"))
-        joined = positioned.join(F.broadcast(offsets), "__file", "left")
+        joined = positioned.join(offsets, "__file", "left")
     except AnalysisException:
         block = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
         positioned = df.select("*", *block, F.monotonically_increasing_id().alias("__id"))
         per_block = positioned.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
         offsets = per_block.select("__file", "__block", "__first", _before("__n", ["__file", "__block"]).alias("__offset"))
-        joined = positioned.join(F.broadcast(offsets), ["__file", "__block"], "left").withColumn("__at", F.col("__id") - F.col("__first"))
+        joined = positioned.join(offsets, ["__file", "__block"], "left").withColumn("__at", F.col("__id") - F.col("__first"))
     return joined.select((F.col("__offset") + F.col("__at") + start).cast("bigint").alias(name), *df.columns)
 
 
@@ -76,8 +145,8 @@ def _distinct(names: Sequence[str]) -> list[str]:
     return out
 
 
-def find_header(grid: DataFrame, anchors: Sequence[str] = fixed.HEADER_ANCHORS) -> int | None:
-    """Row of the header: the first with an anchor cell, else the first with any value.
+def find_header(grid: DataFrame, anchors: Sequence[str] = fixed.HEADER_ANCHORS) -> int | Row | None:
+    """Place of the header row: the first with an anchor cell, else the first with any value.
 
     Two minima in one pass; a single row reaches the driver.
     """
@@ -97,6 +166,7 @@ def promote_header(grid: DataFrame, anchors: Sequence[str] = fixed.HEADER_ANCHOR
     row = find_header(grid, anchors)
     if row is None:
         return grid.limit(0)
+    row = F.struct(*[F.lit(v).alias(k) for k, v in row.asDict().items()]) if isinstance(row, Row) else F.lit(row)
     cells = [c for c in grid.columns if c != ROW]
     texts = grid.filter(F.col(ROW) == row).select(*cells).first()
     names = _distinct([header_name(t) if t is not None and t.strip() else f"unnamed:_{i}" for i, t in enumerate(texts)])

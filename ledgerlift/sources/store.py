@@ -15,6 +15,14 @@ from ledgerlift.operators.merge import ACTION
 from ledgerlift.session import empty_table
 
 
+#: Prefix of the tables that hold staged rows.
+STAGE = "stage_"
+
+
+class ConcurrentWrite(RuntimeError):
+    pass
+
+
 class TableStore:
     """Named tables under one folder of any Hadoop file system.
 
@@ -47,12 +55,32 @@ class TableStore:
             raise KeyError(f"no table {name} under {self.root}")
         return self.spark.read.parquet(f"{self.root}/{name}/{snapshot}")
 
+    def names(self) -> list[str]:
+        """Tables that have a current snapshot, staged rows left out."""
+        fs, root = self._fs(self.root)
+        found = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()] if fs.exists(root) else []
+        return sorted(n for n in found if not n.startswith(STAGE) and self.exists(n))
+
     def replace(self, name: str, df: DataFrame) -> DataFrame:
+        """Write `df` as the current snapshot; fails if somebody else replaced the table meanwhile."""
+        before = self._snapshot(name)
         snapshot = f"v-{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(f"{self.root}/{name}/{snapshot}")
+        if self._snapshot(name) != before:
+            raise ConcurrentWrite(f"{name} was replaced by another writer; its snapshot stays, {snapshot} is unused")
         self._point(name, snapshot)
         return self.read(name)
 
+    def expire(self, name: str, keep: int = 2) -> list[str]:
+        """Remove all but the newest `keep` snapshots; the current one always stays.  Returns the removed ones."""
+        fs, folder = self._fs(f"{self.root}/{name}")
+        current = self._snapshot(name)
+        old = sorted((s for s in fs.listStatus(folder) if s.getPath().getName().startswith("v-")), key=lambda s: -s.getModificationTime())
+        gone = [s for s in old[keep:] if s.getPath().getName() != current]
+        for status in gone:
+            fs.delete(status.getPath(), True)
+        return [s.getPath().getName() for s in gone]
+
     def reset(self, name: str) -> None:
         """Empty a table (staging before an import) without touching its older snapshots."""
         if self.exists(name):
@@ -129,9 +157,16 @@ class Workspace:
 
         return self._define(build)
 
+    def all_tables(self) -> Mapping[str, DataFrame]:
+        """The tables of this workspace and, where it has a store, all other stored ones."""
+        for name in self.store.names() if self.store else ():
+            if name not in self.tables.data:
+                self.tables[name] = Deferred(functools.partial(lambda n: self.store.read(n).drop(ACTION), name))
+        return self.tables
+
     def hold(self, name: str, build: Callable[[], DataFrame]) -> Deferred:
         """Keep staged rows for the steps that follow."""
-        self.staged[name] = self._define(lambda: self.store.replace(f"stage_{name}", build()) if self.store else build())
+        self.staged[name] = self._define(lambda: self.store.replace(f"{STAGE}{name}", build()) if self.store else build())
         return self.staged.data[name]
 
     def put(self, name: str, build: Callable[[], DataFrame]) -> Deferred:

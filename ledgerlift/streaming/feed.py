@@ -16,6 +16,10 @@ from ledgerlift.sources.grid import ROW
 from ledgerlift.sources.store import TableStore, Workspace
 
 
+#: Cells of a row that are looked at; a longer row stops the import.
+WIDTH = 512
+
+
 def incremental_import(
     spark: SparkSession,
     landing: str,
@@ -23,16 +27,21 @@ def incremental_import(
     store: TableStore,
     plan: Callable[[Workspace, DataFrame], object],
     checkpoint: str,
-    fmt: str = "csv",
     glob: str | None = None,
     max_files: int | None = None,
+    multiline: bool = False,
+    width: int = WIDTH,
 ) -> StreamingQuery:
-    """Run `plan` for the files of `landing` not seen before, then stop.
+    """Run `plan` for the CSV files of `landing` not seen before, then stop.
 
-    Every column is read as text; `glob` restricts the file names.  Rows of a batch are ordered by arrival time of their file, then by position in it.
+    Every column is read as text and found by its name in the header of its own file, so files may
+    order and choose columns differently; a column that a file lacks is NULL, a file that has none
+    of them fails.  `glob` restricts the file names, `multiline` allows line breaks in quotes.  Rows
+    of a batch are ordered by arrival time of their file, then by position in it.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    reader = spark.readStream.format(fmt).schema(schema).option("header", "true").option("escape", '"')
+    schema = ", ".join([*(f"c{i} string" for i in range(width)), "_unparsed string"])
+    options = {"header": "false", "escape": '"', "multiLine": str(multiline).lower(), "columnNameOfCorruptRecord": "_unparsed", "columnPruning": "false"}
+    reader = spark.readStream.format("csv").schema(schema).options(**options)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if max_files is not None:
@@ -45,10 +54,24 @@ def incremental_import(
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # The running id grows inside a block, the other three order the blocks; packed into
-        # one struct they order rows without a global numbering pass.
-        position = F.struct("__time", "__file", "__block", F.monotonically_increasing_id().alias("__id"))
-        plan(Workspace(store=store), batch.select(position.alias(ROW), *columns))
+        plan(Workspace(store=store), by_header(batch, columns, width))
 
     writer = rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+def by_header(batch: DataFrame, columns: list[str], width: int) -> DataFrame:
+    """The rows below each file's first one, which names the cells."""
+    # The running id grows inside a block, the other three order the blocks; packed into one
+    # struct they order rows without a global numbering pass.
+    cells = F.array(*[f"c{i}" for i in range(width)])
+    count = F.length("_unparsed") - F.length(F.replace(F.col("_unparsed"), F.lit(","), F.lit(""))) + 1
+    checked = F.when(count > width, F.raise_error(F.concat(F.lit("a row may have values beyond the width in "), F.col("__file")))).otherwise(cells)
+    placed = batch.select("__file", F.struct("__time", "__file", "__block", F.monotonically_increasing_id().alias("__id")).alias(ROW), checked.alias("__cells"))
+    names = F.transform("__cells", lambda c: F.regexp_replace(F.lower(F.trim(c)), "[ /]", "_"))
+    headers = placed.groupBy("__file").agg(F.min_by(names, ROW).alias("__names"), F.min(ROW).alias("__header"))
+    found = F.arrays_overlap("__names", F.array(*map(F.lit, columns)))
+    headers = headers.withColumn("__names", F.when(F.coalesce(found, F.lit(False)), F.col("__names")).otherwise(F.raise_error(F.concat(F.lit("no known column in "), F.col("__file")))))
+    below = placed.join(headers, "__file").filter(F.col(ROW) > F.col("__header"))
+    place = lambda c: F.coalesce(F.array_position("__names", c), F.lit(0)).cast("int")
+    return below.select(ROW, *[F.when(place(c) > 0, F.get("__cells", place(c) - 1)).alias(c) for c in columns])

@@ -20,6 +20,7 @@ def test_keep_newest_orderings(frame, values):
 def test_keep_first_and_last_upload(frame, values):
     df = frame("k string, row int", ("a", 9), ("a", 4), ("a", 7), (None, 1), (None, 2))
     assert values(dedupe.keep_first_upload(df, "k", "row", "row"), "row") == [(1,), (2,), (4,)]
+    assert values(dedupe.keep_first_upload(df, "k", "row"), "row") == [(1,), (2,), (4,)]
     assert values(dedupe.keep_last_upload(df.filter("k is not null"), ["k"], "row"), "row") == [(9,)]
 
 
@@ -58,7 +59,7 @@ def test_lookup_hot_equals_lookup(spark, values):
         F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 != 0, F.col("id") % 40).alias("k"), "id"
     )
     dim = spark.range(30).select(F.col("id").alias("d"), (F.col("id") * 10).alias("v"))
-    hot = joins.lookup_hot(df, dim, "k", "d", {"v": "v"}, hot_share=0.1)
+    hot = joins.lookup_hot(df, dim, "k", "d", {"v": "v"}, parts=8)
     plain = joins.lookup(df, dim, "k", "d", {"v": "v"}, normalise=None)
     assert values(hot, "k", "id", "v") == values(plain, "k", "id", "v")
 
@@ -231,3 +232,37 @@ def test_rows_without_key_do_not_share_a_task(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert len(sizes) == 8 and sum(r["n"] for r in sizes) == 2000
+
+
+def test_duplicate_listing_lists_null_keys(frame, values):
+    df = frame("a string, b int, v int", ("x", None, 1), ("x", None, 2), ("y", 1, 3), (None, None, 4), (None, None, 5))
+    assert values(dedupe.duplicate_listing(df, ["a", "b"]), "v", "copies") == [(1, 2), (2, 2), (4, 2), (5, 2)]
+
+
+def test_lookup_prefers_a_row_with_a_value(frame, values):
+    df, dim = frame("k string", ("a",)), frame("k string, v string", ("a", None), ("A", "filled"))
+    assert values(joins.lookup(df, dim, "k", "k", {"v": "v"}), "v") == [("filled",)]
+
+
+def test_duplicate_slots_are_refused_in_their_matched_form(frame):
+    target = frame("slot string, cap int, fee int")
+    source = frame("slot string, cap int, fee int", ("a", None, 1), ("A ", None, 2))
+    with pytest.raises(merge.DuplicateKeys):
+        merge.merge_into(target, source, ["slot", "cap"], match_on={"slot": key_text, "cap": lambda c: c})
+    with pytest.raises(merge.DuplicateKeys):
+        merge.merge_into(target, source, ["slot"], fold={"slot": key_text})
+    with pytest.raises(ValueError, match="unknown plan"):
+        merge.merge_into(target, source, ["fee"], plan="auto")
+
+
+@pytest.mark.parametrize("plan", ["outer", "in_place"])
+def test_folded_keys_match_and_null_matches_nothing(frame, values, plan):
+    target = frame("k string, v int", ("W-1", 1), (None, 2))
+    source = frame("k string, v int", ("w-1", 10), ("w-2", 20))
+    merged = merge.merge_into(target, source, ["k"], fold={"k": F.lower}, plan=plan)
+    assert values(merged, "k", "v", "_action") == [("W-1", 10, "update"), ("w-2", 20, "insert"), (None, 2, "keep")]
+
+
+def test_rows_without_key_are_spread_whatever_their_first_columns(spark):
+    df = spark.range(1000).select(F.lit(1).alias("a"), F.lit(None).cast("int").alias("k"), F.col("id").alias("n"))
+    assert df.select(joins.spread_nulls(F.col("k"), df.columns)).distinct().count() == 1000

@@ -297,3 +297,39 @@ def test_fix_certificates(frame, store, values):
     assert values(ws.tables["certificates"], "id", "sector", "certificate_type") == [("k1", "WATER", "License")]
     row = ws.tables["applications"].first()
     assert (str(row.intimate_date), row.certificate_id) == ("2024-02-29", "k1")
+
+
+def test_post_import_repairs_a_stored_registry(spark, store, frame, values):
+    store.replace("applications", frame("id string, username string, created_by string", ("a1", "Al ", None)))
+    store.replace("users", frame("id string, username string", ("u1", "al")))
+    store.replace("application_sector_details", frame("id string, application_id string", ("d1", "a1")))
+    store.replace("documents", frame("id string, application_sector_detail_id string, application_id string, created_by string", ("x", "d1", None, None)))
+    results = maintenance.post_import(Workspace(store=store))
+    assert [(r.name, r.ok, r.rows) for r in results] == [("align_schema", True, 0), ("application_id", True, 1), ("created_by", True, 2)]
+    assert values(store.read("documents")) == [("x", "d1", "a1", "u1")]
+    again = maintenance.post_import(Workspace(store=store))
+    assert [r.rows for r in again] == [0, 0, 0]
+
+
+def test_user_names_are_the_same_whatever_their_case(store, frame, values):
+    columns = "_row int, firstname string, lastname string, username string, password string, status string, mobilenumber string, emailid string, user_category string, account_type string, auth_mode string, role string"
+    row = lambda n, name, phone: (n, "F", "L", name, "pw", "", phone, "", "", "", "", "Clerk")
+    feed = frame(columns, row(1, "Bob", "1"), row(2, "bob", "2"), row(3, " BOB", "3"), row(4, "Eve", "4"))
+    store.replace("users", frame("id string, username string, phone_number string", ("u9", "EVE", "0")))
+    ws = Workspace(store=store)
+    directory.import_users(ws, feed, as_of=NOW)
+    assert values(store.read("users"), "username", "phone_number", "_action") == [("BOB", "3", "insert"), ("EVE", "4", "update")]
+    assert store.read("users").select("id").distinct().count() == 2
+    assert store.read("user_roles").filter("user_id is not null").count() == 2
+
+
+def test_water_numbers_are_the_same_whatever_their_case(store, frame, values):
+    feed = frame("_row int, apprefno string, company_name string, amount string", (1, "W-1", "first", "5"), (2, "w-1", "second", "6"), (3, "w-2", "x", "7"))
+    store.replace("applications", frame("id string, application_number string", ("old", "W-2")))
+    ws = Workspace(store=store)
+    water.import_water(ws, feed, as_of=NOW)
+    assert values(store.read("applications"), "application_number") == [("W-1",), ("W-2",)]
+    for name in ("applications", "application_sector_details", "financial_information", "certificates"):
+        table = store.read(name)
+        assert table.count() == table.select("id").distinct().count() == 2
+    assert values(store.read("application_sector_details").filter("application_id = 'old'"), "company_name") == [("x",)]

@@ -124,3 +124,24 @@ def test_chain_goes_on_after_a_failure():
     results = m.run_chain({"one": fail, "two": lambda: done.append(2)})
     assert [(r.name, r.ok) for r in results] == [("one", False), ("two", True)]
     assert done == [2]
+
+
+def test_a_chain_of_backfills_reads_its_table_once(spark, tmp_path, frame):
+    from ledgerlift.operators.backfill import recover_from_siblings
+
+    frame("k int, v string", (1, None), (None, None)).write.parquet(str(tmp_path / "child"))
+    frame("k int, v string", (1, "x")).write.parquet(str(tmp_path / "sibling"))
+    child, sibling = spark.read.parquet(str(tmp_path / "child")), spark.read.parquet(str(tmp_path / "sibling"))
+    for n in (1, 3, 5):
+        plan = recover_from_siblings(child, [sibling] * n, "k", "v")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation") == n + 1
+
+
+def test_location_takes_each_column_from_a_detail_that_knows_it(frame, values):
+    applications = frame("id string, region string, district string, street string, ward string", ("a1", None, "D", None, None), ("a2", None, None, None, None))
+    details = frame(
+        "application_id string, region string, district string, street string, ward string",
+        ("a1", None, None, None, None), ("a1", "R", "X", None, None), ("a1", None, None, "S", None),
+    )
+    assert values(m.location_jobs(applications, details).apply()) == [("a1", "R", "D", "S", None), ("a2", None, None, None, None)]
+    assert m.location_preview(applications, details).first().asDict() == {"region_to_fill": 1, "district_to_fill": 0, "street_to_fill": 1, "ward_to_fill": 0, "total_affected": 1}

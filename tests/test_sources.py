@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.session import cut_lineage
 from ledgerlift.sources import dimensions, grid, legacy
-from ledgerlift.sources.store import TableStore, Workspace
+from ledgerlift.sources.store import ConcurrentWrite, TableStore, Workspace
 
 
 def test_header_found_by_anchor(frame, values):
@@ -47,7 +47,7 @@ def test_first_alias_wins(frame):
 
 
 def test_csv_rows_numbered_across_files_and_blocks(spark, tmp_path):
-    """Many small blocks per file, several files: numbers follow path and position."""
+    """Many small blocks per file, several files: places and numbers follow path and position."""
     expected = []
     for part in range(3):
         lines = [f"{part}-{i},{'x' * (i % 50)}" for i in range(400)]
@@ -58,7 +58,10 @@ def test_csv_rows_numbered_across_files_and_blocks(spark, tmp_path):
         rows = grid.read_grid(spark, str(tmp_path), 2)
         assert rows.rdd.getNumPartitions() > 5
         got = [r["c0"] for r in rows.orderBy("_row").collect()]
-        numbers = [r["_row"] for r in rows.select("_row").orderBy("_row").collect()]
+        raw = spark.read.schema("c0 string, c1 string").csv(str(tmp_path))
+        numbered = grid.number_rows(raw).orderBy("_row").collect()
+        numbers = [r["_row"] for r in numbered]
+        assert [r["c0"] for r in numbered] == expected
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == expected
@@ -125,3 +128,49 @@ def test_cut_lineage_uses_the_checkpoint_folder(spark, tmp_path):
     cut = cut_lineage(spark.range(10).withColumn("x", F.col("id") * 2))
     assert cut.count() == 10
     assert "ExistingRDD" in cut._jdf.queryExecution().logical().toString() or any(tmp_path.iterdir())
+
+
+def test_grid_takes_its_width_from_the_data(spark, tmp_path, values):
+    (tmp_path / "g.csv").write_text('Report\nSno,AppRefNo,Name,\n1,A-1,"x, y",\n2,A-2,z,,,last\n')
+    rows = grid.read_grid(spark, str(tmp_path / "g.csv"))
+    assert rows.columns == ["_row", *[f"c{i}" for i in range(6)]]
+    table = grid.promote_header(rows)
+    assert values(table, "apprefno", "name", "`unnamed:_5`") == [("A-1", "x, y", None), ("A-2", "z", "last")]
+    with pytest.raises(grid.GridTooNarrow):
+        grid.read_grid(spark, str(tmp_path / "g.csv"), width=4)
+    assert grid.read_grid(spark, str(tmp_path / "g.csv"), width=8).columns[-1] == "c7"
+
+
+def test_quoted_line_breaks(spark, tmp_path, values):
+    path = str(tmp_path / "m.csv")
+    (tmp_path / "m.csv").write_text('apprefno,name\nA-1,"two\nlines, one cell"\nA-2,x\n')
+    with pytest.raises(grid.OpenQuote):
+        grid.read_csv(spark, path)
+    with pytest.raises(grid.OpenQuote):
+        grid.read_grid(spark, path)
+    want = [("A-1", "two\nlines, one cell"), ("A-2", "x")]
+    assert values(grid.read_csv(spark, path, multiline=True)) == want
+    assert values(grid.promote_header(grid.read_grid(spark, path, multiline=True)), "apprefno", "name") == want
+
+
+def test_store_refuses_a_second_writer_and_expires_snapshots(spark, tmp_path, frame, values):
+    store = TableStore(spark, str(tmp_path / "store"))
+    for k in range(4):
+        store.replace("t", frame("k int", (k,)))
+    assert store.names() == ["t"]
+    assert len(store.expire("t", keep=1)) == 3 and values(store.read("t")) == [(3,)]
+
+    class Slow:
+        """A frame during whose write somebody else replaces the table."""
+
+        def __init__(self, df):
+            self.df = df
+
+        @property
+        def write(self):
+            TableStore(spark, store.root).replace("t", frame("k int", (9,)))
+            return self.df.write
+
+    with pytest.raises(ConcurrentWrite):
+        store.replace("t", Slow(frame("k int", (5,))))
+    assert values(store.read("t")) == [(9,)]

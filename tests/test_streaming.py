@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import StreamingQueryException
 
 from ledgerlift.plans import people
 from ledgerlift.sources.store import TableStore
@@ -24,3 +26,22 @@ def test_files_are_merged_once_and_replays_converge(spark, tmp_path, frame, valu
     assert values(store.read("shareholders"), "shareholder_name", "_action") == [("Ann", "keep"), ("Bob", "insert")]
     run("c2")  # everything again, as after a lost checkpoint
     assert values(store.read("shareholders"), "shareholder_name", "_action") == [("Ann", "update"), ("Bob", "update")]
+
+
+def test_columns_are_found_by_the_header_of_each_file(spark, tmp_path, frame, values):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text('shname,AppRefNo\n"Ann\nMarie",N1\n')
+    (landing / "b.csv").write_text("apprefno,other,shname\nN2,x,Bob\n")
+    (landing / "c.csv").write_text("apprefno\nN3\n")
+    seen = []
+
+    def plan(ws, batch):
+        seen.extend(values(batch, "apprefno", "shname"))
+
+    store = TableStore(spark, str(tmp_path / "store"))
+    incremental_import(spark, str(landing), ["apprefno", "shname"], store, plan, str(tmp_path / "c"), multiline=True).awaitTermination()
+    assert sorted(seen, key=str) == [("N1", "Ann\nMarie"), ("N2", "Bob"), ("N3", None)]
+    (landing / "d.csv").write_text("foo,bar\n1,2\n")
+    with pytest.raises(StreamingQueryException):
+        incremental_import(spark, str(landing), ["apprefno", "shname"], store, plan, str(tmp_path / "c"), multiline=True).awaitTermination()

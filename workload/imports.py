@@ -9,7 +9,7 @@ from ledgerlift.functions import stable_key
 from ledgerlift.operators.profile import skip_report
 from ledgerlift.plans import applications, directory, electrical, experience, fees, people, water
 from ledgerlift.sources import dimensions
-from ledgerlift.sources.grid import number_rows
+from ledgerlift.sources.grid import with_position
 from ledgerlift.sources.store import Workspace
 from workload.registry import Tables, query
 from workload.repairs import _CATEGORIES_SQL, _categories, _zones, uuid_sql
@@ -224,7 +224,7 @@ def _countries(t: Tables):
 
 def _person_feed(t: Tables, name: str, extra):
     """One person per line item: a third without application, some without a name."""
-    rows = number_rows(t.lineitem.select("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"))
+    rows = with_position(t.lineitem.select("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"))
     number = F.when(F.col("l_returnflag") == "R", F.lit("nan")).otherwise(F.concat(F.lit("APP-"), "l_partkey", F.lit(" ")))
     person = F.when(F.col("l_linestatus") == "O", F.concat(F.lit("Holder "), "l_suppkey")).when(
         F.col("l_quantity") <= 40, F.concat(F.lit("Ann  Marie Holder "), "l_suppkey")
