@@ -30,11 +30,17 @@ HEADLINE = (
     "extract_contacts",
     "parse_dates",
     "import_applications",
+    "import_certificates",
+    "import_detail_children",
     "import_shareholders",
     "import_installations",
+    "import_installation_children",
     "import_water",
+    "import_water_children",
     "import_fees",
     "import_users",
+    "transfer_restore",
+    "post_import",
 )
 
 

@@ -15,22 +15,23 @@ from ledgerlift.functions import (
     cast_or,
     clean,
     imported_license_type,
+    looks_like,
     parse_date,
     stable_key,
 )
 from ledgerlift.functions import fixed_values as fixed
-from ledgerlift.functions.text import ColumnOrName
-from ledgerlift.operators.dedupe import duplicate_surplus, keep_first
-from ledgerlift.operators.joins import having, lookup, replace_ids
+from ledgerlift.functions.text import ColumnOrName, label_key
+from ledgerlift.operators.dedupe import keep_first
+from ledgerlift.operators.joins import lookup, replace_ids
 from ledgerlift.operators.merge import KEEP, OVERWRITE, constant
-from ledgerlift.operators.profile import fill_rate, max_or
+from ledgerlift.operators.profile import column_presence, fill_rate, mapping_stats, max_or, rejects, suspicious_rows
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.operators.reshape import Pair, detect_pairs, unpivot_pairs
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.common import Moment, moment, prepared, provision_users, stamped, upsert
 from ledgerlift.session import fixed_rows
 from ledgerlift.sources.dimensions import id_key
-from ledgerlift.sources.grid import ROW, apply_aliases
+from ledgerlift.sources.grid import ROW, apply_aliases, normalise_headers
 from ledgerlift.sources.store import Deferred, Workspace
 
 # --- fixed values: source header -> staged column; the first one present wins ---------------
@@ -142,20 +143,64 @@ def stage(feed: DataFrame, locations: Mapping[str, DataFrame] | None = None) ->
     feed = prepared(feed)
     if "approval_no" in feed.columns:
         feed = feed.filter(clean("approval_no", "application").isNotNull())
-    pairs = attachment_pairs(feed.columns)
-    cells = sorted({c for p in pairs for c in (p.id_col, p.file_col)})
-    kept = feed.select("*", *[F.col(c).alias(f"__doc_{c}") for c in cells])
-    staged = apply_aliases(kept, ALIASES, keep=(ROW, *[f"__doc_{c}" for c in cells]))
-    raw = [c for c in staged.columns if c == ROW or c.startswith("__doc_")]
-    names = [c for c in staged.columns if c not in raw]
+    cleaned = cleaned_cells(feed)
     # Two projections: each cell is cleaned once, however often its parsing refers to it.
-    cleaned = staged.select(*raw, *[clean(c, "application").alias(c) for c in names])
     typed = cleaned.withColumns(
         {c: parse_date(c, fixed.DATES_APPLICATION, dialect=None) for c in DATE_COLUMNS} | {"username": F.lower("username")}
     )
     return replace_ids(typed, ("region", "district", "ward"), locations or {}, id_key)
 
 
+def cleaned_cells(feed: DataFrame) -> DataFrame:
+    """Canonical columns as cleaned text, and attachment cells as they are."""
+    pairs = attachment_pairs(feed.columns)
+    cells = sorted({c for p in pairs for c in (p.id_col, p.file_col)})
+    kept = feed.select("*", *[F.col(c).alias(f"__doc_{c}") for c in cells])
+    staged = apply_aliases(kept, ALIASES, keep=(ROW, *[f"__doc_{c}" for c in cells]))
+    raw = [c for c in staged.columns if c == ROW or c.startswith("__doc_")]
+    return staged.select(*raw, *[clean(c, "application").alias(c) for c in staged.columns if c not in raw])
+
+
+def rejected_cells(feed: DataFrame, longest: int = 10_000) -> DataFrame:
+    """One row per cell of a feed that the import can't use as it is: (_row, code, column_name, value).
+
+    Dates that no layout reads, serials beyond the last date among them, and texts longer than
+    `longest`, which are imported in full but may not fit a target with such a limit.
+    """
+    cells = cleaned_cells(prepared(feed))
+    read = {c: parse_date(c, fixed.DATES_APPLICATION, dialect=None) for c in DATE_COLUMNS}
+    rules = {f"unreadable_date:{c}": (c, F.col(c).isNotNull() & read[c].isNull()) for c in DATE_COLUMNS}
+    texts = [c for c in cells.columns if c != ROW and not c.startswith("__doc_") and c not in DATE_COLUMNS]
+    rules |= {f"too_long:{c}": (c, F.length(c) > longest) for c in texts}
+    found = rejects(cells, rules, ROW)
+    return found.withColumn("code", F.substring_index("code", ":", 1))
+
+
+def header_report(feed: DataFrame) -> dict[str, list[str]]:
+    """Which known headers a feed has, lacks, and which of its columns nothing reads."""
+    names = normalise_headers(feed).columns
+    pairs = {c for p in attachment_pairs(names) for c in (p.id_col, p.file_col)}
+    return column_presence([c for c in names if c != ROW and c not in pairs], list(ALIASES))
+
+
+def mapping_report(ws: Workspace) -> DataFrame:
+    """One row: staged licence types, legal statuses and regions that were and weren't resolved."""
+    rows = with_legal_status(ws.staged["applications_resolved"], ws.tables["application_legal_status"])
+    rows = lookup(rows, ws.tables["categories"], "license_type", "name", {"__category": "id"})
+    resolved = F.when(~looks_like("region", "decimal"), F.col("region"))
+    pairs = {
+        "license_category": ("license_type", "__category"),
+        "legal_status": ("application_legal_status_raw", "applicant_legal_status_id"),
+        "region": ("region", resolved),
+    }
+    return mapping_stats(rows, pairs)
+
+
+def unresolved_regions(ws: Workspace) -> DataFrame:
+    """Staged rows whose region, district or ward is still an id."""
+    return suspicious_rows(ws.staged["applications"], ["region", "district", "ward"], fixed.UNSIGNED_DECIMAL)
+
+
 def staged_pairs(staged: DataFrame) -> list[Pair]:
     names = [c.removeprefix("__doc_") for c in staged.columns if c.startswith("__doc_")]
     return [Pair(f"__doc_{p.id_col}", f"__doc_{p.file_col}", p.label) for p in attachment_pairs(names)]
@@ -197,7 +242,7 @@ def import_applications(
         keys=["application_number"],
         policy={"application_id": OVERWRITE, "license_type": OVERWRITE, "category_license_type": OVERWRITE},
     )
-    statuses = ws.table("application_legal_status", t.LEGAL_STATUS)
+    statuses = provision_legal_statuses(ws)
     upsert(ws, "application_sector_details", t.SECTOR_DETAILS, lambda: detail_rows(rows(), statuses(), as_of))
     facts = ("document_name", "file_name", "documents_order", "logic_doc_id", "application_sector_detail_id")
     upsert(ws, "documents", t.DOCUMENTS, lambda: document_rows(rows(), as_of), policy={c: KEEP for c in facts})
@@ -292,7 +337,19 @@ def hub_rows(first: DataFrame, categories: DataFrame, sectors: DataFrame, zones:
 def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Moment) -> DataFrame:
     staged = first.select("application_number", F.col("application_type").alias("__type"))
     rows = hub.drop("created_at", "updated_at", "application_type").join(staged, "application_number")
-    copied = ("approval_no", "approval_date", "effective_date", "expire_date", "license_type", "category_license_type", "zone_id", "zone_name")
+    copied = (
+        "approval_no",
+        "approval_date",
+        "effective_date",
+        "expire_date",
+        "intimate_date",
+        "months_eligible",
+        "licence_path",
+        "license_type",
+        "category_license_type",
+        "zone_id",
+        "zone_name",
+    )
     return stamped(
         rows.select(
             stable_key(F.lit("certificate"), "application_number").alias("id"),
@@ -305,8 +362,31 @@ def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Moment) -> DataFra
     )
 
 
+def provision_legal_statuses(ws: Workspace) -> Deferred:
+    """The fixed legal statuses exist afterwards."""
+    known = ws.table("application_legal_status", t.LEGAL_STATUS)
+
+    def build() -> DataFrame:
+        wanted = fixed_rows(known().sparkSession, "name", fixed.LEGAL_STATUSES)
+        return ensure_members(known(), wanted, {}, "legal_status")
+
+    return ws.put("application_legal_status", build)
+
+
+def with_legal_status(rows: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Add ``applicant_legal_status_id``: the status whose loosened label or synonym it is; an id stays."""
+    live = statuses.filter(F.col("deleted_at").isNull()) if "deleted_at" in statuses.columns else statuses
+    raw, synonym = label_key("application_legal_status_raw"), F.lit(None)
+    for other, name in fixed.LEGAL_STATUS_SYNONYMS.items():
+        synonym = F.when(raw == label_key(F.lit(other)), label_key(F.lit(name))).otherwise(synonym)
+    keyed = rows.withColumn("__label", F.coalesce(synonym, raw))
+    found = lookup(keyed, live.withColumn("__label", label_key("name")), "__label", "__label", {"__status": "id"}, normalise=None)
+    uuid = F.lower(cast_or("application_legal_status_raw", "string", pattern=fixed.UUID_SHAPE))
+    return found.withColumn("applicant_legal_status_id", F.coalesce(uuid, "__status")).drop("__label", "__status")
+
+
 def detail_rows(rows: DataFrame, statuses: DataFrame, as_of: Moment) -> DataFrame:
-    rows = lookup(rows, statuses, "application_legal_status_raw", "name", {"applicant_legal_status_id": "id"})
+    rows = with_legal_status(rows, statuses)
     return stamped(
         rows.select(
             F.col("application_id").alias("id"), "application_id", "applicant_legal_status_id", *t.ADDRESS, *t.BUSINESS
@@ -360,22 +440,27 @@ def _child_rows(rows: DataFrame, fields: Mapping[str, str], fk: str, seed: str,
 
 
 def application_report(ws: Workspace, before: DataFrame) -> DataFrame:
-    """One row: staged, already known by number or approval, duplicates inside the feed."""
-    staged = ws.staged["applications"]
-    known_number = having(staged, before, [("application_number", "application_number")])
-    known_approval = having(staged, before, [("approval_no", "approval_no")])
-    parts = [
-        staged.agg(F.count(F.lit(1)).alias("staged")),
-        known_number.agg(F.count(F.lit(1)).alias("existing_application_number")),
-        known_approval.agg(F.count(F.lit(1)).alias("existing_approval_no")),
-        duplicate_surplus(staged, ["application_number"], "dup_application_number"),
-        duplicate_surplus(staged, ["approval_no"], "dup_approval_no"),
-    ]
-    report = parts[0]
-    for part in parts[1:]:
-        # Every part is an aggregate without groups: exactly one row.
-        report = report.crossJoin(F.broadcast(part))
-    return report
+    """One row: staged, already known by number or approval, duplicates inside the feed.
+
+    Rows are flagged once and counted per key first, so the feed is read once, not once per figure.
+    """
+    staged = ws.staged["applications"].select("application_number", "approval_no")
+    for key in ("application_number", "approval_no"):
+        known = before.select(key).distinct()
+        staged = lookup(staged, known, key, key, {f"__known_{key}": key}, normalise=None, unique=True)
+    pairs = staged.groupBy("application_number", "approval_no").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count(f"__known_{key}").alias(f"__known_{key}") for key in ("application_number", "approval_no")],
+    )
+    # Distinct values beside sums: the surplus is what is present less one for each value.
+    return pairs.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("staged"),
+        *[F.coalesce(F.sum(f"__known_{key}"), F.lit(0)).alias(f"existing_{key}") for key in ("application_number", "approval_no")],
+        *[
+            (F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("__n"))), F.lit(0)) - F.countDistinct(key)).alias(f"dup_{key}")
+            for key in ("application_number", "approval_no")
+        ],
+    )
 
 
 def staged_fill_rate(ws: Workspace, worst: int | None = None) -> DataFrame:

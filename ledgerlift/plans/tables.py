@@ -5,13 +5,13 @@ AUDIT = "created_at timestamp, updated_at timestamp, created_by string"
 APPLICATIONS = (
     "id string, application_number string, application_type string, approval_no string, approval_date date, "
     "status string, username string, old_created_by string, is_migrated boolean, effective_date date, expire_date date, "
-    "intimate_date date, completed_at timestamp, category_id string, certificate_id string, license_type string, "
+    "intimate_date date, months_eligible bigint, licence_path string, completed_at timestamp, category_id string, certificate_id string, license_type string, "
     "category_license_type string, zone_id string, zone_name string, old_parent_application_id string, " + AUDIT
 )
 CERTIFICATES = (
     "id string, application_id string, application_number string, approval_no string, approval_date date, "
-    "application_certificate_type string, effective_date date, expire_date date, license_type string, "
-    "category_license_type string, certificate_owner string, owner_id string, zone_id string, zone_name string, "
+    "application_certificate_type string, effective_date date, expire_date date, intimate_date date, months_eligible bigint, "
+    "licence_path string, license_type string, category_license_type string, certificate_owner string, owner_id string, zone_id string, zone_name string, "
     "sector string, certificate_type string, " + AUDIT
 )
 ADDRESS = (

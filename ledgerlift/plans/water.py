@@ -258,7 +258,7 @@ def hub_rows(first: DataFrame, users: DataFrame, as_of: Moment) -> DataFrame:
 def certificate_rows(rows: DataFrame, as_of: Moment) -> DataFrame:
     return stamped(
         rows.select(
-            stable_key(F.lit("certificate"), "application_number").alias("id"),
+            stable_key(F.lit("certificate"), number_key("application_number")).alias("id"),
             "application_id",
             "application_number",
             "approval_no",

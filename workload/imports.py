@@ -44,15 +44,19 @@ def application_feed(t: Tables):
     return rows.select(
         F.col("o_orderkey").alias("_row"),
         F.concat(F.lit(" APP-"), "o_custkey").alias("AppRefNo"),
-        F.when(priority == "5-LOW", F.lit("nan")).otherwise(F.concat(F.lit("LIC-"), "o_orderkey")).alias("approval_no"),
+        F.when(priority == "5-LOW", F.lit("nan")).otherwise(F.concat(F.lit("LIC-"), F.floor(F.col("o_orderkey") / 3))).alias("approval_no"),
         F.expr(_TYPE_WORD).alias("application_type"),
         rendered_date().alias("effective_date"),
         F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 365), "d-M-yyyy").alias("expiry_date"),
         kind.otherwise(F.lit("none")).alias("license_type"),
-        F.concat("c_nationkey", F.lit(".0")).alias("region"),
+        F.when(F.col("c_nationkey") == 24, F.lit("999")).otherwise(F.concat("c_nationkey", F.lit(".0"))).alias("region"),
         F.concat(F.lit("Clerk."), status).alias("userid"),
         F.col("c_name").alias("facility_name"),
-        F.when(status == "O", F.lit("sole proprietor")).alias("application_legal_status_id"),
+        F.when(status == "O", F.lit("SoleProprietor"))
+        .when(status == "F", F.lit("Sole proprietor in a Column"))
+        .when(F.col("c_nationkey") > 12, F.lit("Guild"))
+        .otherwise(F.lit("private_LimitedLiability-Company."))
+        .alias("application_legal_status_id"),
         F.concat("o_orderkey", F.lit(".0")).alias("tinc"),
         F.when(~urgent, F.concat(F.lit("tin"), "o_orderkey", F.lit(".pdf"))).alias("tincfilename"),
         F.when(status != "F", F.lit("77")).otherwise(F.lit("x")).alias("coc"),
@@ -74,6 +78,9 @@ def application_workspace(t: Tables) -> Workspace:
         F.lit("LICENSE_WATER").alias("license_type"),
         F.lit("PROVISIONAL").alias("category_license_type"),
         F.lit(False).alias("is_migrated"),
+        F.when(F.col("c_nationkey") > 12, F.lit("2000-06-01").cast("date")).alias("intimate_date"),
+        F.col("c_nationkey").cast("bigint").alias("months_eligible"),
+        F.concat(F.lit("/l/"), "c_custkey").alias("licence_path"),
     )
     statuses = t.region.select(text("r_regionkey").alias("id"), F.lit("Sole Proprietor ").alias("name"))
     ws = Workspace({"applications": hub, "application_legal_status": statuses} | lookup_tables(t))
@@ -83,11 +90,13 @@ def application_workspace(t: Tables) -> Workspace:
 
 
 APPLICATION_SQL = f"""WITH {_CATEGORIES_SQL},
-  f AS (SELECT o_orderkey AS row_no, 'APP-' || o_custkey AS number, 'LIC-' || o_orderkey AS approval_no,
+  f AS (SELECT o_orderkey AS row_no, 'APP-' || o_custkey AS number, 'LIC-' || o_orderkey // 3 AS approval_no,
       CASE o_orderpriority WHEN '1-URGENT' THEN 'RENEW' WHEN '2-HIGH' THEN 'EXTEND' WHEN '3-MEDIUM' THEN 'CHANGE_OF_NAME' WHEN '4-NOT SPECIFIED' THEN 'UPGRADE' ELSE 'ODD' END AS type,
       {parsed_date_sql(RENDERED_DATE_SQL)} AS effective_date, CAST(CAST(o_orderdate AS DATE) + INTERVAL 365 DAY AS DATE) AS expire_date,
       CASE o_orderstatus WHEN 'P' THEN 'nation_' || c_nationkey WHEN 'F' THEN lower('Novel ' || o_orderpriority) END AS kind_key,
-      'clerk.' || lower(o_orderstatus) AS username, n_name AS region, CAST(n_regionkey AS VARCHAR) AS zone_id, c_name AS facility_name,
+      'clerk.' || lower(o_orderstatus) AS username, CASE WHEN n_nationkey = 24 THEN '999' ELSE n_name END AS region,
+      CASE WHEN n_nationkey <> 24 THEN CAST(n_regionkey AS VARCHAR) END AS zone_id, c_name AS facility_name,
+      CASE WHEN o_orderstatus IN ('O', 'F') THEN '0' WHEN c_nationkey <= 12 THEN {uuid_sql("'legal_status|private limited liability company'")} END AS legal,
       o_orderkey, o_custkey, o_orderstatus, o_orderpriority
     FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE o_orderpriority <> '5-LOW'),
   first AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY number ORDER BY row_no) = 1),
@@ -98,7 +107,8 @@ APPLICATION_SQL = f"""WITH {_CATEGORIES_SQL},
         WHEN sector IN ('PETROLEUM', 'NATURAL_GAS') AND kind = 'License' THEN 'LICENSE_' || sector
         WHEN sector IN ('PETROLEUM', 'NATURAL_GAS') AND kind = 'Construction' THEN 'CONSTRUCTION_' || sector END AS license_type
     FROM first LEFT JOIN cat ON k = kind_key),
-  t AS (SELECT 'A' || c_custkey AS id, 'APP-' || c_custkey * 2 AS number FROM customer),
+  t AS (SELECT 'A' || c_custkey AS id, 'APP-' || c_custkey * 2 AS number, CASE WHEN c_nationkey > 12 THEN DATE '2000-06-01' END AS intimate_date,
+      CAST(c_nationkey AS BIGINT) AS months_eligible, '/l/' || c_custkey AS licence_path FROM customer),
   hub AS (SELECT coalesce(t.id, s.id) AS id, coalesce(t.number, s.number) AS application_number, coalesce(s.type, 'OLD') AS application_type,
       coalesce(s.approval_no, 'OLD-LIC') AS approval_no, CASE WHEN s.number IS NOT NULL THEN 'APPROVED' END AS status, s.username,
       s.number IS NOT NULL AS is_migrated, coalesce(s.effective_date, CASE WHEN t.number IS NOT NULL THEN DATE '2001-01-01' END) AS effective_date,
@@ -106,7 +116,7 @@ APPLICATION_SQL = f"""WITH {_CATEGORIES_SQL},
       coalesce(s.license_type, CASE WHEN t.number IS NOT NULL THEN 'LICENSE_WATER' END) AS license_type,
       CASE WHEN t.number IS NOT NULL THEN 'PROVISIONAL' ELSE 'OPERATIONAL' END AS category_license_type, s.zone_id,
       CASE WHEN t.number IS NULL THEN 'insert' WHEN s.number IS NULL THEN 'keep' ELSE 'update' END AS _action,
-      s.type AS staged_type, s.region, s.facility_name, s.o_orderkey, s.o_custkey, s.o_orderstatus, s.o_orderpriority
+      intimate_date, months_eligible, licence_path, s.legal, s.type AS staged_type, s.region, s.facility_name, s.o_orderkey, s.o_custkey, s.o_orderstatus, s.o_orderpriority
     FROM t FULL JOIN s ON t.number = s.number)"""
 HUB = (
     "id, application_number, application_type, approval_no, status, username, is_migrated, effective_date, expire_date, category_id, "
@@ -128,13 +138,13 @@ def hub_import(t: Tables):
     return application_workspace(t).summary(["applications"])
 
 
-_CERTIFICATE = "id, application_id, application_number, approval_no, application_certificate_type, effective_date, expire_date, license_type, category_license_type, zone_id, _action"
+_CERTIFICATE = "id, application_id, application_number, approval_no, application_certificate_type, effective_date, expire_date, intimate_date, months_eligible, licence_path, license_type, category_license_type, zone_id, _action"
 
 
 @query(
     "import_certificates",
     f"""{APPLICATION_SQL} SELECT {uuid_sql("'certificate|' || application_number")} AS id, id AS application_id, application_number, approval_no,
-      staged_type AS application_certificate_type, effective_date, expire_date, license_type, category_license_type, zone_id, 'insert' AS _action
+      staged_type AS application_certificate_type, effective_date, expire_date, intimate_date, months_eligible, licence_path, license_type, category_license_type, zone_id, 'insert' AS _action
     FROM hub WHERE _action <> 'keep'""",
 )
 def import_certificates(t: Tables):
@@ -143,7 +153,7 @@ def import_certificates(t: Tables):
 
 @query(
     "import_sector_details",
-    f"""{APPLICATION_SQL} SELECT id, id AS application_id, region, facility_name, CASE WHEN o_orderstatus = 'O' THEN '0' END AS applicant_legal_status_id
+    f"""{APPLICATION_SQL} SELECT id, id AS application_id, region, facility_name, legal AS applicant_legal_status_id
     FROM hub WHERE _action <> 'keep'""",
 )
 def import_sector_details(t: Tables):
@@ -197,17 +207,49 @@ def import_user_provisioning(t: Tables):
 
 @query(
     "import_application_report",
-    f"""{APPLICATION_SQL} SELECT count(*) AS staged, count(t.number) AS existing_application_number, CAST(0 AS BIGINT) AS existing_approval_no,
-      count(*) - count(DISTINCT f.number) AS dup_application_number, CAST(0 AS BIGINT) AS dup_approval_no FROM f LEFT JOIN t ON t.number = f.number""",
+    f"""{APPLICATION_SQL} SELECT count(*) AS staged, count(t.number) AS existing_application_number,
+      count(*) FILTER (f.approval_no IN (SELECT 'LIC-' || c_custkey FROM customer)) AS existing_approval_no,
+      count(*) - count(DISTINCT f.number) AS dup_application_number, count(*) - count(DISTINCT f.approval_no) AS dup_approval_no FROM f LEFT JOIN t ON t.number = f.number""",
 )
 def import_application_report(t: Tables):
     ws = application_workspace(t)
     before = t.customer.select(
-        F.concat(F.lit("APP-"), F.col("c_custkey") * 2).alias("application_number"), F.lit("OLD-LIC").alias("approval_no")
+        F.concat(F.lit("APP-"), F.col("c_custkey") * 2).alias("application_number"), F.concat(F.lit("LIC-"), "c_custkey").alias("approval_no")
     )
     return applications.application_report(ws, before)
 
 
+@query(
+    "import_mapping_report",
+    f"""{APPLICATION_SQL} SELECT count(*) FILTER (kind_key IS NOT NULL AND category_id IS NOT NULL) AS license_category_mapped,
+      count(*) FILTER (kind_key IS NOT NULL AND category_id IS NULL) AS license_category_unmapped, count(legal) AS legal_status_mapped,
+      count(*) - count(legal) AS legal_status_unmapped, count(*) FILTER (region <> '999') AS region_mapped, count(*) FILTER (region = '999') AS region_unmapped FROM s""",
+)
+def import_mapping_report(t: Tables):
+    return applications.mapping_report(application_workspace(t))
+
+
+@query(
+    "import_rejects",
+    f"""WITH x AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, c_nationkey, {RENDERED_DATE_SQL} AS raw FROM orders JOIN customer ON c_custkey = o_custkey)
+    SELECT o_orderkey AS _row, 'unreadable_date' AS code, 'effective_date' AS column_name, raw AS value FROM x WHERE {parsed_date_sql('raw')} IS NULL
+    UNION ALL SELECT o_orderkey, 'too_long', 'license_type', 'Novel ' || o_orderpriority FROM x WHERE o_orderstatus = 'F' AND length(o_orderpriority) > 12
+    UNION ALL SELECT o_orderkey, 'too_long', 'application_legal_status_raw', CASE o_orderstatus WHEN 'F' THEN 'Sole proprietor in a Column' ELSE 'private_LimitedLiability-Company.' END
+      FROM x WHERE o_orderstatus = 'F' OR (o_orderstatus = 'P' AND c_nationkey <= 12)""",
+)
+def import_rejects(t: Tables):
+    """Cells of the feed that the import can't read or a narrow target couldn't hold."""
+    return applications.rejected_cells(application_feed(t), longest=18)
+
+
+@query(
+    "import_unresolved_regions",
+    f"""{APPLICATION_SQL} SELECT row_no AS _row, number AS application_number, region FROM f WHERE region = '999'""",
+)
+def import_unresolved_regions(t: Tables):
+    return applications.unresolved_regions(application_workspace(t)).select("_row", "application_number", "region")
+
+
 # --- people ---------------------------------------------------------------------------------------------
 
 
@@ -423,9 +465,9 @@ def import_installation_certificate_ids(t: Tables):
 def _experience_tables(t: Tables):
     hub = t.customer.select(F.concat(F.lit("A"), "c_custkey").alias("id"), F.concat(F.lit("EL-"), "c_custkey").alias("application_number"))
     kind = F.when(F.col("c_nationkey") > 18, F.lit("self-employed")).when(F.col("c_nationkey") > 12, F.lit("SELF_EMPLOYED"))
-    installations = t.customer.filter(F.col("c_nationkey") > 5).select(
-        F.concat(F.lit("I"), "c_custkey").alias("id"), F.concat(F.lit("A"), "c_custkey").alias("application_id"), kind.alias("experience_type")
-    )
+    # All customers have an installation; some of these have lost their application.
+    application = F.when(F.col("c_nationkey") > 5, F.concat(F.lit("A"), "c_custkey"))
+    installations = t.customer.select(F.concat(F.lit("I"), "c_custkey").alias("id"), application.alias("application_id"), kind.alias("experience_type"))
     return {"applications": hub, "application_electrical_installation": installations}
 
 
@@ -592,7 +634,7 @@ def _water(t: Tables) -> Workspace:
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     feed = rows.select(
         F.col("o_orderkey").alias("_row"),
-        F.concat(F.lit("W-"), "o_custkey").alias("apprefno"),
+        F.concat(F.when(F.col("o_orderkey") % 2 == 0, F.lit("W-")).otherwise(F.lit("w-")), "o_custkey").alias("apprefno"),
         F.expr(_TYPE_WORD).alias("application_type"),
         F.concat(F.lit("LIC-"), "o_orderkey").alias("licenceno"),
         F.when(status == "P", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).otherwise(F.lit("soon")).alias("effective_date"),
@@ -620,7 +662,7 @@ def _water(t: Tables) -> Workspace:
     return water.import_water(Workspace({"applications": hub, "users": users}), feed, default_role=None, as_of=NOW)
 
 
-_WATER_SQL = f"""WITH s AS (SELECT 'W-' || o_custkey AS number, o_orderkey, o_orderstatus AS st, o_orderpriority AS pr, c_name, CAST(o_orderdate AS DATE) AS d,
+_WATER_SQL = f"""WITH s AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'W-' ELSE 'w-' END || o_custkey AS number, o_orderkey, o_orderstatus AS st, o_orderpriority AS pr, c_name, CAST(o_orderdate AS DATE) AS d,
       CASE o_orderpriority WHEN '1-URGENT' THEN 'RENEW' WHEN '2-HIGH' THEN 'EXTEND' WHEN '4-NOT SPECIFIED' THEN 'UPGRADE' END AS type,
       CASE o_orderstatus WHEN 'P' THEN 'LICENSE_WATER' WHEN 'F' THEN 'LICENSE_PETROLEUM' END AS lt,
       CASE o_orderstatus WHEN 'P' THEN 'u1' WHEN 'F' THEN 'u2' ELSE {uuid_sql("'user|clerk.o'")} END AS uid
@@ -630,7 +672,7 @@ _WATER_SQL = f"""WITH s AS (SELECT 'W-' || o_custkey AS number, o_orderkey, o_or
       coalesce(type, CASE WHEN t.id IS NOT NULL THEN 'OLD' END) AS application_type, CASE WHEN s.number IS NOT NULL THEN 'LIC-' || o_orderkey END AS approval_no,
       CASE WHEN st = 'P' THEN d END AS effective_date, coalesce(lt, CASE WHEN t.id IS NOT NULL THEN 'LICENSE_WATER' END) AS license_type,
       coalesce(boss, uid) AS created_by, CASE WHEN t.number IS NULL THEN 'insert' WHEN s.number IS NULL THEN 'keep' ELSE 'update' END AS _action,
-      st, pr, c_name, o_orderkey, lt, type, lower(s.number) AS k FROM t FULL JOIN s ON t.number = s.number),
+      st, pr, c_name, o_orderkey, lt, type, lower(s.number) AS k FROM t FULL JOIN s ON lower(t.number) = lower(s.number)),
   r AS (SELECT *, {uuid_sql("'WATER_ASD:' || k")} AS asd FROM hub WHERE _action <> 'keep')"""
 
 
@@ -661,7 +703,7 @@ def _water_child_sql(kind: str, table: str, value: str, where: str) -> str:
             _water_child_sql("PD", "project_description", "'12'", "pr = '2-HIGH'"),
             _water_child_sql("DOC:TIN_CERTIFICATE", "documents", "'1 d1 tin.pdf'", "st = 'P'"),
             _water_child_sql("DOC:QMP", "documents", "'28 qmp.pdf'", "true"),
-            f"SELECT 'certificates', {uuid_sql(chr(39) + 'certificate|' + chr(39) + ' || application_number')}, id, coalesce(type, 'NEW') || ' WATER_SUPPLY' FROM r",
+            f"SELECT 'certificates', {uuid_sql(chr(39) + 'certificate|' + chr(39) + ' || k')}, id, coalesce(type, 'NEW') || ' WATER_SUPPLY' FROM r",
         ]
     ),
 )
@@ -706,8 +748,20 @@ def _fees(t: Tables) -> Workspace:
     categories = t.part.groupBy(F.initcap("p_name").alias("name")).agg(
         F.concat(F.lit("C"), F.min("p_partkey")).alias("id"), F.lit(True).alias("apply_thereof"), (F.min("p_size") > 1).alias("has_fee_range")
     )
-    earlier = t.part.filter(F.col("p_type") == "SMALL").select(
-        F.concat(F.lit("F"), "p_partkey").alias("id"), F.lit("none").alias("category_id"), F.lit("ACTIVE").alias("status")
+    # Earlier fees: those of economy parts stand for a slot of this upload, the others for none.
+    of_name = categories.select(F.lower("name").alias("k"), F.col("id").alias("category_id"))
+    economy = F.col("p_type") == "ECONOMY"
+    earlier = t.part.join(of_name, F.lower("p_name") == F.col("k")).select(
+        F.concat(F.lit("F"), "p_partkey").alias("id"),
+        F.when(economy, F.col("category_id")).otherwise(F.lit("none")).alias("category_id"),
+        F.lit("ACTIVE").alias("status"),
+        F.when(economy, F.lit("economy ")).alias("application_type"),
+        F.when(economy, F.lit("OPERATIONAL")).alias("license_type"),
+        F.when(economy, F.when(small, F.lit(1)).otherwise(F.col("p_size") + 0.5)).cast("decimal(38,6)").alias("capacity_from"),
+        F.when(economy, F.when(small, F.lit("10")).otherwise(F.lit("Above"))).alias("capacity_to"),
+        F.when(economy, F.upper("p_brand")).alias("application_prefix"),
+        F.when(economy, F.lit("ECBL")).alias("license_prefix"),
+        F.when(economy, F.when(small, F.lit(12)).otherwise(F.lit(36))).cast("bigint").alias("months_eligible"),
     )
     ws = Workspace({"categories": categories, "application_category_fees": earlier})
     return fees.import_categories_and_fees(ws, feed, "ELECTRICITY", sector_id="S1", as_of=NOW)
@@ -734,11 +788,14 @@ def import_categories(t: Tables):
 @query(
     "import_fees",
     f"""{_FEE_SQL}, slot AS (SELECT x.*, id AS category_id FROM x JOIN cat ON cat.k = x.k QUALIFY row_number() OVER
-        (PARTITION BY id, application_type, license_type, capacity_from, capacity_to, application_prefix, months_eligible ORDER BY row_no) = 1)
-    SELECT category_id, 'NOT_ACTIVE' AS status, license_type, application_type, CAST(capacity_from AS DECIMAL(38,6)) AS capacity_from, capacity_to,
+        (PARTITION BY id, application_type, license_type, capacity_from, capacity_to, application_prefix, months_eligible ORDER BY row_no) = 1),
+    e AS (SELECT id AS category_id, application_type, license_type, capacity_from, capacity_to, application_prefix, months_eligible, TRUE AS known
+      FROM x JOIN cat ON cat.k = x.k WHERE application_type = 'ECONOMY')
+    SELECT category_id, CASE WHEN known THEN 'ACTIVE' ELSE 'NOT_ACTIVE' END AS status, license_type, application_type, CAST(capacity_from AS DECIMAL(38,6)) AS capacity_from, capacity_to,
       CAST(application_fee AS DECIMAL(38,6)) AS application_fee, CAST(license_fee AS DECIMAL(38,6)) AS license_fee, CAST(0 AS DECIMAL(38,6)) AS annual_fee,
-      application_prefix, 'ECBL' AS license_prefix, CAST(months_eligible AS BIGINT) AS months_eligible, 'insert' AS _action FROM slot
-    UNION ALL SELECT 'none', 'ACTIVE', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'keep' FROM part WHERE p_type = 'SMALL'""",
+      application_prefix, 'ECBL' AS license_prefix, CAST(months_eligible AS BIGINT) AS months_eligible, CASE WHEN known THEN 'update' ELSE 'insert' END AS _action
+      FROM slot LEFT JOIN e USING (category_id, application_type, license_type, capacity_from, capacity_to, application_prefix, months_eligible)
+    UNION ALL SELECT 'none', 'ACTIVE', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'keep' FROM part WHERE p_type <> 'ECONOMY'""",
 )
 def import_fees(t: Tables):
     columns = (
@@ -753,19 +810,20 @@ def _category_upload(t: Tables) -> Workspace:
     name = F.when(F.col("p_size") > 45, F.lit("none")).otherwise(F.concat("p_name", F.lit(" "), "p_brand"))
     feed = t.part.select(F.col("p_partkey").alias("_row"), name.alias("Category Name"), sector.alias("Sector/Name"))
     earlier = t.part.groupBy(F.concat("p_name", F.lit(" "), "p_brand").alias("name")).agg(F.min("p_size").alias("least"))
-    earlier = earlier.filter(F.col("least") == 1).select(F.upper("name").alias("id"), "name")
+    # All names, blank where the category is new.
+    earlier = earlier.select(F.upper("name").alias("id"), F.when(F.col("least") == 1, F.col("name")).alias("name"))
     ws = Workspace({"categories": earlier, "sectors": _categories(t)[1]})
     return directory.import_categories(ws, feed, as_of=NOW)
 
 
 _UPLOAD_SQL = """WITH f AS (SELECT p_partkey, p_name || ' ' || p_brand AS name, CASE p_type WHEN 'ECONOMY' THEN '0' WHEN 'SMALL' THEN '2' END AS sector_id FROM part WHERE p_size <= 45),
-  t AS (SELECT p_name || ' ' || p_brand AS name FROM part GROUP BY 1 HAVING min(p_size) = 1),
-  n AS (SELECT * FROM f WHERE sector_id IS NOT NULL AND lower(name) NOT IN (SELECT lower(name) FROM t) QUALIFY row_number() OVER (PARTITION BY lower(name) ORDER BY p_partkey) = 1)"""
+  t AS (SELECT upper(p_name || ' ' || p_brand) AS id, CASE WHEN min(p_size) = 1 THEN p_name || ' ' || p_brand END AS name FROM part GROUP BY p_name || ' ' || p_brand),
+  n AS (SELECT * FROM f WHERE sector_id IS NOT NULL AND lower(name) NOT IN (SELECT lower(name) FROM t WHERE name IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY lower(name) ORDER BY p_partkey) = 1)"""
 
 
 @query(
     "import_category_upload",
-    f"""{_UPLOAD_SQL} SELECT upper(name) AS id, name, NULL AS sector_id, 'keep' AS _action FROM t UNION ALL
+    f"""{_UPLOAD_SQL} SELECT id, name, NULL AS sector_id, 'keep' AS _action FROM t UNION ALL
       SELECT {uuid_sql("'category|' || lower(name)")}, name, sector_id, 'insert' FROM n""",
 )
 def import_category_upload(t: Tables):
@@ -786,7 +844,7 @@ def _user_feed(t: Tables):
         F.col("event_id").alias("_row"),
         F.when(F.col("event_type") != "view", F.col("event_type")).alias("firstname"),
         F.concat(F.lit("L"), "user_id").alias("lastname"),
-        F.concat(F.lit(" user"), "user_id").alias("username"),
+        F.concat(F.when(F.col("event_id") % 2 == 0, F.lit("USER")).otherwise(F.lit(" user")), "user_id").alias("username"),
         F.lit("secret").alias("password"),
         F.when(F.col("event_type") == "error", F.lit("locked")).alias("status"),
         F.concat(F.lit("07"), "event_id").alias("mobilenumber"),
@@ -806,13 +864,13 @@ def _user_tables(t: Tables):
     return {"users": users, "roles": roles}
 
 
-_USERS_SQL = f"""WITH s AS (SELECT 'user' || user_id AS username, CASE WHEN event_type <> 'view' THEN event_type ELSE '' END || ' L' || user_id AS full_name,
+_USERS_SQL = f"""WITH s AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'USER' ELSE 'user' END || user_id AS username, CASE WHEN event_type <> 'view' THEN event_type ELSE '' END || ' L' || user_id AS full_name,
       CASE WHEN event_type = 'error' THEN 'LOCKED' ELSE 'ACTIVE' END AS status, '07' || event_id AS phone_number
     FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
   t AS (SELECT CAST(c_custkey AS VARCHAR) AS id, 'user' || c_custkey * 2 AS username FROM customer),
-  u AS (SELECT coalesce(t.id, {uuid_sql("'user|' || s.username")}) AS id, coalesce(t.username, s.username) AS username, coalesce(s.full_name, 'Old Name') AS full_name,
+  u AS (SELECT coalesce(t.id, {uuid_sql("'user|' || lower(s.username)")}) AS id, coalesce(t.username, s.username) AS username, coalesce(s.full_name, 'Old Name') AS full_name,
       s.status, s.phone_number, CASE WHEN s.username IS NOT NULL THEN 'COMPANY' END AS account_type, CASE WHEN s.username IS NOT NULL THEN 'DB' END AS auth_mode,
-      CASE WHEN t.id IS NULL THEN 'insert' WHEN s.username IS NULL THEN 'keep' ELSE 'update' END AS _action FROM t FULL JOIN s ON t.username = s.username)"""
+      CASE WHEN t.id IS NULL THEN 'insert' WHEN s.username IS NULL THEN 'keep' ELSE 'update' END AS _action FROM t FULL JOIN s ON t.username = lower(s.username))"""
 
 
 @query("import_users", f"{_USERS_SQL} SELECT * FROM u")
@@ -834,7 +892,7 @@ def import_users_skip_existing(t: Tables):
 @query(
     "import_user_roles",
     f"""{_USERS_SQL} SELECT DISTINCT u.id AS user_id, CASE event_type WHEN 'view' THEN 'r1' ELSE {uuid_sql("'role|' || event_type")} END AS role_id, 'insert' AS _action
-      FROM events JOIN u ON u.username = 'user' || user_id""",
+      FROM events JOIN u ON lower(u.username) = 'user' || user_id""",
 )
 def import_user_roles(t: Tables):
     ws = directory.import_users(Workspace(_user_tables(t)), _user_feed(t), as_of=NOW)

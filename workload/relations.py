@@ -73,7 +73,7 @@ def keep_first(t: Tables):
 def keep_first_blank_key(t: Tables):
     number = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("APP-"), "o_custkey"))
     rows = t.orders.select("o_orderkey", "o_custkey", number.alias("number"))
-    return dedupe.keep_first_upload(rows, "number", "o_orderkey", row_id="o_orderkey")
+    return dedupe.keep_first_upload(rows, "number", "o_orderkey")
 
 
 @query(
@@ -100,10 +100,13 @@ def dup_surplus(t: Tables):
 
 @query(
     "dup_listing",
-    "SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem QUALIFY copies > 1",
+    """WITH x AS (SELECT * REPLACE (CASE WHEN l_returnflag <> 'N' THEN l_linenumber END AS l_linenumber) FROM lineitem)
+    SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM x QUALIFY copies > 1""",
 )
 def dup_listing(t: Tables):
-    return dedupe.duplicate_listing(t.lineitem, LINE)
+    """Half of the lines have no number; they repeat under their order like any other value."""
+    number = F.when(F.col("l_returnflag") != "N", F.col("l_linenumber"))
+    return dedupe.duplicate_listing(t.lineitem.withColumn("l_linenumber", number), LINE)
 
 
 @query(
@@ -287,10 +290,11 @@ def distinct_count(t: Tables):
 @query(
     "count_by_parent",
     """SELECT p_partkey, p_name, count(l_partkey) AS lines FROM part
-      LEFT JOIN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45) ON l_partkey = p_partkey GROUP BY 1, 2""",
+      LEFT JOIN (SELECT l_partkey * 2 AS l_partkey FROM lineitem) ON l_partkey = p_partkey GROUP BY 1, 2""",
 )
 def count_by_parent(t: Tables):
-    lines = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45))
+    """All lines, under twice their part number: odd parts have none."""
+    lines = t.lineitem.select((F.col("l_partkey") * 2).alias("l_partkey"))
     return profile.count_by_parent(t.part.select("p_partkey", "p_name"), lines, "p_partkey", "l_partkey", "lines")
 
 
@@ -428,7 +432,8 @@ def suspicious_rows(t: Tables):
         (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""",
 )
 def rejects(t: Tables):
-    known = t.customer.filter(F.col("c_mktsegment") != "BUILDING").select("c_custkey")
+    # All customers, some with a blank key.
+    known = t.customer.select(F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey")).alias("c_custkey"))
     rows = t.orders.join(known, F.col("o_custkey") == F.col("c_custkey"), "left")
     rules = {
         "not_open": ("o_orderstatus", F.col("o_orderstatus") != "O"),

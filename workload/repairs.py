@@ -188,27 +188,31 @@ def _located(t: Tables):
         F.when(nation > 5, F.lit("r")).alias("region"),
         F.when(nation > 10, F.lit("d")).alias("district"),
         F.when(nation > 15, F.lit("s")).alias("street"),
-        F.lit(None).cast("string").alias("ward"),
+        F.when(nation > 20, F.lit("w")).alias("ward"),
     )
+    # Two details an application and more, of which some are empty.
+    key, held = F.col("s_suppkey"), F.col("s_nationkey")
     details = t.supplier.select(
-        F.col("s_suppkey").alias("application_id"),
-        F.col("s_name").alias("region"),
-        F.when(F.col("s_nationkey") > 12, F.lit("D")).alias("district"),
-        F.lit("S").alias("street"),
-        F.lit(None).cast("string").alias("ward"),
+        (key % 40).alias("application_id"),
+        F.when(key % 3 != 0, F.col("s_name")).alias("region"),
+        F.when(held > 12, F.concat(F.lit("D"), key % 7)).alias("district"),
+        F.when(key % 2 == 0, F.lit("S")).alias("street"),
+        F.when(held < 8, F.concat(F.lit("W"), "s_nationkey")).alias("ward"),
     )
     return applications, details
 
 
 _LOCATED_SQL = """a AS (SELECT c_custkey AS id, CASE WHEN c_nationkey > 5 THEN 'r' END AS region, CASE WHEN c_nationkey > 10 THEN 'd' END AS district,
-      CASE WHEN c_nationkey > 15 THEN 's' END AS street, CAST(NULL AS VARCHAR) AS ward FROM customer),
-    x AS (SELECT s_suppkey AS application_id, s_name AS region, CASE WHEN s_nationkey > 12 THEN 'D' END AS district, 'S' AS street, CAST(NULL AS VARCHAR) AS ward FROM supplier)"""
+      CASE WHEN c_nationkey > 15 THEN 's' END AS street, CASE WHEN c_nationkey > 20 THEN 'w' END AS ward FROM customer),
+    x AS (SELECT s_suppkey % 40 AS application_id, min(CASE WHEN s_suppkey % 3 <> 0 THEN s_name END) AS region,
+      min(CASE WHEN s_nationkey > 12 THEN 'D' || s_suppkey % 7 END) AS district, min(CASE WHEN s_suppkey % 2 = 0 THEN 'S' END) AS street,
+      min(CASE WHEN s_nationkey < 8 THEN 'W' || s_nationkey END) AS ward FROM supplier GROUP BY 1)"""
 
 
 @query(
     "location_backfill",
     f"""WITH {_LOCATED_SQL} SELECT id, coalesce(a.region, x.region) AS region, coalesce(a.district, x.district) AS district,
-      coalesce(a.street, x.street) AS street, a.ward FROM a LEFT JOIN x ON application_id = id""",
+      coalesce(a.street, x.street) AS street, coalesce(a.ward, x.ward) AS ward FROM a LEFT JOIN x ON application_id = id""",
 )
 def location_backfill(t: Tables):
     return m.location_jobs(*_located(t)).apply()
@@ -218,15 +222,68 @@ def location_backfill(t: Tables):
     "location_preview",
     f"""WITH {_LOCATED_SQL} SELECT count(*) FILTER (a.region IS NULL AND x.region IS NOT NULL) AS region_to_fill,
       count(*) FILTER (a.district IS NULL AND x.district IS NOT NULL) AS district_to_fill,
-      count(*) FILTER (a.street IS NULL AND x.street IS NOT NULL) AS street_to_fill, CAST(0 AS BIGINT) AS ward_to_fill,
+      count(*) FILTER (a.street IS NULL AND x.street IS NOT NULL) AS street_to_fill,
+      count(*) FILTER (a.ward IS NULL AND x.ward IS NOT NULL) AS ward_to_fill,
       count(*) FILTER ((a.region IS NULL AND x.region IS NOT NULL) OR (a.district IS NULL AND x.district IS NOT NULL)
-        OR (a.street IS NULL AND x.street IS NOT NULL)) AS total_affected
+        OR (a.street IS NULL AND x.street IS NOT NULL) OR (a.ward IS NULL AND x.ward IS NOT NULL)) AS total_affected
     FROM a LEFT JOIN x ON application_id = id""",
 )
 def location_preview(t: Tables):
     return m.location_preview(*_located(t))
 
 
+# --- post-import ----------------------------------------------------------------------------------------
+
+
+def _registry(t: Tables):
+    """Orders as applications; sector details and documents, some without their application or creator."""
+    status = F.col("o_orderstatus")
+    applications = t.orders.select(
+        F.concat(F.lit("A"), "o_orderkey").alias("id"),
+        F.concat(F.lit(" Nation_"), F.col("o_custkey") % 30).alias("username"),
+        F.when(status == "P", F.lit("boss")).alias("created_by"),
+    )
+    users = t.nation.select(F.col("n_nationkey").cast("string").alias("id"), F.concat(F.lit("nation_"), "n_nationkey").alias("username"))
+    details = t.orders.select(F.concat(F.lit("D"), "o_orderkey").alias("id"), F.when(status != "F", F.concat(F.lit("A"), "o_orderkey")).alias("application_id"))
+    documents = t.lineitem.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("id"),
+        F.when(F.col("l_quantity") > 5, F.concat(F.lit("D"), "l_orderkey")).alias("application_sector_detail_id"),
+        F.when(F.col("l_returnflag") == "R", F.lit("known")).alias("application_id"),
+        F.when(F.col("l_linestatus") == "O", F.lit("clerk")).alias("created_by"),
+    )
+    return {"applications": applications, "users": users, "application_sector_details": details, "documents": documents}
+
+
+_REGISTRY_SQL = """u AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_custkey % 30 < 25 THEN CAST(o_custkey % 30 AS VARCHAR) END AS uid FROM orders),
+    d AS (SELECT CASE WHEN l_returnflag = 'R' THEN 'known' WHEN l_quantity > 5 AND o_orderstatus <> 'F' THEN 'A' || l_orderkey END AS application_id,
+        l_returnflag, l_linestatus, uid FROM lineitem LEFT JOIN u ON o_orderkey = l_orderkey),
+    f AS (SELECT *, CASE WHEN l_linestatus = 'O' THEN 'clerk' WHEN application_id LIKE 'A%' THEN uid END AS created_by FROM d)"""
+
+
+@query(
+    "post_import",
+    f"""WITH {_REGISTRY_SQL} SELECT 'applications' AS table_name, 'A' || o_orderkey AS application_id, CASE WHEN o_orderstatus = 'P' THEN 'boss' ELSE uid END AS created_by, count(*) AS n
+      FROM u GROUP BY ALL UNION ALL SELECT 'documents', application_id, created_by, count(*) FROM f GROUP BY ALL""",
+)
+def post_import(t: Tables):
+    """Application ids through the sector detail, then creators through the repaired ids."""
+    jobs = m.post_import_jobs(_registry(t))
+    applications = jobs["created_by"]["applications"].apply().select(F.lit("applications").alias("table_name"), F.col("id").alias("application_id"), "created_by")
+    documents = jobs["created_by"]["documents"].apply().select(F.lit("documents").alias("table_name"), "application_id", "created_by")
+    return applications.unionByName(documents).groupBy("table_name", "application_id", "created_by").agg(F.count("*").alias("n"))
+
+
+@query(
+    "post_import_preview",
+    f"""WITH {_REGISTRY_SQL} SELECT 'application_id' AS step, 'documents' AS table_name, count(*) FILTER (application_id LIKE 'A%') AS rows_to_change FROM d
+      UNION ALL SELECT 'created_by', 'applications', count(*) FILTER (o_orderstatus <> 'P' AND uid IS NOT NULL) FROM u
+      UNION ALL SELECT 'created_by', 'documents', count(*) FILTER (l_linestatus <> 'O' AND created_by IS NOT NULL) FROM f""",
+)
+def post_import_preview(t: Tables):
+    parts = [b.preview_all(jobs).withColumn("step", F.lit(step)) for step, jobs in m.post_import_jobs(_registry(t)).items()]
+    return parts[0].unionByName(parts[1]).select("step", "table_name", "rows_to_change")
+
+
 # --- certificates and categories ------------------------------------------------------------------------
 
 
