@@ -125,15 +125,18 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         for j, mask in enumerate(masks):
             flips = _flips(mask, r)
             if flips:
-                some = open_.where(F.col("parts") > j).select("q", F.lit(j).alias("segment"), F.col("q").bitwiseAND(F.lit(_signed(mask))).alias("own"), F.explode(F.array(*map(F.lit, flips))).alias("flip"))
+                some = open_.where(F.col("parts") > j).select("q", "kth", F.lit(j).alias("segment"), F.col("q").bitwiseAND(F.lit(_signed(mask))).alias("own"), F.explode(F.array(*map(F.lit, flips))).alias("flip"))
                 probes = some if probes is None else probes.unionByName(some)
-        met = probes.select("q", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value")).join(index, ["segment", "value"])
+        probes = probes.select("q", "kth", F.col("segment").alias("s"), F.col("own").bitwiseXOR(F.col("flip")).alias("v"))
         # A pair counts where it is met first: at the smallest radius, then the first segment.
         earlier = F.lit(False)
         for j, mask in enumerate(masks):
             d = _distance("q", "code", mask)
             earlier = earlier | (d < r) | ((d == r) & (F.col("segment") > j))
-        found = met.where(~earlier).select("q", "code", _distance("q", "code").alias("distance"), "ids", "n")
+        # The distance is verified in the join: what is beyond the k-th so far never leaves it.
+        near = _distance("q", "code") <= F.coalesce("kth", F.lit(BITS))
+        met = probes.join(index, (F.col("s") == F.col("segment")) & (F.col("v") == F.col("value")) & ~earlier & near)
+        found = met.select("q", "code", _distance("q", "code").alias("distance"), "ids", "n")
         best = found if best is None else best.join(open_.select("q"), "q", "left_semi").unionByName(found)
         best = written(_nearest(best, wanted), f"nearest-{r}")
         counted = best.withColumn("so_far", F.sum("n").over(Window.partitionBy("q").orderBy("distance", F.col("ids")[0])))
