@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,14 @@ CELLS = 1 << 13
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches, so that long texts don't meet in one Python worker's memory."""
+    """Bound the Arrow batches, so that long texts don't meet in one Python worker's memory.
+
+    Workers also look for this package where the driver found it, whatever folder they start in.
+    """
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        known["PYTHONPATH"] = ":".join([*paths, root])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -29,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only for a local session that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="llm-scratch-")
         spark.conf.set("spark.checkpoint.dir", named)
