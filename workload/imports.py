@@ -67,7 +67,7 @@ def application_feed(t: Tables):
     )
 
 
-def application_workspace(t: Tables) -> Workspace:
+def application_workspace(t: Tables, default_role: str | None = None) -> Workspace:
     hub = t.customer.select(
         F.concat(F.lit("A"), "c_custkey").alias("id"),
         F.concat(F.lit("APP-"), F.col("c_custkey") * 2).alias("application_number"),
@@ -83,9 +83,20 @@ def application_workspace(t: Tables) -> Workspace:
         F.concat(F.lit("/l/"), "c_custkey").alias("licence_path"),
     )
     statuses = t.region.select(text("r_regionkey").alias("id"), F.lit("Sole Proprietor ").alias("name"))
-    ws = Workspace({"applications": hub, "application_legal_status": statuses} | lookup_tables(t))
+    certificates = t.customer.select(
+        F.concat(F.lit("C"), "c_custkey").alias("id"),
+        F.concat(F.lit("APP-"), F.col("c_custkey") * 3).alias("application_number"),
+        F.lit("/old").alias("licence_path"),
+    )
+    nation = F.col("n_nationkey")
+    roles = t.nation.select(F.concat(F.lit("r"), nation).alias("id"), F.when(nation == 7, F.lit("Default Role ")).otherwise(F.col("n_name")).alias("name"))
+    held = t.nation.select(F.lit("u1").alias("user_id"), F.concat(F.lit("r"), nation).alias("role_id"))
+    spelled = F.element_at(F.array(*map(F.lit, ("x", " CLERK.P", "y", "Clerk.f", "z"))), F.col("r_regionkey") + 1)
+    users = t.region.select(F.concat(F.lit("u"), "r_regionkey").alias("id"), spelled.alias("username"))
+    known = {"applications": hub, "application_legal_status": statuses, "certificates": certificates, "roles": roles, "user_roles": held, "users": users}
+    ws = Workspace(known | lookup_tables(t))
     return applications.import_applications(
-        ws, application_feed(t), "PETROLEUM", locations(t), _zones(t), default_role=None, as_of=NOW
+        ws, application_feed(t), "PETROLEUM", locations(t), _zones(t), default_role=default_role, as_of=NOW
     )
 
 
@@ -143,9 +154,13 @@ _CERTIFICATE = "id, application_id, application_number, approval_no, application
 
 @query(
     "import_certificates",
-    f"""{APPLICATION_SQL} SELECT {uuid_sql("'certificate|' || application_number")} AS id, id AS application_id, application_number, approval_no,
-      staged_type AS application_certificate_type, effective_date, expire_date, intimate_date, months_eligible, licence_path, license_type, category_license_type, zone_id, 'insert' AS _action
-    FROM hub WHERE _action <> 'keep'""",
+    f"""{APPLICATION_SQL}, o AS (SELECT 'C' || c_custkey AS id, 'APP-' || c_custkey * 3 AS application_number FROM customer),
+      n AS (SELECT * FROM hub WHERE _action <> 'keep')
+    SELECT coalesce(o.id, {uuid_sql("'certificate|' || n.application_number")}) AS id, n.id AS application_id, coalesce(n.application_number, o.application_number) AS application_number,
+      approval_no, staged_type AS application_certificate_type, effective_date, expire_date, intimate_date, months_eligible,
+      coalesce(licence_path, CASE WHEN o.id IS NOT NULL THEN '/old' END) AS licence_path, license_type, category_license_type, zone_id,
+      CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'keep' ELSE 'update' END AS _action
+    FROM n FULL JOIN o ON n.application_number = o.application_number""",
 )
 def import_certificates(t: Tables):
     return application_workspace(t).merged["certificates"].select(*_CERTIFICATE.split(", "))
@@ -250,6 +265,17 @@ def import_unresolved_regions(t: Tables):
     return applications.unresolved_regions(application_workspace(t)).select("_row", "application_number", "region")
 
 
+@query(
+    "import_default_role",
+    f"""{APPLICATION_SQL}, w AS (SELECT DISTINCT CASE o_orderstatus WHEN 'P' THEN 'u1' WHEN 'F' THEN 'u3' ELSE {uuid_sql("'user|clerk.o'")} END AS user_id FROM f),
+      h AS (SELECT 'u1' AS user_id, 'r' || n_nationkey AS role_id FROM nation)
+    SELECT user_id, role_id, 'keep' AS _action FROM h UNION ALL SELECT user_id, 'r7', 'insert' FROM w WHERE user_id NOT IN (SELECT user_id FROM h WHERE role_id = 'r7')""",
+)
+def import_default_role(t: Tables):
+    """Staged users get the role that is asked for, unless they have it."""
+    return application_workspace(t, "default role").merged["user_roles"]
+
+
 # --- people ---------------------------------------------------------------------------------------------
 
 

@@ -361,17 +361,22 @@ def search(t: Tables):
 
 @query(
     "shape_tests",
-    f"""SELECT doc_id, regexp_matches(text, '{fixed.PHONE}') AS has_phone, regexp_matches(text, '{fixed.EMAIL}') AS has_email,
-      regexp_matches(CAST(doc_id AS VARCHAR), '^[0-9]+$') AS digits, regexp_matches('15537792' || doc_id, '^[0-9]{{10,}}$') AS long_id,
-      regexp_matches(regexp_replace(md5(text), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5'), '{fixed.UUID_SHAPE}') AS uuid
-    FROM documents""",
+    r"""WITH x AS (SELECT doc_id, text || CASE doc_id % 4 WHEN 0 THEN ' 0712 345 678' WHEN 1 THEN ' +255 712345678' WHEN 2 THEN ' 0812345678' ELSE '' END AS text FROM documents)
+    SELECT doc_id, regexp_matches(text, '\+?255[ \t\n\f\r]?[0-9]([ \t\n\f\r]?[0-9]){8}|0[67][0-9]([ \t\n\f\r]?[0-9]){7}') AS has_phone,
+      regexp_matches(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z][a-zA-Z]') AS has_email,
+      doc_id % 3 <> 0 AS digits, doc_id >= 10 AS long_id, doc_id % 2 = 0 AS uuid FROM x""",
 )
 def shape_tests(t: Tables):
-    return t.documents.select(
+    """The texts as they are, with phone numbers of two accepted shapes and one other added to three in four."""
+    number, part = F.col("doc_id"), F.col("doc_id") % 4
+    phone = F.when(part == 0, F.lit(" 0712 345 678")).when(part == 1, F.lit(" +255 712345678")).when(part == 2, F.lit(" 0812345678")).otherwise(F.lit(""))
+    rows = t.documents.select("doc_id", F.concat("text", phone).alias("text"))
+    uuid = L.as_uuid(F.md5("text"))
+    return rows.select(
         "doc_id",
         L.looks_like("text", "phone").alias("has_phone"),
         L.looks_like("text", "email").alias("has_email"),
-        L.looks_like(F.col("doc_id").cast("string"), "digits").alias("digits"),
+        L.looks_like(F.when(number % 3 != 0, number.cast("string")).otherwise(F.concat(F.lit("n"), "doc_id")), "digits").alias("digits"),
         L.looks_like(F.concat(F.lit("15537792"), "doc_id"), "long_id").alias("long_id"),
-        L.looks_like(L.as_uuid(F.md5("text")), "uuid").alias("uuid"),
+        L.looks_like(F.when(number % 2 == 0, uuid).otherwise(F.concat(F.lit("x"), uuid)), "uuid").alias("uuid"),
     )
