@@ -22,7 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import written
+from ledgerlift.llm.common import prepared, written
+from ledgerlift.llm.token_output import decode, encode
 
 #: Bits of the filter for each insertion, and hash functions: about 1 % false probes.
 BITS_PER_ENTRY, PROBES = 10, 6
@@ -30,9 +31,9 @@ GROWTH, LEVELS = 1.25, 96
 #: Weight of the pair's relative frequency against the word's.
 PAIR_WEIGHT = 0.3
 #: A filter up to this size is broadcast; beyond it the lookups go to the segments instead.
-BROADCAST_BYTES = 96 << 20
-#: Characters of a chunk, bytes of text a segment stands for.
-CHUNK_CHARS, SEGMENT_BYTES = 16 << 20, 16 << 20
+BROADCAST_BYTES = 128 << 20
+#: Bytes of text of a chunk, and that a segment stands for.
+CHUNK_BYTES, SEGMENT_BYTES = 8 << 20, 16 << 20
 END = b"\n"  # no word holds it
 
 
@@ -56,31 +57,72 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+#: N-grams are told apart by the upper 48 bits of their hashes: sorted, they take some four bytes each.
+_LOW_BITS = np.uint64(16)
+
+
+def _cut(h: np.ndarray) -> np.ndarray:
+    return h >> _LOW_BITS << _LOW_BITS
+
+
+def word_hashes(words: np.ndarray) -> np.ndarray:
+    return _cut(_mix(words))
+
+
 def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return _mix(first * np.uint64(0x9E3779B97F4A7C15) + second)
+    return _cut(_mix(first * np.uint64(0x9E3779B97F4A7C15) + second))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers as bytes, in variable length where they allow it."""
+    if values.size and values.max() >> np.uint64(32):
+        return b"\0" + values.astype("<u8").tobytes()
+    control, data = encode(values.astype(np.uint32))
+    return b"\1" + values.size.to_bytes(8, "little") + control + data
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    if raw[0] == 0:
+        return np.frombuffer(raw, "<u8", offset=1)
+    n = int.from_bytes(raw[1:9], "little")
+    groups = -(-n // 4)
+    return decode(raw[9 : 9 + groups], raw[9 + groups :], n).astype(np.uint64)
+
+
+def _packed_hashes(h: np.ndarray) -> bytes:
+    """Ascending hashes by their differences."""
+    return _packed(np.diff(h >> _LOW_BITS, prepend=np.uint64(0)))
+
+
+def _unpacked_hashes(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw), dtype=np.uint64) << _LOW_BITS
 
 
 def _segment(h: np.ndarray, segments: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
 
 
-def _positions(h: np.ndarray, level: int, probe: int, bits: np.ndarray | np.uint64) -> np.ndarray:
+def _probes(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and step of the probes for a level."""
+    mixed = _mix(h + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+    return mixed >> np.uint64(32), mixed & np.uint64(0xFFFFFFFF) | np.uint64(1)
+
+
+def _place(start: np.ndarray, step: np.ndarray, probe: int, bits: np.ndarray | np.uint64) -> np.ndarray:
     """The probe's bit in a segment of `bits` bits."""
-    step = np.uint64((level * PROBES + probe + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    return ((_mix(h + step) >> np.uint64(32)) * bits) >> np.uint64(32)
+    return ((start + np.uint64(probe) * step & np.uint64(0xFFFFFFFF)) * bits) >> np.uint64(32)
 
 
 def filter_segment(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The bytes of a filter segment that holds `h` with their counts."""
     levels = np.searchsorted(LADDER, counts, side="right")
-    bits = np.uint64(max(64, -(-int(levels.sum()) * BITS_PER_ENTRY // 8) * 8))
-    held = np.zeros(int(bits) // 8, np.uint8)
+    bits = max(64, -(-int(levels.sum()) * BITS_PER_ENTRY // 8) * 8)
+    held = np.zeros(bits, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        here = h[levels >= level]
+        start, step = _probes(h[levels >= level], level)
         for probe in range(PROBES):
-            at = _positions(here, level, probe, bits)
-            np.bitwise_or.at(held, at >> np.uint64(3), np.left_shift(np.uint8(1), (at & np.uint64(7)).astype(np.uint8)))
-    return held
+            held[_place(start, step, probe, np.uint64(bits))] = True
+    return np.packbits(held, bitorder="little")
 
 
 class Filter:
@@ -102,9 +144,12 @@ class Filter:
         bits, starts = self.bits[segment], self.starts[segment]
         left = np.flatnonzero(bits)
         for level in range(1, LEVELS + 1):
+            start, step = _probes(h[left], level)
+            size, base = bits[left], starts[left]
             for probe in range(PROBES):
-                at = starts[left] + _positions(h[left], level, probe, bits[left])
-                left = left[(self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                at = base + _place(start, step, probe, size)
+                there = np.flatnonzero((self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
+                left, start, step, size, base = (x[there] for x in (left, start, step, size, base))
                 if not left.size:
                     return found
             found[left] = level
@@ -117,43 +162,52 @@ _CHUNK = "chunk long, ids array<{id}>, held array<boolean>, lengths array<long>,
 def _chunked(segments: int, id_type: pa.DataType):
     """Arrow batches of (id, held, text) -> chunks; a chunk's words are ordered by segment."""
 
-    def finish(number: int, ids: list, held: list, lengths: list, tokens: list, index: dict) -> pa.RecordBatch:
-        words = list(index)
+    def finish(number: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        split = pc.ascii_split_whitespace(pc.ascii_lower(table.column(2).combine_chunks()))
+        flat = split.flatten()
+        real = pc.not_equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+        of_row = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy(zero_copy_only=False))[real]
+        codes = pc.dictionary_encode(flat.filter(pa.array(real)))
+        words = [*codes.dictionary.cast(pa.binary()).to_pylist(), END]
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         order = np.argsort(_segment(hashes, segments), kind="stable")
         place = np.empty(len(words), np.uint32)
         place[order] = np.arange(len(words), dtype=np.uint32)
-        flat = place[np.array(tokens, np.uint32)]
-        trained = ~np.repeat(np.array(held, bool), lengths)
-        seen = np.bincount(flat[trained], minlength=len(words))
+        # Each document's words, then its end.
+        counts = np.bincount(of_row, minlength=len(split))
+        lengths = counts + 1
+        tokens = np.full(int(lengths.sum()), place[-1], np.uint32)
+        tokens[np.arange(of_row.size) + of_row] = place[codes.indices.to_numpy(zero_copy_only=False)]
+        held = table.column(1).to_numpy().astype(bool)
+        seen = np.bincount(tokens[~np.repeat(held, lengths)], minlength=len(words))
         fields = [
             pa.array([number], pa.int64()),
-            pa.array([ids], pa.list_(id_type)),
+            pa.array([table.column(0).to_pylist()], pa.list_(id_type)),
             pa.array([held], pa.list_(pa.bool_())),
             pa.array([lengths], pa.list_(pa.int64())),
-            pa.array([flat.tobytes()], pa.binary()),
+            pa.array([tokens.tobytes()], pa.binary()),
             pa.array([[words[i] for i in order]], pa.list_(pa.binary())),
             pa.array([seen], pa.list_(pa.int64())),
         ]
         return pa.RecordBatch.from_arrays(fields, ["chunk", "ids", "held", "lengths", "tokens", "words", "seen"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        ids, held, lengths, tokens, index, chars = [], [], [], [], {}, 0
+        number, parts, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for id_, out, text in zip(*(c.to_pylist() for c in batch.columns)):
-                words = text.encode("utf-8", "replace").lower().split()
-                words.append(END)
-                ids.append(id_)
-                held.append(out)
-                lengths.append(len(words))
-                tokens.extend([index.setdefault(w, len(index)) for w in words])
-                chars += len(text) + 64
-                if chars >= CHUNK_CHARS:
-                    yield finish(number, ids, held, lengths, tokens, index)
-                    number, ids, held, lengths, tokens, index, chars = number + 1, [], [], [], [], {}, 0
-        if ids:
-            yield finish(number, ids, held, lengths, tokens, index)
+            # A batch is cut where a chunk is full.
+            ends = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False) + 64) if batch.num_rows else []
+            first, before = 0, 0
+            for row, end in enumerate(ends):
+                if size + end - before >= CHUNK_BYTES:
+                    parts.append(batch.slice(first, row + 1 - first))
+                    yield finish(number, parts)
+                    number, parts, size, first, before = number + 1, [], 0, row + 1, end
+            if first < batch.num_rows:
+                parts.append(batch.slice(first))
+                size += ends[-1] - before
+        if parts:
+            yield finish(number, parts)
 
     return run
 
@@ -229,15 +283,15 @@ def _by_segment(h: np.ndarray, counts: np.ndarray, segments: int) -> Iterator[pa
     found, first = np.unique(_segment(h, segments), return_index=True)
     ends = [*first[1:], h.size]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(found.astype(np.int64)), pa.array([h[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()), pa.array([counts[a:b].astype(np.uint32).astype(np.int64).tobytes() for a, b in zip(first, ends)], pa.binary())],
+        [pa.array(found.astype(np.int64)), pa.array([_packed_hashes(h[a:b]) for a, b in zip(first, ends)], pa.binary()), pa.array([_packed(counts[a:b].astype(np.uint64)) for a, b in zip(first, ends)], pa.binary())],
         ["segment", "h", "c"],
     )
 
 
 def _fill(table: pa.Table) -> pa.Table:
     """All (h, c) parts of a segment -> its filter bytes."""
-    h = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()])
-    c = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("c").to_pylist()])
+    h = np.concatenate([_unpacked_hashes(x) for x in table.column("h").to_pylist()])
+    c = np.concatenate([_unpacked(x) for x in table.column("c").to_pylist()]).astype(np.int64)
     order = np.argsort(h, kind="stable")
     h, c = h[order], c[order]
     first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
@@ -245,6 +299,11 @@ def _fill(table: pa.Table) -> pa.Table:
     return pa.table([table.column("segment").slice(0, 1), pa.array([held.tobytes()], pa.binary())], names=["segment", "held"])
 
 
+def _distinct_grams(hashes: np.ndarray, tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """All words and pairs of a chunk, ascending, once each."""
+    return np.unique(np.concatenate([word_hashes(hashes), pair_hashes(hashes[before], hashes[tokens])]))
+
+
 def _query_parts(segments: int):
     """Chunks -> (segment, chunk, h): the distinct n-grams of a chunk that a segment has to look up."""
 
@@ -252,7 +311,7 @@ def _query_parts(segments: int):
         for batch in batches:
             for row in batch.to_pylist():
                 hashes, tokens, before, _ = _token_hashes(row)
-                asked = np.unique(np.concatenate([_mix(hashes), pair_hashes(hashes[before], hashes[tokens])]))
+                asked = _distinct_grams(hashes, tokens, before)
                 made = list(_by_segment(asked, np.zeros(asked.size, np.int64), segments))[0]
                 yield pa.RecordBatch.from_arrays([made.column(0), pa.array([row["chunk"]] * made.num_rows, pa.int64()), made.column(1)], ["segment", "chunk", "h"])
 
@@ -264,7 +323,7 @@ def _answers(segments: int):
         parts = {int(s): np.frombuffer(b, np.uint8) for s, b in zip(held.column("segment").to_pylist(), held.column("held").to_pylist())}
         model = Filter(parts, segments)
         blobs = asked.column("h").to_pylist()
-        return pa.table([asked.column("chunk"), asked.column("segment"), asked.column("h"), pa.array([model.levels(np.frombuffer(b, np.uint64)).tobytes() for b in blobs], pa.binary())], names=["chunk", "segment", "h", "levels"])
+        return pa.table([asked.column("chunk"), asked.column("segment"), pa.array([model.levels(_unpacked_hashes(b)).tobytes() for b in blobs], pa.binary())], names=["chunk", "segment", "levels"])
 
     return run
 
@@ -282,10 +341,12 @@ def _scores(total: int, distinct: int, id_type: pa.DataType, levels_of):
                 starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 base = np.add.reduceat(np.log10((counts + 1) / (total + distinct + 1))[tokens], starts)
                 known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
-                look = levels_of(row)
-                single = look(_mix(hashes))
+                look = levels_of(row, lambda: _distinct_grams(hashes, tokens, before))
+                single = look(word_hashes(hashes))
                 low, high = LOW[single], HIGH[single]
-                pairs = np.concatenate([LOW[look(pair_hashes(hashes[before[a : a + (1 << 20)]], hashes[tokens[a : a + (1 << 20)]]))] for a in range(0, tokens.size, 1 << 20)])
+                # Each distinct pair is looked up once, in the order of the segments.
+                distinct_pairs, of_token = np.unique(pair_hashes(hashes[before], hashes[tokens]), return_inverse=True)
+                pairs = LOW[look(distinct_pairs)][of_token]
                 pairs = np.minimum(pairs, np.minimum(high[before], high[tokens]))
                 word = ((low + 1) / (total + distinct + 1))[tokens]
                 after = np.maximum(high[before], 1)
@@ -300,16 +361,13 @@ def _scores(total: int, distinct: int, id_type: pa.DataType, levels_of):
 
 
 def _broadcast_levels(shared):
-    return lambda row: shared.value.levels
+    return lambda row, grams: shared.value.levels
 
 
-def _routed_levels(row: dict):
-    """Lookups of a chunk whose answers came with it."""
-    parts = [(np.frombuffer(p["h"], np.uint64), np.frombuffer(p["levels"], np.uint8)) for p in row["answers"]]
-    h = np.concatenate([np.empty(0, np.uint64)] + [p[0] for p in parts])
-    levels = np.concatenate([np.empty(0, np.uint8)] + [p[1] for p in parts])
-    order = np.argsort(h)
-    h, levels = h[order], levels[order]
+def _routed_levels(row: dict, grams):
+    """Lookups of a chunk whose answers came with it, in the order of its distinct n-grams."""
+    h = grams()
+    levels = np.concatenate([np.empty(0, np.uint8)] + [np.frombuffer(p["levels"], np.uint8) for p in row["answers"]])
     return lambda asked: levels[np.searchsorted(h, asked)]
 
 
@@ -357,13 +415,11 @@ def scored(df: DataFrame, held: Column | None = None, id_col: str = "doc_id", te
             levels_of = _broadcast_levels(spark.sparkContext.broadcast(model))
         else:
             queries = chunks.select("chunk", "lengths", "tokens", "words").mapInArrow(_query_parts(segments), "segment long, chunk long, h binary")
-            answers = queries.groupBy("segment").cogroup(held_bits.groupBy("segment")).applyInArrow(_answers(segments), "chunk long, segment long, h binary, levels binary")
-            answers = written(answers, "lm-answers").groupBy("chunk").agg(F.collect_list(F.struct("h", "levels")).alias("answers"))
+            answers = queries.groupBy("segment").cogroup(held_bits.groupBy("segment")).applyInArrow(_answers(segments), "chunk long, segment long, levels binary")
+            answers = written(answers, "lm-answers").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("segment", "levels"))).alias("answers"))
             asked, levels_of = asked.join(answers, "chunk"), _routed_levels
         result = written(asked.mapInArrow(_scores(total, distinct, id_type, levels_of), schema), "lm-scores")
     finally:
-        from ledgerlift.llm.common import prepared
-
         prepared(spark)
     return result.withColumnRenamed("id", id_col)
 
@@ -374,7 +430,7 @@ def _mixed_singles(segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                h, c = _mix(np.frombuffer(row["h"], np.uint64)), np.frombuffer(row["c"], np.int64)
+                h, c = word_hashes(np.frombuffer(row["h"], np.uint64)), np.frombuffer(row["c"], np.int64)
                 order = np.argsort(h)
                 if h.size:
                     yield from _by_segment(h[order], c[order], segments)

@@ -43,7 +43,7 @@ def close(got, want):
 
 
 def test_scores_equal_exact_counts(spark, monkeypatch):
-    monkeypatch.setattr(lm, "CHUNK_CHARS", 6000)
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 6000)
     monkeypatch.setattr(lm, "SEGMENT_BYTES", 9000)
     rows = [(i, words(i % 50, 30 + 7 * i % 200, 900), "x") for i in range(150)]
     frame = prepared(spark).createDataFrame(rows, "doc_id long, text string, words string")
