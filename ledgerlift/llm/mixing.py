@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import WORD_PATTERN, running_bases, word_count, written
 
 SHARE, MOST, WEIGHTS, SEED = 1.5, 2.0, (3.0, 1.0, 2.0), 17
-#: Words of a block, slots of an output shard, rows that one window numbers.
-BLOCK, SHARD, GROUP = 64, 1 << 13, 1 << 13
+#: Words of a block, slots of an output shard, rows of all sources that share a group.
+BLOCK, SHARD, GROUP = 64, 1 << 13, 1 << 9
 #: Sources are listed on the driver; more of them are an error, not a cut.
 MAX_SOURCES = 100_000
 _CELLS = 4096
@@ -59,6 +59,7 @@ class Plan:
     sizes: list[int]
     targets: list[float]
     block: int
+    rows: int
 
     @property
     def blocks(self) -> list[int]:
@@ -72,13 +73,13 @@ class Plan:
 
 def plan_mix(sized: DataFrame, block: int = BLOCK, share: float = SHARE, most: float = MOST, weights: Sequence[float] = WEIGHTS) -> Plan:
     """From (source, size) rows: sources by code point, null last; weights repeat in that order."""
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
+    rows = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "replace")))
     sizes = [int(r["size"] or 0) for r in rows]
     wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, most)
-    return Plan([r["source"] for r in rows], sizes, wanted, block)
+    return Plan([r["source"] for r in rows], sizes, wanted, block, sum(r["n"] for r in rows))
 
 
 def _affine(blocks: int, source: int, turn: int) -> tuple[int, int]:
@@ -153,7 +154,7 @@ def lines(sized: DataFrame, plan: Plan, keys: list[str]) -> DataFrame:
     spark = sized.sparkSession
     named = _table(spark, [{"s": s, "name": x} for s, x in enumerate(plan.names)], "s:int,name:string")
     rows = sized.groupBy("source", "size", *keys).agg(F.count("*").alias("copies"))
-    groups = max(1, sum(plan.blocks) * plan.block // (GROUP * 64))
+    groups = max(1, plan.rows // GROUP)
     rows = rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     rows = written(rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(groups))), "mix-lines")
     words = F.col("size") * F.col("copies")
