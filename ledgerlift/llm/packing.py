@@ -3,7 +3,7 @@
 Documents longer than a sequence are cut; whole sequences stand alone, the rest competes for space.
 Rows are dealt to shards of bounded size; a shard packs its pieces in descending order of length.
 Its open bins are kept ordered by what is left in them, and carry bitmaps of the sources and of the
-duplicate clusters they hold.  The search starts at the first bin with enough room and goes on to
+duplicate clusters they hold.  With `per_source` above 1 a source conflicts once it is in that many.  The search starts at the first bin with enough room and goes on to
 its successors until one has no conflict: that is the tightest compatible bin.
 """
 
@@ -20,42 +20,47 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import WORD_PATTERN, word_count, written
 
 CAPACITY = 2048
+#: Pieces of one source that a bin may hold.  With one, a source of a third of all documents leaves
+#: almost half of the space empty.
+PER_SOURCE = 4
 #: Rows that are packed together; the loss against packing all at once is a few open bins a shard.
 SHARD_ROWS = 8192
 
 
-def best_fit(items: Iterable[tuple[int, object, object]], capacity: int) -> list[tuple[int, int]]:
+def best_fit(items: Iterable[tuple[int, object, object]], capacity: int, per_source: int = 1) -> list[tuple[int, int]]:
     """(bin, offset) of each item (size, source, cluster), in the order given; sizes are in 1..capacity.
 
-    No two items of a bin share a source or a cluster; None is in conflict with nothing.
+    No two items of a bin share a cluster, and no more than `per_source` a source; None is in conflict
+    with nothing.  A bin has a bitmap of sources for each further item of a source that it may take.
     """
     items = list(items)
     bit = lambda values: {v: 1 << i for i, v in enumerate(v for v, n in Counter(values).items() if n > 1 and v is not None)}
     source_bits, cluster_bits = bit(x[1] for x in items), bit(x[2] for x in items)
     open_: list[tuple[int, int]] = []  # (room left, bin), ascending
-    sources: list[int] = []
+    sources: list[list[int]] = []
     clusters: list[int] = []
     placed = []
     for size, source, cluster in items:
         s, c = source_bits.get(source, 0), cluster_bits.get(cluster, 0)
         for at in range(bisect_left(open_, (size, -1)), len(open_)):
             room, number = open_[at]
-            if not (sources[number] & s or clusters[number] & c):
+            if not (sources[number][-1] & s or clusters[number] & c):
                 del open_[at]
                 break
         else:
             room, number = capacity, len(sources)
-            sources.append(0)
+            sources.append([0] * per_source)
             clusters.append(0)
         placed.append((number, capacity - room))
-        sources[number] |= s
+        held = sources[number]
+        held[next((i for i, bits in enumerate(held) if not bits & s), -1)] |= s
         clusters[number] |= c
         if room > size:
             insort(open_, (room - size, number))
     return placed
 
 
-def _shard(capacity: int):
+def _shard(capacity: int, per_source: int):
     def run(rows: pa.Table) -> pa.Table:
         sizes, sources, clusters, h, copies = (rows.column(c).to_pylist() for c in ("size_", "source", "cluster", "h", "copy"))
         at, piece, length, number, offset = [], [], [], [], []
@@ -70,7 +75,7 @@ def _shard(capacity: int):
                 put(row, k, capacity, bins, 0)
                 bins += 1
         rests = sorted((i for i, n in enumerate(sizes) if n % capacity), key=lambda i: (-(sizes[i] % capacity), h[i], copies[i]))
-        found = best_fit([(sizes[i] % capacity, sources[i], clusters[i]) for i in rests], capacity)
+        found = best_fit([(sizes[i] % capacity, sources[i], clusters[i]) for i in rests], capacity, per_source)
         for row, (bin_, start) in zip(rests, found):
             put(row, sizes[row] // capacity, sizes[row] % capacity, bins + bin_, start)
         base = (rows.column("shard")[0].as_py() << 32) if len(sizes) else 0
@@ -81,7 +86,7 @@ def _shard(capacity: int):
     return run
 
 
-def packed(df: DataFrame, size: Column, cluster: Column, id_col: str = "doc_id", source_col: str = "source", capacity: int = CAPACITY) -> DataFrame:
+def packed(df: DataFrame, size: Column, cluster: Column, id_col: str = "doc_id", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """A row for each piece of each row of `df`: (id, h, copy, piece, first, n, bin_id, offset).
 
     ``first`` and ``n`` say which part of the document the piece is, ``offset`` where it stands in its
@@ -104,7 +109,7 @@ def packed(df: DataFrame, size: Column, cluster: Column, id_col: str = "doc_id",
     shards = max(1, -(-total // SHARD_ROWS))
     dealt = copies.withColumn("shard", F.pmod(F.xxhash64("id", "h", "copy"), F.lit(shards)))
     full = dealt.where("size_ > 0").select("id", "h", "copy", "shard", "size_", "source", "cluster")
-    made = full.groupBy("shard").applyInArrow(_shard(capacity), f"id {kind}, h long, copy long, piece long, first long, n long, bin long, offset long")
+    made = full.groupBy("shard").applyInArrow(_shard(capacity, per_source), f"id {kind}, h long, copy long, piece long, first long, n long, bin long, offset long")
     empty = copies.where("size_ <= 0").select("id", "h", "copy", *[F.lit(0).cast("long").alias(c) for c in ("piece", "first", "n")], F.lit(None).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"))
     return made.unionByName(empty).select(F.col("id").alias(id_col), "h", "copy", "piece", "first", "n", F.col("bin").alias("bin_id"), "offset")
 
@@ -115,19 +120,19 @@ def text_cluster(text: Column) -> Column:
     return F.when(F.length(words) > 0, F.xxhash64(words))
 
 
-def pack_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY) -> DataFrame:
+def pack_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """`packed` with documents measured in words and clusters of texts with the same words."""
     text = F.col(f"`{text_col}`").cast("string")
-    return packed(df, word_count(text), text_cluster(text), id_col, source_col, capacity)
+    return packed(df, word_count(text), text_cluster(text), id_col, source_col, capacity, per_source)
 
 
-def sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY) -> DataFrame:
+def sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """The packed sequences: (bin_id, n_words, doc_ids, lengths, sources, text), pieces by their offset.
 
     A document taken in one piece keeps its text as it is; parts of one are its words, joined by spaces;
     pieces are joined by a line break.  Documents without words are in no sequence.
     """
-    placed = written(pack_words(df, id_col, text_col, source_col, capacity), "packed").where("n > 0")
+    placed = written(pack_words(df, id_col, text_col, source_col, capacity, per_source), "packed").where("n > 0")
     pieces = placed.groupBy("h").agg(F.collect_list(F.struct("bin_id", "offset", "first", "n")).alias("__pieces"))
     hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
     text = F.col(f"`{text_col}`").cast("string")

@@ -72,7 +72,7 @@ def test_pack_words_places_every_word_once(odd, odd_rows, nothing):
 
 
 def test_sequences_hold_the_texts(odd, odd_rows, nothing):
-    got = packing.sequences(odd, capacity=256).collect()
+    got = packing.sequences(odd, capacity=256, per_source=1).collect()
     found = sorted(w for r in got for w in r["text"].split())
     assert found == sorted(w for r in odd_rows for w in (r[1] or "").split())
     for r in got:
@@ -80,3 +80,13 @@ def test_sequences_hold_the_texts(odd, odd_rows, nothing):
         known = [s for s in r["sources"] if s is not None]
         assert len(known) == len(set(known))
     assert packing.sequences(nothing).collect() == []
+
+
+def test_a_source_may_be_allowed_more_than_once():
+    items = [(3, "a", None)] * 7 + [(2, "b", None)] * 3
+    for allowed in (1, 2, 3):
+        held = defaultdict(list)
+        for (_, source, _), (number, _) in zip(items, packing.best_fit(items, 20, allowed)):
+            held[number].append(source)
+        assert max(h.count("a") for h in held.values()) == allowed
+        assert len(held) == -(-7 // allowed)
