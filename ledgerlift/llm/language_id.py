@@ -146,7 +146,8 @@ def identified(df: DataFrame, model: LanguageModel, text: str = "text", out: tup
 
     ``und`` with score 0 for a text that is null, empty or has no letter, and where no language was
     learned.  Ties go to the first language by code point.  All other columns stay as they are,
-    whatever their names; equal rows get equal answers.
+    whatever their names, but for columns of the names `out`, which are replaced; equal rows get equal
+    answers, an empty table gives an empty result.
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast((model.languages, model.table, model.false_rate))

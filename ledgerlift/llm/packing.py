@@ -133,12 +133,12 @@ def sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     pieces are joined by a line break.  Documents without words are in no sequence.
     """
     placed = written(pack_words(df, id_col, text_col, source_col, capacity, per_source), "packed").where("n > 0")
-    pieces = placed.groupBy("h").agg(F.collect_list(F.struct("bin_id", "offset", "first", "n")).alias("__pieces"))
+    pieces = placed.groupBy(F.col(id_col).alias("id2"), F.col("h").alias("h2")).agg(F.collect_list(F.struct("bin_id", "offset", "first", "n")).alias("__pieces"))
     hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
     text = F.col(f"`{text_col}`").cast("string")
     rows = df.select(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).alias("h"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), text.alias("t"))
-    once = rows.groupBy("h").agg(F.first("id").alias("id"), F.first("source").alias("source"), F.min("t").alias("t"))
-    cut = once.join(pieces, "h").withColumn("p", F.explode("__pieces"))
+    once = rows.groupBy("id", "h").agg(F.first("source").alias("source"), F.min("t").alias("t"))
+    cut = once.join(pieces, F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2"))).withColumn("p", F.explode("__pieces"))
     words = F.regexp_extract_all(F.col("t"), F.lit(f"({WORD_PATTERN})"))
     part = F.when((F.col("p.first") == 0) & (F.size("__pieces") == F.size(F.filter("__pieces", lambda x: x["first"] == 0))), F.col("t"))
     part = part.otherwise(F.array_join(F.slice(words, (F.col("p.first") + 1).cast("int"), F.col("p.n").cast("int")), " "))
