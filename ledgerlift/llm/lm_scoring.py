@@ -28,6 +28,8 @@ from ledgerlift.llm.token_output import decode, encode
 #: Bits of the filter for each insertion, and hash functions: about 1 % false probes.
 BITS_PER_ENTRY, PROBES = 10, 6
 GROWTH, LEVELS = 1.25, 96
+#: Levels that are probed segment by segment.
+_BY_SEGMENT = 3
 #: Weight of the pair's relative frequency against the word's.
 PAIR_WEIGHT = 0.3
 #: A filter up to this size is broadcast; beyond it the lookups go to the segments instead.
@@ -136,24 +138,43 @@ class Filter:
         self.held = np.concatenate([np.empty(0, np.uint8)] + [parts[i] for i in range(segments) if i in parts])
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        """Level of each n-gram, by repeated probes; 0 for an absent one."""
+        """Level of each n-gram, by repeated probes; 0 for an absent one.
+
+        `h` ascends.  The first levels, at which most lookups end, are probed segment by segment, so that
+        a segment's bits stay in the processor's cache; what is left goes on all together.
+        """
         found = np.zeros(h.size, np.uint8)
-        if not self.held.size:
-            return found
-        segment = _segment(h, self.segments).astype(np.int64)
-        bits, starts = self.bits[segment], self.starts[segment]
-        left = np.flatnonzero(bits)
-        for level in range(1, LEVELS + 1):
+        ends = np.searchsorted(_segment(h, self.segments), np.arange(self.segments + 1, dtype=np.uint64))
+        rest = [np.empty(0, np.int64)]
+        for segment in np.flatnonzero((self.bits > 0) & (ends[1:] > ends[:-1])):
+            left = np.arange(ends[segment], ends[segment + 1])
+            rest.append(self._probed(h, left, found, range(1, _BY_SEGMENT + 1), self.bits[segment], self.starts[segment]))
+        left = np.concatenate(rest)
+        if left.size:
+            segment = _segment(h[left], self.segments).astype(np.int64)
+            bits, starts = np.zeros(h.size, np.uint64), np.zeros(h.size, np.uint64)
+            bits[left], starts[left] = self.bits[segment], self.starts[segment]
+            for level in range(_BY_SEGMENT + 1, LEVELS + 1):
+                left = self._probed(h, left, found, (level,), bits[left], starts[left])
+                if not left.size:
+                    break
+        return found
+
+    def _probed(self, h: np.ndarray, left: np.ndarray, found: np.ndarray, levels, bits, base) -> np.ndarray:
+        """Probe the places `left` for some levels, note what is found, and return those still there."""
+        for level in levels:
             start, step = _probes(h[left], level)
-            size, base = bits[left], starts[left]
             for probe in range(PROBES):
-                at = base + _place(start, step, probe, size)
+                at = base + _place(start, step, probe, bits)
                 there = np.flatnonzero((self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
-                left, start, step, size, base = (x[there] for x in (left, start, step, size, base))
+                if there.size < left.size:
+                    left, start, step = left[there], start[there], step[there]
+                    if np.ndim(bits):
+                        bits, base = bits[there], base[there]
                 if not left.size:
-                    return found
+                    return left
             found[left] = level
-        return found
+        return left
 
 
 _CHUNK = "chunk long, ids array<{id}>, held array<boolean>, lengths array<long>, tokens binary, words array<binary>, seen array<long>"
@@ -342,7 +363,8 @@ def _scores(total: int, distinct: int, id_type: pa.DataType, levels_of):
                 base = np.add.reduceat(np.log10((counts + 1) / (total + distinct + 1))[tokens], starts)
                 known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
                 look = levels_of(row, lambda: _distinct_grams(hashes, tokens, before))
-                single = look(word_hashes(hashes))
+                ascending, of_word = np.unique(word_hashes(hashes), return_inverse=True)
+                single = look(ascending)[of_word]
                 low, high = LOW[single], HIGH[single]
                 # Each distinct pair is looked up once, in the order of the segments.
                 distinct_pairs, of_token = np.unique(pair_hashes(hashes[before], hashes[tokens]), return_inverse=True)
