@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +24,14 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import running_bases, scratch_path, written
 
 END_ID = 1
-#: Tokens of a block at least, unless the documents end; text of one range of documents.
+#: Tokens from which on a block takes no more documents; text of one range of documents.
 BLOCK_TOKENS, RANGE_BYTES = 1 << 18, 24 << 20
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
-_SEPARATOR = "\x01"
+#: Ranges at most; beyond that they hold more text, which a task goes through block by block.
+MAX_RANGES = 20_000
+#: Ranges whose token counts one task adds up.
+RANGES_SUMMED = 128
+#: Words and parts of words whose ids a worker remembers: some 200 bytes each.
+REMEMBERED = 1_200_000
 
 #: By control byte: the four lengths, where each value starts among the group's bytes, and their sum.
 _LENGTHS = np.array([[1 + (c >> (2 * i) & 3) for i in range(4)] for c in range(256)], np.int64)
@@ -60,16 +64,32 @@ def decode(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
+class _Mapped(dict):
+    """Code point -> what the tokenizer's byte-level step makes of it."""
+
+    def __init__(self):
+        from tokenizers import pre_tokenizers
+
+        super().__init__()
+        self.step = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, code: int) -> str:
+        self[code] = self.step.pre_tokenize_str(chr(code))[0][0]
+        return self[code]
+
+
 class Encoder:
     """Token ids of whole texts.
 
     Where the tokenizer drops white space before it looks at anything else, a text's ids are those of
-    its words, and words are remembered; common ones are cut further into letters and punctuation, which
-    such a tokenizer never joins.  Other tokenizers get whole texts.
+    its words, and words are remembered.  Words of Latin letters between punctuation are cut into these
+    three, which such a tokenizer never joins, and its model is asked for each; all other words go
+    through the whole tokenizer.  Other tokenizers get whole texts.
     """
 
-    #: Fixed value: the splitting pattern of tokenizers whose words can be encoded one by one.
+    #: The steps of tokenizers whose words can be encoded one by one.
     BY_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    NORMALIZED = ["NFC", "Replace", "Lowercase"]
     _PUNCTUATION = r"[!-&(-/:;=?@\[-`{}~]*"
     _PARTS = re.compile(rf"({_PUNCTUATION})([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)({_PUNCTUATION})")
 
@@ -77,41 +97,40 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.parts: dict[str, bytes] = {"": b""}
+        self.typecode = "H" if self.kind is np.uint16 else "I"
         self.words: dict[str, bytes] = {"": b""}
+        self.mapped = _Mapped()
         spec = json.loads(self.tokenizer.to_str())
-        split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        special = self._ids([_SEPARATOR])[0]
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        split = steps[0] if len(steps) == 2 else {}
         normal = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
-        self.by_word = split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and split.get("pattern") == {"Regex": self.BY_WORD} and normal == ["NFC", "Replace", "Lowercase"] and special.size == 1
-        self.separator = special[0] if special.size else None
+        self.by_word = split.get("behavior") == "Removed" and split.get("invert") is True and split.get("pattern") == {"Regex": self.BY_WORD} and steps[1].get("type") == "ByteLevel" and steps[1].get("use_regex") is False and normal == self.NORMALIZED
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_parts(self, parts: set[str]) -> None:
-        plain = [p for p in parts if self._PARTS.fullmatch(p)]
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            ids = self._ids([f" {_SEPARATOR} ".join(some)])[0]
-            for part, found in zip(some, np.split(ids, np.flatnonzero(ids == self.separator))):
-                self.parts[part] = (found[1:] if found.size and found[0] == self.separator else found).tobytes()
-        odd = [p for p in parts if p not in self.parts]
-        self.parts.update(zip(odd, (x.tobytes() for x in self._ids(odd))))
+    def _part(self, part: str) -> bytes:
+        found = self.words.get(part)  # a part is a word, too
+        if found is None:
+            plain = part if part.isascii() else part.translate(self.mapped)
+            found = self.words[part] = array(self.typecode, [x.id for x in self.model.tokenize(plain)]).tobytes()
+        return found
 
     def _learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > REMEMBERED:
             self.words = {"": b""}
-        if len(self.parts) + len(words) > REMEMBERED:
-            self.parts = {"": b""}
-        cut = {}
+        odd, cut, part = [], self._PARTS.fullmatch, self._part
         for word in words:
-            found = self._PARTS.fullmatch(word)
-            cut[word] = (found[1], found[2].lower(), found[3]) if found else (word,)
-        self._learn_parts({p for parts in cut.values() for p in parts} - self.parts.keys())
-        known = self.parts
-        self.words.update((word, b"".join([known[p] for p in parts])) for word, parts in cut.items())
+            found = cut(word)
+            if found:
+                before, letters, after = found.groups()
+                ids = part(letters.lower())
+                self.words[word] = part(before) + ids + part(after) if before or after else ids
+            else:
+                odd.append(word)
+        self.words.update(zip(odd, (x.tobytes() for x in self._ids(odd))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
@@ -123,8 +142,8 @@ class Encoder:
             try:
                 joined = b"".join(map(self.words.__getitem__, words))
             except KeyError:
-                missing = set(words)
-                self._learn(missing - self.words.keys() if len(self.words) + len(missing) <= REMEMBERED else missing)
+                seen, known = set(words), self.words
+                self._learn({w for w in seen if w not in known} if len(known) + len(seen) <= REMEMBERED else seen)
                 joined = b"".join(map(self.words.__getitem__, words))
             out.append(np.frombuffer(joined, self.kind))
         return out
@@ -150,30 +169,35 @@ def _tokens(path: str, end_id: int, id_type: pa.DataType):
         encoder, part = _encoder(path), TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32)
         seq, start, ids, lengths, held, count = 0, 0, [], [], [], 0
+        seen = np.zeros(max(encoder.tokenizer.get_vocab_size(), end_id + 1), np.int64)
 
-        def block() -> pa.RecordBatch:
+        def block(last: bool = False) -> pa.RecordBatch:
+            nonlocal seen
             flat = np.concatenate(held)
             narrow = flat.astype(np.uint16) if encoder.kind is np.uint16 and end_id < 1 << 16 else flat
+            seen += np.bincount(flat, minlength=seen.size)
             fields = [pa.array([x], pa.int64()) for x in (part, seq, start, count)] + [pa.array([ids], pa.list_(id_type)), pa.array([lengths], pa.list_(pa.int64())), pa.array([narrow.tobytes()], pa.binary()), pa.array([narrow.itemsize], pa.int64())]
-            return pa.RecordBatch.from_arrays(fields, ["part", "seq", "start", "n", "ids", "lengths", "raw", "width"])
+            # A range's last block also says how often each token occurs in the range.
+            fields.append(pa.array([seen.tobytes() if last else None], pa.binary()))
+            return pa.RecordBatch.from_arrays(fields, ["part", "seq", "start", "n", "ids", "lengths", "raw", "width", "seen"])
 
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for id_, found in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+                if count >= BLOCK_TOKENS:
+                    yield block()
+                    seq, start, ids, lengths, held, count = seq + 1, start + count, [], [], [], 0
                 ids.append(id_)
                 lengths.append(found.size + 1)
                 held += [found, end]
                 count += found.size + 1
-                if count >= BLOCK_TOKENS:
-                    yield block()
-                    seq, start, ids, lengths, held, count = seq + 1, start + count, [], [], [], 0
         if ids:
-            yield block()
+            yield block(last=True)
 
     return run
 
 
-_RAW = "part long, seq long, start long, n long, ids array<{id}>, lengths array<long>, raw binary, width long"
+_RAW = "part long, seq long, start long, n long, ids array<{id}>, lengths array<long>, raw binary, width long, seen binary"
 _BLOCK = "part long, seq long, start long, n long, ids array<{id}>, lengths array<long>, control binary, data binary"
 
 
@@ -181,15 +205,10 @@ def _raw(raw: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint16 if width == 2 else np.uint32)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for raw, width in zip(batch.column("raw").to_pylist(), batch.column("width").to_pylist()):
-            counts = np.bincount(_raw(raw, width), minlength=total.size)
-            counts[: total.size] += total
-            total = counts
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(total[found])], ["token", "n"])
+def _summed(table: pa.Table) -> pa.Table:
+    """Token counts of some ranges -> their sum."""
+    total = np.sum([np.frombuffer(x, np.int64) for x in table.column("seen").to_pylist()], axis=0)
+    return pa.table([pa.array([total.tobytes()], pa.binary())], names=["seen"])
 
 
 def _encoded(rank_of: np.ndarray):
@@ -219,15 +238,17 @@ def write_tokens(df: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_
     # A frequent id is cut by what follows it.
     order = [F.col("id"), F.col("tie"), F.col("row")]
     rows = rows.withColumn("tie", F.xxhash64("t")).withColumn("row", F.monotonically_increasing_id())
-    ranged = rows.repartitionByRange(max(1, -(-size // RANGE_BYTES)), *order).sortWithinPartitions(*order)
+    ranged = rows.repartitionByRange(min(MAX_RANGES, max(1, -(-size // RANGE_BYTES))), *order).sortWithinPartitions(*order)
     raw = written(ranged.select("id", "t").mapInArrow(_tokens(tokenizer, end_id, to_arrow_type(id_field)), _RAW.format(id=kind)), "tokens")
-    counts = raw.select("raw", "width").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    found = counts.toArrow()  # a row for each token of the vocabulary at most
-    tokens, n = found.column("token").to_numpy(), found.column("n").to_numpy()
-    tokens = tokens[np.lexsort((tokens, -n))]
+    sums = raw.where("seen is not null").select(F.expr(f"part div {RANGES_SUMMED}").alias("some"), "seen").groupBy("some").applyInArrow(_summed, "seen binary")
+    # A vocabulary's counts for each RANGES_SUMMED ranges, so MAX_RANGES / RANGES_SUMMED rows at most.
+    found = [np.frombuffer(x, np.int64) for x in sums.toArrow().column("seen").to_pylist()]
+    total = np.sum(found, axis=0) if found else np.zeros(1, np.int64)
+    tokens = np.flatnonzero(total)
+    tokens = tokens[np.lexsort((tokens, -total[tokens]))]
     rank_of = np.zeros(int(tokens.max(initial=0)) + 1, np.uint32)
     rank_of[tokens] = np.arange(tokens.size, dtype=np.uint32)
-    raw.mapInArrow(_encoded(rank_of), _BLOCK.format(id=kind)).write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    raw.drop("seen").mapInArrow(_encoded(rank_of), _BLOCK.format(id=kind)).write.option("compression", "zstd").parquet(f"{folder}/blocks")
     spark.createDataFrame(pa.table([pa.array(np.arange(tokens.size)), pa.array(tokens)], names=["rank", "token"])).write.parquet(f"{folder}/ranks")
 
 
