@@ -8,6 +8,7 @@ the number of its n-grams per language, corrected for the filter's false positiv
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,11 +17,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.common import written
+
 NGRAMS = (3, 4)
 HASHES = 2
-#: Slots of the table; its size, and so the broadcast, is slots x 8 bytes per 64 languages.
-_SLOT_BITS = 21
-SLOTS = 1 << _SLOT_BITS
+#: Least slots of the table (a power of two) and most bytes of it, which are broadcast: 8 a slot per 64 languages.
+SLOTS = 1 << 21
+MAX_TABLE_BYTES = 64 << 20
+#: A language's share of set bits that its n-grams may reach; beyond it the filter tells too little.
+MAX_DENSITY = 0.5
+#: Counts below this are a level each when n-grams are ranked, larger ones are levels of 1 %.
+_EXACT_LEVELS = 1 << 10
 #: Texts a language is learned from at most (by expectation of a hash sample).
 TEXTS_PER_LANGUAGE = 20_000
 MAX_LANGUAGES = 256
@@ -33,7 +40,7 @@ _SLICE = 1 << 19
 @dataclass
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray  # (mask words, slots) uint64
+    table: np.ndarray  # (mask words, slots) uint64; slots are a power of two
     false_rate: np.ndarray  # per language: share of absent n-grams that the filter reports
 
 
@@ -104,7 +111,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Language
 
     The sample is bounded: of each language about TEXTS_PER_LANGUAGE texts at most, chosen by the
     texts' hashes, so that reruns agree.  An n-gram belongs to a language if its rate there is at
-    least the mean of its rates over the languages.  No labelled row gives a model without languages.
+    least the mean of its rates over the languages.  The table has as many slots as keep each language
+    within MAX_DENSITY; where MAX_TABLE_BYTES allows fewer, a language has its n-grams of highest rate
+    that do.  No labelled row gives a model without languages.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
@@ -113,32 +122,72 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Language
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(sizes, key=lambda x: x.encode())
     words = max(1, -(-len(languages) // 64))
-    empty = LanguageModel(languages, np.zeros((words, SLOTS), np.uint64), np.zeros(len(languages)))
     if not languages:
-        return empty
+        return LanguageModel(languages, np.zeros((words, SLOTS), np.uint64), np.zeros(0))
     share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, TEXTS_PER_LANGUAGE / v))])
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
     counts = sample.mapInArrow(_counts({x: i for i, x in enumerate(languages)}), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
     rate = F.col("n") / F.element_at(F.array(*[F.lit(float(max(1, totals.get(x) or 1))) for x in languages]), F.col("lang") + 1)
-    grams = counts.withColumn("rate", rate).groupBy("gram").agg(F.collect_list(F.struct("lang", "rate")).alias("rates"), (F.sum("rate") / len(languages)).alias("mean"))
-    slot = F.explode(F.array(*[F.shiftrightunsigned("gram", k * _SLOT_BITS).bitwiseAND(F.lit(SLOTS - 1)) for k in range(HASHES)])).alias("slot")
+    grams = counts.withColumn("rate", rate).groupBy("gram").agg(F.collect_list(F.struct("lang", "rate", "n")).alias("rates"), (F.sum("rate") / len(languages)).alias("mean"))
+    typical = grams.select("gram", F.explode("rates").alias("r"), "mean").where("r.rate >= mean * 0.999999").select("gram", "r.lang", "r.n")
+    typical = written(typical.withColumn("level", _level(F.col("n"))), "language-grams")
+    levels: dict[int, list[tuple[int, int]]] = {}
+    for r in typical.groupBy("lang", "level").agg(F.count("*").alias("n")).toArrow().to_pylist():
+        levels.setdefault(r["lang"], []).append((r["level"], r["n"]))
+    slots = _table_slots(max((sum(n for _, n in x) for x in levels.values()), default=0), words)
+    limits = [(x, *_cutoff(levels[x], _room(slots))) for x in sorted(levels)]
+    limits = F.broadcast(spark.createDataFrame(limits, "lang int, least int, part double"))
+    # Of the level that fits in part, the hashes choose; other bits than those of the slots.
+    chosen = (F.col("level") > F.col("least")) | ((F.col("level") == F.col("least")) & (F.pmod(F.xxhash64("gram"), F.lit(1_000_003)) < F.col("part") * 1_000_003))
+    bits = slots.bit_length() - 1
+    slot = F.explode(F.array(*[F.shiftrightunsigned("gram", k * bits).bitwiseAND(F.lit(slots - 1)) for k in range(HASHES)])).alias("slot")
     set_bits = (
-        grams.select(slot, F.explode("rates").alias("r"), "mean")
-        .where("r.rate >= mean * 0.999999")
-        .groupBy("slot", (F.col("r.lang") / 64).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, pmod(r.lang, 64))")).alias("bits"))
+        typical.join(limits, "lang")
+        .where(chosen)
+        .select(slot, "lang")
+        .groupBy("slot", (F.col("lang") / 64).cast("int").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, pmod(lang, 64))")).alias("bits"))
     )
     found = set_bits.toArrow()  # at most a row for each word of the table
+    table = np.zeros((words, slots), np.uint64)
     if found.num_rows:
-        empty.table[found.column("word").to_numpy(), found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    density = np.array([np.count_nonzero(empty.table[i // 64] & np.uint64(1 << (i % 64))) / SLOTS for i in range(len(languages))])
-    return LanguageModel(languages, empty.table, density**HASHES)
+        table[found.column("word").to_numpy(), found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    density = np.array([np.count_nonzero(table[i // 64] & np.uint64(1 << (i % 64))) / slots for i in range(len(languages))])
+    return LanguageModel(languages, table, density**HASHES)
+
+
+def _level(n: Column) -> Column:
+    """Rank of a count: the count itself, from _EXACT_LEVELS on its logarithm."""
+    return F.when(n < _EXACT_LEVELS, n).otherwise(_EXACT_LEVELS + F.floor(100 * F.log(n / F.lit(float(_EXACT_LEVELS))))).cast("int")
+
+
+def _room(slots: int) -> int:
+    """N-grams that set MAX_DENSITY of so many slots, by expectation."""
+    return int(-math.log1p(-MAX_DENSITY) * slots / HASHES)
+
+
+def _table_slots(grams: int, words: int) -> int:
+    """The least power of two from SLOTS on that has room for `grams` n-grams, within MAX_TABLE_BYTES."""
+    most = 1 << max(0, (MAX_TABLE_BYTES // (8 * words)).bit_length() - 1)
+    slots = min(SLOTS, most)
+    while slots < most and _room(slots) < grams:
+        slots *= 2
+    return slots
+
+
+def _cutoff(levels: list[tuple[int, int]], room: int) -> tuple[int, float]:
+    """(lowest level taken, share of it), from the highest of (level, n-grams) down, for `room` n-grams in all."""
+    for level, n in sorted(levels, reverse=True):
+        if n > room:
+            return level, room / n
+        room -= n
+    return 0, 1.0
 
 
-def _slots(gram: np.ndarray, k: int) -> np.ndarray:
+def _slots(gram: np.ndarray, k: int, slots: int) -> np.ndarray:
     """The k-th slot: a run of the hash's own bits."""
-    return (gram >> np.uint64(k * _SLOT_BITS)) & np.uint64(SLOTS - 1)
+    return (gram >> np.uint64(k * (slots.bit_length() - 1))) & np.uint64(slots - 1)
 
 
 def identified(df: DataFrame, model: LanguageModel, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -165,7 +214,7 @@ def identified(df: DataFrame, model: LanguageModel, text: str = "text", out: tup
             for n in NGRAMS:
                 for grams in _slices(codes, n):
                     total += grams.size
-                    slots = [_slots(grams, k) for k in range(HASHES)]
+                    slots = [_slots(grams, k, table.shape[1]) for k in range(HASHES)]
                     for word in range(table.shape[0]):
                         masks = np.bitwise_and.reduce([table[word][s] for s in slots])
                         for lang in range(word * 64, min(len(languages), word * 64 + 64)):

@@ -44,3 +44,28 @@ def test_slices_hold_every_gram(monkeypatch):
 def test_other_characters_are_one_space():
     assert "".join(map(chr, li._codes("12 Ab--c! "))) == " ab c "
     assert not li._codes("123 !?").size
+
+
+def ideographs(base, seed, n=400):
+    picker = random.Random(f"{base}{seed}")
+    return "".join(chr(base + int(picker.paretovariate(0.6)) % 3000) for _ in range(n))
+
+
+def test_languages_of_many_letters_do_not_fill_the_table(spark, monkeypatch):
+    monkeypatch.setattr(li, "SLOTS", 1 << 10)
+    rows = [(ideographs(base, i), lang) for i in range(40) for lang, base in (("hh", 0x4E00), ("kk", 0x5000))]
+    train = prepared(spark).createDataFrame(rows, "text string, lang string")
+    fresh = prepared(spark).createDataFrame([(ideographs(base, 1000 + i), lang) for i in range(20) for lang, base in (("hh", 0x4E00), ("kk", 0x5000))], "text string, want string")
+    sized = li.fit(train)
+    assert sized.table.shape[1] > 1 << 10 and max(sized.false_rate) <= 0.27
+    monkeypatch.setattr(li, "MAX_TABLE_BYTES", 8 << 12)
+    bound = li.fit(train)
+    assert bound.table.shape[1] == 1 << 12 and 0.2 < min(bound.false_rate) and max(bound.false_rate) <= 0.3
+    for model in (sized, bound):
+        got = li.identified(fresh, model).collect()
+        assert all(r["lang_pred"] == r["want"] and r["score"] > 0 for r in got)
+
+
+def test_cutoff_takes_the_highest_levels_and_part_of_the_next():
+    levels = [(1, 100), (2, 10), (7, 5)]
+    assert li._cutoff(levels, 200) == (0, 1.0) and li._cutoff(levels, 40) == (1, 0.25) and li._cutoff(levels, 10) == (2, 0.5)
