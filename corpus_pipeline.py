@@ -15,8 +15,8 @@ MIX_BLOCK = 256
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with some confidence, which is then their `lang`; the others go."""
     prepared(spark)
-    found = language_id.identified(docs, language_id.learned(docs), out=("__lang", "__score"))
-    kept = found.where(language_id.accepted(F.col("__lang"), F.col("__score")))
+    found = language_id.identified(docs, language_id.learned(docs), out=("__lang", "__score", "__margin"))
+    kept = found.where(language_id.accepted(F.col("__lang"), F.col("__score"), F.col("__margin")))
     return kept.withColumn("lang", F.col("__lang")).select(*docs.columns)
 
 

@@ -32,8 +32,11 @@ _EXACT_LEVELS = 1 << 10
 TEXTS_PER_LANGUAGE = 20_000
 MAX_LANGUAGES = 256
 UNDETERMINED = "und"
-#: A document is accepted from this share of all languages' counts on.
-MIN_SCORE = 0.3
+#: A document is accepted from this score on, and if the second best language falls short of the best
+#: by this share of it.  Neither depends on the number of languages.
+MIN_SCORE, MIN_MARGIN = 0.6, 0.1
+#: Share of a fresh text's n-grams that a language counts on at least, however little it was learned from.
+LEAST_EXPECTED = 0.2
 _SLICE = 1 << 19
 
 
@@ -42,6 +45,7 @@ class LanguageModel:
     languages: list[str]
     table: np.ndarray  # (mask words, slots) uint64; slots are a power of two
     false_rate: np.ndarray  # per language: share of absent n-grams that the filter reports
+    expected: np.ndarray  # per language: share of a fresh text's n-grams that the language contains
 
 
 _LETTERS: list[np.ndarray] = []
@@ -123,20 +127,31 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Language
     languages = sorted(sizes, key=lambda x: x.encode())
     words = max(1, -(-len(languages) // 64))
     if not languages:
-        return LanguageModel(languages, np.zeros((words, SLOTS), np.uint64), np.zeros(0))
+        return LanguageModel(languages, np.zeros((words, SLOTS), np.uint64), np.zeros(0), np.zeros(0))
     share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, TEXTS_PER_LANGUAGE / v))])
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
     counts = sample.mapInArrow(_counts({x: i for i, x in enumerate(languages)}), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
     rate = F.col("n") / F.element_at(F.array(*[F.lit(float(max(1, totals.get(x) or 1))) for x in languages]), F.col("lang") + 1)
     grams = counts.withColumn("rate", rate).groupBy("gram").agg(F.collect_list(F.struct("lang", "rate", "n")).alias("rates"), (F.sum("rate") / len(languages)).alias("mean"))
-    typical = grams.select("gram", F.explode("rates").alias("r"), "mean").where("r.rate >= mean * 0.999999").select("gram", "r.lang", "r.n")
-    typical = written(typical.withColumn("level", _level(F.col("n"))), "language-grams")
+    found = grams.select("gram", F.explode("rates").alias("r"), "mean").select("gram", "r.lang", "r.n", F.expr("r.rate >= mean * 0.999999").alias("own"))
+    found = written(found.withColumn("level", _level(F.col("n"))), "language-grams")
     levels: dict[int, list[tuple[int, int]]] = {}
-    for r in typical.groupBy("lang", "level").agg(F.count("*").alias("n")).toArrow().to_pylist():
-        levels.setdefault(r["lang"], []).append((r["level"], r["n"]))
+    held: dict[int, dict[int, int]] = {}
+    seen = np.zeros(len(languages))
+    for r in found.groupBy("lang", "level", "own").agg(F.count("*").alias("grams"), F.sum("n").alias("n")).toArrow().to_pylist():
+        seen[r["lang"]] += r["n"]
+        if r["own"]:
+            levels.setdefault(r["lang"], []).append((r["level"], r["grams"]))
+            held.setdefault(r["lang"], {})[r["level"]] = r["n"]
+    typical = found.where("own")
     slots = _table_slots(max((sum(n for _, n in x) for x in levels.values()), default=0), words)
     limits = [(x, *_cutoff(levels[x], _room(slots))) for x in sorted(levels)]
+    expected = np.full(len(languages), LEAST_EXPECTED)
+    for x, least, part in limits:
+        # Without those seen once: left out of learning, they would not be found again.
+        known = sum(n * (part if level == least else 1.0) for level, n in held[x].items() if level >= max(2, least))
+        expected[x] = max(LEAST_EXPECTED, known / seen[x])
     limits = F.broadcast(spark.createDataFrame(limits, "lang int, least int, part double"))
     # Of the level that fits in part, the hashes choose; other bits than those of the slots.
     chosen = (F.col("level") > F.col("least")) | ((F.col("level") == F.col("least")) & (F.pmod(F.xxhash64("gram"), F.lit(1_000_003)) < F.col("part") * 1_000_003))
@@ -154,7 +169,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Language
     if found.num_rows:
         table[found.column("word").to_numpy(), found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     density = np.array([np.count_nonzero(table[i // 64] & np.uint64(1 << (i % 64))) / slots for i in range(len(languages))])
-    return LanguageModel(languages, table, density**HASHES)
+    return LanguageModel(languages, table, density**HASHES, expected)
 
 
 def _level(n: Column) -> Column:
@@ -190,25 +205,29 @@ def _slots(gram: np.ndarray, k: int, slots: int) -> np.ndarray:
     return (gram >> np.uint64(k * (slots.bit_length() - 1))) & np.uint64(slots - 1)
 
 
-def identified(df: DataFrame, model: LanguageModel, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """`df` with the predicted language and its share of all languages' corrected n-gram counts (0 to 1).
+def identified(df: DataFrame, model: LanguageModel, text: str = "text", out: tuple[str, str, str] = ("lang_pred", "score", "margin")) -> DataFrame:
+    """`df` with the predicted language, its score and its margin, both from 0 to 1.
 
-    ``und`` with score 0 for a text that is null, empty or has no letter, and where no language was
+    The score is the share of the text's n-grams that the language contains, corrected for false
+    positives, against the share that a fresh text of the language has on average; the margin is the
+    part of the best count by which the second best falls short.
+    ``und`` with score and margin 0 for a text that is null, empty or has no letter, and where no language was
     learned.  Ties go to the first language by code point.  All other columns stay as they are,
     whatever their names, but for columns of the names `out`, which are replaced; equal rows get equal
     answers, an empty table gives an empty result.
     """
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((model.languages, model.table, model.false_rate))
+    shared = spark.sparkContext.broadcast((model.languages, model.table, model.false_rate, model.expected))
 
-    def decide(texts: list) -> tuple[list, list]:
-        languages, table, false_rate = shared.value
-        names, scores = [], []
+    def decide(texts: list) -> tuple[list, list, list]:
+        languages, table, false_rate, expected = shared.value
+        names, scores, margins = [], [], []
         for text in texts:
             codes = _codes(text) if text and languages else ()
             if not len(codes):
                 names.append(UNDETERMINED)
                 scores.append(0.0)
+                margins.append(0.0)
                 continue
             hits, total = np.zeros(len(languages)), 0
             for n in NGRAMS:
@@ -222,19 +241,21 @@ def identified(df: DataFrame, model: LanguageModel, text: str = "text", out: tup
             corrected = np.maximum(0.0, hits - false_rate * total) / np.maximum(1e-9, 1 - false_rate)
             best = int(np.argmax(corrected))
             names.append(languages[best])
-            scores.append(float(corrected[best] / corrected.sum()) if corrected[best] > 0 else 0.0)
-        return names, scores
+            second = float(np.delete(corrected, best).max(initial=0.0))
+            scores.append(min(1.0, float(corrected[best] / total / expected[best])))
+            margins.append(float(1 - second / corrected[best]) if corrected[best] > 0 else 0.0)
+        return names, scores, margins
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = decide(batch.column(batch.num_columns - 1).to_pylist())
+            names, scores, margins = decide(batch.column(batch.num_columns - 1).to_pylist())
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [f"c{i}" for i in range(batch.num_columns + 1)])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())], [f"c{i}" for i in range(batch.num_columns + 2)])
 
     kept = [c for c in df.columns if c not in out]
     inner = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text}`").cast("string").alias("t"))
     fields = [f"c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(kept)]
-    found = inner.mapInArrow(run, ", ".join([*fields, f"c{len(kept)} string", f"c{len(kept) + 1} double"]))
+    found = inner.mapInArrow(run, ", ".join([*fields, f"c{len(kept)} string", f"c{len(kept) + 1} double", f"c{len(kept) + 2} double"]))
     return found.toDF(*kept, *out)
 
 
@@ -248,6 +269,6 @@ def learned(docs: DataFrame) -> LanguageModel:
     return fit(docs.where(~held_out(F.col("doc_id"))))
 
 
-def accepted(lang_pred: Column, score: Column) -> Column:
-    """True where a language was told with at least MIN_SCORE."""
-    return (lang_pred != UNDETERMINED) & (score >= MIN_SCORE)
+def accepted(lang_pred: Column, score: Column, margin: Column) -> Column:
+    """True where a language was told with at least MIN_SCORE and MIN_MARGIN."""
+    return (lang_pred != UNDETERMINED) & (score >= MIN_SCORE) & (margin >= MIN_MARGIN)

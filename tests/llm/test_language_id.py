@@ -69,3 +69,27 @@ def test_languages_of_many_letters_do_not_fill_the_table(spark, monkeypatch):
 def test_cutoff_takes_the_highest_levels_and_part_of_the_next():
     levels = [(1, 100), (2, 10), (7, 5)]
     assert li._cutoff(levels, 200) == (0, 1.0) and li._cutoff(levels, 40) == (1, 0.25) and li._cutoff(levels, 10) == (2, 0.5)
+
+
+def syllables(seed):
+    """Ten syllables of a language's own and five that all share."""
+    picker = random.Random(f"language{seed}")
+    return ["".join(picker.choice(x) for x in ("bdfgklmnprstvz", "aeiou", "lmnrst")) for _ in range(10)] + ["an", "er", "is", "on", "ta"]
+
+
+def sentence(of, seed, n=60):
+    picker = random.Random(f"{of}{seed}")
+    return " ".join("".join(picker.choice(of) for _ in range(picker.randint(1, 3))) for _ in range(n))
+
+
+def test_acceptance_depends_on_what_is_recognised(spark):
+    for count in (1, 2, 4, 30):
+        known = {f"l{i:02}": syllables(i) for i in range(count)}
+        train = prepared(spark).createDataFrame([(sentence(x, i), lang) for lang, x in known.items() for i in range(40)], "text string, lang string")
+        fresh = [(sentence(x, 1000 + i), lang) for lang, x in known.items() for i in range(4)]
+        fresh += [(sentence(syllables(1000 + i), i), "unlearned") for i in range(10)]
+        fresh += [(sentence("abcdefghijklmnopqrstuvwxyz", i, 200), "junk") for i in range(10)]
+        got = li.identified(prepared(spark).createDataFrame(fresh, "text string, want string"), li.fit(train))
+        for r in got.withColumn("kept", li.accepted(got["lang_pred"], got["score"], got["margin"])).collect():
+            assert r["kept"] == (r["want"] in known), (count, r)
+            assert not r["kept"] or r["lang_pred"] == r["want"]
