@@ -13,35 +13,45 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterable
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
+from ledgerlift.llm import simhash
 from ledgerlift.llm.common import WORD_PATTERN, word_count, written
+from ledgerlift.llm.graph import components
 
 CAPACITY = 2048
 #: Pieces of one source that a bin may hold.  With one, a source of a third of all documents leaves
 #: almost half of the space empty.
 PER_SOURCE = 4
+#: Near-duplicates, as in the pipeline's dedup: words of a shingle, bits that fingerprints may differ in.
+SHINGLE, MAX_BITS = 3, 3
 #: Rows that are packed together; the loss against packing all at once is a few open bins a shard.
 SHARD_ROWS = 8192
 
 
-def best_fit(items: Iterable[tuple[int, object, object]], capacity: int, per_source: int = 1) -> list[tuple[int, int]]:
-    """(bin, offset) of each item (size, source, cluster), in the order given; sizes are in 1..capacity.
+def best_fit(items: Iterable[tuple], capacity: int, per_source: int = 1) -> list[tuple[int, int]]:
+    """(bin, offset) of each item (size, source, cluster...), in the order given; sizes are in 1..capacity.
 
-    No two items of a bin share a cluster, and no more than `per_source` a source; None is in conflict
-    with nothing.  A bin has a bitmap of sources for each further item of a source that it may take.
+    An item may have several clusters, each of a kind of its own.  No two items of a bin share a
+    cluster of a kind, and no more than `per_source` a source; None is in conflict with nothing.  A bin has a bitmap of sources for each further item of a source that it may take.
     """
     items = list(items)
-    bit = lambda values: {v: 1 << i for i, v in enumerate(v for v, n in Counter(values).items() if n > 1 and v is not None)}
-    source_bits, cluster_bits = bit(x[1] for x in items), bit(x[2] for x in items)
+    bit = lambda values: {v: 1 << i for i, v in enumerate(v for v, n in Counter(values).items() if n > 1)}
+    source_bits = bit(x[1] for x in items if x[1] is not None)
+    cluster_bits = bit(x for item in items for x in enumerate(item[2:]) if x[1] is not None)
     open_: list[tuple[int, int]] = []  # (room left, bin), ascending
     sources: list[list[int]] = []
     clusters: list[int] = []
     placed = []
-    for size, source, cluster in items:
-        s, c = source_bits.get(source, 0), cluster_bits.get(cluster, 0)
+    for size, source, *kinds in items:
+        s, c = source_bits.get(source, 0), 0
+        for x in enumerate(kinds):
+            c |= cluster_bits.get(x, 0)
         for at in range(bisect_left(open_, (size, -1)), len(open_)):
             room, number = open_[at]
             if not (sources[number][-1] & s or clusters[number] & c):
@@ -62,7 +72,7 @@ def best_fit(items: Iterable[tuple[int, object, object]], capacity: int, per_sou
 
 def _shard(capacity: int, per_source: int):
     def run(rows: pa.Table) -> pa.Table:
-        sizes, sources, clusters, h, copies = (rows.column(c).to_pylist() for c in ("size_", "source", "cluster", "h", "copy"))
+        sizes, sources, clusters, documents, h, copies = (rows.column(c).to_pylist() for c in ("size_", "source", "cluster", "document", "h", "copy"))
         at, piece, length, number, offset = [], [], [], [], []
 
         def put(row: int, k: int, n: int, bin_: int, start: int) -> None:
@@ -75,7 +85,7 @@ def _shard(capacity: int, per_source: int):
                 put(row, k, capacity, bins, 0)
                 bins += 1
         rests = sorted((i for i, n in enumerate(sizes) if n % capacity), key=lambda i: (-(sizes[i] % capacity), h[i], copies[i]))
-        found = best_fit([(sizes[i] % capacity, sources[i], clusters[i]) for i in rests], capacity, per_source)
+        found = best_fit([(sizes[i] % capacity, sources[i], clusters[i], documents[i]) for i in rests], capacity, per_source)
         for row, (bin_, start) in zip(rests, found):
             put(row, sizes[row] // capacity, sizes[row] % capacity, bins + bin_, start)
         base = (rows.column("shard")[0].as_py() << 32) if len(sizes) else 0
@@ -86,13 +96,16 @@ def _shard(capacity: int, per_source: int):
     return run
 
 
-def packed(df: DataFrame, size: Column, cluster: Column, id_col: str = "doc_id", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
+def packed(
+    df: DataFrame, size: Column, code: Column, id_col: str = "doc_id", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE, apart: bool = False
+) -> DataFrame:
     """A row for each piece of each row of `df`: (id, h, copy, piece, first, n, bin_id, offset).
 
     ``first`` and ``n`` say which part of the document the piece is, ``offset`` where it stands in its
     bin.  h identifies the row by all its columns; equal rows differ by ``copy``.  A row of size 0 or
-    null takes no space: one piece of length 0 without a bin.  Null sources and clusters conflict with
-    nothing.  An empty table gives an empty result.
+    null takes no space: one piece of length 0 without a bin.  Rows whose fingerprints (`code`) are in one
+    near-duplicate component share no bin; with `apart`, neither do rows of one id.  Null sources and ids
+    conflict with nothing.  An empty table gives an empty result.
     """
     kind = df.schema[id_col].dataType.simpleString()
     hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
@@ -100,39 +113,47 @@ def packed(df: DataFrame, size: Column, cluster: Column, id_col: str = "doc_id",
         F.col(f"`{id_col}`").alias("id"),
         F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).alias("h"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
-        cluster.cast("long").alias("cluster"),
+        code.cast("long").alias("fp"),
         F.coalesce(size, F.lit(0)).cast("long").alias("size_"),
     )
-    rows = written(rows.groupBy("id", "h").agg(*[F.first(c).alias(c) for c in ("source", "cluster", "size_")], F.count("*").alias("copies")), "pack-sizes")
+    rows = written(rows.groupBy("id", "h").agg(*[F.first(c).alias(c) for c in ("source", "fp", "size_")], F.count("*").alias("copies")), "pack-sizes")
+    rows = clustered(rows).withColumn("document", F.when(F.lit(apart) & F.col("id").isNotNull(), F.xxhash64("id")))
     copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     total = rows.agg(F.sum("copies")).collect()[0][0] or 0
     shards = max(1, -(-total // SHARD_ROWS))
     dealt = copies.withColumn("shard", F.pmod(F.xxhash64("id", "h", "copy"), F.lit(shards)))
-    full = dealt.where("size_ > 0").select("id", "h", "copy", "shard", "size_", "source", "cluster")
+    full = dealt.where("size_ > 0").select("id", "h", "copy", "shard", "size_", "source", "cluster", "document")
     made = full.groupBy("shard").applyInArrow(_shard(capacity, per_source), f"id {kind}, h long, copy long, piece long, first long, n long, bin long, offset long")
     empty = copies.where("size_ <= 0").select("id", "h", "copy", *[F.lit(0).cast("long").alias(c) for c in ("piece", "first", "n")], F.lit(None).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"))
     return made.unionByName(empty).select(F.col("id").alias(id_col), "h", "copy", "piece", "first", "n", F.col("bin").alias("bin_id"), "offset")
 
 
-def text_cluster(text: Column) -> Column:
-    """A number that texts of the same words share, whatever their case and spacing; null without words."""
-    words = F.array_join(F.regexp_extract_all(F.lower(text), F.lit(f"({WORD_PATTERN})")), " ")
-    return F.when(F.length(words) > 0, F.xxhash64(words))
+def clustered(rows: DataFrame) -> DataFrame:
+    """`rows` with ``cluster``, the near-duplicate component of their fingerprint ``fp``."""
+    codes = written(rows.where("size_ > 0").select("fp").distinct(), "pack-codes")
+    found = components(simhash.links(codes, MAX_BITS), "a", "b", "code", "root")
+    return rows.join(found, F.col("fp") == F.col("code"), "left").withColumn("cluster", F.coalesce("root", "fp")).drop("fp", "code", "root")
 
 
-def pack_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
-    """`packed` with documents measured in words and clusters of texts with the same words."""
+@F.pandas_udf(LongType())
+def _fingerprint(texts: pd.Series) -> pd.Series:
+    return pd.Series(np.fromiter((simhash.fingerprint(t, SHINGLE) for t in texts), np.uint64, len(texts)).view(np.int64))
+
+
+def pack_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE, apart: bool = False) -> DataFrame:
+    """`packed` with documents measured in words; case and spacing don't matter to near-duplicates."""
     text = F.col(f"`{text_col}`").cast("string")
-    return packed(df, word_count(text), text_cluster(text), id_col, source_col, capacity, per_source)
+    return packed(df, word_count(text), _fingerprint(F.lower(text)), id_col, source_col, capacity, per_source, apart)
 
 
 def sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """The packed sequences: (bin_id, n_words, doc_ids, lengths, sources, text), pieces by their offset.
 
     A document taken in one piece keeps its text as it is; parts of one are its words, joined by spaces;
-    pieces are joined by a line break.  Documents without words are in no sequence.
+    pieces are joined by a line break.  Documents without words are in no sequence.  Rows of one id may
+    be stretches of one document, so they share no sequence either.
     """
-    placed = written(pack_words(df, id_col, text_col, source_col, capacity, per_source), "packed").where("n > 0")
+    placed = written(pack_words(df, id_col, text_col, source_col, capacity, per_source, apart=True), "packed").where("n > 0")
     pieces = placed.groupBy(F.col(id_col).alias("id2"), F.col("h").alias("h2")).agg(F.collect_list(F.struct("bin_id", "offset", "first", "n")).alias("__pieces"))
     hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
     text = F.col(f"`{text_col}`").cast("string")

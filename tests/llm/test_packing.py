@@ -1,7 +1,8 @@
 import random
 from collections import defaultdict
 
-from ledgerlift.llm import packing
+from ledgerlift.llm import packing, simhash
+from ledgerlift.llm.common import prepared
 
 
 def plain_best_fit(items, capacity):
@@ -90,3 +91,32 @@ def test_a_source_may_be_allowed_more_than_once():
             held[number].append(source)
         assert max(h.count("a") for h in held.values()) == allowed
         assert len(held) == -(-7 // allowed)
+
+
+def near_copies():
+    """Groups of texts that differ in one word, and the stretches of one document."""
+    rows = []
+    for group in range(4):
+        picker = random.Random(group)
+        words = [f"w{picker.randrange(5000)}" for _ in range(400)]
+        rows += [(100 * group + i, " ".join(words[:-1] + [f"end{i}"]), f"s{i}") for i in range(12)]
+    parts = [f"p{random.Random(i).randrange(5000)}x{i}" for i in range(600)]
+    rows += [(900, " ".join(parts), "t0"), (900, " ".join(parts[:200]), "t1"), (900, " ".join(parts[200:450]), "t2")]
+    return rows
+
+
+def test_no_bin_holds_two_of_a_component_or_document(spark):
+    df = prepared(spark).createDataFrame(near_copies(), "doc_id long, text string, source string")
+    component = {(r["doc_id"], r["fingerprint"]): r["component_id"] for r in simhash.near_groups(df).collect()}
+    of = {}
+    for (doc_id, _), c in component.items():
+        of.setdefault(doc_id, set()).add(c)
+    assert len(set().union(*of.values())) < len(of)  # there are components to tell apart
+    held = defaultdict(list)
+    for r in packing.pack_words(df.where("doc_id < 900")).collect():
+        held[r["bin_id"]] += of[r["doc_id"]]
+    assert all(len(x) == len(set(x)) for x in held.values()) and max(map(len, held.values())) > 1
+    for r in packing.sequences(df).collect():
+        assert len(r["doc_ids"]) == len(set(r["doc_ids"]))
+        known = [c for d in r["doc_ids"] if d < 900 for c in of[d]]
+        assert len(known) == len(set(known))
