@@ -36,4 +36,4 @@ def test_odd_documents_go_through(odd, spark, monkeypatch):
 
 def test_registry():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
