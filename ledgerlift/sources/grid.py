@@ -11,73 +11,51 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions import fixed_values as fixed
 from ledgerlift.functions.text import strip
+from ledgerlift.sources.records import ROW, cells, filled, read_lines, records, survey
 
-ROW = "_row"
 
-
-class OpenQuote(ValueError):
+class GridTooNarrow(ValueError):
     pass
 
 
-class GridTooNarrow(ValueError):
+class HeadersDiffer(ValueError):
     pass
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], multiline: bool = False, **options: str) -> DataFrame:
-    """CSV whose first line is the header: every column a string, headers normalised.
+def read_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
+    """CSV whose first record is the header: every column a string, headers normalised.
 
-    With `multiline` a quoted cell may hold line breaks, and a file is read by one task; without
-    it a line with an open quote is refused.
+    Quoted cells may hold line breaks; files are read in parallel all the same.  All files have the
+    same header.
     """
-    settings = {"header": "true", "inferSchema": "false", "enforceSchema": "false", "escape": '"'} | options
-    if not multiline:
-        refuse_open_quotes(spark, path)
-    return normalise_headers(spark.read.options(**settings, multiLine=str(multiline).lower()).csv(path))
-
-
-def read_grid(spark: SparkSession, path: str | Sequence[str], width: int | None = None, multiline: bool = False, **options: str) -> DataFrame:
+    rows = records(read_lines(spark, path), sep)
+    heads = rows.groupBy(F.col(f"{ROW}.file").alias("__file")).agg(F.min(ROW).alias("__head"), F.min_by("value", ROW).alias("__value"))
+    headers = heads.select("__value").distinct().select(cells(F.col("__value"), sep).alias("names")).limit(2).collect()
+    if not headers:
+        return spark.sql("SELECT 1").select().limit(0)
+    if len(headers) > 1:
+        raise HeadersDiffer(f"{path}: {headers[0]['names']} and {headers[1]['names']}")
+    names = [n if n is not None and n.strip() else f"unnamed:_{i}" for i, n in enumerate(headers[0]["names"])]
+    below = rows.join(heads.select("__file", "__head"), F.col(f"{ROW}.file") == F.col("__file")).where(F.col(ROW) > F.col("__head"))
+    parsed = below.select(cells(F.col("value"), sep).alias("__cells"))
+    return parsed.select(*[F.get("__cells", F.lit(i)).alias(n) for i, n in enumerate(_distinct([header_name(n) for n in names]))])
+
+
+def read_grid(spark: SparkSession, path: str | Sequence[str], width: int | None = None, sep: str = ",") -> DataFrame:
     """CSV without a known header as ``_row`` plus string cells ``c0..cN``.
 
     The width is that of the longest row with a value at its end; if the caller gives one, a row
-    with values beyond it is an error.  `multiline` is as for `read_csv`.
+    with values beyond it is an error.  One pass finds the width; a second one is needed only where
+    a quoted cell goes on in the next line.
     """
-    settings = {"header": "false", "escape": '"', "ignoreLeadingWhiteSpace": "false", "multiLine": str(multiline).lower()} | options
-    if not multiline:
-        refuse_open_quotes(spark, path)
-    bound = _cell_bound(_cells(spark, path, 1, settings), settings.get("sep", ",")).first()["bound"] or 1
-    if width is None or bound > width:
-        wide = _cells(spark, path, bound, settings)
-        used = wide.agg(*[F.count(c).alias(c) for c in wide.columns if c != _BAD]).first()
-        needed = max([1, *(i + 1 for i, n in enumerate(used) if n)])
-        if width is not None and needed > width:
-            raise GridTooNarrow(f"a row has values in {needed} cells, beyond the width of {width}")
-        width = needed if width is None else width
-    cells = _cells(spark, path, max(width, bound), settings)
-    return with_position(cells.select(*[f"c{i}" for i in range(width)], F.col("_metadata")))
-
-
-_BAD = "_unparsed"
-
-
-def _cells(spark: SparkSession, path: str | Sequence[str], width: int, settings: Mapping[str, str]) -> DataFrame:
-    """Cells of a file; a record with more or fewer cells than `width` also stands in ``_unparsed`` as it is."""
-    schema = ", ".join([*(f"c{i} string" for i in range(width)), f"{_BAD} string"])
-    return spark.read.schema(schema).options(**settings, columnNameOfCorruptRecord=_BAD, columnPruning="false").csv(path)
-
-
-def _cell_bound(cells: DataFrame, sep: str) -> DataFrame:
-    """One row: the most cells that a record can have, counting separators inside quotes too."""
-    count = F.length(_BAD) - F.length(F.replace(F.col(_BAD), F.lit(sep), F.lit(""))) + 1
-    # The first cell is read along: the unparsed record alone is no query of a file.
-    return cells.agg(F.max(count).cast("int").alias("bound"), F.count("c0").alias("cells"))
-
-
-def refuse_open_quotes(spark: SparkSession, path: str | Sequence[str]) -> None:
-    """Raise if a line has an odd number of quotes: its record goes on in the next line."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    paths = [path] if isinstance(path, str) else list(path)
-    if spark.read.text(paths).filter(quotes % 2 == 1).limit(1).count():
-        raise OpenQuote(f"a quoted cell goes on in the next line; read {path} with multiline=True")
+    lines = read_lines(spark, path)
+    opens, needed = survey(lines, sep)
+    rows = records(lines, sep, opens).select(ROW, cells(F.col("value"), sep).alias("__cells"))
+    if opens:
+        needed = rows.agg(F.max(filled(F.col("__cells")))).first()[0] or 0
+    if width is not None and needed > width:
+        raise GridTooNarrow(f"a row has values in {needed} cells, beyond the width of {width}")
+    return rows.select(ROW, *[F.get("__cells", F.lit(i)).alias(f"c{i}") for i in range(max(1, needed) if width is None else width)])
 
 
 def with_position(df: DataFrame, name: str = ROW) -> DataFrame:

@@ -12,14 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlift.sources.grid import ROW
+from ledgerlift.sources.records import ROW, cells, records
 from ledgerlift.sources.store import TableStore, Workspace
 
 
-#: Cells of a row that are looked at; a longer row stops the import.
-WIDTH = 512
-
-
 def incremental_import(
     spark: SparkSession,
     landing: str,
@@ -29,45 +25,35 @@ def incremental_import(
     checkpoint: str,
     glob: str | None = None,
     max_files: int | None = None,
-    multiline: bool = False,
-    width: int = WIDTH,
 ) -> StreamingQuery:
     """Run `plan` for the CSV files of `landing` not seen before, then stop.
 
     Every column is read as text and found by its name in the header of its own file, so files may
     order and choose columns differently; a column that a file lacks is NULL, a file that has none
-    of them fails.  `glob` restricts the file names, `multiline` allows line breaks in quotes.  Rows
-    of a batch are ordered by arrival time of their file, then by position in it.
+    of them fails.  Quoted cells may hold separators and line breaks, as many as they like.  `glob`
+    restricts the file names.  Rows of a batch are ordered by arrival time of their file, then by
+    position in it.
     """
-    schema = ", ".join([*(f"c{i} string" for i in range(width)), "_unparsed string"])
-    options = {"header": "false", "escape": '"', "multiLine": str(multiline).lower(), "columnNameOfCorruptRecord": "_unparsed", "columnPruning": "false"}
-    reader = spark.readStream.format("csv").schema(schema).options(**options)
+    reader = spark.readStream.format("text").option("lineSep", "\n")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.load(landing).select(
-        "*",
-        F.col("_metadata.file_modification_time").alias("__time"),
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__block"),
-    )
+    lines = reader.load(landing).select("value", F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        plan(Workspace(store=store), by_header(batch, columns, width))
+        plan(Workspace(store=store), by_header(batch, columns))
 
-    writer = rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def by_header(batch: DataFrame, columns: list[str], width: int) -> DataFrame:
-    """The rows below each file's first one, which names the cells."""
-    # The running id grows inside a block, the other three order the blocks; packed into one
-    # struct they order rows without a global numbering pass.
-    cells = F.array(*[f"c{i}" for i in range(width)])
-    count = F.length("_unparsed") - F.length(F.replace(F.col("_unparsed"), F.lit(","), F.lit(""))) + 1
-    checked = F.when(count > width, F.raise_error(F.concat(F.lit("a row may have values beyond the width in "), F.col("__file")))).otherwise(cells)
-    placed = batch.select("__file", F.struct("__time", "__file", "__block", F.monotonically_increasing_id().alias("__id")).alias(ROW), checked.alias("__cells"))
+def by_header(batch: DataFrame, columns: list[str]) -> DataFrame:
+    """The records below each file's first one, which names the cells; `batch` has its lines (value, time, file, block)."""
+    # The arrival time goes into the name of the file, so that places order rows by it.
+    arrived = F.concat_ws("|", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "file")
+    lines = batch.select(arrived.alias("file"), "block", F.monotonically_increasing_id().alias("at"), "value")
+    placed = records(lines).select(F.col(f"{ROW}.file").alias("__file"), ROW, cells(F.col("value")).alias("__cells"))
     names = F.transform("__cells", lambda c: F.regexp_replace(F.lower(F.trim(c)), "[ /]", "_"))
     headers = placed.groupBy("__file").agg(F.min_by(names, ROW).alias("__names"), F.min(ROW).alias("__header"))
     found = F.arrays_overlap("__names", F.array(*map(F.lit, columns)))

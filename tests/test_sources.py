@@ -144,13 +144,18 @@ def test_grid_takes_its_width_from_the_data(spark, tmp_path, values):
 def test_quoted_line_breaks(spark, tmp_path, values):
     path = str(tmp_path / "m.csv")
     (tmp_path / "m.csv").write_text('apprefno,name\nA-1,"two\nlines, one cell"\nA-2,x\n')
-    with pytest.raises(grid.OpenQuote):
-        grid.read_csv(spark, path)
-    with pytest.raises(grid.OpenQuote):
-        grid.read_grid(spark, path)
     want = [("A-1", "two\nlines, one cell"), ("A-2", "x")]
-    assert values(grid.read_csv(spark, path, multiline=True)) == want
-    assert values(grid.promote_header(grid.read_grid(spark, path, multiline=True)), "apprefno", "name") == want
+    assert values(grid.read_csv(spark, path)) == want
+    assert values(grid.promote_header(grid.read_grid(spark, path)), "apprefno", "name") == want
+
+
+def test_files_of_one_header(spark, tmp_path, values):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(f"\n a,b \n{i},x\n")
+    assert values(grid.read_csv(spark, str(tmp_path))) == [("0", "x"), ("1", "x"), ("2", "x")]
+    (tmp_path / "9.csv").write_text("a,c\n1,2\n")
+    with pytest.raises(grid.HeadersDiffer):
+        grid.read_csv(spark, str(tmp_path))
 
 
 def test_store_refuses_a_second_writer_and_expires_snapshots(spark, tmp_path, frame, values):

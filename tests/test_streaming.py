@@ -34,14 +34,15 @@ def test_columns_are_found_by_the_header_of_each_file(spark, tmp_path, frame, va
     (landing / "a.csv").write_text('shname,AppRefNo\n"Ann\nMarie",N1\n')
     (landing / "b.csv").write_text("apprefno,other,shname\nN2,x,Bob\n")
     (landing / "c.csv").write_text("apprefno\nN3\n")
+    (landing / "e.csv").write_text(f'note,apprefno,shname\n"{"x," * 600}",N4,2" pipe\n')
     seen = []
 
     def plan(ws, batch):
         seen.extend(values(batch, "apprefno", "shname"))
 
     store = TableStore(spark, str(tmp_path / "store"))
-    incremental_import(spark, str(landing), ["apprefno", "shname"], store, plan, str(tmp_path / "c"), multiline=True).awaitTermination()
-    assert sorted(seen, key=str) == [("N1", "Ann\nMarie"), ("N2", "Bob"), ("N3", None)]
+    incremental_import(spark, str(landing), ["apprefno", "shname"], store, plan, str(tmp_path / "c")).awaitTermination()
+    assert sorted(seen, key=str) == [("N1", "Ann\nMarie"), ("N2", "Bob"), ("N3", None), ("N4", '2" pipe')]
     (landing / "d.csv").write_text("foo,bar\n1,2\n")
     with pytest.raises(StreamingQueryException):
-        incremental_import(spark, str(landing), ["apprefno", "shname"], store, plan, str(tmp_path / "c"), multiline=True).awaitTermination()
+        incremental_import(spark, str(landing), ["apprefno", "shname"], store, plan, str(tmp_path / "c")).awaitTermination()

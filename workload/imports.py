@@ -214,7 +214,9 @@ def import_categories_from_feed(t: Tables):
 
 @query(
     "import_user_provisioning",
-    f"""{APPLICATION_SQL} SELECT {uuid_sql("'user|' || username")} AS id, username, 'insert' AS _action FROM (SELECT DISTINCT username FROM f)""",
+    f"""{APPLICATION_SQL}, u AS (SELECT 'u' || r_regionkey AS id, ['x', ' CLERK.P', 'y', 'Clerk.f', 'z'][r_regionkey + 1] AS username FROM region)
+    SELECT id, username, 'keep' AS _action FROM u
+    UNION ALL SELECT {uuid_sql("'user|' || username")}, username, 'insert' FROM (SELECT DISTINCT username FROM f) WHERE username NOT IN (SELECT lower(trim(username)) FROM u)""",
 )
 def import_user_provisioning(t: Tables):
     return application_workspace(t).merged["users"].select("id", "username", "_action")
