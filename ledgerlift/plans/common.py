@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions.text import blank_to_null
 from ledgerlift.operators.joins import lookup
-from ledgerlift.operators.merge import INCOMING, KEEP, OVERWRITE, Policy, merge_into
+from ledgerlift.operators.merge import INCOMING, KEEP, OVERWRITE, Policy
 from ledgerlift.operators.provision import assign_role, ensure_users, role_named
 from ledgerlift.plans import tables as t
 from ledgerlift.sources.grid import ROW, normalise_headers, with_position
@@ -52,8 +52,7 @@ def upsert(
     """Merge de-duplicated rows into a table of the workspace."""
     rules = {**AUDIT_POLICY, **({} if "id" in keys else {"id": KEEP}), **(policy or {})}
     options = {"unique_source": True} | options
-    target = ws.table(name, schema)
-    return ws.put(name, lambda: merge_into(target(), source(), list(keys), rules, default, mode, **options))
+    return ws.upsert(name, schema, source, keys, policy=rules, default=default, mode=mode, **options)
 
 
 def with_application(stage: DataFrame, applications: DataFrame, number: str = "application_number") -> DataFrame:
