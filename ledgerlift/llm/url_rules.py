@@ -109,10 +109,10 @@ def tokens_of(url: Column) -> Column:
 def index(urls: DataFrame, table: DataFrame) -> DataFrame:
     """(token, rule, kind, verdict, regex): each rule under the token that the fewest rows of `urls` (url) hold.
 
-    A rule without literal tokens stands under the empty one.  Only tokens of rules are counted.
+    A rule without literal tokens stands under the empty one.  Only tokens of rules are counted.  Rules
+    are written first, so that Spark knows their size when it plans the joins.
     """
-    ready = compiled(table)
-    spread = ready.withColumn("token", F.explode_outer("tokens"))
+    spread = written(compiled(table).withColumn("token", F.explode_outer("tokens")), "url-rule-tokens")
     asked = spread.select("token").where("token is not null").distinct()
     held = urls.select(F.explode(tokens_of(F.col("url"))).alias("token")).join(asked, "token", "left_semi")
     counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
