@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from pathlib import Path
@@ -17,20 +18,44 @@ ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
 CELLS = 1 << 13
 
 
-def prepared(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches, so that long texts don't meet in one Python worker's memory.
+def prepared(spark: SparkSession, rows: int = ARROW_ROWS) -> SparkSession:
+    """A session of the operators' own beside `spark`: its settings, with bounded Arrow batches.
 
-    Workers also look for this package where the driver found it, whatever folder they start in.
+    Long texts then don't meet in one Python worker's memory, and the caller's settings stay as they
+    are.  Workers also look for this package where the driver found it, whatever folder they start in.
     """
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in known.get("PYTHONPATH", "").split(":") if p]
     if root not in paths:
         known["PYTHONPATH"] = ":".join([*paths, root])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    return spark
+    session = spark.newSession()
+    theirs, mine = dict(spark.conf.getAll), dict(session.conf.getAll)
+    wanted = theirs | {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(ARROW_BYTES),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+    for key, value in wanted.items():
+        if mine.get(key) != value and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
+
+
+def adopted(df: DataFrame, rows: int = ARROW_ROWS) -> DataFrame:
+    """`df` in a session of the operators' own, handed over as a global view that is dropped at once."""
+    name = f"llm_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        database = df.sparkSession.conf.get("spark.sql.globalTempDatabase", "global_temp")
+        return prepared(df.sparkSession, rows).table(f"{database}.{name}")
+    finally:
+        df.sparkSession.catalog.dropGlobalTempView(name)
+
+
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="llm-scratch-")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,8 +64,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named is None:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        named = tempfile.mkdtemp(prefix="llm-scratch-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _own_folder(spark.sparkContext.applicationId)
     return named.rstrip("/")
 
 
@@ -55,6 +79,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of `df` as one struct: whatever their names, they clash with none of an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of `df` that can be hashed: maps can't."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or one like it, that no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -10,14 +10,13 @@ the source's blocks, another one for each time through them.
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import WORD_PATTERN, running_bases, word_count, written
+from ledgerlift.llm.common import WORD_PATTERN, row_hash, running_bases, whole_row, word_count, written
 
 SHARE, MOST, WEIGHTS, SEED = 1.5, 2.0, (3.0, 1.0, 2.0), 17
 #: Words of a block, slots of an output shard, rows of all sources that share a group.
@@ -25,6 +24,8 @@ BLOCK, SHARD, GROUP = 64, 1 << 13, 1 << 9
 #: Sources are listed on the driver; more of them are an error, not a cut.
 MAX_SOURCES = 100_000
 _CELLS = 4096
+#: Half rounds of the permutation, and how often a place beyond the last block is sent through it again.
+ROUNDS, WALKS = 4, 64
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -82,16 +83,27 @@ def plan_mix(sized: DataFrame, block: int = BLOCK, share: float = SHARE, most: f
     return Plan([r["source"] for r in rows], sizes, wanted, block, sum(r["n"] for r in rows))
 
 
-def _affine(blocks: int, source: int, turn: int) -> tuple[int, int]:
-    """Factor and offset of a permutation of [0, blocks): the factor is prime to their number."""
-    if blocks < 2:
-        return 1, 0
-    spread = (0x9E3779B97F4A7C15 * (SEED + 131 * source + 7919 * turn + 1)) % (1 << 64)
-    factor = int(blocks * 0.381966) + spread % max(1, blocks // 4)
-    factor = max(1, factor)
-    while math.gcd(factor, blocks) != 1:
-        factor += 1
-    return factor % blocks, spread % blocks
+def permuted(index: Column, blocks: Column, *key: Column) -> Column:
+    """The place of `index` in a pseudorandom permutation of [0, blocks), another one for each key.
+
+    A Feistel network over pairs (left, right) of a grid that just holds all blocks.  The few places of the
+    grid beyond the last block are sent through it again, which ends inside after less than the grid's
+    width of rounds, and in practice at once.  No number exceeds the grid.
+    """
+    div = lambda a, b: F.call_function("div", a, b)
+    wide = F.greatest(F.ceil(F.sqrt(blocks)), F.lit(1)).cast("long")
+    high = div(blocks + wide - 1, wide)
+
+    def once(x: Column) -> Column:
+        left, right = F.pmod(x, wide), div(x, wide)
+        for i in range(0, ROUNDS, 2):
+            left = F.pmod(left + F.pmod(F.xxhash64(right, F.lit(SEED + i), *key), wide), wide)
+            right = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(SEED + i + 1), *key), high), high)
+        return right * wide + left
+
+    first = once(index)
+    again = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first, lambda x, _: F.when(x < blocks, x).otherwise(once(x)))
+    return F.when(first < blocks, first).otherwise(again)
 
 
 def slots(spark: SparkSession, plan: Plan) -> DataFrame:
@@ -138,10 +150,9 @@ def slots(spark: SparkSession, plan: Plan) -> DataFrame:
 
 def taken_blocks(spark: SparkSession, plan: Plan) -> DataFrame:
     """(s, block, turn, slot): the block that each slot takes, and how often the source was gone through before."""
-    turns = [{"s": s, "turn": t, "blocks": b, "factor": a, "shift": c} for s, (b, q) in enumerate(zip(plan.blocks, plan.quotas)) for t in range(-(-q // b) if b else 0) for a, c in [_affine(b, s, t)]]
-    table = _table(spark, turns, "s:int,turn:long,blocks:long,factor:long,shift:long")
-    found = slots(spark, plan).join(F.broadcast(table), "s").where("k div blocks = turn")
-    return found.select("s", F.expr("(factor * (k % blocks) + shift) % blocks").alias("block"), "turn", "slot")
+    table = _table(spark, [{"s": s, "blocks": b} for s, b in enumerate(plan.blocks) if b], "s:int,blocks:long")
+    found = slots(spark, plan).join(F.broadcast(table), "s").withColumn("turn", F.expr("k div blocks"))
+    return found.select("s", permuted(F.expr("k % blocks"), F.col("blocks"), F.col("s"), F.col("turn")).alias("block"), "turn", "slot")
 
 
 def lines(sized: DataFrame, plan: Plan, keys: list[str]) -> DataFrame:
@@ -167,7 +178,7 @@ def lines(sized: DataFrame, plan: Plan, keys: list[str]) -> DataFrame:
 
 def _sized(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     text = F.col(f"`{text_col}`").cast("string")
-    return df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), F.col(f"`{source_col}`").cast("string").alias("source"), word_count(text).alias("size"))
+    return df.select(F.col(f"`{id_col}`").alias("id"), row_hash(df).alias("key"), F.col(f"`{source_col}`").cast("string").alias("source"), word_count(text).alias("size"))
 
 
 def _cover(placed: DataFrame, plan: Plan) -> DataFrame:
@@ -203,7 +214,9 @@ def mixture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The mix itself, in the columns of `df`: a row for each stretch of a document that is taken in one turn.
 
     A document taken whole keeps its text as it is; a stretch is its words, joined by spaces.  ``n_chars``,
-    if there, is counted anew for stretches.  Documents without words, and null texts, are not taken.
+    if there, is counted anew for stretches.  Documents without words, and null texts, are not taken.  A
+    row is told by its id and a hash of all its columns: rows that differ in any column are documents of
+    their own, repeated rows take turns on the line.  Columns keep their values whatever their names.
     """
     spark = df.sparkSession
     sized = written(_sized(df, id_col, text_col, source_col), "mix-sizes")
@@ -215,23 +228,21 @@ def mixture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     run = pieces.withColumn("run", F.col("block") - F.row_number().over(order))
     stretches = run.groupBy("s", "start", "turn", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     per_row = stretches.groupBy("s", "start").agg(F.collect_list(F.struct("first", "last")).alias("stretches"))
-    keyed = placed.where("size > 0").join(per_row, ["s", "start"]).select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("source").alias("__source"), "copy", "stretches")
-    # Equal rows are one document; what its copies take is put together.
-    keyed = keyed.groupBy("__id", "__key", "__source").agg(F.flatten(F.collect_list("stretches")).alias("__stretches"))
+    # A copy of a repeated row has a row of its own here, so no array holds what all of them take.
+    keyed = placed.where("size > 0").join(per_row, ["s", "start"]).select("id", "key", "stretches")
     text = F.col(f"`{text_col}`").cast("string")
-    once = df.withColumn("__text_key", F.xxhash64(F.coalesce(text, F.lit(""))))
-    once = once.dropDuplicates([id_col, "__text_key", source_col]) if _repeated(placed) else once
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")) & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("__source"))
-    words = F.regexp_extract_all(text, F.lit(f"({WORD_PATTERN})"))
-    cut = once.join(keyed, same).withColumn("__words", words).withColumn("__s", F.explode("__stretches"))
-    whole = (F.col("__s.first") == 0) & (F.col("__s.last") == F.size("__words"))
-    piece = F.when(whole, text).otherwise(F.array_join(F.slice("__words", F.col("__s.first").cast("int") + 1, (F.col("__s.last") - F.col("__s.first")).cast("int")), " "))
-    out = cut.withColumn(text_col, piece)
+    rows = df.select(F.col(f"`{id_col}`").alias("i"), row_hash(df).alias("k"), text.alias("t"), whole_row(df).alias("row"))
+    rows = rows.dropDuplicates(["i", "k"]) if _repeated(placed) else rows
+    words = F.regexp_extract_all(F.col("t"), F.lit(f"({WORD_PATTERN})"))
+    cut = rows.join(keyed, F.col("i").eqNullSafe(F.col("id")) & (F.col("k") == F.col("key"))).withColumn("words", words).withColumn("x", F.explode("stretches"))
+    whole = (F.col("x.first") == 0) & (F.col("x.last") == F.size("words"))
+    piece = F.when(whole, F.col("t")).otherwise(F.array_join(F.slice("words", F.col("x.first").cast("int") + 1, (F.col("x.last") - F.col("x.first")).cast("int")), " "))
+    made = cut.select("row", piece.alias("piece"))
+    row = F.col("row").withField(f"`{text_col}`", F.col("piece"))
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.length(F.col(f"`{text_col}`")).cast(df.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+        row = row.withField("n_chars", F.length("piece").cast(df.schema["n_chars"].dataType))
+    return made.select(row.alias("row")).select("row.*")
 
 
 def _repeated(placed: DataFrame) -> bool:
     return placed.where("copy > 0").limit(1).count() > 0
-

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import written
 
-#: Labelled rows that the logistic model is fitted on, at most (by expectation of a hash sample).
+#: Distinct labelled texts, by their features, that the logistic model is fitted on, at most (by expectation of a hash sample).
 LABELLED = 20_000
 RIDGE, STEPS = 1e-3, 40
 #: Bounds of the prior's weight in documents, and of a document's evidence in log odds.
@@ -59,17 +59,19 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.float64()))], ["id", "host", "path", "x"])
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(weights with the constant last, means, scales) of a ridge logistic regression, by Newton steps."""
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+def _fit(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weights with the constant last, means, scales) of a ridge logistic regression, by Newton steps; a row counts `times`."""
+    share = times[:, None] / times.sum()
+    mean = (x * share).sum(0)
+    scale = np.maximum(np.sqrt(((x - mean) ** 2 * share).sum(0)), 1e-6)
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
-    penalty = np.full(z.shape[1], RIDGE * len(x))
+    penalty = np.full(z.shape[1], RIDGE * times.sum())
     penalty[-1] = 0
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty + 1e-6)
-        step = np.linalg.solve(h, z.T @ (y - p) - penalty * w)
+        h = (z * (times * (p * (1 - p) + 1e-9))[:, None]).T @ z + np.diag(penalty + 1e-6)
+        step = np.linalg.solve(h, z.T @ (times * (y - p)) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -113,11 +115,12 @@ def classified(df: DataFrame, labels: DataFrame, host: Column, path: Column, id_
     seen = written(rows.mapInArrow(_described, f"id {kind}, host string, path string, x array<double>"), "quality-features")
     known = labels.where(f"`{label_col}` is not null and `{label_id}` is not null").groupBy(F.col(f"`{label_id}`").alias("label_id")).agg(F.avg(label_col).alias("label"))
     joined = written(seen.join(known, F.col("id") == F.col("label_id"), "left").drop("label_id").withColumn("held_out", held_out(F.col("id"))), "quality-labelled")
-    usable = joined.where("label is not null and x is not null and not held_out")
+    usable = joined.where("label is not null and x is not null and not held_out").groupBy("x", "label").agg(F.count(F.lit(1)).alias("times"))
+    usable = written(usable, "quality-usable")
     share = min(1.0, LABELLED / max(1, usable.count()))
-    sample = usable.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < share * 1_000_003).select("x", "label").toArrow()
+    sample = usable.where(F.pmod(F.xxhash64("x", "label"), F.lit(1_000_003)) < share * 1_000_003).orderBy("x", "label").toArrow()
     if sample.num_rows:
-        w, mean, scale = _fit(np.array(sample.column("x").to_pylist()), sample.column("label").to_numpy())
+        w, mean, scale = _fit(np.array(sample.column("x").to_pylist()), sample.column("label").to_numpy(), sample.column("times").to_numpy().astype(float))
         score = F.lit(float(w[-1]))
         for i in range(len(FEATURES)):
             score = score + (F.col("x")[i] - float(mean[i])) * float(w[i] / scale[i])

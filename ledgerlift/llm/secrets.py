@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import written
+from ledgerlift.llm.common import whole_row, written
 
 KINDS = ("assign", "access", "hex", "opaque")
 #: The patterns of the base spans, with the least length of what they must hold.
@@ -30,8 +30,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # whole runs: a shorter one fails wherever i
 LEAST = {"assign": 12, "access": 18}
 OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MIN_ENTROPY = 3.5
-#: A value of more owners than this is an example.
-MAX_OWNERS = 2
+#: A value of more owners, or of more repositories, than this is an example.
+MAX_OWNERS, MAX_REPOS = 2, 16
 MASK = "<secret>"
 
 
@@ -44,23 +44,26 @@ def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
 
 
 def looks_random(value: str) -> bool:
-    """Digits and letters, and many different characters for its length."""
-    if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+    """Letters of both cases or with digits, and many different characters for its length."""
+    if sum(map(any, ((c.isdigit() for c in value), (c.isupper() for c in value), (c.islower() for c in value)))) < 2:
         return False
     counts = Counter(value)
     return -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values()) >= MIN_ENTROPY
 
 
 def _opaque(text: str, base: list[tuple[int, int, int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Opaque runs that no base span overlaps."""
+    """Opaque runs that base spans do not cover altogether: a part of a credential is not all of it."""
+    covered: list[list[int]] = []  # stretches of base spans, in order
+    for start, _, end, _, _ in base:
+        if covered and start <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
     at = 0
-    ends = []  # the furthest end of the base spans up to each one
-    for span in base:
-        ends.append(max(span[2], ends[-1] if ends else 0))
     for m in OPAQUE.finditer(text):
-        while at < len(base) and base[at][0] < m.end():
+        while at < len(covered) and covered[at][1] < m.end():
             at += 1
-        if not at or ends[at - 1] <= m.start():
+        if at == len(covered) or covered[at][0] > m.start():
             yield m.start(), m.end()
 
 
@@ -102,8 +105,8 @@ def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_
     A null text counts as empty.  A null repository is no owner: its value counts as owner-specific
     unless others share it.  Rows that agree in id and text are scanned alike, however often they
     occur; an empty table gives an empty result.  Columns of `df` beside the three don't matter.
-    ``spans`` holds base and added spans; ``live`` and ``examples`` count spans of values that few
-    and that many owners share.
+    ``spans`` holds base and added spans; ``live`` and ``examples`` count spans of values that few and
+    that many owners or repositories share; ``owners`` and ``repos`` are those of its most shared value.
     """
     text = _text(df, text_col)
     inner = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("key"), F.col(f"`{repo_col}`").cast("string").alias("repo"), text.alias("t"))
@@ -114,14 +117,14 @@ def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_
     spans = rows.where(F.size("found") > 0).select("id", "key", "repo", F.explode("found").alias("s"))
     shared = spans.groupBy(F.col("s.h").alias("h"), "repo").agg(F.max(F.col("s.kind") < 2).alias("assigned")).withColumn("owner", owner_of(F.col("repo")))
     verdict = shared.groupBy("h").agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repos"), F.max("assigned").alias("assigned"))
-    example = F.col("owners") > MAX_OWNERS
+    example = (F.col("owners") > MAX_OWNERS) | (F.col("repos") > MAX_REPOS)
     added = (F.col("s.kind") == 3) & ~example & (F.col("s.random") | F.col("assigned"))
     judged = (
         spans.withColumn("h", F.col("s.h"))
         .join(verdict, "h")
         .where((F.col("s.kind") < 3) | added)
         .groupBy("id", "key")
-        .agg(F.collect_set(F.struct("s.start", "s.kind", "s.end", example.alias("example"))).alias("kept"))
+        .agg(F.collect_set(F.struct("s.start", "s.kind", "s.end", example.alias("example"))).alias("kept"), F.max("owners").alias("owners"), F.max("repos").alias("repos"))
     )
     joined = rows.drop("found", "repo").join(judged.withColumnsRenamed({"id": "id2", "key": "key2"}), F.col("id").eqNullSafe(F.col("id2")) & (F.col("key") == F.col("key2")), "left")
     kept = F.array_sort(F.coalesce("kept", F.expr("cast(array() as array<struct<start:long,kind:int,end:long,example:boolean>>)")))
@@ -136,6 +139,8 @@ def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_
         F.array_join(F.transform(kept, word), ",").alias("spans"),
         F.size(F.filter(kept, lambda s: ~s["example"])).cast("long").alias("live"),
         F.size(F.filter(kept, lambda s: s["example"])).cast("long").alias("examples"),
+        F.coalesce("owners", F.lit(0)).cast("long").alias("owners"),
+        F.coalesce("repos", F.lit(0)).cast("long").alias("repos"),
     )
 
 
@@ -152,20 +157,25 @@ def masked(text: str, spans: str) -> str:
 
 
 def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source") -> DataFrame:
-    """`df` with every found secret masked in the text and ``n_chars``, if there, counted anew; no row goes."""
+    """`df` with every found secret masked in the text and ``n_chars``, if there, counted anew; no row goes.
+
+    Null, empty and long texts are as in `scanned`; a text without secrets stays as it is.  Rows that agree
+    in id and text are masked alike, as often as they occur.  Columns keep their values whatever their
+    names; an empty table gives an empty result.
+    """
     found = scanned(df, id_col, text_col, repo_col).where("spans <> ''")
-    found = found.select(F.col(id_col).alias("__id"), F.col("key").alias("__key"), F.col("spans").alias("__spans")).distinct()
-    text = F.col(f"`{text_col}`")
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(_text(df, text_col)) == F.col("__key"))
-    joined = df.join(found, same, "left")
+    found = found.select(F.col(f"`{id_col}`").alias("id"), "key", "spans").distinct()
+    rows = df.select(F.col(f"`{id_col}`").alias("i"), F.xxhash64(_text(df, text_col)).alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), whole_row(df).alias("row"))
+    joined = rows.join(found, F.col("i").eqNullSafe(F.col("id")) & (F.col("k") == F.col("key")), "left")
 
     @F.pandas_udf("string")
     def mask(texts, spans):
         return texts.combine(spans, lambda t, s: masked(t, s) if s else t)
 
     # Few texts hold a secret; only those go to Python.
-    clean = joined.where("__spans is null")
-    dirty = joined.where("__spans is not null").withColumn(text_col, mask(text, F.col("__spans")))
+    clean = joined.where("spans is null").select("row.*")
+    dirty = joined.where("spans is not null").withColumn("t", mask(F.col("t"), F.col("spans")))
+    row = F.col("row").withField(f"`{text_col}`", F.col("t"))
     if "n_chars" in df.columns:
-        dirty = dirty.withColumn("n_chars", F.length(text).cast(df.schema["n_chars"].dataType))
-    return clean.select(*df.columns).unionByName(dirty.select(*df.columns))
+        row = row.withField("n_chars", F.length("t").cast(df.schema["n_chars"].dataType))
+    return clean.union(dirty.select(row.alias("row")).select("row.*"))

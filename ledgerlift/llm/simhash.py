@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import written
+from ledgerlift.llm.common import row_hash, whole_row, written
 from ledgerlift.llm.graph import components
 
 BITS, SEED, AGREEING = 64, 42, 3
@@ -136,12 +136,11 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """`df` with one row of each component: that of the smallest id (null first), then of the smallest row hash.
 
     A row's identity is its id with a hash of all its columns, so repeated ids with other texts are
-    documents of their own and repeated rows are one.
+    documents of their own and repeated rows are one.  Null texts are texts without words, which are
+    near one another.  Columns keep their values whatever their names; an empty table gives an empty result.
     """
-    hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
-    row = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).alias("h"))
-    keyed = df.withColumn("__row", row)
-    groups = near_groups(keyed.select("__row", F.col(f"`{text_col}`").alias("t")), "__row", "t", shingle, max_bits)
-    kept = groups.where("__row = component_id").select("__row")
+    key = F.struct(F.col(f"`{id_col}`").alias("id"), row_hash(df).alias("h")).alias("key")
+    groups = near_groups(df.select(key, F.col(f"`{text_col}`").alias("t")), "key", "t", shingle, max_bits)
+    kept = groups.where("key = component_id").select("key")
     # Partial aggregation first: a repeated row is sent once by each task.
-    return keyed.dropDuplicates(["__row"]).join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(key, whole_row(df).alias("row")).dropDuplicates(["key"]).join(kept, "key", "left_semi").select("row.*")

@@ -4,7 +4,7 @@ import pytest
 
 from ledgerlift.llm.common import prepared
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, t string, h long, s int, fp long, score string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, t string, h long, s int, fp long, score string, __row string, __id long, __key long, __spans string, __words int, __lang string, __score double, found int, `a.b` string, row string"
 
 
 def words(seed, n, vocabulary=400):
@@ -15,7 +15,7 @@ def words(seed, n, vocabulary=400):
 @pytest.fixture(scope="session")
 def odd_rows():
     """Rows with every trouble: nulls, empty and long texts, ties, repeated rows, other columns with likely names."""
-    extra = (1, "k", "t", 2, 3, 4, "x")
+    extra = (1, "k", "t", 2, 3, 4, "x", "r", 5, 6, "s", 7, "l", 0.5, 8, "dotted", "whole")
     long = words(1, 6000)
     rows = [
         (1, words(2, 300), "aa", "a"),

@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlift.llm import mixing
 from ledgerlift.llm.common import prepared
@@ -57,8 +58,32 @@ def test_odd_rows(odd, odd_rows, nothing):
     assert mixing.mixed(nothing).collect() == mixing.mixture(nothing).collect() == []
 
 
-@pytest.mark.parametrize("blocks", [1, 2, 3, 64, 97, 1000, 99991])
-def test_permutations(blocks):
-    for turn in (0, 1):
-        factor, shift = mixing._affine(blocks, 3, turn)
-        assert len({(factor * k + shift) % blocks for k in range(blocks)}) == blocks
+def permutation(spark, blocks, ids, turn):
+    rows = spark.range(*ids).select("id", mixing.permuted(F.col("id"), F.lit(blocks).cast("long"), F.lit(3), F.lit(turn)).alias("p"))
+    return [r["p"] for r in rows.orderBy("id").collect()]
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3, 7, 64, 97, 1000, 9991])
+def test_permutations(spark, blocks):
+    first, second = (permutation(spark, blocks, (blocks,), turn) for turn in (0, 1))
+    assert sorted(first) == sorted(second) == list(range(blocks))
+    assert blocks < 64 or (first != second and first != sorted(first))
+    # No stride: the steps between neighbours are many.
+    assert blocks < 64 or len({b - a for a, b in zip(first, first[1:])}) > blocks // 4
+
+
+@pytest.mark.parametrize("blocks", [10**10, 10**12 + 39, 2**50])
+def test_permutations_of_many_blocks(spark, blocks):
+    """Numbers stay within 64 bits: 10^12 blocks of 64 words are some 400 TB of text."""
+    got = permutation(spark, blocks, (blocks - 3000, blocks), 0)
+    assert len(set(got)) == 3000 and min(got) >= 0 and max(got) < blocks
+    assert sum(x < blocks // 2 for x in got) in range(1300, 1700)
+
+
+def test_rows_that_differ_in_any_column_all_come_out(spark):
+    rows = [(1, words(1, 300), "a", lang) for lang in ("aa", "bb", "aa", "aa")] + [(2, words(2, 300), "b", "cc")]
+    frame = prepared(spark).createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = mixing.mixture(frame).collect()
+    count = lambda lang: sum(len(r["text"].split()) for r in out if r["lang"] == lang)
+    assert {r["lang"] for r in out} == {"aa", "bb", "cc"} and count("aa") >= 2 * count("bb") - 128
+    assert sum(map(count, ("aa", "bb", "cc"))) == sum(r["taken"] for r in mixing.mixed(frame).collect())

@@ -49,6 +49,26 @@ def test_assigned_value_is_found_where_it_stands_alone(spark):
     assert got == {1: f"assign:0:{9 + len(value)}", 2: f"opaque:4:{4 + len(value)}", 3: ""}
 
 
+def test_a_credential_is_masked_as_a_whole(spark):
+    token = "xoxb-12AB-0123456789abcdef0GHIJKLMNOPQ7z"
+    letters = "QwErTyUiOpAsDfGhJkLzXcVb"
+    rows = [(1, f"use {token} now", "me/a"), (2, f"key {letters}", "me/b"), (3, "password=0123456789abcdef0123 end", "me/c")]
+    frame = prepared(spark).createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in secrets.scanned(frame).collect()}
+    assert got[1]["spans"] == f"opaque:4:{4 + len(token)},hex:14:31" and got[2]["spans"] == f"opaque:4:{4 + len(letters)}"
+    assert got[3]["spans"] == "assign:0:29,hex:9:29"
+    out = {r["doc_id"]: r["text"] for r in secrets.redacted(frame).collect()}
+    assert out == {1: f"use {secrets.MASK} now", 2: f"key {secrets.MASK}", 3: f"password={secrets.MASK} end"}
+
+
+def test_a_value_of_many_repositories_is_an_example(spark):
+    vendored, own = "Zx9Qw7Lm3Kt5Rv1Bn8Hd2", "Ab8Cd7Ef6Gh5Ij4Kl3Mn2"
+    rows = [(i, f"see {vendored} here", f"me/r{i}") for i in range(secrets.MAX_REPOS + 1)] + [(100 + i, f"mine {own}", f"me/r{i}") for i in range(secrets.MAX_REPOS)]
+    got = secrets.scanned(prepared(spark).createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {(r["spans"], r["repos"]) for r in got if r["doc_id"] < 100} == {("", 0)}
+    assert {(r["live"], r["owners"], r["repos"]) for r in got if r["doc_id"] >= 100} == {(1, 1, secrets.MAX_REPOS)}
+
+
 def test_odd_rows_and_redaction(odd, odd_rows, nothing):
     got = secrets.scanned(odd).collect()
     assert len(got) == len(odd_rows) and sum(r["n_assign"] for r in got) == 1
