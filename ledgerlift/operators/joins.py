@@ -2,7 +2,7 @@
 
 No operator here hints a broadcast of data that grows.  Small sides are broadcast by
 Catalyst (size estimate) or AQE (measured size); large skewed sides are split by AQE's
-skew join, or by ``lookup_hot`` where the caller knows that a few keys dominate.
+skew join, or by ``lookup_hot``, which finds the keys that dominate and salts only those.
 """
 
 from __future__ import annotations
@@ -158,6 +158,30 @@ def cross_one(df: DataFrame, single: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(checked.drop("__n")))
 
 
+#: A key with this share of the rows or more is hot: at most 256 of them.
+HOT_SHARE = 1 / 256
+
+
+def hot_keys(df: DataFrame, on: ColumnOrName, share: float = HOT_SHARE) -> DataFrame:
+    """One row with the array ``hot`` of the keys that `share` of the rows or more have, NULL left out.
+
+    A mergeable summary of the most frequent keys, in one pass: it tracks 32 times as many keys as can
+    be hot, which bounds its error to about a tenth of `share`, and keys that near the bound may be
+    listed as well.
+    """
+    most = max(1, round(1 / share))
+    top = F.call_function("approx_top_k", col(on), F.lit(most), F.lit(32 * most))
+    found = df.agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
+    frequent = F.filter("top", lambda x: x["item"].isNotNull() & (x["count"] >= F.col("n") * share))
+    return found.select(F.transform(frequent, lambda x: x["item"]).alias("hot"))
+
+
+def replicated(dim: DataFrame, key: ColumnOrName, hot: DataFrame, parts: int, name: str) -> DataFrame:
+    """`dim` with the part `name`: rows of hot keys once for each of `parts`, the others in part 0 only."""
+    copies = F.when(F.array_contains("hot", col(key)), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    return dim.crossJoin(F.broadcast(hot)).withColumn(name, F.explode(copies)).drop("hot")
+
+
 def lookup_hot(
     df: DataFrame,
     dim: DataFrame,
@@ -165,17 +189,21 @@ def lookup_hot(
     key: str,
     take: Mapping[str, ColumnOrName],
     parts: int = 16,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
-    """`lookup` for a large dimension when a few keys of `df` dominate.
+    """`lookup` for a large dimension when a few keys of `df` may dominate, whichever they are.
 
-    Every row of `df` draws one of `parts` numbers from its content, and a dimension row is
-    there once for each of them: a key's rows meet in up to `parts` tasks.  Both sides are
-    read once, whichever keys are hot; it costs `parts` times the dimension's shuffle.
+    Keys that `share` of the rows have are found in one pass over the key column.  A row of such a key
+    draws one of `parts` numbers from its content, and only the hot keys' dimension rows are there
+    once for each of them; all others meet as in a plain join.  The hot keys, 256 at most, are
+    broadcast as one row.
     """
-    one = _one_per_key(dim, col(key), take, ())
-    spread = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__part")
-    side = one.select(F.col(_KEY).alias(_KEY_OF_DIM), *take, spread)
+    hot = hot_keys(df, F.col(on), share)
+    one = _one_per_key(dim, col(key), take, ()).withColumnRenamed(_KEY, _KEY_OF_DIM)
+    side = replicated(one, _KEY_OF_DIM, hot, parts, "__part")
     content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    mine = F.when(F.col(on).isNull(), content).otherwise(F.pmod(content, F.lit(parts)))
-    matches = (F.col(on) == F.col(_KEY_OF_DIM)) & (mine == F.col("__part"))
-    return df.join(side, matches, "left").drop(_KEY_OF_DIM, "__part")
+    salted = F.when(F.array_contains("__hot", F.col(on)), F.pmod(content, F.lit(parts))).otherwise(F.lit(0))
+    mine = F.when(F.col(on).isNull(), content).otherwise(salted)
+    rows = df.crossJoin(F.broadcast(hot.withColumnRenamed("hot", "__hot"))).withColumn("__mine", mine).drop("__hot")
+    matches = (F.col(on) == F.col(_KEY_OF_DIM)) & (F.col("__mine") == F.col("__part"))
+    return rows.join(side, matches, "left").drop(_KEY_OF_DIM, "__part", "__mine")

@@ -47,3 +47,57 @@ def missing_within(
     conditions = [s.eqNullSafe(F.col(f"__k{i}")) for i, (s, _) in enumerate(keys.values())]
     conditions += [F.col("__at") == F.col("__cell"), F.abs(F.col("__y") - F.col("__x")) < tolerance]
     return rows.join(partners, reduce(lambda a, b: a & b, conditions), "left_anti").drop("__y", "__at")
+
+
+#: Leaves of a digest tree; each node of the upper level has as many leaves as there are nodes.
+LEAVES = 1 << 16
+
+
+def digests(df: DataFrame, keys: Mapping[str, Column], leaves: int = LEAVES) -> DataFrame:
+    """(node, leaf, n, a, b): for each leaf that the normalised keys hash to, a digest of the rows in it.
+
+    The digest is the number of rows and two sums over their hashes, so it depends neither on the order of
+    the rows nor on how they are partitioned, parts add up, and a table of at most `leaves` short rows
+    stands for a side of any size.  It may be stored and compared later.
+    """
+    nodes = max(1, round(leaves**0.5))
+    h = F.xxhash64(*_null_safe(keys))
+    hashed = df.select(h.alias("h"), F.xxhash64(F.lit(1), *_null_safe(keys)).alias("g"))
+    leaf = F.pmod("g", F.lit(leaves)).cast("int").alias("leaf")
+    # Halves of a hash: their sums stay within 64 bits for two billion rows a leaf.
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(F.shiftright("h", 32)).alias("a"), F.sum(F.col("h").bitwiseAND(F.lit((1 << 32) - 1))).alias("b")]
+    return hashed.groupBy(leaf).agg(*sums).select(F.pmod("leaf", F.lit(nodes)).alias("node"), "leaf", "n", "a", "b")
+
+
+def _null_safe(keys: Mapping[str, Column]) -> list[Column]:
+    """Hashes skip NULL; a flag beside each key tells it from a missing neighbour."""
+    return [x for c in keys.values() for x in (c.isNull(), c)]
+
+
+def differing(source: DataFrame, target: DataFrame) -> DataFrame:
+    """(leaf) of two digest tables that hold different rows: nodes first, then the leaves of those that differ."""
+
+    def unlike(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
+        both = a.withColumn("side", F.lit(1)).unionByName(b.withColumn("side", F.lit(-1)))
+        sums = both.groupBy(by).agg(*[F.sum(F.col(c) * F.col("side")).alias(c) for c in ("n", "a", "b")])
+        return sums.where("n <> 0 or a <> 0 or b <> 0").select(by)
+
+    tops = [d.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b")]) for d in (source, target)]
+    nodes = unlike(*tops, "node")
+    return unlike(source.join(nodes, "node", "left_semi").drop("node"), target.join(nodes, "node", "left_semi").drop("node"), "leaf")
+
+
+def suspects(df: DataFrame, keys: Mapping[str, Column], leaves: DataFrame, count: int = LEAVES) -> DataFrame:
+    """Rows of `df` whose keys fall into one of `leaves`."""
+    marked = df.withColumn("__leaf", F.pmod(F.xxhash64(F.lit(1), *_null_safe(keys)), F.lit(count)).cast("int"))
+    return marked.join(leaves.select(F.col("leaf").alias("__leaf")), "__leaf", "left_semi").drop("__leaf")
+
+
+def reconcile_by_digest(source: DataFrame, target: DataFrame, source_keys: Mapping[str, Column], target_keys: Mapping[str, Column], leaves: int = LEAVES) -> DataFrame:
+    """`reconcile` for two large sides that agree in nearly all rows: only rows of leaves that differ are shuffled.
+
+    Sides that hold the same keys in different numbers differ here, too, and are then compared key by
+    key; the result is that of `reconcile`.
+    """
+    found = differing(digests(source, source_keys, leaves), digests(target, target_keys, leaves))
+    return reconcile(suspects(source, source_keys, found, leaves), suspects(target, target_keys, found, leaves), source_keys, target_keys)

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.functions import fixed_values as fixed
@@ -84,26 +84,38 @@ def number_rows(df: DataFrame, start: int = 1, name: str = ROW) -> DataFrame:
     aggregation.  Both survive a retried task, unlike a bare running id.
 
     Imports order rows by `with_position` and don't need a dense number; this is for a caller who
-    does.  The offsets, one short row per file or block, are joined as Spark sees fit.
+    does.  The offsets, one short row per file or block, come from two levels of prefix sums: inside a
+    group of files that follow one another, and over the groups, so that no task sees all of them.
     """
     try:
-        positioned = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
-        per_file = positioned.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
-        offsets = per_file.select("__file", _before("__n", ["__file"]).alias("__offset"))
-        joined = positioned.join(offsets, "__file", "left")
+        positioned = df.select("*", F.col("_metadata.file_path").alias("__file"), F.lit(0).cast("bigint").alias("__block"), F.col("_metadata.row_index").alias("__id"))
+        per_block = positioned.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.lit(0).cast("bigint").alias("__first"))
     except AnalysisException:
         block = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
         positioned = df.select("*", *block, F.monotonically_increasing_id().alias("__id"))
         per_block = positioned.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
-        offsets = per_block.select("__file", "__block", "__first", _before("__n", ["__file", "__block"]).alias("__offset"))
-        joined = positioned.join(offsets, ["__file", "__block"], "left").withColumn("__at", F.col("__id") - F.col("__first"))
-    return joined.select((F.col("__offset") + F.col("__at") + start).cast("bigint").alias(name), *df.columns)
-
-
-def _before(count: str, order: Sequence[str]) -> Column:
-    """Rows in all earlier files or blocks; the window runs over one row per file or block."""
-    window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(count).over(window), F.lit(0))
+    offsets = _offsets(per_block, df.inputFiles()).select("__file", "__block", "__first", "__offset")
+    joined = positioned.join(offsets, ["__file", "__block"], "left")
+    return joined.select((F.col("__offset") + F.col("__id") - F.col("__first") + start).cast("bigint").alias(name), *df.columns)
+
+
+#: Groups of files, in path order, whose rows are summed first.
+_GROUPS = 64
+
+
+def _offsets(per_block: DataFrame, files: Sequence[str]) -> DataFrame:
+    """Adds ``__offset``, the rows in all earlier files and blocks."""
+    ordered = sorted(files)
+    starts = ordered[:: max(1, -(-len(ordered) // _GROUPS))][1:]
+    # The number of groups that start at or before a file; any starts will do, as long as they ascend.
+    group = F.size(F.filter(F.array(*map(F.lit, starts)).cast("array<string>"), lambda s: s <= F.col("__file")))
+    grouped = per_block.withColumn("__group", group)
+    totals = grouped.groupBy("__group").agg(F.sum("__n").alias("__total"))
+    later = F.explode(F.sequence(F.col("__group") + 1, F.lit(len(starts) + 1)))
+    bases = totals.select(later.alias("__group"), "__total").groupBy("__group").agg(F.sum("__total").alias("__base"))
+    within = Window.partitionBy("__group").orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = grouped.withColumn("__within", F.coalesce(F.sum("__n").over(within), F.lit(0))).join(bases, "__group", "left")
+    return placed.withColumn("__offset", F.col("__within") + F.coalesce("__base", F.lit(0)))
 
 
 def header_name(text: str) -> str:

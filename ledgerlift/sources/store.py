@@ -202,9 +202,11 @@ class TableStore:
         self._commit(name, dataclasses.replace(written, undoes=undoes))
         return self.read(name, written.version)
 
-    def merge(self, name: str, source: DataFrame, keys: Sequence[str], schema: str | None = None, **options) -> DataFrame:
+    def merge(self, name: str, source: DataFrame, keys: Sequence[str], schema: str | None = None, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None, **options) -> DataFrame:
         """`merge_into` the stored table, rewriting only the buckets that the keys of `source` fall into.
 
+        Or another `combine` of (target, source) that changes no row of other keys.
+
         A table that is not bucketed by these keys, compared in this form, is rewritten as a whole
         once.  `schema` names columns that the table shall have anyway.
         """
@@ -220,17 +222,17 @@ class TableStore:
         touched = {r[0] for r in stored.select(bucket).distinct().collect()} if alike else set()
         old = [p for p in before.parts if p.bucket in touched] if alike else before.parts if before else ()
         if before is None:
-            target = empty_table(self.spark, schema or source.schema.simpleString()[len("struct<") : -1])
+            target = empty_table(self.spark, schema) if schema else source.drop(ACTION).limit(0)
         else:
             target = self._load(name, before, old).drop(ACTION)
             known = set(target.columns)
             absent = [f for f in (_schema(schema) if schema else ()) if f.name not in known]
             target = target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
-        merged = merge_into(target, source, list(keys), **options)
+        merged = combine(target, source) if combine else merge_into(target, source, list(keys), **options)
         written = self._written(name, before, merged, self._spreads[name], "merge")
         if alike:
             kept = tuple(p for p in before.parts if p.bucket not in touched)
-            written = dataclasses.replace(written, parts=kept + written.parts, rows=before.rows + written.counts.get("insert", 0))
+            written = dataclasses.replace(written, parts=kept + written.parts, rows=before.rows + written.counts.get("insert", 0) if not combine else 0)
         self._commit(name, written)
         return self.read(name, written.version)
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlift.operators import latest
 from ledgerlift.sources.records import ROW, cells, records
 from ledgerlift.sources.store import TableStore, Workspace
 
@@ -48,6 +49,32 @@ def incremental_import(
     return writer.trigger(availableNow=True).start()
 
 
+def latest_import(
+    spark: SparkSession,
+    landing: str,
+    columns: list[str],
+    keys: list[str],
+    store: TableStore,
+    table: str,
+    checkpoint: str,
+    **options,
+) -> StreamingQuery:
+    """Keep for each key the last value that any file gave each column, by the time of the files.
+
+    Late and replayed files, and files in any batches, end in the same table: it holds registers, which
+    `operators.latest.values` shows as rows.  Of one file the last row counts.
+    """
+    rest = [c for c in columns if c not in keys]
+
+    def plan(_: Workspace, batch: DataFrame) -> None:
+        last = latest.registers(batch, keys, rest, ROW)
+        # The place inside a file decided among its own rows; between files only their times do.
+        by_file = last.select(*keys, *[F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.place.file").alias("place"), F.col(f"{c}.value").alias("value"))).alias(c) for c in rest])
+        store.merge(table, by_file, keys, combine=lambda old, new: latest.combined(old, new, keys))
+
+    return incremental_import(spark, landing, columns, store, plan, checkpoint, **options)
+
+
 def by_header(batch: DataFrame, columns: list[str]) -> DataFrame:
     """The records below each file's first one, which names the cells; `batch` has its lines (value, time, file, block)."""
     # The arrival time goes into the name of the file, so that places order rows by it.

@@ -1,11 +1,12 @@
 import itertools
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlift.functions import key_text
-from ledgerlift.operators import dedupe, joins, merge, profile, reconcile, reshape
+from ledgerlift.functions import key_text, predicates
+from ledgerlift.operators import dedupe, joins, latest, merge, postings, profile, reconcile, reshape
 from ledgerlift.operators.reshape import Pair
 
 
@@ -64,6 +65,79 @@ def test_lookup_hot_equals_lookup(spark, values):
     assert values(hot, "k", "id", "v") == values(plain, "k", "id", "v")
 
 
+def test_only_hot_keys_are_replicated(spark, values):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).otherwise(F.lit(None)).alias("k"), "id")
+    hot = joins.hot_keys(df, "k")
+    assert hot.collect() == [([7],)]
+    dim = spark.range(5000).select(F.col("id").alias("d"))
+    side = joins.replicated(dim, "d", hot, 16, "part")
+    assert side.count() == 5000 + 15 and side.where("d = 7").count() == 16
+    assert joins.hot_keys(df.where("false"), "k").collect() == [([],)]
+
+
+def test_hot_keys_of_skewed_texts_are_all_found(spark):
+    """Every key above the share is listed, in whatever partitions its rows are."""
+    df = spark.range(50_000).select(F.concat(F.lit("k"), F.floor(F.sqrt(F.col("id") % 5000)).cast("string")).alias("k")).repartition(13)
+    counts = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = set(joins.hot_keys(df, "k", 1 / 64).first()["hot"])
+    assert {k for k, n in counts.items() if n >= 50_000 / 64} <= found <= {k for k, n in counts.items() if n >= 0.9 * 50_000 / 64}
+
+
+def test_digests_find_the_leaves_that_differ(spark, values):
+    source = spark.range(150_000).select((F.col("id") % 149_000).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("w"))
+    target = source.where("k not in (5, 77)").unionByName(spark.sql("SELECT * FROM VALUES (200000L, 1L), (200001L, NULL), (200002L, 3L) AS t(k, w)")).repartition(5)
+    keys = {"k": F.col("k"), "w": F.col("w")}
+    plain = values(reconcile.reconcile(source, target, keys, keys))
+    assert len(plain) >= 5 and values(reconcile.reconcile_by_digest(source, target, keys, keys)) == plain
+    leaves = reconcile.differing(reconcile.digests(source, keys), reconcile.digests(target, keys))
+    assert reconcile.suspects(source, keys, leaves).count() + reconcile.suspects(target, keys, leaves).count() < 100
+    assert values(reconcile.reconcile_by_digest(source, source.repartition(3), keys, keys)) == []
+    # Repeated pairs differ from other repeated pairs, and from a NULL in the other column.
+    odd = spark.sql("SELECT * FROM VALUES (1L, NULL), (1L, NULL), (NULL, 2L) AS t(k, w)")
+    even = spark.sql("SELECT * FROM VALUES (NULL, 1L), (NULL, 1L), (2L, NULL) AS t(k, w)")
+    assert values(reconcile.reconcile_by_digest(odd, even, keys, keys)) == values(reconcile.reconcile(odd, even, keys, keys))
+
+
+def test_registers_converge_in_any_order(spark, frame, values):
+    uploads = [
+        frame("k int, a string, b string, at int", (1, "a1", None, 1), (2, "x", "y", 1), (1, "a1b", None, 2)),
+        frame("k int, a string, b string, at int", (1, None, "b2", 5), (3, "n", None, 5), (None, "z", "z", 5)),
+        frame("k int, a string, b string, at int", (1, "a3", "b3", 4), (2, None, "late", 0)),
+    ]
+    tables = set()
+    for order in itertools.permutations([0, 1, 2, 0]):
+        table = None
+        for i in order:
+            new = latest.registers(uploads[i], ["k"], ["a", "b"], "at")
+            table = new if table is None else latest.combined(table, new, ["k"])
+        tables.add(tuple(values(latest.values(table, ["k"]))))
+    assert tables == {((1, "a3", "b2"), (2, "x", "y"), (3, "n", None))}
+
+
+def test_search_by_postings_equals_the_scan(spark, tmp_path, values):
+    picker = random.Random(4)
+    text = lambda: "".join(picker.choice("abAB c%é") for _ in range(picker.randrange(9)))
+    rows = [(i, text(), text() if i % 5 else None) for i in range(400)] + [(None, "abc", "abc"), (401, "", "")]
+    df = spark.createDataFrame(rows, "id int, name string, brand string")
+    index = postings.stored(postings.postings(df, "id", ["name", "brand"]), str(tmp_path / "index"))
+    for needle in ["a", "B ", "ab", "abc", "a%", "é", "bab", "aba b", "zzz", "", None, "  "]:
+        for other in [None, "a", "b c"]:
+            want = predicates.search(df, name=needle, brand=other)
+            assert values(postings.search_indexed(df, index, "id", name=needle, brand=other)) == values(want)
+    held = postings.candidates(index, name="bab").count()
+    assert held < 60 and postings.candidates(index, name=" ", brand=None) is None
+
+
+def test_search_names_a_few_candidates_and_joins_many(spark, tmp_path, monkeypatch, values):
+    df = spark.range(500).select("id", F.concat(F.lit("item "), "id").alias("name"))
+    index = postings.stored(postings.postings(df, "id", ["name"]), str(tmp_path / "index"))
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan(postings.search_indexed(df, index, "id", name="m 499"))
+    monkeypatch.setattr(postings, "FEW", 3)
+    many = postings.search_indexed(df, index, "id", name="m 4")
+    assert "Join" in plan(many) and many.count() == 111
+
+
 def test_existence_with_null_keys(frame, values):
     a, b = frame("x string", ("p",), (None,)), frame("y string", (None,), (None,))
     assert values(joins.having(a, b, [("x", "y")], null_safe=True)) == [(None,)]

@@ -156,3 +156,15 @@ def test_files_of_one_header(spark, tmp_path, values):
     (tmp_path / "9.csv").write_text("a,c\n1,2\n")
     with pytest.raises(grid.HeadersDiffer):
         grid.read_csv(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("count", [1, 5, 70, 200])
+def test_numbers_over_many_files_take_no_single_task(spark, tmp_path, count):
+    for i in range(count):
+        (tmp_path / f"f{i:04d}.csv").write_text("".join(f"{i},{j}\n" for j in range(i % 4 + 1)))
+    raw = spark.read.schema("i int, j int").csv(str(tmp_path))
+    numbered = grid.number_rows(raw)
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString()
+    rows = sorted((r["_row"], r["i"], r["j"]) for r in numbered.collect())
+    assert [r[0] for r in rows] == list(range(1, len(rows) + 1))
+    assert [r[1:] for r in rows] == [(i, j) for i in range(count) for j in range(i % 4 + 1)]
