@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +54,21 @@ def empty_table(spark: SparkSession, schema: str) -> DataFrame:
     return spark.sql(f"SELECT {nulls} LIMIT 0")
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="ledgerlift-")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under ``spark.checkpoint.dir``; a temporary one only for a local session that names none."""
+    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = _local_folder(spark.sparkContext.applicationId)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint `df` to the reliable folder that ``spark.checkpoint.dir`` names.
 

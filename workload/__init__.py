@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("scalars", "relations", "merges", "repairs", "imports")
+_MODULES = ("scalars", "relations", "merges", "repairs", "imports", "stores")
 
 
 def all_queries():
