@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions.people import has_separator
 from ledgerlift.functions.text import blank_to_null, col
-from ledgerlift.operators.joins import no_spread, spread_nulls
+from ledgerlift.operators.joins import lookup, no_spread, spread_nulls
 
 ACTION = "_action"
 Rule = Callable[[Column, Column], Column]
@@ -177,6 +177,29 @@ def merge_into(
     return here.unionByName(fresh.select(*values, F.lit("insert").alias(ACTION)))
 
 
+def merged_rows(
+    source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], policy: Mapping[str, Policy] | None = None, default: Policy = INCOMING
+) -> DataFrame:
+    """The rows of `source` with `columns` as `merge_into` would leave them in `target`, which is not merged for it.
+
+    A step that needs only the uploaded rows of a merged table reads them here, off the table as it was
+    before.  Other columns of `source` stay.
+    """
+    policy, new, old = policy or {}, set(source.columns), set(target.columns)
+    take = {f"__old_{c}": c for c in columns if c in old} | {"__known": F.lit(True)}
+    rows = lookup(source, target, key, key, take, normalise=None, unique=True)
+
+    def value(c: str) -> Column:
+        before = F.col(f"__old_{c}") if c in old else F.lit(None)
+        if c not in new:
+            return before.alias(c)
+        rule = KEEP if c == key else policy.get(c, default)
+        after = F.when(F.col("__known"), rule.on_match(before, F.col(c))).otherwise(F.col(c))
+        return (after.cast(target.schema[c].dataType) if c in old else after).alias(c)
+
+    return rows.select(*[value(c) for c in columns], *[c for c in source.columns if c not in columns])
+
+
 def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], **options: Any) -> DataFrame:
     return merge_into(target, source, keys, mode="insert", **options)
 

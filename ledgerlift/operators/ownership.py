@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.joins import lookup
+from ledgerlift.session import written
 
 SNAPSHOT = ("table_name", "row_id", "application_id", "old_created_by", "old_username", "old_owner_id")
 
@@ -82,7 +83,13 @@ def transfer_snapshot(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mappin
 
 
 def transfer(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mapping: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """(tables after the transfer, snapshot).  Store the snapshot before the tables."""
+    """(tables after the transfer, snapshot).
+
+    The mapping is resolved once, into a table that all others are joined with, and the snapshot is
+    a table before any of them changes.
+    """
+    mapping = written(mapping, "transfer-mapping")
+    snapshot = written(transfer_snapshot(tables, mapping), "transfer-snapshot")
     moved = {}
     for name, (df, kind) in tables.items():
         joined = _affected(df, kind, mapping, "left")
@@ -93,7 +100,7 @@ def transfer(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mapping: DataFr
                 for c in df.columns
             ]
         )
-    return moved, transfer_snapshot(tables, mapping)
+    return moved, snapshot
 
 
 def restore(tables: Mapping[str, tuple[DataFrame, OwnedTable]], snapshot: DataFrame) -> dict[str, DataFrame]:

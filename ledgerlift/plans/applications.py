@@ -23,7 +23,7 @@ from ledgerlift.functions import fixed_values as fixed
 from ledgerlift.functions.text import ColumnOrName, label_key
 from ledgerlift.operators.dedupe import keep_first
 from ledgerlift.operators.joins import lookup, replace_ids
-from ledgerlift.operators.merge import KEEP, OVERWRITE, constant
+from ledgerlift.operators.merge import KEEP, OVERWRITE, constant, merged_rows
 from ledgerlift.operators.profile import column_presence, fill_rate, mapping_stats, max_or, rejects, suspicious_rows
 from ledgerlift.operators.provision import ensure_members
 from ledgerlift.operators.reshape import Pair, detect_pairs, unpivot_pairs
@@ -206,6 +206,10 @@ def staged_pairs(staged: DataFrame) -> list[Pair]:
     return [Pair(f"__doc_{p.id_col}", f"__doc_{p.file_col}", p.label) for p in attachment_pairs(names)]
 
 
+#: How columns of a known application are formed; all others take the value that arrives.
+HUB_POLICY = {"created_by": KEEP, "is_migrated": constant(True), "category_license_type": KEEP}
+
+
 def import_applications(
     ws: Workspace,
     feed: DataFrame,
@@ -226,19 +230,23 @@ def import_applications(
     sectors = ws.table("sectors", t.SECTORS)
     known = ws.table("applications", t.APPLICATIONS)
     rows = ws.hold("applications_resolved", lambda: approved_rows(first(), known()))
-    hub = upsert(
+
+    def arrived() -> DataFrame:
+        return hub_rows(first(), categories(), sectors(), zones, as_of)
+
+    upsert(
         ws,
         "applications",
         t.APPLICATIONS,
-        lambda: hub_rows(first(), categories(), sectors(), zones, as_of),
+        arrived,
         keys=["application_number"],
-        policy={"created_by": KEEP, "is_migrated": constant(True), "category_license_type": KEEP},
+        policy=HUB_POLICY,
     )
     upsert(
         ws,
         "certificates",
         t.CERTIFICATES,
-        lambda: certificate_rows(first(), hub(), as_of),
+        lambda: certificate_rows(arrived(), known(), as_of),
         keys=["application_number"],
         policy={"application_id": OVERWRITE, "license_type": OVERWRITE, "category_license_type": OVERWRITE},
     )
@@ -296,9 +304,11 @@ def wanted_categories(staged: DataFrame, sectors: DataFrame, sector: str) -> Dat
     named = staged.select(F.col("license_type").alias("name"), F.lit(sector).alias("sector_name"))
     wanted = named.filter(F.col("name").isNotNull()).distinct()
     # The fixed list belongs to the sector of this upload, petroleum when nothing was staged.
-    listed = fixed_rows(staged.sparkSession, "name", fixed.PETROLEUM_CATEGORIES).crossJoin(
-        F.broadcast(max_or(wanted, "sector_name", "PETROLEUM", "sector_name"))
-    )
+    listed = fixed_rows(staged.sparkSession, "name", fixed.PETROLEUM_CATEGORIES)
+    if sector == "PETROLEUM":
+        listed = listed.withColumn("sector_name", F.lit(sector))
+    else:
+        listed = listed.crossJoin(F.broadcast(max_or(wanted, "sector_name", "PETROLEUM", "sector_name")))
     both = lookup(listed.unionByName(wanted), sectors, "sector_name", "name", {"sector_id": "id"})
     return both.filter(F.col("sector_id").isNotNull())
 
@@ -334,9 +344,8 @@ def hub_rows(first: DataFrame, categories: DataFrame, sectors: DataFrame, zones:
     )
 
 
-def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Moment) -> DataFrame:
-    staged = first.select("application_number", F.col("application_type").alias("__type"))
-    rows = hub.drop("created_at", "updated_at", "application_type").join(staged, "application_number")
+def certificate_rows(arrived: DataFrame, known: DataFrame, as_of: Moment) -> DataFrame:
+    """Certificates of the rows that arrived for the hub, with the columns that its merge leaves them."""
     copied = (
         "approval_no",
         "approval_date",
@@ -350,12 +359,13 @@ def certificate_rows(first: DataFrame, hub: DataFrame, as_of: Moment) -> DataFra
         "zone_id",
         "zone_name",
     )
+    rows = merged_rows(arrived, known, "application_number", ("id", "application_number", *copied), {"id": KEEP, **HUB_POLICY})
     return stamped(
         rows.select(
             stable_key(F.lit("certificate"), "application_number").alias("id"),
             F.col("id").alias("application_id"),
             "application_number",
-            F.coalesce(application_type("__type"), F.lit("NEW")).alias("application_certificate_type"),
+            F.coalesce("application_type", F.lit("NEW")).alias("application_certificate_type"),
             *copied,
         ),
         as_of,

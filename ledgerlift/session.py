@@ -69,6 +69,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in a fresh folder, read again: what follows neither repeats it nor depends on its executors."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint `df` to the reliable folder that ``spark.checkpoint.dir`` names.
 
