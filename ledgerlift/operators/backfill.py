@@ -78,8 +78,16 @@ def backfill(
     take = {f"__new_{c}": source for c, source in set_cols.items()}
     # A row that may not change looks up nothing: one join over the whole table, which is read once.
     probe = F.when(eligible, col(fk))
-    candidates = lookup(child, parent, probe, pk, take, normalise, order, unique=unique)
+    return _filled(child, lookup(child, parent, probe, pk, take, normalise, order, unique=unique), set_cols, only_null)
 
+
+def backfill_in_place(child: DataFrame, parent: DataFrame, fk: str, pk: str, set_cols: Mapping[str, str], only_null: bool = True) -> ChangeSet:
+    """`backfill` from a parent with one row per key by the bare columns, which is no shuffle if both are bucketed by them."""
+    found = parent.select(F.col(pk).alias("__pk"), *[F.col(source).alias(f"__new_{c}") for c, source in set_cols.items()])
+    return _filled(child, child.join(found, F.col(fk) == F.col("__pk"), "left").drop("__pk"), set_cols, only_null)
+
+
+def _filled(child: DataFrame, candidates: DataFrame, set_cols: Mapping[str, ColumnOrName], only_null: bool) -> ChangeSet:
     differs, out = F.lit(False), []
     for c in child.columns:
         if c not in set_cols:

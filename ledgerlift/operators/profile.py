@@ -60,12 +60,13 @@ def with_reason(df: DataFrame, reasons: Mapping[str, Column]) -> DataFrame:
 
 def skip_report(df: DataFrame, reasons: Sequence[str], prefix: str = "skipped_") -> DataFrame:
     """One row: processed, accepted, skipped in total and by reason."""
-    return df.agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col(REASON).isNull()).alias("accepted"),
-        F.count_if(F.col(REASON).isNotNull()).alias(f"{prefix}total"),
-        *[F.count_if(F.col(REASON) == r).alias(f"{prefix}{r}") for r in reasons],
-    )
+    return df.agg(*[c.alias(n) for n, c in skip_counts(reasons, prefix).items()])
+
+
+def skip_counts(reasons: Sequence[str], prefix: str = "skipped_") -> dict[str, Column]:
+    """The counts of `skip_report`, for a job that counts rows while it writes them."""
+    totals = {"processed": F.count(F.lit(1)), "accepted": F.count_if(F.col(REASON).isNull()), f"{prefix}total": F.count_if(F.col(REASON).isNotNull())}
+    return totals | {f"{prefix}{r}": F.count_if(F.col(REASON) == r) for r in reasons}
 
 
 def reason_samples(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

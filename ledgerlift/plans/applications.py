@@ -21,7 +21,7 @@ from ledgerlift.functions import (
 )
 from ledgerlift.functions import fixed_values as fixed
 from ledgerlift.functions.text import ColumnOrName, label_key
-from ledgerlift.operators.dedupe import keep_first
+from ledgerlift.operators.dedupe import keep_first, top_rows
 from ledgerlift.operators.joins import lookup, replace_ids
 from ledgerlift.operators.merge import KEEP, OVERWRITE, constant, merged_rows
 from ledgerlift.operators.profile import column_presence, fill_rate, mapping_stats, max_or, rejects, suspicious_rows
@@ -184,16 +184,25 @@ def header_report(feed: DataFrame) -> dict[str, list[str]]:
 
 
 def mapping_report(ws: Workspace) -> DataFrame:
-    """One row: staged licence types, legal statuses and regions that were and weren't resolved."""
+    """One row: staged licence types, legal statuses, regions, districts and wards that were and weren't resolved."""
+    return mapping_stats(*_mappings(ws))
+
+
+def mapping_samples(ws: Workspace, n: int | None = None) -> DataFrame:
+    """(mapping, value, rows): the values that were not resolved, the most frequent first, `n` of each on request."""
+    rows, pairs = _mappings(ws)
+    listed = F.array(*[F.struct(F.lit(name).alias("mapping"), F.col(raw).alias("value"), resolved.isNull().alias("open")) for name, (raw, resolved) in pairs.items()])
+    open_ = rows.select(F.inline(listed)).where("open and value is not null")
+    counts = open_.groupBy("mapping", "value").agg(F.count(F.lit(1)).alias("rows"))
+    return counts if n is None else top_rows(counts, ["mapping"], [F.desc("rows"), F.col("value")], n)
+
+
+def _mappings(ws: Workspace) -> tuple[DataFrame, dict[str, tuple[str, Column]]]:
+    """Resolved rows, and per lookup the raw and the resolved column; a place that is still an id is not resolved."""
     rows = with_legal_status(ws.staged["applications_resolved"], ws.tables["application_legal_status"])
     rows = lookup(rows, ws.tables["categories"], "license_type", "name", {"__category": "id"})
-    resolved = F.when(~looks_like("region", "decimal"), F.col("region"))
-    pairs = {
-        "license_category": ("license_type", "__category"),
-        "legal_status": ("application_legal_status_raw", "applicant_legal_status_id"),
-        "region": ("region", resolved),
-    }
-    return mapping_stats(rows, pairs)
+    pairs = {"license_category": ("license_type", F.col("__category")), "legal_status": ("application_legal_status_raw", F.col("applicant_legal_status_id"))}
+    return rows, pairs | {c: (c, F.when(~looks_like(c, "decimal"), F.col(c))) for c in ("region", "district", "ward")}
 
 
 def unresolved_regions(ws: Workspace) -> DataFrame:

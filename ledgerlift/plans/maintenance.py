@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from ledgerlift.functions import blank_to_null, derived_license_type, looks_like, reminder_date
 from ledgerlift.functions.text import key_text
 from ledgerlift.operators.backfill import (
+    CHANGED,
     ChangeSet,
     backfill,
+    backfill_in_place,
     backfill_tables,
     drop_duplicate_approvals,
     update_where,
@@ -22,6 +24,7 @@ from ledgerlift.operators.backfill import (
 from ledgerlift.operators.joins import having, lookup
 from ledgerlift.operators.profile import breakdown
 from ledgerlift.plans import tables as t
+from ledgerlift.sources.colocated import Colocated
 from ledgerlift.sources.store import Workspace
 
 log = logging.getLogger(__name__)
@@ -47,6 +50,22 @@ def created_by_jobs(tables: Mapping[str, DataFrame]) -> dict[str, ChangeSet]:
     return backfill_tables(tables, known, spec, {"created_by": "user_id"}, unique=True)
 
 
+def colocated_created_by_jobs(stored: Colocated, users: DataFrame) -> dict[str, ChangeSet]:
+    """`created_by_jobs` over tables stored by application id: the user map is dealt alike once, then no table is shuffled."""
+    if "applications" not in stored.keys:
+        return {}
+    stored.put("creators", user_of_application(stored.read("applications"), users), "application_id")
+    known, jobs = stored.keyed("creators"), {}
+    for name, fk in stored.keys.items():
+        if name not in (*t.OWNED_BY_USER, "applications") or fk != ("id" if name == "applications" else "application_id"):
+            continue
+        job = backfill_in_place(stored.keyed(name), known, fk, "application_id", {"created_by": "user_id"})
+        # Rows without an application stay as they are.
+        loose = stored.loose(name).withColumn(CHANGED, F.lit(False))
+        jobs[name] = ChangeSet(job.candidates.unionByName(loose), job.columns)
+    return jobs
+
+
 def installation_ids_from_stage(installations: DataFrame, staged: DataFrame, applications: DataFrame) -> ChangeSet:
     """Installations that lost their application find it again by the number in the staged feed.
 
@@ -239,12 +258,7 @@ def post_import(ws: Workspace, align: Callable[[], object] = lambda: None) -> li
     """Schema alignment, application ids, creators, over all tables of the workspace and its store."""
 
     def apply(jobs: Callable[[], Mapping[str, ChangeSet]]) -> dict[str, int]:
-        changed = {}
-        for name, job in jobs().items():
-            changed[name] = job.preview().first()["rows_to_change"]
-            if changed[name]:
-                ws.replace(name, job.apply)
-        return changed
+        return {name: ws.change(name, lambda j=job: j.candidates, CHANGED) for name, job in jobs().items()}
 
     def aligned() -> None:
         align()

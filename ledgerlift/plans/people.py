@@ -12,7 +12,7 @@ from ledgerlift.functions import fixed_values as fixed
 from ledgerlift.operators.dedupe import keep_first
 from ledgerlift.operators.joins import lookup
 from ledgerlift.operators.merge import OVERWRITE
-from ledgerlift.operators.profile import REASON, with_reason
+from ledgerlift.operators.profile import REASON, skip_counts, with_reason
 from ledgerlift.plans import tables as t
 from ledgerlift.plans.common import Moment, prepared, stamped, upsert, with_application, with_sector_detail
 from ledgerlift.sources.grid import ROW, require
@@ -53,7 +53,7 @@ def _resolved(ws: Workspace, name: str, staged: Callable[[], DataFrame], person:
             rows, {"missing_application": F.col("application_id").isNull(), "missing_name": F.col(person).isNull()}
         )
 
-    return ws.hold(name, build)
+    return ws.hold(name, build, skip_counts(REASONS))
 
 
 def _first_per_person(rows: DataFrame, person: str) -> DataFrame:

@@ -192,16 +192,31 @@ class TableStore:
 
     # --- writing
 
-    def replace(self, name: str, df: DataFrame, operation: str = "replace", undoes: int | None = None) -> DataFrame:
-        """Write `df` as the next version; fails if somebody else changed the table meanwhile."""
+    def replace(self, name: str, df: DataFrame, operation: str = "replace", undoes: int | None = None, count: Mapping[str, Column] | None = None) -> DataFrame:
+        """Write `df` as the next version; fails if somebody else changed the table meanwhile.
+
+        `count` are aggregates over the rows that the same job works out; the manifest keeps them.
+        """
         before = self.manifest(name)
-        spread = self._spreads.get(name) if before is not None and before.spread else None
-        if spread is not None and not set(spread[2]) <= set(df.columns):
-            spread = None
-        written = self._written(name, before, df, spread, operation)
+        written = self._written(name, before, df, self._spread_of(name, before, df), operation, count)
         self._commit(name, dataclasses.replace(written, undoes=undoes))
         return self.read(name, written.version)
 
+    def change(self, name: str, df: DataFrame, flag: str) -> int:
+        """Write `df` without its column `flag` if any row has it set, and say how many: one job for count and table."""
+        before = self.manifest(name)
+        table = df.drop(flag)
+        written = self._written(name, before, df, self._spread_of(name, before, table), "change", {"changed": F.count_if(flag)}, leave=(flag,))
+        if written.counts["changed"]:
+            self._commit(name, written)
+        else:
+            self._discard(name, written)
+        return written.counts["changed"]
+
+    def _spread_of(self, name: str, before: Manifest | None, df: DataFrame):
+        spread = self._spreads.get(name) if before is not None and before.spread else None
+        return spread if spread is not None and set(spread[2]) <= set(df.columns) else None
+
     def merge(self, name: str, source: DataFrame, keys: Sequence[str], schema: str | None = None, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None, **options) -> DataFrame:
         """`merge_into` the stored table, rewriting only the buckets that the keys of `source` fall into.
 
@@ -280,11 +295,11 @@ class TableStore:
             self._files.remove(f"{self.root}/{name}/{path}")
         return gone
 
-    def _written(self, name: str, before: Manifest | None, df: DataFrame, spread, operation: str) -> Manifest:
-        """The data files of the next version, and its manifest, not yet committed."""
+    def _written(self, name: str, before: Manifest | None, df: DataFrame, spread, operation: str, count: Mapping[str, Column] | None = None, leave: Sequence[str] = ()) -> Manifest:
+        """The data files of the next version, and its manifest, not yet committed; columns of `leave` only count."""
         known = {c[1]: c for c in before.columns} if before else {}
         free, columns, layout = before.next_id if before else 0, [], []
-        for field in df.schema.fields:
+        for field in df.drop(*leave).schema.fields:
             kind = field.dataType.simpleString()
             if field.name in known and (before.parts == () or known[field.name][2] == kind):
                 columns.append((known[field.name][0], field.name, kind, known[field.name][3]))
@@ -295,6 +310,7 @@ class TableStore:
         counted = Observation()
         acted = ACTION in df.columns
         counts = [F.count_if(F.col(ACTION) == a).alias(a) for a in _ACTIONS] if acted else []
+        counts += [c.alias(n) for n, c in (count or {}).items()]
         observed = df.observe(counted, F.count(F.lit(1)).alias("rows"), *counts)
         named = [F.col(f"`{n}`").alias(f"c{i}") for i, n, _, _ in columns]
         folder = f"{self.DATA}/{uuid.uuid4().hex}"
@@ -314,10 +330,14 @@ class TableStore:
 
     def _commit(self, name: str, manifest: Manifest) -> None:
         if not self._files.create(self._log(name, manifest.version), manifest.text()):
-            for path in {p.path.split("/bucket=")[0] for p in manifest.parts if p.version == manifest.version}:
-                self._files.remove(f"{self.root}/{name}/{path}")
+            self._discard(name, manifest)
             raise ConcurrentWrite(f"{name} got its version {manifest.version} from another writer")
 
+    def _discard(self, name: str, manifest: Manifest) -> None:
+        """Remove what was written for a version that will not be."""
+        for path in {p.path.split("/bucket=")[0] for p in manifest.parts if p.version == manifest.version}:
+            self._files.remove(f"{self.root}/{name}/{path}")
+
     # --- history
 
     def changes(self, name: str, version: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
@@ -430,6 +450,7 @@ class Workspace:
         self.store = store
         self._stored: set[str] = set()
         self._counts: dict[str, Manifest] = {}
+        self._reports: dict[str, Mapping[str, Column]] = {}
 
     def _define(self, build: Callable[[], DataFrame]) -> Deferred:
         step = Deferred(build)
@@ -462,11 +483,40 @@ class Workspace:
                 self.tables[name] = Deferred(functools.partial(lambda n: self.store.read(n).drop(ACTION), name))
         return self.tables
 
-    def hold(self, name: str, build: Callable[[], DataFrame]) -> Deferred:
-        """Keep staged rows for the steps that follow."""
-        self.staged[name] = self._define(lambda: self.store.replace(f"{STAGE}{name}", build()) if self.store else build())
+    def hold(self, name: str, build: Callable[[], DataFrame], count: Mapping[str, Column] | None = None) -> Deferred:
+        """Keep staged rows for the steps that follow; `count` is what `report` will say about them."""
+        self.staged[name] = self._define(lambda: self.store.replace(f"{STAGE}{name}", build(), count=count) if self.store else build())
+        self._reports[name] = count or {}
+        if self.store:
+            self._counts[f"{STAGE}{name}"] = self.store.manifest(f"{STAGE}{name}")
         return self.staged.data[name]
 
+    def report(self, name: str) -> DataFrame:
+        """One row about staged rows; with a store it was counted while they were written, and nothing is read again."""
+        count = self._reports[name]
+        if not self.store:
+            return self.staged[name].agg(*[c.alias(n) for n, c in count.items()])
+        counts = self._counts[f"{STAGE}{name}"].counts
+        return self.store.spark.createDataFrame([tuple(counts[n] for n in count)], ", ".join(f"`{n}` bigint" for n in count))
+
+    def change(self, name: str, candidates: Callable[[], DataFrame], flag: str) -> int:
+        """Make a repaired table the current one if any row has `flag`; returns how many have.
+
+        With a store the table is written and counted in one job; without one it is counted, and
+        repaired when it is asked for.
+        """
+        if self.store:
+            changed = self.store.change(name, candidates(), flag)
+            if changed:
+                version = self.store.versions(name)[-1]
+                self.tables[name] = Deferred(lambda: self.store.read(name, version).drop(ACTION))
+                self._stored.add(name)
+            return changed
+        changed = candidates().agg(F.count_if(flag)).first()[0]
+        if changed:
+            self.replace(name, lambda: candidates().drop(flag))
+        return changed
+
     def put(self, name: str, build: Callable[[], DataFrame]) -> Deferred:
         """Make a merged table (with ``_action``) the current one; returns it without the action."""
         return self._merged(name, lambda: self.store.replace(name, build()) if self.store else build())

@@ -14,7 +14,7 @@ NOW = "2024-05-01 00:00:00"
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return TableStore(spark, str(tmp_path / "store"))
+    return TableStore(spark, str(tmp_path / "store"), buckets=4)
 
 
 def feed(frame, header, *rows):

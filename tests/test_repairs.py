@@ -3,10 +3,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlift.operators import backfill as b
+from ledgerlift.operators import merge
 from ledgerlift.operators import ownership as own
 from ledgerlift.operators import provision as p
 from ledgerlift.operators import schema
 from ledgerlift.plans import maintenance as m
+from ledgerlift.plans import tables as t
+from ledgerlift.sources.colocated import Colocated
 
 
 def changed_rows(before, after):
@@ -145,3 +148,44 @@ def test_location_takes_each_column_from_a_detail_that_knows_it(frame, values):
     )
     assert values(m.location_jobs(applications, details).apply()) == [("a1", "R", "D", "S", None), ("a2", None, None, None, None)]
     assert m.location_preview(applications, details).first().asDict() == {"region_to_fill": 1, "district_to_fill": 0, "street_to_fill": 1, "ward_to_fill": 0, "total_affected": 1}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_colocated_repairs_shuffle_nothing(spark, tmp_path, frame, values, no_broadcast):
+    """25 children of one hub get their creators without an exchange; the rows are those of the plain jobs."""
+    hub = frame("id string, username string, created_by string", *[(f"a{i}", f" User{i % 5} " if i % 4 else None, "x" if i % 7 == 0 else None) for i in range(40)])
+    users = frame("id string, username string", *[(f"u{i}", f"user{i}") for i in range(4)])
+    child = frame("id int, application_id string, created_by string", *[(i, f"a{i % 50}" if i % 3 else None, "c" if i % 5 == 0 else None) for i in range(120)])
+    names = t.OWNED_BY_USER
+    stored = Colocated(spark, str(tmp_path / "tables"), "repairs", buckets=4)
+    stored.put("applications", hub, "id")
+    for name in names:
+        stored.put(name, child, "application_id")
+    try:
+        jobs = m.colocated_created_by_jobs(stored, users)
+        plain = m.created_by_jobs({"applications": hub, "users": users, names[0]: child})
+        assert set(jobs) == {*names, "applications"} and len(names) >= 24
+        for name, job in jobs.items():
+            plan = job.apply()._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and ("Join" in plan)
+        for name in ("applications", names[0]):
+            assert values(jobs[name].apply()) == values(plain[name].apply())
+            assert jobs[name].preview().first() == plain[name].preview().first()
+        assert values(stored.read(names[0])) == values(child)
+    finally:
+        stored.drop()
+    assert not spark.catalog.tableExists("repairs_applications")
+
+
+def test_merged_rows_are_those_of_the_merge(frame, values):
+    target = frame("k string, a string, b string, only string", ("x", "a0", None, "o"), ("y", None, "b0", "p"), ("z", "z", "z", "z"))
+    source = frame("k string, a string, b string, extra int", ("x", None, "b1", 1), ("y", "a1", "b1", 2), ("new", "a2", None, 3))
+    policy = {"b": merge.KEEP}
+    want = merge.merge_into(target, source, ["k"], policy).where("k <> 'z'").select("k", "a", "b", "only", "extra")
+    assert values(merge.merged_rows(source, target, "k", ["k", "a", "b", "only"], policy)) == values(want)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerlift.functions.text import key_text
 from ledgerlift.operators.merge import ACTION, merge_into
+from ledgerlift.plans import people
 from ledgerlift.sources.store import ConcurrentWrite, NoVersion, TableStore, Workspace
 
 
@@ -188,3 +189,28 @@ def test_a_table_without_rows(store, frame, spark):
     assert parts >= 1
     store.merge("t", frame("k int, v string", (1, "b")), ["k"])
     assert store.read("t").where(F.col("v") == "b").count() == 1
+
+
+def test_an_import_counts_what_it_skips_while_it_writes(store, frame, spark, monkeypatch):
+    """The report of a stored import starts no job and reads no table."""
+    store.replace("applications", frame("id string, application_number string", ("a1", "N1")))
+    feed = frame("_row int, apprefno string, shname string", (1, "N1", "Ann"), (2, "N9", "Bob"), (3, "N1", None), (4, "N1", "ann"))
+    ws, plain = Workspace(store=store), Workspace({"applications": frame("id string, application_number string", ("a1", "N1"))})
+    for each in (ws, plain):
+        people.import_shareholders(each, feed, as_of="2024-05-01")
+    report = ws.report("shareholders")
+    assert "Scan parquet" not in report._jdf.queryExecution().executedPlan().toString()
+    want = {"processed": 4, "accepted": 2, "skipped_total": 2, "skipped_missing_application": 1, "skipped_missing_name": 1}
+    assert report.first().asDict() == plain.report("shareholders").first().asDict() == want
+
+
+def test_a_repair_is_counted_and_written_in_one_job(store, frame, values):
+    store.merge("t", frame("k int, v string", (1, None), (2, "b")), ["k"])
+    marked = lambda: store.read("t").drop(ACTION).withColumn("hit", F.col("v").isNull()).withColumn("v", F.coalesce("v", F.lit("new")))
+    assert store.change("t", marked(), "hit") == 1 and values(store.read("t")) == [(1, "new"), (2, "b")]
+    before, there = files(store, "t"), store.versions("t")
+    assert store.change("t", marked(), "hit") == 0
+    assert (files(store, "t"), store.versions("t")) == (before, there)
+    # A repaired table keeps its buckets, so the next upload rewrites only its own.
+    store.merge("t", frame("k int, v string", (2, "c")), ["k"])
+    assert sum(p.version == store.versions("t")[-1] for p in store.manifest("t").parts) == 1

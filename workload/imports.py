@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions import fixed_values as fixed
 from ledgerlift.functions import stable_key
-from ledgerlift.operators.profile import skip_report
-from ledgerlift.plans import applications, directory, electrical, experience, fees, people, water
+from ledgerlift.plans import applications, checks, directory, electrical, experience, fees, people, water
 from ledgerlift.sources import dimensions
 from ledgerlift.sources.grid import with_position
 from ledgerlift.sources.store import Workspace
@@ -29,7 +28,8 @@ def lookup_tables(t: Tables):
 
 def locations(t: Tables):
     nations = t.nation.select(text("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    return {"region": dimensions.dimension(nations)}
+    regions = t.region.select(text("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    return {"region": dimensions.dimension(nations), "district": dimensions.dimension(regions), "ward": dimensions.dimension(regions)}
 
 
 # --- applications -------------------------------------------------------------------------------------
@@ -50,6 +50,9 @@ def application_feed(t: Tables):
         F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 365), "d-M-yyyy").alias("expiry_date"),
         kind.otherwise(F.lit("none")).alias("license_type"),
         F.when(F.col("c_nationkey") == 24, F.lit("999")).otherwise(F.concat("c_nationkey", F.lit(".0"))).alias("region"),
+        (F.col("o_custkey") % 7).cast("string").alias("district"),
+        F.when(status == "O", F.concat(F.col("o_custkey") % 6, F.lit(".0"))).when(status == "F", F.lit("Old Town")).alias("ward"),
+        F.when(priority == "2-HIGH", F.concat(F.lit("A"), F.col("o_orderkey") % 2000)).alias("parent_application_id"),
         F.concat(F.lit("Clerk."), status).alias("userid"),
         F.col("c_name").alias("facility_name"),
         F.when(status == "O", F.lit("SoleProprietor"))
@@ -100,6 +103,17 @@ def application_workspace(t: Tables, default_role: str | None = None) -> Workspa
     )
 
 
+_PERSON_REJECTS_SQL = """x AS (SELECT *, CASE WHEN l_returnflag <> 'R' THEN 'APP-' || l_partkey END AS number,
+      CASE WHEN l_linestatus = 'O' THEN 'Holder ' || l_suppkey WHEN l_quantity <= 40 THEN 'Ann  Marie Holder ' || l_suppkey END AS person FROM lineitem),
+  d AS (SELECT number, person FROM x WHERE number IS NOT NULL AND person IS NOT NULL QUALIFY row_number() OVER (PARTITION BY number, person) > 1),
+  r AS (SELECT 'missing_key' AS code, 'application_number' AS column_name, NULL AS value FROM x WHERE number IS NULL
+    UNION ALL SELECT 'missing_key', 'shname', NULL FROM x WHERE person IS NULL
+    UNION ALL SELECT 'duplicate_key', 'application_number', number FROM d
+    UNION ALL SELECT 'missing_parent', 'application_number', number FROM x WHERE number IS NOT NULL AND (l_partkey % 2 = 1 OR l_partkey NOT IN (SELECT c_custkey FROM customer))
+    UNION ALL SELECT 'unknown_value', 'nationality', '5e+12' FROM x WHERE l_linenumber = 5
+    UNION ALL SELECT 'wrong_type', 'objectid', 'x1' FROM x WHERE l_quantity <= 10
+    UNION ALL SELECT 'wrong_type', 'amountofshare', 'half' FROM x WHERE l_quantity > 15 AND l_quantity <= 20
+    UNION ALL SELECT 'too_long', 'shname', person FROM x WHERE length(person) > 24)"""
 APPLICATION_SQL = f"""WITH {_CATEGORIES_SQL},
   f AS (SELECT o_orderkey AS row_no, 'APP-' || o_custkey AS number, 'LIC-' || o_orderkey // 3 AS approval_no,
       CASE o_orderpriority WHEN '1-URGENT' THEN 'RENEW' WHEN '2-HIGH' THEN 'EXTEND' WHEN '3-MEDIUM' THEN 'CHANGE_OF_NAME' WHEN '4-NOT SPECIFIED' THEN 'UPGRADE' ELSE 'ODD' END AS type,
@@ -240,12 +254,26 @@ def import_application_report(t: Tables):
     "import_mapping_report",
     f"""{APPLICATION_SQL} SELECT count(*) FILTER (kind_key IS NOT NULL AND category_id IS NOT NULL) AS license_category_mapped,
       count(*) FILTER (kind_key IS NOT NULL AND category_id IS NULL) AS license_category_unmapped, count(legal) AS legal_status_mapped,
-      count(*) - count(legal) AS legal_status_unmapped, count(*) FILTER (region <> '999') AS region_mapped, count(*) FILTER (region = '999') AS region_unmapped FROM s""",
+      count(*) - count(legal) AS legal_status_unmapped, count(*) FILTER (region <> '999') AS region_mapped, count(*) FILTER (region = '999') AS region_unmapped,
+      count(*) FILTER (o_custkey % 7 < 5) AS district_mapped, count(*) FILTER (o_custkey % 7 >= 5) AS district_unmapped,
+      count(*) FILTER (o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_custkey % 6 < 5)) AS ward_mapped, count(*) FILTER (o_orderstatus = 'O' AND o_custkey % 6 = 5) AS ward_unmapped FROM s""",
 )
 def import_mapping_report(t: Tables):
     return applications.mapping_report(application_workspace(t))
 
 
+@query(
+    "import_mapping_samples",
+    f"""{APPLICATION_SQL} SELECT 'region' AS mapping, region AS value, count(*) AS rows FROM s WHERE region = '999' GROUP BY 2
+      UNION ALL SELECT 'district', CAST(o_custkey % 7 AS VARCHAR), count(*) FROM s WHERE o_custkey % 7 >= 5 GROUP BY 2
+      UNION ALL SELECT 'ward', '5.0', count(*) FROM s WHERE o_orderstatus = 'O' AND o_custkey % 6 = 5 HAVING count(*) > 0
+      UNION ALL SELECT 'legal_status', 'Guild', count(*) FROM s WHERE legal IS NULL HAVING count(*) > 0
+      UNION ALL SELECT 'license_category', 'x', count(*) FROM s WHERE kind_key IS NOT NULL AND category_id IS NULL HAVING count(*) > 0""",
+)
+def import_mapping_samples(t: Tables):
+    return applications.mapping_samples(application_workspace(t))
+
+
 @query(
     "import_rejects",
     f"""WITH x AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, c_nationkey, {RENDERED_DATE_SQL} AS raw FROM orders JOIN customer ON c_custkey = o_custkey)
@@ -259,6 +287,67 @@ def import_rejects(t: Tables):
     return applications.rejected_cells(application_feed(t), longest=18)
 
 
+@query(
+    "import_rejected_rows",
+    f"""WITH x AS (SELECT *, {RENDERED_DATE_SQL} AS raw, {_TYPE_WORD} AS word, 'APP-' || o_custkey AS number, 'A' || o_orderkey % 2000 AS parent FROM orders JOIN customer ON c_custkey = o_custkey)
+    SELECT o_orderkey AS _row, 'missing_key' AS code, 'approval_no' AS column_name, NULL AS value FROM x WHERE o_orderpriority = '5-LOW'
+    UNION ALL (SELECT o_orderkey, 'duplicate_key', 'application_number', number FROM x QUALIFY row_number() OVER (PARTITION BY number ORDER BY o_orderkey) > 1)
+    UNION ALL SELECT o_orderkey, 'missing_parent', 'old_parent_application_id', parent FROM x WHERE o_orderpriority = '2-HIGH' AND parent NOT IN (SELECT 'A' || c_custkey FROM customer)
+    UNION ALL SELECT o_orderkey, 'unreadable_date', 'effective_date', raw FROM x WHERE {parsed_date_sql('raw')} IS NULL
+    UNION ALL SELECT o_orderkey, 'unknown_value', 'region', '999' FROM x WHERE c_nationkey = 24
+    UNION ALL SELECT o_orderkey, 'unknown_value', 'district', CAST(o_custkey % 7 AS VARCHAR) FROM x WHERE o_custkey % 7 >= 5
+    UNION ALL SELECT o_orderkey, 'unknown_value', 'ward', CASE o_orderstatus WHEN 'F' THEN 'Old Town' ELSE '5.0' END FROM x WHERE o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_custkey % 6 = 5)
+    UNION ALL SELECT o_orderkey, 'unknown_value', 'application_type', trim(word) FROM x WHERE lower(trim(word)) NOT IN ({', '.join(repr(w) for w in sorted({w.lower() for p in fixed.APPLICATION_TYPE_SYNONYMS.items() for w in p}))})
+    UNION ALL SELECT o_orderkey, 'too_long', 'application_legal_status_raw', CASE o_orderstatus WHEN 'F' THEN 'Sole proprietor in a Column' ELSE 'private_LimitedLiability-Company.' END
+      FROM x WHERE o_orderstatus = 'F' OR (o_orderstatus = 'P' AND c_nationkey <= 12)""",
+)
+def import_rejected_rows(t: Tables):
+    """Every rule that a row of the applications feed breaks."""
+    hub = t.customer.select(F.concat(F.lit("A"), "c_custkey").alias("id"))
+    return checks.rejected_rows(application_feed(t), checks.FEEDS["applications"], hub, locations(t), longest=26)
+
+
+@query(
+    "import_shareholders_rejected",
+    f"""WITH {_PERSON_REJECTS_SQL} SELECT code, column_name, count(*) AS rows, min(value) AS example FROM r GROUP BY 1, 2""",
+)
+def import_shareholders_rejected(t: Tables):
+    hub = t.customer.where("c_custkey % 2 = 0").select(F.concat(F.lit("APP-"), "c_custkey").alias("application_number"))
+    extra = [
+        F.when(F.col("l_linenumber") < 6, F.concat(F.col("l_linenumber"), F.lit("e+12"))).alias("nationality"),
+        F.when(F.col("l_quantity") > 10, text("l_partkey")).otherwise(F.lit("x1")).alias("objectid"),
+        F.when(F.col("l_quantity") > 20, F.concat("l_suppkey", F.lit(".5"))).when(F.col("l_quantity") > 15, F.lit("half")).alias("amountofshare"),
+    ]
+    found = checks.rejected_rows(_person_feed(t, "SHName", extra), checks.FEEDS["shareholders"], hub, {"country": _countries(t)}, longest=24)
+    return checks.reject_counts(found)
+
+
+@query(
+    "import_water_rejected",
+    """WITH x AS (SELECT *, 'W-' || o_custkey AS number FROM orders JOIN customer ON c_custkey = o_custkey), r AS (
+      SELECT 'missing_key' AS code, 'approval_no' AS column_name, NULL AS value FROM x WHERE o_orderpriority = '5-LOW'
+      UNION ALL (SELECT 'duplicate_key', 'application_number', CASE WHEN o_orderkey % 2 = 0 THEN 'W-' ELSE 'w-' END || o_custkey FROM x QUALIFY row_number() OVER (PARTITION BY number ORDER BY o_orderkey) > 1)
+      UNION ALL SELECT 'missing_parent', 'old_parent_application_id', 'A-1' FROM x WHERE o_orderpriority = '1-URGENT'
+      UNION ALL SELECT 'unreadable_date', 'effective_date', 'soon' FROM x WHERE o_orderstatus <> 'P'
+      UNION ALL SELECT 'unknown_value', 'license_type', '?' FROM x WHERE o_orderstatus = 'O'
+      UNION ALL SELECT 'wrong_type', 'latitude', '6S' FROM x WHERE o_orderstatus = 'F')
+    SELECT code, column_name, count(*) AS rows, min(value) AS example FROM r GROUP BY 1, 2""",
+)
+def import_water_rejected(t: Tables):
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    feed = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("_row"),
+        F.concat(F.when(F.col("o_orderkey") % 2 == 0, F.lit("W-")).otherwise(F.lit("w-")), "o_custkey").alias("apprefno"),
+        F.when(priority != "5-LOW", F.concat(F.lit("LIC-"), "o_orderkey")).alias("licenceno"),
+        F.when(status == "P", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.lit("soon")).alias("effective_date"),
+        F.when(status == "P", F.lit("Water License")).when(status == "F", F.lit("LICENSE_PETROLEUM")).otherwise(F.lit("?")).alias("license_type"),
+        F.when(status == "F", F.lit("6S")).otherwise(F.lit("-6.8")).alias("latitude"),
+        F.when(priority == "1-URGENT", F.lit("A-1")).otherwise(F.concat(F.lit("A"), "o_custkey")).alias("parent_application_id"),
+    )
+    hub = t.customer.select(F.concat(F.lit("A"), "c_custkey").alias("id"))
+    return checks.reject_counts(checks.rejected_rows(feed, checks.FEEDS["water"], hub))
+
+
 @query(
     "import_unresolved_regions",
     f"""{APPLICATION_SQL} SELECT row_no AS _row, number AS application_number, region FROM f WHERE region = '999'""",
@@ -362,7 +451,7 @@ def import_shareholders(t: Tables):
       count(*) FILTER (application_id IS NOT NULL AND person IS NULL) AS skipped_missing_name FROM z""",
 )
 def import_shareholders_report(t: Tables):
-    return skip_report(_shareholders(t).staged["shareholders"], people.REASONS)
+    return _shareholders(t).report("shareholders")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,9 @@ from ledgerlift.operators import ownership as own
 from ledgerlift.operators import provision as p
 from ledgerlift.operators import schema
 from ledgerlift.plans import electrical, maintenance as m
+from ledgerlift.session import scratch_folder
 from ledgerlift.sources import dimensions
+from ledgerlift.sources.colocated import Colocated
 from workload.registry import Tables, query
 
 _UUID = "regexp_replace(md5({0}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
@@ -71,6 +75,10 @@ def backfill_preview(t: Tables):
 )
 def backfill_created_by(t: Tables):
     """User of the application by name, ignoring case and blanks."""
+    return m.created_by_jobs(_created(t))["documents"].apply()
+
+
+def _created(t: Tables):
     name = F.concat(F.lit(" CUSTOMER#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     applications = t.orders.select(
         F.col("o_orderkey").alias("id"),
@@ -84,8 +92,44 @@ def backfill_created_by(t: Tables):
         "l_partkey",
         F.when(F.col("l_returnflag") != "R", F.lit("old")).alias("created_by"),
     )
-    tables = {"applications": applications, "users": users, "documents": documents}
-    return m.created_by_jobs(tables)["documents"].apply()
+    return {"applications": applications, "users": users, "documents": documents}
+
+
+@query(
+    "backfill_colocated",
+    """SELECT 'documents' AS table_name, CAST(l_orderkey AS VARCHAR) || '.' || l_linenumber AS row_key, CASE WHEN l_returnflag = 'R' THEN CAST(c_custkey AS VARCHAR) ELSE 'old' END AS created_by
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = 'F' LEFT JOIN customer ON c_custkey = o_custkey AND o_orderstatus <> 'P'
+    UNION ALL SELECT 'applications', CAST(o_orderkey AS VARCHAR), 'someone' FROM orders""",
+)
+def backfill_colocated(t: Tables):
+    """The same over tables stored in equal buckets; half of the documents have no application."""
+    tables = _created(t)
+    stored = Colocated(t.spark, scratch_folder(t.spark, "colocated"), f"c{uuid.uuid4().hex}", buckets=16)
+    stored.put("applications", tables["applications"], "id")
+    key = F.concat_ws(".", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    documents = t.lineitem.select(
+        key.alias("row_key"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_orderkey")).alias("application_id"),
+        F.when(F.col("l_returnflag") != "R", F.lit("old")).alias("created_by"),
+    )
+    stored.put("documents", documents, "application_id")
+    jobs = m.colocated_created_by_jobs(stored, tables["users"])
+    found = jobs["documents"].apply().select(F.lit("documents").alias("table_name"), "row_key", "created_by")
+    return found.unionByName(jobs["applications"].apply().select(F.lit("applications").alias("table_name"), F.col("id").cast("string").alias("row_key"), "created_by"))
+
+
+@query(
+    "installation_ids_from_stage",
+    """SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'O' THEN o_custkey WHEN o_orderstatus = 'F' THEN c_custkey END AS application_id
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_nationkey > 3""",
+)
+def installation_ids_from_stage(t: Tables):
+    """Installations that lost their application find it by the number in the staged feed; a third never had a number."""
+    lost = t.orders.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "O", F.col("o_custkey")).alias("application_id"))
+    number = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit(" EL-"), "o_custkey"))
+    staged = t.orders.select(F.col("o_orderkey").alias("id"), number.alias("application_number"))
+    hub = t.customer.where("c_nationkey > 3").select(F.col("c_custkey").alias("id"), F.concat(F.lit("EL-"), "c_custkey").alias("application_number"))
+    return m.installation_ids_from_stage(lost, staged, hub).apply()
 
 
 @query(
