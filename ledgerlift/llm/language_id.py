@@ -30,7 +30,6 @@ MAX_DENSITY = 0.5
 _EXACT_LEVELS = 1 << 10
 #: Texts a language is learned from at most (by expectation of a hash sample).
 TEXTS_PER_LANGUAGE = 20_000
-MAX_LANGUAGES = 256
 UNDETERMINED = "und"
 #: A document is accepted from this score on, and if the second best language falls short of the best
 #: by this share of it.  Neither depends on the number of languages.
@@ -117,13 +116,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Language
     texts' hashes, so that reruns agree.  An n-gram belongs to a language if its rate there is at
     least the mean of its rates over the languages.  The table has as many slots as keep each language
     within MAX_DENSITY; where MAX_TABLE_BYTES allows fewer, a language has its n-grams of highest rate
-    that do.  No labelled row gives a model without languages.
+    that do: the more languages, the fewer slots.  No labelled row gives a model without languages.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = dict(rows.groupBy("lang").agg(F.count("*").alias("n")).collect())  # the classes of the model
     languages = sorted(sizes, key=lambda x: x.encode())
     words = max(1, -(-len(languages) // 64))
     if not languages:

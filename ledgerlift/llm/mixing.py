@@ -9,78 +9,78 @@ the source's blocks, another one for each time through them.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import WORD_PATTERN, row_hash, running_bases, whole_row, word_count, written
+from ledgerlift.sources.grid import number_rows
 
 SHARE, MOST, WEIGHTS, SEED = 1.5, 2.0, (3.0, 1.0, 2.0), 17
 #: Words of a block, slots of an output shard, rows of all sources that share a group.
 BLOCK, SHARD, GROUP = 64, 1 << 13, 1 << 9
-#: Sources are listed on the driver; more of them are an error, not a cut.
-MAX_SOURCES = 100_000
+#: Up to so many sources their table is broadcast (some 100 bytes a source); a longer one is joined as Spark plans it.
+FEW_SOURCES = 10_000
 _CELLS = 4096
 #: Half rounds of the permutation, and how often a place beyond the last block is sent through it again.
 ROUNDS, WALKS = 4, 64
 
 
-def targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE, most: float = MOST) -> list[float]:
-    """Words to take from each source: `share` of all sizes by weight, none above `most` times its size."""
-    whole, given, open_ = share * sum(sizes), {}, list(range(len(sizes)))
-    while open_:
-        rest, weight = whole - sum(given.values()), sum(weights[i] for i in open_)
-        want = {i: rest * weights[i] / weight for i in open_}
-        over = {i: most * sizes[i] for i in open_ if want[i] > most * sizes[i]}
-        given |= over or want
-        open_ = [i for i in open_ if i not in over] if over else []
-    return [float(given[i]) for i in range(len(sizes))]
-
-
-def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    """A short table from the driver, as one literal."""
-    return spark.sql(f"SELECT inline(from_json(:rows, 'array<struct<{schema}>>'))", {"rows": json.dumps(rows)})
-
-
-def _cells(spark: SparkSession, bounds: list[tuple[int, float, float]], width: float) -> DataFrame:
-    """(cell, s, lo, hi): each interval [lo, hi) under all cells of `width` that it touches."""
-    rows = [{"s": s, "lo": lo, "hi": hi} for s, lo, hi in bounds if hi > lo]
-    cell = F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))).alias("cell")
-    return _table(spark, rows, "s:int,lo:double,hi:double").select(cell, "s", "lo", "hi")
-
-
 @dataclass
 class Plan:
-    """The sources in order, with what the mix takes from each."""
+    """The sources in order, with what the mix takes from each: (s, name, size, target, blocks, quota, lo).
 
-    names: list[str | None]
-    sizes: list[int]
-    targets: list[float]
+    ``quota`` is the target in blocks of the source's mean length, ``lo`` the quotas of all sources before it.
+    """
+
+    sources: DataFrame
     block: int
     rows: int
+    count: int
+    slots: int
 
     @property
-    def blocks(self) -> list[int]:
-        return [-(-n // self.block) for n in self.sizes]
+    def cells(self) -> int:
+        return max(_CELLS, self.count)
 
-    @property
-    def quotas(self) -> list[int]:
-        """Slots of each source: its target in blocks of the source's mean length."""
-        return [round(t * b / n) if n else 0 for t, b, n in zip(self.targets, self.blocks, self.sizes)]
+    def joined(self, table: DataFrame) -> DataFrame:
+        """A table with a row or a few for each source, ready for a join."""
+        return F.broadcast(table) if self.count <= FEW_SOURCES else table
+
+
+def _with_targets(sources: DataFrame, share: float, most: float) -> DataFrame:
+    """Adds ``target``: `share` of all sizes by ``weight``, none above `most` times its size, the excess reshared.
+
+    A source that a round would give too much is at its limit in all later ones, as the others only get
+    more; so a round is one aggregate over the sources, and what is left is a sum and a weight.
+    """
+    limit = F.col("size") * F.lit(most)
+    whole, weight = sources.agg(F.sum("size") * F.lit(share), F.sum("weight")).first()
+    rest, at_limit = float(whole or 0), 0
+    while True:
+        want = F.lit(rest) * F.col("weight") / F.lit(weight or 1.0)
+        over = want > limit
+        found = sources.agg(F.count_if(over), F.sum(F.when(over, limit)), F.sum(F.when(~over, F.col("weight")))).first()
+        if found[0] == at_limit or not found[2]:
+            return sources.withColumn("target", F.when(over, limit).otherwise(want))
+        rest, weight, at_limit = float(whole) - found[1], found[2], found[0]
 
 
 def plan_mix(sized: DataFrame, block: int = BLOCK, share: float = SHARE, most: float = MOST, weights: Sequence[float] = WEIGHTS) -> Plan:
     """From (source, size) rows: sources by code point, null last; weights repeat in that order."""
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "replace")))
-    sizes = [int(r["size"] or 0) for r in rows]
-    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, most)
-    return Plan([r["source"] for r in rows], sizes, wanted, block, sum(r["n"] for r in rows))
+    rows = sized.groupBy(F.col("source").alias("name")).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    ordered = written(rows.orderBy(F.col("name").asc_nulls_last()), "mix-names")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("s") % len(weights) + 1).cast("int"))
+    numbered = written(number_rows(ordered, 0, "s").withColumn("weight", weight), "mix-order")
+    aimed = _with_targets(numbered, share, most).withColumn("blocks", F.ceil(F.col("size") / block))
+    quota = F.when(F.col("size") > 0, F.rint(F.col("target") * F.col("blocks") / F.col("size"))).otherwise(0).cast("long")
+    aimed = aimed.withColumn("quota", quota).withColumn("all", F.lit(0))
+    based = running_bases(aimed, ["all"], "s", "quota").withColumnRenamed("base", "lo")
+    sources = written(based.select("s", "name", "size", "target", "blocks", "quota", "lo", "n"), "mix-sources")
+    count, slots, n = sources.agg(F.count("*"), F.sum("quota"), F.sum("n")).first()
+    return Plan(sources.drop("n"), block, n or 0, count, slots or 0)
 
 
 def permuted(index: Column, blocks: Column, *key: Column) -> Column:
@@ -106,52 +106,45 @@ def permuted(index: Column, blocks: Column, *key: Column) -> Column:
     return F.when(first < blocks, first).otherwise(again)
 
 
-def slots(spark: SparkSession, plan: Plan) -> DataFrame:
+def slots(plan: Plan) -> DataFrame:
     """(slot, shard, s, k): the source of every slot of the mix, and the slot's number within the source.
 
     Draws are hashes of the slot's number and the seed, so reruns agree.
     """
-    quotas = plan.quotas
-    whole = sum(quotas)
-    edges = [0]
-    for q in quotas:
-        edges.append(edges[-1] + q)
-    unit = F.shiftrightunsigned(F.xxhash64("slot", F.lit(SEED)), 11) / F.lit(float(1 << 53)) * whole
-    width = max(whole, 1) / _CELLS
-    drawn = spark.range(whole).select(F.col("id").alias("slot"), F.floor(F.col("id") / SHARD).alias("shard"), unit.alias("u"))
+    spark = plan.sources.sparkSession
+    unit = F.shiftrightunsigned(F.xxhash64("slot", F.lit(SEED)), 11) / F.lit(float(1 << 53)) * plan.slots
+    width = max(plan.slots, 1) / plan.cells
+    drawn = spark.range(plan.slots).select(F.col("id").alias("slot"), F.floor(F.col("id") / SHARD).alias("shard"), unit.alias("u"))
     drawn = drawn.withColumn("cell", F.floor(F.col("u") / width))
-    shares = _cells(spark, [(s, float(a), float(b)) for s, (a, b) in enumerate(zip(edges, edges[1:]))], width)
-    picked = drawn.join(F.broadcast(shares).withColumnRenamed("cell", "cell2"), (F.col("cell") == F.col("cell2")) & (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
+    shares = plan.sources.where("quota > 0").select("s", F.col("lo").cast("double").alias("lo"), (F.col("lo") + F.col("quota")).cast("double").alias("hi"))
+    shares = shares.withColumn("cell2", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
+    picked = drawn.join(plan.joined(shares), (F.col("cell") == F.col("cell2")) & (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
     picked = picked.select("slot", "shard", "s")
     counts = picked.groupBy("shard", "s").agg(F.count("*").alias("n"))
     bases = written(running_bases(counts, ["s"], "shard", "n"), "mix-shards")
-    got = dict(bases.groupBy("s").agg(F.sum("n")).collect())
     place = F.row_number().over(Window.partitionBy("shard", "s").orderBy("slot")) - 1
     numbered = picked.withColumn("place", place).join(bases.select("shard", "s", "base"), ["shard", "s"])
     numbered = numbered.select("slot", "shard", "s", (F.col("base") + F.col("place")).alias("k"))
     # What a source drew beyond its quota, numbered across sources, fills the other sources' gaps.
-    surplus, gaps, at, fill = [], [], 0, 0
-    for s, q in enumerate(quotas):
-        n = got.get(s, 0)
-        surplus.append({"s": s, "quota": q, "shift": at - q})
-        at += max(0, n - q)
-        if n < q:
-            gaps.append({"s2": s, "lo": fill, "hi": fill + q - n, "first": n})
-            fill += q - n
-    gap_width = max(1, -(-fill // _CELLS))
-    gap = _table(spark, gaps, "s2:int,lo:long,hi:long,first:long")
-    gap = gap.select(F.explode(F.expr(f"sequence(lo div {gap_width}, (hi - 1) div {gap_width})")).alias("cell2"), "s2", "lo", "hi", "first")
-    ranked = numbered.join(F.broadcast(_table(spark, surplus, "s:int,quota:long,shift:long")), "s")
+    drew = plan.sources.select("s", "quota").join(bases.groupBy("s").agg(F.sum("n").alias("drawn")), "s", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+    drew = drew.withColumn("all", F.lit(0)).withColumn("over", F.greatest(F.col("drawn") - F.col("quota"), F.lit(0))).withColumn("under", F.greatest(F.col("quota") - F.col("drawn"), F.lit(0)))
+    drew = running_bases(drew, ["all"], "s", "over").withColumnRenamed("base", "at")
+    drew = written(running_bases(drew, ["all"], "s", "under").withColumnRenamed("base", "fill"), "mix-drawn")
+    gap_width = max(1, -(-(drew.agg(F.sum("under")).first()[0] or 0) // plan.cells))
+    surplus = drew.select("s", "quota", (F.col("at") - F.col("quota")).alias("shift"))
+    gap = drew.where("under > 0").select(F.col("s").alias("s2"), F.col("fill").alias("lo"), (F.col("fill") + F.col("under")).alias("hi"), F.col("drawn").alias("first"))
+    gap = gap.withColumn("cell2", F.explode(F.expr(f"sequence(lo div {gap_width}, (hi - 1) div {gap_width})")))
+    ranked = numbered.join(plan.joined(surplus), "s")
     over = F.when(F.col("k") >= F.col("quota"), F.col("k") + F.col("shift"))
     ranked = ranked.withColumn("r", over).withColumn("cell", F.expr(f"r div {gap_width}"))
-    moved = ranked.join(F.broadcast(gap), (F.col("cell") == F.col("cell2")) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("hi")), "left")
+    moved = ranked.join(plan.joined(gap), (F.col("cell") == F.col("cell2")) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("hi")), "left")
     return moved.select("slot", "shard", F.coalesce("s2", "s").alias("s"), F.when(F.col("s2").isNull(), F.col("k")).otherwise(F.col("first") + F.col("r") - F.col("lo")).alias("k"))
 
 
-def taken_blocks(spark: SparkSession, plan: Plan) -> DataFrame:
+def taken_blocks(plan: Plan) -> DataFrame:
     """(s, block, turn, slot): the block that each slot takes, and how often the source was gone through before."""
-    table = _table(spark, [{"s": s, "blocks": b} for s, b in enumerate(plan.blocks) if b], "s:int,blocks:long")
-    found = slots(spark, plan).join(F.broadcast(table), "s").withColumn("turn", F.expr("k div blocks"))
+    table = plan.joined(plan.sources.where("blocks > 0").select("s", "blocks"))
+    found = slots(plan).join(table, "s").withColumn("turn", F.expr("k div blocks"))
     return found.select("s", permuted(F.expr("k % blocks"), F.col("blocks"), F.col("s"), F.col("turn")).alias("block"), "turn", "slot")
 
 
@@ -162,11 +155,9 @@ def lines(sized: DataFrame, plan: Plan, keys: list[str]) -> DataFrame:
     keys are one row with their number first and become several again afterwards, so that a repeated
     row, however frequent, is never sorted as such.
     """
-    spark = sized.sparkSession
-    named = _table(spark, [{"s": s, "name": x} for s, x in enumerate(plan.names)], "s:int,name:string")
     rows = sized.groupBy("source", "size", *keys).agg(F.count("*").alias("copies"))
     groups = max(1, plan.rows // GROUP)
-    rows = rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    rows = rows.join(plan.joined(plan.sources.select("s", "name")), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     rows = written(rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(groups))), "mix-lines")
     words = F.col("size") * F.col("copies")
     totals = running_bases(rows.groupBy("s", "bucket").agg(F.sum(words).alias("n")), ["s"], "bucket", "n")
@@ -198,15 +189,14 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken beyond twice its size.  Repeated rows take turns on the line, each with its own taken words.
     An empty table gives an empty result; other columns don't matter.
     """
-    spark = df.sparkSession
     sized = written(_sized(df, id_col, text_col, source_col), "mix-sizes")
     plan = plan_mix(sized, block)
     placed = written(lines(sized, plan, ["id", "key"]), "mix-placed")
-    times = taken_blocks(spark, plan).groupBy("s", "block").agg(F.count("*").alias("times"))
+    times = taken_blocks(plan).groupBy("s", "block").agg(F.count("*").alias("times"))
     taken = _cover(placed, plan).join(times, ["s", "block"]).groupBy("s", "start").agg(F.sum((F.col("last") - F.col("first")) * F.col("times")).alias("taken"))
-    by_source = _table(spark, [{"s": s, "source_size": n, "target": t} for s, (n, t) in enumerate(zip(plan.sizes, plan.targets))], "s:int,source_size:long,target:double")
+    by_source = plan.joined(plan.sources.select("s", F.col("size").alias("source_size"), "target"))
     found = placed.join(taken.withColumnsRenamed({"s": "s2", "start": "start2"}), (F.col("s") == F.col("s2")) & (F.col("start") == F.col("start2")) & (F.col("size") > 0), "left")
-    found = found.join(F.broadcast(by_source), "s")
+    found = found.join(by_source, "s")
     return found.select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -218,11 +208,10 @@ def mixture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     row is told by its id and a hash of all its columns: rows that differ in any column are documents of
     their own, repeated rows take turns on the line.  Columns keep their values whatever their names.
     """
-    spark = df.sparkSession
     sized = written(_sized(df, id_col, text_col, source_col), "mix-sizes")
     plan = plan_mix(sized, block)
     placed = written(lines(sized, plan, ["id", "key"]), "mix-placed")
-    pieces = _cover(placed, plan).join(taken_blocks(spark, plan).select("s", "block", "turn"), ["s", "block"])
+    pieces = _cover(placed, plan).join(taken_blocks(plan).select("s", "block", "turn"), ["s", "block"])
     # Neighbouring blocks of one turn join into a stretch: a block belongs to its distance from its number among them.
     order = Window.partitionBy("s", "start", "turn").orderBy("block")
     run = pieces.withColumn("run", F.col("block") - F.row_number().over(order))

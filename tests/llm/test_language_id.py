@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -93,3 +94,44 @@ def test_acceptance_depends_on_what_is_recognised(spark):
         for r in got.withColumn("kept", li.accepted(got["lang_pred"], got["score"], got["margin"])).collect():
             assert r["kept"] == (r["want"] in known), (count, r)
             assert not r["kept"] or r["lang_pred"] == r["want"]
+
+
+def test_more_languages_than_any_mask_word_count(spark):
+    """300 labels take five mask words; nothing stops the query, and texts still get their language."""
+    known = {f"l{i:03}": syllables(i) for i in range(300)}
+    train = prepared(spark).createDataFrame([(sentence(x, i), lang) for lang, x in known.items() for i in range(6)], "text string, lang string")
+    model = li.fit(train)
+    assert model.table.shape[0] == 5 and model.table.nbytes <= li.MAX_TABLE_BYTES
+    fresh = [(sentence(x, 1000), lang) for lang, x in list(known.items())[::3]]
+    got = li.identified(prepared(spark).createDataFrame(fresh, "text string, want string"), model).collect()
+    assert sum(r["lang_pred"] == r["want"] for r in got) >= 0.95 * len(got)
+
+
+def grams(text):
+    """Letters in lower case, all else one blank, also at both ends; runs of three and four of them."""
+    spaced = f" {''.join(c if c.isalpha() else ' ' for c in text.lower())} "
+    while "  " in spaced:
+        spaced = spaced.replace("  ", " ")
+    return [spaced[i : i + n] for n in (3, 4) for i in range(len(spaced) - n + 1)]
+
+
+def test_languages_and_scores_equal_the_plain_version(spark):
+    """Exact sets in place of the filter: the same languages, and scores as close as its false positives allow."""
+    rows = [(text(lang, i), lang) for i in range(60) for lang in SYLLABLES]
+    counts = {lang: Counter(g for t, x in rows if x == lang for g in grams(t)) for lang in SYLLABLES}
+    sizes = {lang: sum(len(t) for t, x in rows if x == lang) for lang in SYLLABLES}
+    rate = lambda lang, g: counts[lang][g] / sizes[lang]
+    every = set().union(*counts.values())
+    own = {lang: {g for g in every if counts[lang][g] and rate(lang, g) >= 0.999999 * sum(rate(x, g) for x in SYLLABLES) / len(SYLLABLES)} for lang in SYLLABLES}
+    expected = {lang: max(li.LEAST_EXPECTED, sum(n for g, n in counts[lang].items() if g in own[lang] and n >= 2) / sum(counts[lang].values())) for lang in SYLLABLES}
+    fresh = [f"{text(a, 500 + i, 9)} {text(b, 900 + i, i % 7)}" for i in range(40) for a, b in (("xx", "yy"), ("zz", "xx"), ("yy", "zz"))] + ["12 34", "a"]
+    got = li.identified(prepared(spark).createDataFrame([(t,) for t in fresh], "text string"), li.fit(prepared(spark).createDataFrame(rows, "text string, lang string"))).collect()
+    for r in got:
+        found = grams(r["text"])
+        hits = {lang: sum(g in own[lang] for g in found) for lang in sorted(SYLLABLES)}
+        best = max(hits, key=lambda x: hits[x])
+        if not any(c.isalpha() for c in r["text"]):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+        elif sorted(hits.values())[-1] > sorted(hits.values())[-2]:
+            assert r["lang_pred"] == best
+            assert abs(r["score"] - min(1.0, hits[best] / len(found) / expected[best])) < 0.02

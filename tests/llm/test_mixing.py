@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import pytest
@@ -8,12 +9,49 @@ from ledgerlift.llm.common import prepared
 from tests.llm.conftest import words
 
 
-def test_targets_share_the_excess():
-    sizes = [100, 10, 1000, 0]
-    got = mixing.targets(sizes, [3, 1, 2, 3])
-    assert got[1] == 20 and got[3] == 0 and got[0] == 200
-    assert sum(got) == pytest.approx(1.5 * 1110) and got[2] == pytest.approx(1665 - 220)
-    assert mixing.targets([], []) == [] and mixing.targets([0, 0], [3, 1]) == [0, 0]
+def targets(sizes, weights, share=1.5, most=2.0):
+    """The plain version: round by round, those above their limit get it and the others share the rest."""
+    given, left = {}, list(range(len(sizes)))
+    while left:
+        rest, weight = share * sum(sizes) - sum(given.values()), sum(weights[i] for i in left)
+        over = [i for i in left if rest * weights[i] / weight > most * sizes[i]]
+        given |= {i: most * sizes[i] for i in over} if over else {i: rest * weights[i] / weight for i in left}
+        left = [i for i in left if i not in given]
+    return [given[i] for i in range(len(sizes))]
+
+
+def planned(spark, sizes, **options):
+    frame = prepared(spark).createDataFrame([(f"s{i:03d}", n) for i, n in enumerate(sizes)], "source string, size long")
+    return mixing.plan_mix(frame, **options)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_equal_the_plain_version(spark, seed):
+    picker = random.Random(seed)
+    sizes = [[100, 10, 1000, 0], [0, 0], [5], [int(10 ** picker.uniform(0, 6)) for _ in range(60)]][seed]
+    rows = planned(spark, sizes).sources.orderBy("s").collect()
+    want = targets(sizes, [(3, 1, 2)[i % 3] for i in range(len(sizes))])
+    assert [r["target"] for r in rows] == pytest.approx(want) and [r["size"] for r in rows] == sizes
+    assert [r["s"] for r in rows] == list(range(len(sizes)))
+    assert [r["lo"] for r in rows] == [sum(q["quota"] for q in rows[:i]) for i in range(len(rows))]
+
+
+def test_sources_without_end(spark, monkeypatch):
+    """Far more sources than are broadcast: nothing about them is listed on the driver."""
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 100)
+    frame = prepared(spark).range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w "), "id").alias("text"), F.concat(F.lit("s"), F.col("id") % 20_000).alias("source"))
+    got = mixing.mixed(frame)
+    totals = got.agg(F.count("*"), F.sum("size"), F.sum("taken"), F.max(F.col("taken") - 2 * F.col("size")), F.sum(F.col("target") / F.when(F.col("source_size") == 4, 2).otherwise(1))).first()
+    assert totals[0] == 30_000 and totals[1] == 60_000 and totals[3] <= 0
+    # A block of each source is taken once or twice; its share of the target is rounded to blocks.
+    assert abs(totals[4] - 90_000) < 1 and 60_000 <= totals[2] <= 120_000
+
+
+def test_few_and_many_sources_take_alike(corpus, monkeypatch):
+    frame, _ = corpus
+    few = sorted(mixing.mixed(frame).collect())
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert sorted(mixing.mixed(frame).collect()) == few
 
 
 @pytest.fixture
@@ -33,7 +71,7 @@ def test_mix_follows_the_targets_and_reruns_agree(corpus):
         by_source[row[2]].append(r)
     order = sorted(by_source, key=lambda s: (s is None, (s or "").encode()))
     sizes = [sum(r["size"] for r in by_source[s]) for s in order]
-    for source, size, target in zip(order, sizes, mixing.targets(sizes, [3, 1, 2, 3])):
+    for source, size, target in zip(order, sizes, targets(sizes, [3, 1, 2, 3])):
         taken = sum(r["taken"] for r in by_source[source])
         assert {(r["source_size"], r["target"]) for r in by_source[source]} == {(size, target)}
         assert abs(taken - target) <= 2 * mixing.BLOCK
