@@ -354,11 +354,16 @@ def _scores(total: int, distinct: int, id_type: pa.DataType, levels_of):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            parts = batch.column("parts")
+            for at, row in enumerate(batch.drop_columns(["parts"]).to_pylist()):
                 hashes, tokens, before, lengths = _token_hashes(row)
                 counts = np.empty(len(hashes), np.int64)
-                for part in row["parts"]:
-                    counts[part["first"] : part["first"] + len(part["counts"])] = part["counts"]
+                # Counts are many and stay numbers of Arrow's all the way.
+                found = parts[at].values
+                firsts, listed = found.field("first").to_numpy(), found.field("counts")
+                for first, part in zip(firsts, listed):
+                    values = part.values.to_numpy(zero_copy_only=False)
+                    counts[first : first + values.size] = values
                 starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 base = np.add.reduceat(np.log10((counts + 1) / (total + distinct + 1))[tokens], starts)
                 known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
