@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 
 #: Separators of words: space and the five ASCII controls from tab to carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Bytes of a text that are split into words at once.
+PIECE = 1 << 20
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Texts that go to a Python worker at once, by rows and by bytes.
 ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
 #: Rows that one window of running totals holds.
@@ -97,6 +102,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, some at a time; bytes are split at the space and at tab to carriage return alone."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, at + PIECE)
+        end = gap.start() if gap else len(text)
+        yield text[at:end].split()
+        at = end
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

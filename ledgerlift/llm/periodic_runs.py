@@ -12,7 +12,6 @@ and counted once.  Factors that occur once in a text have no name, so ordinary p
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,26 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.common import pieces
+
 #: Words whose factors are named together; a longer text is named alone.
 WORDS_AT_ONCE = 1 << 18
-#: Bytes of a text that are split into words at once.
-PIECE = 1 << 20
-_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 _FOUND = pa.struct([("n_words", pa.int64()), ("runs", pa.list_(_RUN)), ("collapsed", pa.string())])
 FOUND = "struct<n_words:bigint,runs:array<struct<start:bigint,length:bigint,period:bigint>>,collapsed:string>"
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, some at a time; bytes are split at the space and at tab to carriage return alone."""
-    at = 0
-    while at < len(text):
-        gap = _GAP.search(text, at + PIECE)
-        end = gap.start() if gap else len(text)
-        yield text[at:end].split()
-        at = end
-
-
 def numbered(text: bytes, first: int) -> tuple[np.ndarray, int]:
     """Numbers of the text's words, counted from `first`; equal words have equal numbers.  Also the next free one."""
     known: dict[bytes, int] = {}

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import row_hash, whole_row, written
+from ledgerlift.llm.common import pieces, row_hash, whole_row, written
 from ledgerlift.llm.graph import components
 
 BITS, SEED, AGREEING = 64, 42, 3
@@ -28,17 +28,17 @@ _HASHES_AT_ONCE = 1 << 16
 
 def fingerprint(text: str | None, shingle: int) -> int:
     """The text's SimHash over word shingles, repeats included; 0 without words."""
-    words = (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
-    if not words:
+    lowered = (text or "").encode("utf-8", "replace").lower()  # bytes: A-Z and ASCII white space only
+    joined = b" ".join(b" ".join(words) for words in pieces(lowered) if words)
+    if not joined:
         return 0
-    joined = b" ".join(words)
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    width = min(shingle, len(words))
-    starts = np.concatenate(([0], gaps + 1))[: len(words) - width + 1].tolist()
-    ends = np.concatenate((gaps, [len(joined)]))[width - 1 :].tolist()
+    width = min(shingle, gaps.size + 1)
+    starts = np.concatenate(([0], gaps + 1))[: gaps.size + 2 - width]
+    ends = np.concatenate((gaps, [len(joined)]))[width - 1 :]
     ones, digest = np.zeros(BITS, np.int64), xxhash.xxh64_intdigest
     for at in range(0, len(starts), _HASHES_AT_ONCE):
-        pairs = zip(starts[at : at + _HASHES_AT_ONCE], ends[at : at + _HASHES_AT_ONCE])
+        pairs = zip(starts[at : at + _HASHES_AT_ONCE].tolist(), ends[at : at + _HASHES_AT_ONCE].tolist())
         hashes = np.array([digest(joined[s:e], SEED) for s, e in pairs], np.uint64)
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     set_bits = np.packbits(ones * 2 > len(starts), bitorder="little")

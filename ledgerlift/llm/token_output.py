@@ -89,7 +89,7 @@ class Encoder:
 
     #: The steps of tokenizers whose words can be encoded one by one.
     BY_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    NORMALIZED = ["NFC", "Replace", "Lowercase"]
+    NORMALIZED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
     _PUNCTUATION = r"[!-&(-/:;=?@\[-`{}~]*"
     _PARTS = re.compile(rf"({_PUNCTUATION})([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)({_PUNCTUATION})")
 
@@ -105,7 +105,7 @@ class Encoder:
         spec = json.loads(self.tokenizer.to_str())
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
         split = steps[0] if len(steps) == 2 else {}
-        normal = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        normal = (spec.get("normalizer") or {}).get("normalizers")
         self.by_word = split.get("behavior") == "Removed" and split.get("invert") is True and split.get("pattern") == {"Regex": self.BY_WORD} and steps[1].get("type") == "ByteLevel" and steps[1].get("use_regex") is False and normal == self.NORMALIZED
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:

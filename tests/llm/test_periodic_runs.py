@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlift.llm import common
 from ledgerlift.llm import periodic_runs as pr
 from ledgerlift.llm.common import prepared
 from ledgerlift.llm.queries import op12_periodic_runs, with_planted_periods
@@ -77,7 +78,7 @@ def test_runs_equal_brute_force(seed, least, powers):
 def test_many_small_pieces_equal_one(monkeypatch):
     made = [" \t".join(w).encode() for w in texts(9)]
     whole = list(pr._found(made, 24, 3))
-    monkeypatch.setattr(pr, "PIECE", 7)
+    monkeypatch.setattr(common, "PIECE", 7)
     monkeypatch.setattr(pr, "WORDS_AT_ONCE", 100)
     assert [x for group in pr._together(made) for x in pr._found(group, 24, 3)] == whole
 

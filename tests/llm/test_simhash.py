@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from ledgerlift.llm import simhash
+from ledgerlift.llm import common, simhash
 from ledgerlift.llm.graph import components
 from tests.llm.oracle import fingerprint, groups, union_find
 
@@ -49,3 +49,12 @@ def test_components_of_chains_hubs_and_loops(spark):
 
 def test_hash_is_the_one_of_the_contract():
     assert xxhash.xxh64_intdigest(b"a b c", 42) == fingerprint("A b\tC", 3)
+
+
+def test_long_texts_are_taken_in_pieces(monkeypatch):
+    monkeypatch.setattr(common, "PIECE", 11)
+    monkeypatch.setattr(simhash, "_HASHES_AT_ONCE", 5)
+    picker = random.Random(8)
+    for n in (0, 1, 2, 3, 40, 200):
+        text = "".join(picker.choice(["word", "É", "x", "longer-than-a-piece"]) + picker.choice([" ", "\t\n", "  "]) for _ in range(n))
+        assert simhash.fingerprint(text, 3) == fingerprint(text, 3)

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -43,3 +44,15 @@ def test_files_give_back_every_id(odd, odd_rows, nothing, tmp_path, monkeypatch)
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(r["ids"]), zlib.crc32(np.array(r["ids"], "<u4").tobytes()))
         at += r["n_tokens"]
     assert to.encoded(nothing, path).collect() == []
+
+
+def test_a_tokenizer_that_replaces_something_else_gets_whole_texts(tmp_path):
+    """Steps are compared as a whole: a file whose Replace turns q into z is not encoded word by word."""
+    spec = json.loads(open(public.path("word_bpe_49k.json")).read())
+    spec["normalizer"]["normalizers"][1] |= {"pattern": {"String": "q"}, "content": "z"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec))
+    ours = to.Encoder(str(path))
+    assert not ours.by_word
+    texts = ["quick queen", "a  quiz"]
+    assert [x.tolist() for x in ours.encode(texts)] == [x.ids for x in ours.tokenizer.encode_batch(texts, add_special_tokens=False)]
