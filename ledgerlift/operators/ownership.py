@@ -62,6 +62,8 @@ def _affected(df: DataFrame, kind: OwnedTable, mapping: DataFrame, how: str) ->
 
 
 def preview_transfer(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mapping: DataFrame) -> DataFrame:
+    """Rows that would move, by table; the mapping is resolved once, into a table."""
+    mapping = written(mapping, "transfer-mapping")
     counts = [
         _affected(df, kind, mapping, "inner").agg(F.count_if("__hit").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
         for name, (df, kind) in tables.items()
@@ -70,7 +72,11 @@ def preview_transfer(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mapping
 
 
 def transfer_snapshot(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mapping: DataFrame) -> DataFrame:
-    """One row per affected row with its previous owner."""
+    """One row per affected row with its previous owner; the mapping is resolved once, into a table."""
+    return _snapshot(tables, written(mapping, "transfer-mapping"))
+
+
+def _snapshot(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mapping: DataFrame) -> DataFrame:
     parts = []
     for name, (df, kind) in tables.items():
         rows = _affected(df, kind, mapping, "inner").filter("__hit")
@@ -89,7 +95,7 @@ def transfer(tables: Mapping[str, tuple[DataFrame, OwnedTable]], mapping: DataFr
     a table before any of them changes.
     """
     mapping = written(mapping, "transfer-mapping")
-    snapshot = written(transfer_snapshot(tables, mapping), "transfer-snapshot")
+    snapshot = written(_snapshot(tables, mapping), "transfer-snapshot")
     moved = {}
     for name, (df, kind) in tables.items():
         joined = _affected(df, kind, mapping, "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.functions.text import blank_to_null
+from ledgerlift.functions.text import blank_to_null, key_text
 from ledgerlift.operators.joins import lookup
 from ledgerlift.operators.merge import INCOMING, KEEP, OVERWRITE, Policy
 from ledgerlift.operators.provision import assign_role, ensure_users, role_named
@@ -86,19 +86,24 @@ def provision_users(ws: Workspace, stage: Callable[[], DataFrame], username: str
         "created_at": moment(as_of),
         "updated_at": moment(as_of),
     }
-    known = ws.table("users", t.USERS)
 
     def staged() -> DataFrame:
         return stage().select(F.col(username).alias("username"))
 
-    users = ws.put("users", lambda: ensure_users(known(), staged(), defaults=defaults))
+    def ensured(known: DataFrame, names: DataFrame) -> DataFrame:
+        return ensure_users(known, names, defaults=defaults)
+
+    users = ws.provide("users", t.USERS, staged, ["username"], ensured, fold={"username": key_text})
     if default_role is None:
         return
-    roles, held = ws.table("roles", t.ROLES), ws.table("user_roles", t.USER_ROLES)
+    roles = ws.table("roles", t.ROLES)
 
-    def assigned() -> DataFrame:
+    def members() -> DataFrame:
         names = staged().select(F.lower(F.trim("username")).alias("__staged")).filter("__staged <> ''").distinct()
-        members = users().join(names, F.lower(F.trim("username")) == F.col("__staged"), "left_semi")
-        return assign_role(held(), members, role_named(roles(), default_role))
+        found = users().join(names, F.lower(F.trim("username")) == F.col("__staged"), "left_semi")
+        return found.select(F.col("id").alias("user_id"))
+
+    def assigned(held: DataFrame, found: DataFrame) -> DataFrame:
+        return assign_role(held, found, role_named(roles(), default_role), "user_id")
 
-    ws.put("user_roles", assigned)
+    ws.provide("user_roles", t.USER_ROLES, members, ["user_id"], assigned)

@@ -247,7 +247,7 @@ class TableStore:
         written = self._written(name, before, merged, self._spreads[name], "merge")
         if alike:
             kept = tuple(p for p in before.parts if p.bucket not in touched)
-            written = dataclasses.replace(written, parts=kept + written.parts, rows=before.rows + written.counts.get("insert", 0) if not combine else 0)
+            written = dataclasses.replace(written, parts=kept + written.parts, rows=before.rows + written.counts.get("insert", 0))
         self._commit(name, written)
         return self.read(name, written.version)
 
@@ -528,6 +528,21 @@ class Workspace:
         target = self.table(name, schema)
         return self.put(name, lambda: merge_into(target(), source(), list(keys), **options))
 
+    def provide(
+        self,
+        name: str,
+        schema: str,
+        source: Callable[[], DataFrame],
+        keys: Sequence[str],
+        combine: Callable[[DataFrame, DataFrame], DataFrame],
+        fold: Forms | None = None,
+    ) -> Deferred:
+        """Like `upsert` by another rule: `combine` of (table, source) gives the table with actions and changes no other keys."""
+        if self.store and (name not in self.tables.data or name in self._stored):
+            return self._merged(name, lambda: self.store.merge(name, source(), keys, schema, combine, fold=fold))
+        target = self.table(name, schema)
+        return self.put(name, lambda: combine(target(), source()))
+
     def _merged(self, name: str, build: Callable[[], DataFrame]) -> Deferred:
         merged = self._define(build)
         if self.store:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.profile import skip_report
-from ledgerlift.plans import applications, directory, electrical, experience, fees, maintenance, people, water
+from ledgerlift.plans import applications, common, directory, electrical, experience, fees, maintenance, people, water
 from ledgerlift.sources.store import TableStore, Workspace
 
 NOW = "2024-05-01 00:00:00"
@@ -333,3 +333,18 @@ def test_water_numbers_are_the_same_whatever_their_case(store, frame, values):
         table = store.read(name)
         assert table.count() == table.select("id").distinct().count() == 2
     assert values(store.read("application_sector_details").filter("application_id = 'old'"), "company_name") == [("x",)]
+
+
+def test_provisioning_rewrites_the_buckets_of_new_users(frame, store):
+    """Users and their roles are added where they belong; the parts of all others are carried over."""
+    store.buckets = 64
+    store.replace("roles", frame("id string, name string", ("r1", "DEFAULT ROLE")))
+    names = frame("u string", *[(f"user{i}",) for i in range(200)])
+    common.provision_users(Workspace(store=store), lambda: names, "u", "DEFAULT ROLE", NOW)
+    before = {n: set(store.manifest(n).parts) for n in ("users", "user_roles")}
+    ws = Workspace(store=store)
+    common.provision_users(ws, lambda: frame("u string", (" USER7",), ("new one",)), "u", "default role", NOW)
+    for name, least in (("users", 60), ("user_roles", 60)):
+        assert len(before[name] & set(store.manifest(name).parts)) >= least
+        assert store.read(name).count() == 201
+    assert {r["table_name"]: (r["inserted"], r["kept"]) for r in ws.summary().collect()} == {"users": (1, 200), "user_roles": (1, 200)}
