@@ -2,7 +2,8 @@
 
 The filter holds words and word pairs.  A count is quantised to a level on a ladder that grows by a
 quarter a step; an n-gram of level q is inserted q times, once with each number up to q.  A lookup
-probes for 1, 2, ... until one is missing, and so finds the level.  Probabilities of pairs are mixed
+probes for 1, 2, ... until one is missing, and so finds the level.  The bits of an insertion lie in two
+words of 64, so that a probe reads two places.  Probabilities of pairs are mixed
 with those of words.  The filter is cut into segments by the n-gram's hash, sized by what they hold.
 
 Texts are read once: a scan cuts them into chunks, a chunk being a list of distinct words and the
@@ -12,6 +13,7 @@ the sums come back to the chunks the same way.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import adopted, written
 from ledgerlift.llm.token_output import decode, encode
 
-#: Bits of the filter for each insertion, and hash functions: about 1 % false probes.
+#: Bits of the filter for each insertion, and hash functions, three of them in each of two words: about 1 % false probes.
 BITS_PER_ENTRY, PROBES = 10, 6
 GROWTH, LEVELS = 1.25, 96
 #: Levels that are probed segment by segment.
@@ -104,26 +106,41 @@ def _segment(h: np.ndarray, segments: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
 
 
-def _probes(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and step of the probes for a level."""
-    mixed = _mix(h + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-    return mixed >> np.uint64(32), mixed & np.uint64(0xFFFFFFFF) | np.uint64(1)
+def _probes(h: np.ndarray, level: int) -> np.ndarray:
+    """The first probe of a level: the upper half of it says which word, the lowest 18 bits which three bits of it."""
+    return _mix(h + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
 
 
-def _place(start: np.ndarray, step: np.ndarray, probe: int, bits: np.ndarray | np.uint64) -> np.ndarray:
-    """The probe's bit in a segment of `bits` bits."""
-    return ((start + np.uint64(probe) * step & np.uint64(0xFFFFFFFF)) * bits) >> np.uint64(32)
+def _second(probe: np.ndarray) -> np.ndarray:
+    """The second probe, of another word."""
+    other = probe * np.uint64(0x9E3779B97F4A7C15)
+    return other ^ (other >> np.uint64(32))
+
+
+def _word(probe: np.ndarray, words: np.ndarray | np.uint64) -> np.ndarray:
+    """The word of a probe in a segment of so many."""
+    return ((probe >> np.uint64(32)) * words) >> np.uint64(32)
+
+
+def _bits(probe: np.ndarray) -> list[np.ndarray]:
+    return [(probe >> np.uint64(6 * i)) & np.uint64(63) for i in range(PROBES // 2)]
+
+
+def _mask(probe: np.ndarray) -> np.ndarray:
+    return functools.reduce(np.bitwise_or, [np.uint64(1) << bit for bit in _bits(probe)])
 
 
 def filter_segment(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The bytes of a filter segment that holds `h` with their counts."""
     levels = np.searchsorted(LADDER, counts, side="right")
-    bits = max(64, -(-int(levels.sum()) * BITS_PER_ENTRY // 8) * 8)
-    held = np.zeros(bits, bool)
+    words = max(1, -(-int(levels.sum()) * BITS_PER_ENTRY // 64))
+    held = np.zeros(64 * words, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        start, step = _probes(h[levels >= level], level)
-        for probe in range(PROBES):
-            held[_place(start, step, probe, np.uint64(bits))] = True
+        first = _probes(h[levels >= level], level)
+        for probe in (first, _second(first)):
+            start = _word(probe, np.uint64(words)) << np.uint64(6)
+            for bit in _bits(probe):
+                held[start + bit] = True
     return np.packbits(held, bitorder="little")
 
 
@@ -132,10 +149,9 @@ class Filter:
 
     def __init__(self, parts: dict[int, np.ndarray], segments: int):
         self.segments = segments
-        sizes = np.array([len(parts.get(i, b"")) for i in range(segments)], np.uint64)
-        self.bits = sizes * np.uint64(8)
-        self.starts = np.concatenate(([0], np.cumsum(sizes * np.uint64(8))[:-1])).astype(np.uint64)
-        self.held = np.concatenate([np.empty(0, np.uint8)] + [parts[i] for i in range(segments) if i in parts])
+        self.words = np.array([len(parts.get(i, b"")) // 8 for i in range(segments)], np.uint64)
+        self.starts = np.concatenate(([0], np.cumsum(self.words)[:-1])).astype(np.uint64)
+        self.held = np.concatenate([np.empty(0, np.uint8)] + [parts[i] for i in range(segments) if i in parts]).view("<u8")
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """Level of each n-gram, by repeated probes; 0 for an absent one.
@@ -146,31 +162,32 @@ class Filter:
         found = np.zeros(h.size, np.uint8)
         ends = np.searchsorted(_segment(h, self.segments), np.arange(self.segments + 1, dtype=np.uint64))
         rest = [np.empty(0, np.int64)]
-        for segment in np.flatnonzero((self.bits > 0) & (ends[1:] > ends[:-1])):
+        for segment in np.flatnonzero((self.words > 0) & (ends[1:] > ends[:-1])):
             left = np.arange(ends[segment], ends[segment + 1])
-            rest.append(self._probed(h, left, found, range(1, _BY_SEGMENT + 1), self.bits[segment], self.starts[segment]))
+            rest.append(self._probed(h, left, found, range(1, _BY_SEGMENT + 1), self.words[segment], self.starts[segment]))
         left = np.concatenate(rest)
         if left.size:
             segment = _segment(h[left], self.segments).astype(np.int64)
-            bits, starts = np.zeros(h.size, np.uint64), np.zeros(h.size, np.uint64)
-            bits[left], starts[left] = self.bits[segment], self.starts[segment]
+            words, starts = np.zeros(h.size, np.uint64), np.zeros(h.size, np.uint64)
+            words[left], starts[left] = self.words[segment], self.starts[segment]
             for level in range(_BY_SEGMENT + 1, LEVELS + 1):
-                left = self._probed(h, left, found, (level,), bits[left], starts[left])
+                left = self._probed(h, left, found, (level,), words[left], starts[left])
                 if not left.size:
                     break
         return found
 
-    def _probed(self, h: np.ndarray, left: np.ndarray, found: np.ndarray, levels, bits, base) -> np.ndarray:
+    def _probed(self, h: np.ndarray, left: np.ndarray, found: np.ndarray, levels, words, base) -> np.ndarray:
         """Probe the places `left` for some levels, note what is found, and return those still there."""
         for level in levels:
-            start, step = _probes(h[left], level)
-            for probe in range(PROBES):
-                at = base + _place(start, step, probe, bits)
-                there = np.flatnonzero((self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
+            probe = _probes(h[left], level)
+            for again in range(2):
+                probe = _second(probe) if again else probe
+                mask = _mask(probe)
+                there = np.flatnonzero(self.held[base + _word(probe, words)] & mask == mask)
                 if there.size < left.size:
-                    left, start, step = left[there], start[there], step[there]
-                    if np.ndim(bits):
-                        bits, base = bits[there], base[there]
+                    left, probe = left[there], probe[there]
+                    if np.ndim(words):
+                        words, base = words[there], base[there]
                 if not left.size:
                     return left
             found[left] = level
