@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ledgerlift.llm import simhash
-from ledgerlift.llm.common import WORD_PATTERN, word_count, written
+from ledgerlift.llm.common import WORD_PATTERN, row_hash, word_count, written
 from ledgerlift.llm.graph import components
 
 CAPACITY = 2048
@@ -108,10 +108,9 @@ def packed(
     conflict with nothing.  An empty table gives an empty result.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
     rows = df.select(
         F.col(f"`{id_col}`").alias("id"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).alias("h"),
+        row_hash(df).alias("h"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         code.cast("long").alias("fp"),
         F.coalesce(size, F.lit(0)).cast("long").alias("size_"),
@@ -149,19 +148,21 @@ def pack_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 def sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """The packed sequences: (bin_id, n_words, doc_ids, lengths, sources, text), pieces by their offset.
 
-    A document taken in one piece keeps its text as it is; parts of one are its words, joined by spaces;
-    pieces are joined by a line break.  Documents without words are in no sequence.  Rows of one id may
-    be stretches of one document, so they share no sequence either.
+    A document taken in one piece keeps its text as it is; parts of one, as of a text longer than a
+    sequence, are its words, joined by spaces; pieces are joined by a line break.  Documents without words,
+    and null texts, are in no sequence.  Rows of one id may be stretches of one document, so they share no
+    sequence either; each copy of a repeated row is placed by itself.  Of equally tight bins the first is
+    taken.  Columns beside the three don't matter; an empty table gives no sequence.
     """
     placed = written(pack_words(df, id_col, text_col, source_col, capacity, per_source, apart=True), "packed").where("n > 0")
-    pieces = placed.groupBy(F.col(id_col).alias("id2"), F.col("h").alias("h2")).agg(F.collect_list(F.struct("bin_id", "offset", "first", "n")).alias("__pieces"))
-    hashed = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
+    # One array for each copy: it is bounded by the text's length, however often the row occurs.
+    pieces = placed.groupBy(F.col(f"`{id_col}`").alias("id2"), F.col("h").alias("h2"), "copy").agg(F.collect_list(F.struct("bin_id", "offset", "first", "n")).alias("pieces"))
     text = F.col(f"`{text_col}`").cast("string")
-    rows = df.select(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).alias("h"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), text.alias("t"))
+    rows = df.select(row_hash(df).alias("h"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), text.alias("t"))
     once = rows.groupBy("id", "h").agg(F.first("source").alias("source"), F.min("t").alias("t"))
-    cut = once.join(pieces, F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2"))).withColumn("p", F.explode("__pieces"))
+    cut = once.join(pieces, F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2"))).withColumn("p", F.explode("pieces"))
     words = F.regexp_extract_all(F.col("t"), F.lit(f"({WORD_PATTERN})"))
-    part = F.when((F.col("p.first") == 0) & (F.size("__pieces") == F.size(F.filter("__pieces", lambda x: x["first"] == 0))), F.col("t"))
+    part = F.when(F.size("pieces") == 1, F.col("t"))
     part = part.otherwise(F.array_join(F.slice(words, (F.col("p.first") + 1).cast("int"), F.col("p.n").cast("int")), " "))
     filled = cut.select("p.bin_id", F.struct("p.offset", "p.n", "id", "source", part.alias("t")).alias("x")).groupBy("bin_id").agg(F.array_sort(F.collect_list("x")).alias("x"))
     return filled.select(

@@ -119,3 +119,16 @@ def test_no_bin_holds_two_of_a_component_or_document(spark):
         assert len(r["doc_ids"]) == len(set(r["doc_ids"]))
         known = [c for d in r["doc_ids"] if d < 900 for c in of[d]]
         assert len(known) == len(set(known))
+
+
+def test_every_copy_of_a_repeated_row_is_placed(spark):
+    """Copies are documents of one component: each stands in a sequence of its own, whole or in parts."""
+    text = " ".join(f"w{i}" for i in range(50))
+    long = " ".join(f"x{i}" for i in range(130))
+    frame = prepared(spark).createDataFrame([(1, text, "a")] * 40 + [(2, long, "b")] * 3 + [(3, "y  z", "c")], "doc_id long, text string, source string")
+    rows = packing.sequences(frame, capacity=60).collect()
+    parts = [p for r in rows for p in r["text"].split("\n")]
+    assert parts.count(text) == 40 and parts.count("y  z") == 1
+    assert sorted(w for p in parts for w in p.split()) == sorted((text + " ").split() * 40 + long.split() * 3 + ["y", "z"])
+    for r in rows:
+        assert r["n_words"] <= 60 and len(set(r["doc_ids"])) == len(r["doc_ids"])
