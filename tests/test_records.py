@@ -46,7 +46,7 @@ def random_text(seed, sep=","):
 
 @pytest.fixture
 def tiny_blocks(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "160")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     yield
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
