@@ -43,10 +43,12 @@ def encode(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit values; the last group is filled up with zeros."""
     padded = np.zeros(-(-values.size // 4) * 4, np.uint32)
     padded[: values.size] = values
-    extra = (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
-    codes = extra.reshape(-1, 4).astype(np.uint8)
+    extra = (padded > 0xFF).astype(np.uint8)
+    extra += padded > 0xFFFF
+    extra += padded > 0xFFFFFF
+    codes = extra.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    kept = np.arange(4) <= extra[:, None]
+    kept = np.arange(4, dtype=np.uint8) <= extra[:, None]
     return control.astype(np.uint8).tobytes(), padded.astype("<u4").view(np.uint8).reshape(-1, 4)[kept].tobytes()
 
 
@@ -78,6 +80,18 @@ class _Mapped(dict):
         return self[code]
 
 
+class _Words(dict):
+    """Word -> its ids, which are asked for when it is met first."""
+
+    def __init__(self, ids_of):
+        super().__init__({"": b""})
+        self.ids_of = ids_of
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = ids = self.ids_of(word)
+        return ids
+
+
 class Encoder:
     """Token ids of whole texts.
 
@@ -100,7 +114,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.typecode = "H" if self.kind is np.uint16 else "I"
-        self.words: dict[str, bytes] = {"": b""}
+        self.words = _Words(self._word)
         self.mapped = _Mapped()
         spec = json.loads(self.tokenizer.to_str())
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
@@ -118,19 +132,15 @@ class Encoder:
             found = self.words[part] = array(self.typecode, [x.id for x in self.model.tokenize(plain)]).tobytes()
         return found
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words = {"": b""}
-        odd, cut, part = [], self._PARTS.fullmatch, self._part
-        for word in words:
-            found = cut(word)
-            if found:
-                before, letters, after = found.groups()
-                ids = part(letters.lower())
-                self.words[word] = part(before) + ids + part(after) if before or after else ids
-            else:
-                odd.append(word)
-        self.words.update(zip(odd, (x.tobytes() for x in self._ids(odd))))
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self._part(word.lower())
+        found = self._PARTS.fullmatch(word)
+        if not found:
+            return self._ids([word])[0].tobytes()
+        before, letters, after = found.groups()
+        ids = self._part(letters.lower())
+        return self._part(before) + ids + self._part(after) if before or after else ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
@@ -139,13 +149,9 @@ class Encoder:
         for text in texts:
             # Only these four separate; other white space stays in its word and is the tokenizer's affair.
             words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            try:
-                joined = b"".join(map(self.words.__getitem__, words))
-            except KeyError:
-                seen, known = set(words), self.words
-                self._learn({w for w in seen if w not in known} if len(known) + len(seen) <= REMEMBERED else seen)
-                joined = b"".join(map(self.words.__getitem__, words))
-            out.append(np.frombuffer(joined, self.kind))
+            out.append(np.frombuffer(b"".join(map(self.words.__getitem__, words)), self.kind))
+            if len(self.words) > REMEMBERED:
+                self.words = _Words(self._word)
         return out
 
 
