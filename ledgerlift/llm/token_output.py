@@ -34,9 +34,9 @@ RANGES_SUMMED = 128
 REMEMBERED = 1_200_000
 
 #: By control byte: the four lengths, where each value starts among the group's bytes, and their sum.
-_LENGTHS = np.array([[1 + (c >> (2 * i) & 3) for i in range(4)] for c in range(256)], np.int64)
-_STARTS = np.concatenate((np.zeros((256, 1), np.int64), np.cumsum(_LENGTHS, axis=1)[:, :3]), axis=1)
-_SUMS = _LENGTHS.sum(axis=1)
+_LENGTHS = np.array([[1 + (c >> (2 * i) & 3) for i in range(4)] for c in range(256)], np.uint8)
+_STARTS = np.concatenate((np.zeros((256, 1), np.int64), np.cumsum(_LENGTHS, axis=1, dtype=np.int64)[:, :3]), axis=1)
+_SUMS = _LENGTHS.sum(axis=1, dtype=np.int64)
 
 
 def encode(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -48,8 +48,15 @@ def encode(values: np.ndarray) -> tuple[bytes, bytes]:
     extra += padded > 0xFFFFFF
     codes = extra.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    kept = np.arange(4, dtype=np.uint8) <= extra[:, None]
-    return control.astype(np.uint8).tobytes(), padded.astype("<u4").view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    sizes = extra + np.uint8(1)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = ends - sizes
+    data = np.empty(int(ends[-1]) if ends.size else 0, np.uint8)
+    data[at] = padded.astype(np.uint8)
+    for byte in range(1, 4):
+        longer = np.flatnonzero(extra >= byte)
+        data[at[longer] + byte] = (padded[longer] >> np.uint32(8 * byte)).astype(np.uint8)
+    return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def decode(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -265,7 +272,7 @@ def read_tokens(spark, folder: str, digest_only: bool = False) -> DataFrame:
     """
     blocks = spark.read.parquet(f"{folder}/blocks")
     ranks = spark.read.parquet(f"{folder}/ranks").toArrow()
-    token_of = np.zeros(ranks.num_rows, np.uint32)
+    token_of = np.zeros(ranks.num_rows, "<u4")
     token_of[ranks.column("rank").to_numpy()] = ranks.column("token").to_numpy()
     id_kind = blocks.schema["ids"].dataType.elementType.simpleString()
 
@@ -275,7 +282,7 @@ def read_tokens(spark, folder: str, digest_only: bool = False) -> DataFrame:
                 ids = token_of[decode(row["control"], row["data"], row["n"])]
                 ends = np.cumsum(row["lengths"])
                 starts = ends - np.array(row["lengths"])
-                crcs = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
+                crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 columns = [batch.schema.field("ids").type.value_type, pa.int64(), pa.int64(), pa.int64(), pa.int64()]
                 values = [row["ids"], [row["part"]] * len(crcs), starts + row["start"], row["lengths"], crcs]
                 arrays = [pa.array(v, t) for v, t in zip(values, columns)]
