@@ -168,3 +168,32 @@ def test_numbers_over_many_files_take_no_single_task(spark, tmp_path, count):
     rows = sorted((r["_row"], r["i"], r["j"]) for r in numbered.collect())
     assert [r[0] for r in rows] == list(range(1, len(rows) + 1))
     assert [r[1:] for r in rows] == [(i, j) for i in range(count) for j in range(i % 4 + 1)]
+
+
+def test_rows_of_one_file_are_numbered_where_they_are_read(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = grid.number_rows(spark.read.parquet(path))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [__file" in plan
+        assert sorted((r["_row"], r["id"]) for r in rows.collect()) == [(i + 1, i) for i in range(1000)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pages_become_a_grid_in_parallel(spark, tmp_path, monkeypatch, frame, values):
+    from workload import stores
+    from workload.registry import Tables
+
+    rows = [(i, f"http://h/{i}", f'<a href="x, {i}">\n</a>') for i in range(40)]
+    frame("page_id bigint, url string, html string", *rows).repartition(4).write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(stores, "scratch_folder", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        found = values(stores.csv_grid(Tables(spark, str(tmp_path))))
+        assert len(list((tmp_path / "grid").rglob("part-*.csv"))) > 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == sorted(((i, u, len(h)) for i, u, h in rows), key=lambda r: str(r[0]))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerlift.operators import latest, postings, reconcile
 from ledgerlift.operators.merge import KEEP, OVERWRITE
-from ledgerlift.session import scratch_folder
+from ledgerlift.session import fixed_rows, scratch_folder
 from ledgerlift.sources import grid
 from ledgerlift.sources.store import TableStore
 from ledgerlift.streaming.feed import incremental_import, latest_import
@@ -132,9 +132,11 @@ def csv_records(t: Tables) -> DataFrame:
 
 @query("csv_grid", "SELECT page_id, url, length(html) AS n FROM pages")
 def csv_grid(t: Tables) -> DataFrame:
-    """Raw pages as a grid whose header has to be found."""
-    rows = t.pages.select(F.col("page_id").alias("AppRefNo"), "url", "html")
-    table = grid.promote_header(grid.read_grid(t.spark, _as_csv(rows.coalesce(1), scratch_folder(t.spark, "grid"))))
+    """Raw pages as a grid whose header has to be found; its file comes first, the rows are written in parallel."""
+    folder = scratch_folder(t.spark, "grid")
+    head = fixed_rows(t.spark, "c0", ["AppRefNo"]).select("c0", F.lit("url").alias("c1"), F.lit("html").alias("c2"))
+    files = [_as_csv(head, f"{folder}/0", header=False), _as_csv(t.pages.select("page_id", "url", "html"), f"{folder}/1", header=False)]
+    table = grid.promote_header(grid.read_grid(t.spark, files))
     return table.select(F.col("apprefno").cast("bigint").alias("page_id"), "url", F.length("html").cast("bigint").alias("n"))
 
 
