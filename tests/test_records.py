@@ -99,3 +99,16 @@ def test_empty_files(spark, tmp_path):
     assert grid.read_grid(spark, str(tmp_path)).columns == ["_row", "c0"]
     (tmp_path / "b.csv").write_text("﻿a,b\r\n\r\n , \r\n1,2\r\n", encoding="utf-8")
     assert grid.read_csv(spark, str(tmp_path / "b.csv")).collect()[-1] == ("1", "2")
+
+
+def test_lines_stay_where_they_are_read(spark, tmp_path, tiny_blocks):
+    """Only a map a block and the parts of records in several blocks are shuffled, whatever the number of open lines."""
+    (tmp_path / "a.csv").write_text("k,v\n" + "".join(f'{i},"one\n\ntwo ""{i}"", x"\n' for i in range(100)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = records.records(records.read_lines(spark, str(tmp_path)))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert got(spark, tmp_path) == [["k", "v"], *[[str(i), f'one\n\ntwo "{i}", x'] for i in range(100)]]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
