@@ -78,7 +78,7 @@ def backfill(
     take = {f"__new_{c}": source for c, source in set_cols.items()}
     # A row that may not change looks up nothing: one join over the whole table, which is read once.
     probe = F.when(eligible, col(fk))
-    return _filled(child, lookup(child, parent, probe, pk, take, normalise, order, unique=unique), set_cols, only_null)
+    return _filled(child, lookup(child, parent, probe, pk, take, normalise, order, unique=unique, narrow=True), set_cols, only_null)
 
 
 def backfill_in_place(child: DataFrame, parent: DataFrame, fk: str, pk: str, set_cols: Mapping[str, str], only_null: bool = True) -> ChangeSet:
@@ -129,12 +129,23 @@ def backfill_tables(
     return jobs
 
 
-def preview_all(jobs: Mapping[str, ChangeSet]) -> DataFrame:
-    """One row per table with the number of rows the job would change."""
+def preview_all(jobs: Mapping[str, ChangeSet], steps: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per table with the number of rows the job would change.
+
+    `steps` (step -> flag column) counts a chain of jobs: a row per step whose flag the last job of the
+    table carries, all of them in one pass.
+    """
+    if steps is not None:
+        return reduce(DataFrame.unionByName, [_steps_of(name, job.candidates, steps) for name, job in jobs.items()])
     parts = [job.preview().select(F.lit(name).alias("table_name"), "rows_to_change") for name, job in jobs.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _steps_of(name: str, candidates: DataFrame, steps: Mapping[str, str]) -> DataFrame:
+    counts = [F.struct(F.lit(step).alias("step"), F.lit(name).alias("table_name"), F.count_if(F.col(flag)).alias("rows_to_change")) for step, flag in steps.items() if flag in candidates.columns]
+    return candidates.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
 def user_of_application(applications: DataFrame, users: DataFrame) -> DataFrame:
     """(application_id, user_id) through the normalised user name; shared by all tables."""
     named = applications.select(F.col("id").alias("application_id"), "username")

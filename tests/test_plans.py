@@ -348,3 +348,41 @@ def test_provisioning_rewrites_the_buckets_of_new_users(frame, store):
         assert len(before[name] - set(store.manifest(name).parts)) <= 2 < len(before[name])
         assert store.read(name).count() == 201
     assert {r["table_name"]: (r["inserted"], r["kept"]) for r in ws.summary().collect()} == {"users": (1, 200), "user_roles": (1, 200)}
+
+
+def _registry(frame):
+    return {
+        "applications": frame("id string, username string, created_by string", ("A1", " Ann", None), ("A2", "ann", "boss"), ("A3", "x", None)),
+        "users": frame("id string, username string", ("7", "ann")),
+        "application_sector_details": frame("id string, application_id string", ("D1", "A1"), ("D2", None), ("D3", "A3")),
+        "documents": frame(
+            "id string, application_sector_detail_id string, application_id string, created_by string",
+            ("x1", "D1", None, None), ("x2", "D1", None, "clerk"), ("x3", "D2", None, None), ("x4", None, "A1", None), ("x4", None, None, None), ("x5", "D3", None, None),
+        ),
+    }
+
+
+def test_post_import_preview_joins_a_table_once_for_both_steps(spark, frame, values):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = maintenance.post_import_preview(_registry(frame))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert values(found, "step", "table_name", "rows_to_change") == [("application_id", "documents", 3), ("created_by", "applications", 1), ("created_by", "documents", 2)]
+    # Documents join details and creators, applications creators; these join users, once.
+    assert plan.count("SortMergeJoin") == 4
+
+
+def test_post_import_shuffles_no_ids_that_only_spread_rows(spark, frame, values):
+    jobs = maintenance.post_import_jobs(_registry(frame))["created_by"]["documents"]
+    assert jobs.columns == ("id", "application_sector_detail_id", "application_id", "created_by")
+    assert values(jobs.apply()) == [
+        ("x1", "D1", "A1", "7"), ("x2", "D1", "A1", "clerk"), ("x3", "D2", None, None), ("x4", None, "A1", "7"), ("x4", None, None, None), ("x5", "D3", "A3", None),
+    ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jobs.apply().select("application_id", "created_by")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "xxhash64(id" in line]
