@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,6 @@ from ledgerlift.operators.backfill import (
     backfill_in_place,
     backfill_tables,
     drop_duplicate_approvals,
-    preview_all,
     update_where,
     user_of_application,
 )
@@ -248,28 +247,15 @@ def run_chain(steps: Mapping[str, Callable[[], object]]) -> list[StepResult]:
     return results
 
 
-#: Flag of the first step of `post_import` on the rows of the second.
-_REPAIRED = "_changed_application_id"
-
-
-def _post_import_chain(tables: Mapping[str, DataFrame]) -> tuple[dict[str, ChangeSet], dict[str, ChangeSet]]:
-    """The jobs of both steps of `post_import`; a row takes its first flag and its place along through the second."""
-    first = application_id_jobs(tables)
-    kept = {**tables, **{name: placed(tables[name]) for name in first}}
-    ids = {name: ChangeSet(job.candidates.withColumnRenamed(CHANGED, _REPAIRED), first[name].columns) for name, job in application_id_jobs(kept).items()}
-    creators = created_by_jobs({**kept, **{name: job.candidates for name, job in ids.items()}})
-    return ids, {name: ChangeSet(job.candidates, tuple(tables[name].columns)) for name, job in creators.items()}
-
-
 def post_import_jobs(tables: Mapping[str, DataFrame]) -> dict[str, dict[str, ChangeSet]]:
-    """The repairs of `post_import`, by step and table; creators are set on the repaired tables."""
-    return {"application_id": application_id_jobs(tables), "created_by": _post_import_chain(tables)[1]}
-
+    """The repairs of `post_import`, by step and table; creators are set on the repaired tables.
 
-def post_import_preview(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(step, table_name, rows_to_change) of `post_import`; a table that both steps change is joined once for both counts."""
-    ids, creators = _post_import_chain(tables)
-    return preview_all({**ids, **creators}, {"application_id": _REPAIRED, "created_by": CHANGED})
+    A row takes its place among the rows without a key along, so its id need not pass the first join.
+    """
+    ids = application_id_jobs(tables)
+    kept = {**tables, **{name: placed(tables[name]) for name in ids}}
+    creators = created_by_jobs({**kept, **{name: job.apply() for name, job in application_id_jobs(kept).items()}})
+    return {"application_id": ids, "created_by": {name: replace(job, columns=tuple(tables[name].columns)) for name, job in creators.items()}}
 
 
 def post_import(ws: Workspace, align: Callable[[], object] = lambda: None) -> list[StepResult]:

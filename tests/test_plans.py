@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.profile import skip_report
+from ledgerlift.operators import backfill as b
+from ledgerlift.operators.backfill import CHANGED
 from ledgerlift.plans import applications, common, directory, electrical, experience, fees, maintenance, people, water
 from ledgerlift.sources.store import TableStore, Workspace
 
@@ -362,16 +364,15 @@ def _registry(frame):
     }
 
 
-def test_post_import_preview_joins_a_table_once_for_both_steps(spark, frame, values):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        found = maintenance.post_import_preview(_registry(frame))
-        plan = found._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert values(found, "step", "table_name", "rows_to_change") == [("application_id", "documents", 3), ("created_by", "applications", 1), ("created_by", "documents", 2)]
-    # Documents join details and creators, applications creators; these join users, once.
-    assert plan.count("SortMergeJoin") == 4
+def test_post_import_preview_looks_up_only_rows_that_may_change(spark, frame, values):
+    tables = _registry(frame)
+    # A second row of an application doubles the creators to set, not the application ids.
+    tables["applications"] = tables["applications"].unionByName(tables["applications"].filter("id = 'A1'"))
+    jobs = maintenance.post_import_jobs(tables)
+    found = {step: values(b.preview_all(of), "table_name", "rows_to_change") for step, of in jobs.items()}
+    assert found == {"application_id": [("documents", 3)], "created_by": [("applications", 4), ("documents", 4)]}
+    assert jobs["application_id"]["documents"].possible().count() == 4
+    assert {n: job.candidates.where(CHANGED).count() for n, job in jobs["created_by"].items()} == {"applications": 4, "documents": 4}
 
 
 def test_post_import_shuffles_no_ids_that_only_spread_rows(spark, frame, values):
