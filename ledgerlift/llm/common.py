@@ -77,13 +77,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """`df` as a Parquet table in the shared folder, read again: lineage ends there and lost executors cost nothing."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffles_dropped(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of steps that are over when the driver collects its garbage: it does so now."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of `df` as one struct: whatever their names, they clash with none of an operator's own."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import adopted, written
+from ledgerlift.llm.common import adopted, shuffles_dropped, written
 from ledgerlift.llm.token_output import decode, encode
 
 #: Bits of the filter for each insertion, and hash functions, three of them in each of two words: about 1 % false probes.
@@ -38,6 +38,10 @@ PAIR_WEIGHT = 0.3
 BROADCAST_BYTES = 128 << 20
 #: Bytes of text of a chunk, and that a segment stands for.
 CHUNK_BYTES, SEGMENT_BYTES = 8 << 20, 16 << 20
+#: Tokens of a chunk that are scored at once, and n-grams of a segment that are looked up at once: they bound a worker's arrays.
+SLICE_TOKENS, LOOKED_UP = 1 << 18, 1 << 19
+#: Rows as heavy as a chunk: a writer holds few of them, and a reader those of one row group.
+HEAVY_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
 END = b"\n"  # no word holds it
 
 
@@ -194,7 +198,7 @@ class Filter:
         return left
 
 
-_CHUNK = "chunk long, ids array<{id}>, held array<boolean>, lengths array<long>, tokens binary, words array<binary>, seen array<long>"
+_CHUNK = "chunk long, ids array<{id}>, held array<boolean>, lengths array<long>, tokens binary, words array<binary>, hashes binary, seen array<long>"
 
 
 def _chunked(segments: int, id_type: pa.DataType):
@@ -226,9 +230,10 @@ def _chunked(segments: int, id_type: pa.DataType):
             pa.array([lengths], pa.list_(pa.int64())),
             pa.array([tokens.tobytes()], pa.binary()),
             pa.array([[words[i] for i in order]], pa.list_(pa.binary())),
+            pa.array([hashes[order].tobytes()], pa.binary()),
             pa.array([seen], pa.list_(pa.int64())),
         ]
-        return pa.RecordBatch.from_arrays(fields, ["chunk", "ids", "held", "lengths", "tokens", "words", "seen"])
+        return pa.RecordBatch.from_arrays(fields, ["chunk", "ids", "held", "lengths", "tokens", "words", "hashes", "seen"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, size = TaskContext.get().partitionId() << 32, [], 0
@@ -290,14 +295,20 @@ def _word_sums(table: pa.Table) -> pa.Table:
     )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time."""
+    for at in range(batch.num_rows):
+        yield batch.slice(at, 1).to_pylist()[0]
+
+
 def _token_hashes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a chunk: hashes of its words, its tokens, each token's predecessor (the end, at a document's start)."""
-    words = row["words"]
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    hashes = np.frombuffer(row["hashes"], np.uint64)
     tokens = np.frombuffer(row["tokens"], np.uint32)
     lengths = np.array(row["lengths"], np.int64)
+    ends = np.cumsum(lengths)
     before = np.concatenate(([0], tokens[:-1])).astype(np.uint32)
-    before[np.concatenate(([0], np.cumsum(lengths)[:-1]))] = words.index(END)
+    before[ends - lengths] = tokens[ends - 1]  # a document's last token is the end
     return hashes, tokens, before, lengths
 
 
@@ -306,22 +317,34 @@ def _pair_parts(segments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 hashes, tokens, before, lengths = _token_hashes(row)
                 trained = ~np.repeat(np.array(row["held"], bool), lengths)
-                found, counts = np.unique(pair_hashes(hashes[before[trained]], hashes[tokens[trained]]), return_counts=True)
+                pairs = _pairs(hashes, tokens[trained], before[trained])
+                pairs.sort()
+                first = np.flatnonzero(_first(pairs))
+                found, counts = pairs[first], np.diff(first, append=pairs.size)
                 if found.size:
                     yield from _by_segment(found, counts, segments)
 
     return run
 
 
-def _by_segment(h: np.ndarray, counts: np.ndarray, segments: int) -> Iterator[pa.RecordBatch]:
-    """Ascending hashes are ascending in segments, too."""
+def _first(ascending: np.ndarray) -> np.ndarray:
+    """True where a value is met first."""
+    return np.concatenate((np.ones(min(1, ascending.size), bool), ascending[1:] != ascending[:-1]))
+
+
+def _bounds(h: np.ndarray, segments: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The segments that ascending hashes fall into, and where each begins and ends: they are ascending in segments, too."""
     found, first = np.unique(_segment(h, segments), return_index=True)
-    ends = [*first[1:], h.size]
+    return found.astype(np.int64), list(zip(first, [*first[1:], h.size]))
+
+
+def _by_segment(h: np.ndarray, counts: np.ndarray, segments: int) -> Iterator[pa.RecordBatch]:
+    found, bounds = _bounds(h, segments)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(found.astype(np.int64)), pa.array([_packed_hashes(h[a:b]) for a, b in zip(first, ends)], pa.binary()), pa.array([_packed(counts[a:b].astype(np.uint64)) for a, b in zip(first, ends)], pa.binary())],
+        [pa.array(found), pa.array([_packed_hashes(h[a:b]) for a, b in bounds], pa.binary()), pa.array([_packed(counts[a:b].astype(np.uint64)) for a, b in bounds], pa.binary())],
         ["segment", "h", "c"],
     )
 
@@ -337,9 +360,20 @@ def _fill(table: pa.Table) -> pa.Table:
     return pa.table([table.column("segment").slice(0, 1), pa.array([held.tobytes()], pa.binary())], names=["segment", "held"])
 
 
+def _pairs(hashes: np.ndarray, tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The pair that each token ends, made slice by slice."""
+    pairs = np.empty(tokens.size, np.uint64)
+    for at in range(0, tokens.size, SLICE_TOKENS):
+        end = at + SLICE_TOKENS
+        pairs[at:end] = pair_hashes(hashes[before[at:end]], hashes[tokens[at:end]])
+    return pairs
+
+
 def _distinct_grams(hashes: np.ndarray, tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
     """All words and pairs of a chunk, ascending, once each."""
-    return np.unique(np.concatenate([word_hashes(hashes), pair_hashes(hashes[before], hashes[tokens])]))
+    grams = np.concatenate([word_hashes(hashes), _pairs(hashes, tokens, before)])
+    grams.sort()
+    return grams[_first(grams)]
 
 
 def _query_parts(segments: int):
@@ -347,11 +381,11 @@ def _query_parts(segments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 hashes, tokens, before, _ = _token_hashes(row)
                 asked = _distinct_grams(hashes, tokens, before)
-                made = list(_by_segment(asked, np.zeros(asked.size, np.int64), segments))[0]
-                yield pa.RecordBatch.from_arrays([made.column(0), pa.array([row["chunk"]] * made.num_rows, pa.int64()), made.column(1)], ["segment", "chunk", "h"])
+                found, bounds = _bounds(asked, segments)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array([row["chunk"]] * found.size, pa.int64()), pa.array([_packed_hashes(asked[a:b]) for a, b in bounds], pa.binary())], ["segment", "chunk", "h"])
 
     return run
 
@@ -360,8 +394,23 @@ def _answers(segments: int):
     def run(asked: pa.Table, held: pa.Table) -> pa.Table:
         parts = {int(s): np.frombuffer(b, np.uint8) for s, b in zip(held.column("segment").to_pylist(), held.column("held").to_pylist())}
         model = Filter(parts, segments)
-        blobs = asked.column("h").to_pylist()
-        return pa.table([asked.column("chunk"), asked.column("segment"), pa.array([model.levels(_unpacked_hashes(b)).tobytes() for b in blobs], pa.binary())], names=["chunk", "segment", "levels"])
+        # What chunks ask for is small each: many are looked up at once, a repeated n-gram once.
+        levels, waiting, size = [], [], 0
+
+        def answer() -> None:
+            h, of = np.unique(np.concatenate(waiting), return_inverse=True)
+            found = model.levels(h)[of]
+            levels.extend(x.tobytes() for x in np.split(found, np.cumsum([w.size for w in waiting])[:-1]))
+
+        for blob in asked.column("h"):
+            waiting.append(_unpacked_hashes(blob.as_py()))
+            size += waiting[-1].size
+            if size >= LOOKED_UP:
+                answer()
+                waiting, size = [], 0
+        if waiting:
+            answer()
+        return pa.table([asked.column("chunk"), asked.column("segment"), pa.array(levels, pa.binary())], names=["chunk", "segment", "levels"])
 
     return run
 
@@ -372,7 +421,7 @@ def _scores(total: int, distinct: int, id_type: pa.DataType, levels_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = batch.column("parts")
-            for at, row in enumerate(batch.drop_columns(["parts"]).to_pylist()):
+            for at, row in enumerate(_rows(batch.drop_columns(["parts"]))):
                 hashes, tokens, before, lengths = _token_hashes(row)
                 counts = np.empty(len(hashes), np.int64)
                 # Counts are many and stay numbers of Arrow's all the way.
@@ -381,22 +430,13 @@ def _scores(total: int, distinct: int, id_type: pa.DataType, levels_of):
                 for first, part in zip(firsts, listed):
                     values = part.values.to_numpy(zero_copy_only=False)
                     counts[first : first + values.size] = values
-                starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-                base = np.add.reduceat(np.log10((counts + 1) / (total + distinct + 1))[tokens], starts)
-                known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
-                look = levels_of(row, lambda: _distinct_grams(hashes, tokens, before))
-                ascending, of_word = np.unique(word_hashes(hashes), return_inverse=True)
-                single = look(ascending)[of_word]
-                low, high = LOW[single], HIGH[single]
-                # Each distinct pair is looked up once, in the order of the segments.
-                distinct_pairs, of_token = np.unique(pair_hashes(hashes[before], hashes[tokens]), return_inverse=True)
-                pairs = LOW[look(distinct_pairs)][of_token]
-                pairs = np.minimum(pairs, np.minimum(high[before], high[tokens]))
-                word = ((low + 1) / (total + distinct + 1))[tokens]
-                after = np.maximum(high[before], 1)
-                backed = high[before] > 0
-                chance = np.where(backed, PAIR_WEIGHT * pairs / after + (1 - PAIR_WEIGHT) * word, word)
-                score = np.add.reduceat(np.log10(np.minimum(chance, 1.0)), starts)
+                # Each distinct n-gram is looked up once, in the order of the segments.
+                grams = _distinct_grams(hashes, tokens, before)
+                levels = levels_of(row, grams)
+                single = levels[np.searchsorted(grams, word_hashes(hashes))]
+                of_word = _of_words(counts, single, total, distinct)
+                made = [_of_tokens(hashes, tokens[a:b], before[a:b], lengths[x:y], grams, levels, *of_word) for x, y, a, b in _slices(lengths)]
+                base, known, score = (np.concatenate(x) for x in zip(*made))
                 n = len(lengths)
                 columns = [pa.array(row["ids"], id_type), pa.array(row["held"], pa.bool_()), pa.array(lengths), pa.array(known), pa.array(np.full(n, total, np.int64)), pa.array(base), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -404,15 +444,43 @@ def _scores(total: int, distinct: int, id_type: pa.DataType, levels_of):
     return run
 
 
+def _slices(lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """A chunk's documents in stretches of about SLICE_TOKENS tokens: first and last document, first and last token."""
+    ends = np.cumsum(lengths)
+    first, at = 0, 0
+    while first < lengths.size:
+        last = max(first + 1, int(np.searchsorted(ends, at + SLICE_TOKENS, side="right")))
+        yield first, last, at, int(ends[last - 1])
+        first, at = last, int(ends[last - 1])
+
+
+def _of_words(counts: np.ndarray, single: np.ndarray, total: int, distinct: int) -> tuple[np.ndarray, ...]:
+    """Of each word: the add-one score, whether it is known, the greatest count of its level, its chance by the least."""
+    return np.log10((counts + 1) / (total + distinct + 1)), (counts > 0).astype(np.int64), HIGH[single], (LOW[single] + 1) / (total + distinct + 1)
+
+
+def _of_tokens(hashes: np.ndarray, tokens: np.ndarray, before: np.ndarray, lengths: np.ndarray, grams: np.ndarray, levels: np.ndarray, log_base: np.ndarray, is_known: np.ndarray, high: np.ndarray, chance_alone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """base_score, n_known and score of some documents, whose tokens these are."""
+    starts = np.cumsum(lengths) - lengths
+    base = np.add.reduceat(log_base[tokens], starts)
+    known = np.add.reduceat(is_known[tokens], starts)
+    asked, of_token = np.unique(_pairs(hashes, tokens, before), return_inverse=True)
+    pairs = LOW[levels[np.searchsorted(grams, asked)]][of_token]
+    pairs = np.minimum(pairs, np.minimum(high[before], high[tokens]))
+    word = chance_alone[tokens]
+    after = np.maximum(high[before], 1)
+    backed = high[before] > 0
+    chance = np.where(backed, PAIR_WEIGHT * pairs / after + (1 - PAIR_WEIGHT) * word, word)
+    return base, known, np.add.reduceat(np.log10(np.minimum(chance, 1.0)), starts)
+
+
 def _broadcast_levels(shared):
-    return lambda row, grams: shared.value.levels
+    return lambda row, grams: shared.value.levels(grams)
 
 
-def _routed_levels(row: dict, grams):
+def _routed_levels(row: dict, grams: np.ndarray) -> np.ndarray:
     """Lookups of a chunk whose answers came with it, in the order of its distinct n-grams."""
-    h = grams()
-    levels = np.concatenate([np.empty(0, np.uint8)] + [np.frombuffer(p["levels"], np.uint8) for p in row["answers"]])
-    return lambda asked: levels[np.searchsorted(h, asked)]
+    return np.frombuffer(b"".join(p["levels"] for p in row.pop("answers")), np.uint8)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -438,7 +506,7 @@ def scored(df: DataFrame, held: Column | None = None, id_col: str = "doc_id", te
     rows = df.select(F.col(f"`{id_col}`").alias("id"), held.alias("held"), text.alias("t"))
     size = rows.agg(F.sum(F.octet_length("t") + 1)).collect()[0][0] or 0
     segments = max(4, -(-size // SEGMENT_BYTES))
-    chunks = written(rows.mapInArrow(_chunked(segments, id_type), _CHUNK.format(id=kind)), "lm-chunks")
+    chunks = written(rows.mapInArrow(_chunked(segments, id_type), _CHUNK.format(id=kind)), "lm-chunks", HEAVY_ROWS)
 
     # Chunks are few and heavy rows: they go to Python one at a time.
     chunks = adopted(chunks, rows=1)
@@ -446,10 +514,10 @@ def scored(df: DataFrame, held: Column | None = None, id_col: str = "doc_id", te
     sums = written(words.groupBy("segment").applyInArrow(_word_sums, "segment long, chunk long, first long, counts array<long>, n long, v long, h binary, c binary"), "lm-words")
     total, distinct = (int(x or 0) for x in sums.agg(F.sum("n"), F.sum("v")).collect()[0])
     singles = sums.where("h is not null").select("segment", "h", "c").mapInArrow(_mixed_singles(segments), "segment long, h binary, c binary")
-    pairs = chunks.select("held", "lengths", "tokens", "words").mapInArrow(_pair_parts(segments), "segment long, h binary, c binary")
+    pairs = chunks.select("held", "lengths", "tokens", "hashes").mapInArrow(_pair_parts(segments), "segment long, h binary, c binary")
     held_bits = written(singles.unionByName(pairs).groupBy("segment").applyInArrow(_fill, "segment long, held binary"), "lm-filter")
     parts = sums.groupBy("chunk").agg(F.collect_list(F.struct("first", "counts")).alias("parts"))
-    asked = chunks.select("chunk", "ids", "held", "lengths", "tokens", "words").join(parts, "chunk")
+    asked = chunks.select("chunk", "ids", "held", "lengths", "tokens", "hashes").join(parts, "chunk")
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     whole = held_bits.agg(F.sum(F.length("held"))).collect()[0][0] or 0
     if whole <= broadcast_bytes:
@@ -457,9 +525,12 @@ def scored(df: DataFrame, held: Column | None = None, id_col: str = "doc_id", te
         model = Filter({s: np.frombuffer(b, np.uint8) for s, b in zip(found.column("segment").to_pylist(), (x.as_buffer() for x in found.column("held")))}, segments)
         levels_of = _broadcast_levels(spark.sparkContext.broadcast(model))
     else:
-        queries = chunks.select("chunk", "lengths", "tokens", "words").mapInArrow(_query_parts(segments), "segment long, chunk long, h binary")
+        shuffles_dropped(spark)
+        queries = chunks.select("chunk", "lengths", "tokens", "hashes").mapInArrow(_query_parts(segments), "segment long, chunk long, h binary")
         answers = queries.groupBy("segment").cogroup(held_bits.groupBy("segment")).applyInArrow(_answers(segments), "chunk long, segment long, levels binary")
-        answers = written(answers, "lm-answers").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("segment", "levels"))).alias("answers"))
+        answers = written(answers, "lm-answers")
+        shuffles_dropped(spark)
+        answers = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("segment", "levels"))).alias("answers"))
         asked, levels_of = asked.join(answers, "chunk"), _routed_levels
     result = written(asked.mapInArrow(_scores(total, distinct, id_type, levels_of), schema), "lm-scores")
     return adopted(result.withColumnRenamed("id", id_col))

@@ -1,8 +1,10 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlift.llm import lm_scoring as lm
@@ -77,3 +79,35 @@ def test_filter_never_misses_and_seldom_errs():
     absent = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 40_000).astype(np.uint64))
     assert (model.levels(absent) > 0).mean() < 0.03
     assert not lm.Filter({}, 4).levels(absent[:5]).any()
+
+
+def test_slices_of_a_chunk_equal_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 6000)
+    monkeypatch.setattr(lm, "SEGMENT_BYTES", 9000)
+    rows = [(i, words(i % 50, 30 + 7 * i % 200, 900)) for i in range(60)] + [(60, words(9, 700, 900)), (61, ""), (62, None)]
+    frame = prepared(spark).createDataFrame(rows, "doc_id long, text string")
+    whole = {limit: sorted(lm.scored(frame, broadcast_bytes=limit).collect(), key=lambda r: r["doc_id"]) for limit in (0, lm.BROADCAST_BYTES)}
+    monkeypatch.setattr(lm, "SLICE_TOKENS", 100)
+    monkeypatch.setattr(lm, "LOOKED_UP", 50)
+    for limit, want in whole.items():
+        assert sorted(lm.scored(frame, broadcast_bytes=limit).collect(), key=lambda r: r["doc_id"]) == want
+    close(want, exact(rows))
+
+
+def test_scoring_a_chunk_takes_little_memory():
+    """Beyond the chunk and its distinct n-grams, a worker holds arrays of a slice of the tokens, not of all."""
+    rng = np.random.default_rng(4)
+    lengths = np.full(8000, 160)
+    hashes = rng.integers(1, 1 << 63, 150_000).astype(np.uint64)
+    tokens = rng.integers(0, hashes.size, int(lengths.sum())).astype(np.uint32)
+    tokens[np.cumsum(lengths) - 1] = 7
+    counts = pa.array([[{"first": 0, "counts": np.ones(hashes.size, np.int64)}]])
+    row = {"ids": [list(range(lengths.size))], "held": [[False] * lengths.size], "lengths": [lengths], "tokens": [tokens.tobytes()], "parts": counts, "hashes": [hashes.tobytes()]}
+    batch = pa.record_batch(row)
+    run = lm._scores(1000, 100, pa.int64(), lambda row, grams: np.ones(grams.size, np.uint8))
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in run(iter([batch]))) == lengths.size
+        assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    finally:
+        tracemalloc.stop()
