@@ -19,6 +19,8 @@ PIECE = 1 << 20
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Texts that go to a Python worker at once, by rows and by bytes.
 ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
+#: How tables of rows of several MB are written: a writer holds few of them, and a reader those of one row group.
+HEAVY_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
 #: Rows that one window of running totals holds.
 CELLS = 1 << 13
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import adopted, shuffles_dropped, written
+from ledgerlift.llm.common import HEAVY_ROWS, adopted, shuffles_dropped, written
 from ledgerlift.llm.token_output import decode, encode
 
 #: Bits of the filter for each insertion, and hash functions, three of them in each of two words: about 1 % false probes.
@@ -40,8 +40,6 @@ BROADCAST_BYTES = 128 << 20
 CHUNK_BYTES, SEGMENT_BYTES = 8 << 20, 16 << 20
 #: Tokens of a chunk that are scored at once, and n-grams of a segment that are looked up at once: they bound a worker's arrays.
 SLICE_TOKENS, LOOKED_UP = 1 << 18, 1 << 19
-#: Rows as heavy as a chunk: a writer holds few of them, and a reader those of one row group.
-HEAVY_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
 END = b"\n"  # no word holds it
 
 
